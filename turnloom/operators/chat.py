@@ -130,6 +130,12 @@ def render(
 # --- turn tables ----------------------------------------------------------------
 
 
+def turn_message(turns: DataFrame) -> Column:
+    """A turn row as one message; optional fields are used when the table has them."""
+    extra = {f: F.col(f) for f in ("reasoning_content", "tools", "tool_calls") if f in turns.columns}
+    return message(F.col("role"), F.col("text"), **extra)
+
+
 def assemble_parts(turns: DataFrame, part_turns: int = 1024) -> DataFrame:
     """Turn rows -> message lists of at most ``part_turns`` turns.
 
@@ -148,13 +154,13 @@ def assemble_parts(turns: DataFrame, part_turns: int = 1024) -> DataFrame:
             F.when(within == part_turns - 1, F.struct((part + 1).alias("part"), F.lit("before").alias("kind"))),
         )
     )
-    msg = message(F.col("role"), F.col("text"))
-    spread = turns.select("conv_id", "turn", "role", "text", F.explode(spots).alias("s")).select(
-        "conv_id", F.col("s.part").alias("part"), "turn", F.col("s.kind").alias("kind"), "role", "text"
+    msg = turn_message(turns)
+    spread = turns.select("conv_id", "turn", "role", msg.alias("msg"), F.explode(spots).alias("s")).select(
+        "conv_id", F.col("s.part").alias("part"), "turn", F.col("s.kind").alias("kind"), "role", "msg"
     )
     own = F.col("kind") == "own"
     grouped = spread.groupBy("conv_id", "part").agg(
-        F.array_sort(F.collect_list(F.when(own, F.struct("turn", msg.alias("m"))))).alias("ordered"),
+        F.array_sort(F.collect_list(F.when(own, F.struct("turn", F.col("msg").alias("m"))))).alias("ordered"),
         F.max(F.when(F.col("kind") == "before", F.col("role"))).alias("prev_role"),
         F.max(F.when(F.col("kind") == "after", F.col("role"))).alias("next_role"),
     )
@@ -184,7 +190,7 @@ def render_turns(turns: DataFrame) -> DataFrame:
     placed = turns.where(tool).join(prev_tool, key, "left").join(next_tool, key, "left")
     none = F.lit(None).cast("string")
     rows = turns.where(~tool).withColumns({"prev_role": none, "next_role": none}).unionByName(placed)
-    msg = message(F.col("role"), F.col("text"))
+    msg = turn_message(turns)
     first = F.col("turn") == 0
     header = F.when(first & (F.col("role") == "system"), prompt_header(msg)).otherwise(F.lit(""))
     return rows.withColumn("piece", F.concat(header, turn_piece(msg, first, F.col("prev_role"), F.col("next_role"))))
