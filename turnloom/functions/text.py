@@ -71,5 +71,5 @@ def last_number(c: Column) -> Column:
 def lone_numbers(c: Column) -> Column:
     """Numbers that stand alone (no letter, digit or full stop next to them)."""
     bare = F.replace(c, F.lit(","), F.lit(""))
-    pattern = rf"(?<![{WORD}.])([-+]?\p{Nd}+(?:\.\p{Nd}+)?)(?![{WORD}.])"
+    pattern = rf"(?<![{WORD}.])([-+]?\p{{Nd}}+(?:\.\p{{Nd}}+)?)(?![{WORD}.])"
     return F.transform(F.regexp_extract_all(bare, F.lit(pattern), F.lit(1)), lambda x: x.try_cast("double"))

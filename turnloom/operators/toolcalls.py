@@ -16,41 +16,54 @@ from turnloom.operators.chat import call_bodies
 # rows, which is the bound that makes broadcasting it safe at any input size.
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A constant table that stays in the JVM; names are separated by spaces."""
+    cols = names.split()
+
+    def cell(value) -> Column:
+        if isinstance(value, list):
+            return F.array(*[F.lit(v) for v in value]).cast("array<string>")
+        return F.lit(value)
+
+    structs = [F.struct(*[cell(v).alias(c) for v, c in zip(row, cols)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def registry(spark: SparkSession) -> DataFrame:
     rows = []
     for tool in K.AGENT_TOOLS:
         need = K.REQUIRED_ARGS[tool["function"]["name"]]
         rows.append((tool["function"]["name"], json.dumps(tool, ensure_ascii=False), need["present"], need["truthy"]))
-    return spark.createDataFrame(rows, "name string, tool string, need_present array<string>, need_truthy array<string>")
+    return literal_table(spark, rows, "name tool need_present need_truthy")
 
 
 def eval_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in K.EVAL_TOOL_NAMES], "name string")
+    return literal_table(spark, [(n,) for n in K.EVAL_TOOL_NAMES], "name")
 
 
 def eval_cases(spark: SparkSession) -> DataFrame:
     rows = [(i, prompt, tools) for i, (prompt, tools) in enumerate(K.EVAL_CASES)]
-    return spark.createDataFrame(rows, "case_id int, prompt string, tools array<string>")
+    return literal_table(spark, rows, "case_id prompt tools")
 
 
 def weather_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.WEATHER, "location string, temperature string, condition string")
+    return literal_table(spark, K.WEATHER, "location temperature condition")
 
 
 def time_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.TIMES, "timezone string, datetime string")
+    return literal_table(spark, K.TIMES, "timezone datetime")
 
 
 def rate_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.RATES, "from_currency string, to_currency string, rate double")
+    return literal_table(spark, K.RATES, "from_currency to_currency rate")
 
 
 def translation_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.TRANSLATIONS, "text string, target_language string, translated string")
+    return literal_table(spark, K.TRANSLATIONS, "text target_language translated")
 
 
 def unit_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(K.UNIT_FACTORS, "units string, factor double")
+    return literal_table(spark, K.UNIT_FACTORS, "units factor")
 
 
 def select_tools(names: DataFrame, tools: DataFrame) -> DataFrame:
@@ -183,10 +196,12 @@ def merge_call_deltas(deltas: DataFrame, part_deltas: int = 1024) -> DataFrame:
     fields = ["id", "name", "arguments"]
     key = ["response_id", "call_index"]
 
+    def joined(field: str) -> Column:
+        return F.array_join(F.transform("o", lambda s: s[field]), "").alias(field)
+
     def join_ordered(df: DataFrame, by: list[str], order: str) -> DataFrame:
         ordered = F.array_sort(F.collect_list(F.struct(order, *[F.coalesce(f, F.lit("")).alias(f) for f in fields])))
-        got = df.groupBy(*by).agg(ordered.alias("o"))
-        return got.select(*by, *[F.array_join(F.transform("o", lambda s, f=f: s[f]), "").alias(f) for f in fields])
+        return df.groupBy(*by).agg(ordered.alias("o")).select(*by, *[joined(f) for f in fields])
 
     parts = join_ordered(deltas.withColumn("part", F.floor(F.col("seq") / F.lit(part_deltas))), [*key, "part"], "seq")
     return join_ordered(parts, key, "part")

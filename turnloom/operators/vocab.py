@@ -12,7 +12,7 @@ from turnloom import constants as K
 from turnloom.functions.arrays import drop_end, drop_start
 from turnloom.functions.bpe import base_vocab, byte_chars, byte_tokens, reserved_tokens, split_pretokens
 from turnloom.functions.text import truthy
-from turnloom.session import cut_lineage
+from turnloom.session import cut_lineage, spread
 
 # Inside the trainer a word is a string with one character per token: token id i
 # is chr(0x100 + i).  Merging a pair is then a plain string replace (left to
@@ -75,29 +75,49 @@ def _coded(words: DataFrame) -> DataFrame:
     return words.select(F.translate(byte_chars(F.col("word")), "".join(alphabet), codes).alias("w"), "n")
 
 
-def _ranked_pairs(words: DataFrame, k: int) -> list[tuple[str, int]]:
+def _windows(word: Column) -> Column:
+    """All two-character windows of a coded word, overlapping."""
+    return F.regexp_extract_all(word, F.lit("(?=(..))"), F.lit(1))
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
+
+
+def _pairs_after(base: DataFrame, words: DataFrame, merged: Column) -> DataFrame:
+    """Pair counts once ``merged`` replaces the words the base counts stand for.
+
+    Only words that change are taken apart: their old pairs out, their new ones in.
+    """
+    changed = words.withColumn("m", merged).where(F.col("m") != F.col("w"))
+    moves = F.array(F.struct(F.col("w").alias("w"), (-F.col("n")).alias("n")), F.struct(F.col("m").alias("w"), F.col("n").alias("n")))
+    delta = changed.select(F.inline(moves)).select(F.explode(_windows(F.col("w"))).alias("pair"), "n")
+    return _counted(base.unionByName(_long(delta)))
+
+
+def _long(pairs: DataFrame) -> DataFrame:
+    return pairs.select("pair", F.col("n").cast("bigint").alias("n"))
+
+
+def _top(pairs: DataFrame, k: int) -> list[str]:
     """The k most frequent pairs: count first, then lower ids.  k is a constant."""
-    pairs = words.select(F.explode(adjacent(F.split("w", ""))).alias("pair"), "n")
-    top = pairs.groupBy("pair").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pair").limit(k)
-    return [(r["pair"], r["n"]) for r in top.collect()]
+    return [r["pair"] for r in pairs.orderBy(F.desc("n"), "pair").limit(k).collect()]
 
 
-def _safe_batch(ranked: list[tuple[str, int]], tokens: list[str], known: set[str], room: int) -> list[str]:
+def _safe_batch(ranked: list[str], tokens: list[str], known: set[str], room: int) -> list[str]:
     """The longest prefix of the ranking that can be merged in one pass.
 
-    Disjoint pairs keep their counts while others are merged, and a pair born
-    from a merge is at most as frequent as an older pair sharing a symbol.  So
-    the result is the same as one merge per pass, as long as every further pair
-    shares no symbol with those taken, is not tied with its neighbours, no pair
-    taken repeats one symbol, and no merge yields a token that already exists.
+    Pairs without a common symbol keep their counts while others are merged.  A
+    pair born from a merge is at most as frequent as an older pair that shares a
+    symbol and ranks lower, and its new symbol has the highest id, so it loses
+    ties too.  The batch ends at a shared symbol; after a pair of equal symbols
+    (runs overlap); and after a merge that yields a token which already exists.
     """
     taken: list[str] = []
     used: set[str] = set()
-    for i, (pair, n) in enumerate(ranked):
-        if taken:
-            tied = n == ranked[i - 1][1] or i + 1 >= len(ranked) or n == ranked[i + 1][1]
-            if tied or used & set(pair) or len(taken) >= room:
-                break
+    for pair in ranked:
+        if len(taken) >= room or used & set(pair):
+            break
         taken.append(pair)
         used |= set(pair)
         made = "".join(tokens[ord(c) - CODE_BASE] for c in pair)
@@ -107,36 +127,50 @@ def _safe_batch(ranked: list[tuple[str, int]], tokens: list[str], known: set[str
     return taken
 
 
-def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 256, cut_every: int = 12) -> Vocabulary:
+def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 64, cut_every: int = 16) -> Vocabulary:
     """Byte-pair merges over a table of distinct words (word, n).
 
-    The corpus is read once, for the word table; each pass then counts pairs
-    over distinct words and brings back ``look_ahead`` candidates.  Starts jobs.
+    The corpus is read once, for the word table.  Words and pair counts are kept
+    as of the last cut; a pass looks only at the words that the merges since then
+    change, and brings back ``look_ahead`` candidates.  Every ``cut_every``
+    passes both tables are checkpointed anew, which bounds lineage and the number
+    of pending merges.  Starts jobs.
     """
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size must be at most {MAX_VOCAB}")
     tokens = base_vocab()
     ids = {t: i for i, t in enumerate(tokens)}
     merges: list[tuple[str, str]] = []
-    current = cut_lineage(_coded(words).where(F.length("w") > 1))
-    passes = 0
+
+    def cut(df: DataFrame) -> DataFrame:
+        return cut_lineage(df).persist()
+
+    coded = cut(spread(_coded(words).where(F.length("w") > 1)))
+    base = cut(_counted(_long(coded.select(F.explode(_windows(F.col("w"))).alias("pair"), "n"))))
+    pending, passes = F.col("w"), 0
+    pairs = base
     while len(tokens) < vocab_size:
-        ranked = _ranked_pairs(current, look_ahead)
-        if not ranked:
+        batch = _safe_batch(_top(pairs, look_ahead), tokens, set(ids), vocab_size - len(tokens))
+        if not batch:
             break
-        text = F.col("w")
-        for pair in _safe_batch(ranked, tokens, set(ids), vocab_size - len(tokens)):
+        for pair in batch:
             left, right = (tokens[ord(c) - CODE_BASE] for c in pair)
             made = left + right
             if made not in ids:
                 ids[made] = len(tokens)
                 tokens.append(made)
             merges.append((left, right))
-            text = F.replace(text, F.lit(pair), F.lit(chr(CODE_BASE + ids[made])))
-        current = current.select(text.alias("w"), "n").where(F.length("w") > 1)
-        passes += 1
+            pending = F.replace(pending, F.lit(pair), F.lit(chr(CODE_BASE + ids[made])))
+        pairs, passes = _pairs_after(base, coded, pending), passes + 1
         if passes % cut_every == 0:
-            current = cut_lineage(current)
+            old = (base, coded)
+            base = pairs = cut(pairs)
+            coded = cut(coded.select(pending.alias("w"), "n").where(F.length("w") > 1))
+            pending = F.col("w")
+            for df in old:
+                df.unpersist()
+    base.unpersist()
+    coded.unpersist()
     return Vocabulary(tokens, merges)
 
 

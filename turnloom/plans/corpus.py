@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from turnloom.constants import CHAT_ROLES, TOOL_DIALOG_ROLES
 from turnloom.operators import manifest, normalize
 from turnloom.plans import tables as t
+from turnloom.session import spread
 from turnloom.plans.sqltext import strip
 from turnloom.sources import jsonl
 
@@ -100,7 +101,7 @@ ATTACH_TOOLS = f"with {t.DIALOG_SQL} select doc_id, pos, role, content, tools fr
 def _math(spark, sf_dir):
     solution = F.when(F.col("chosen_list").isNotNull(), normalize.last_assistant(F.col("chosen_list"))).otherwise(F.coalesce("chosen_text", F.lit("")))
     rows = normalize.math_rows(
-        t.spread(t.math_source(spark, sf_dir)), normalize.first_filled(F.col("question"), F.col("prompt"), F.col("instruction")), solution
+        spread(t.math_source(spark, sf_dir)), normalize.first_filled(F.col("question"), F.col("prompt"), F.col("instruction")), solution
     )
     return rows, normalize.math_reason(F.col("question"), F.col("solution"), F.col("gt"))
 

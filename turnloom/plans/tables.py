@@ -17,16 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Uses all cores when the input has fewer splits than the cluster has.
-
-    For expressions that are heavy per row.  A large input has more splits than
-    that, and then this is no shuffle at all.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
