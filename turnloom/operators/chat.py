@@ -26,24 +26,21 @@ def _assistant_piece(m: Column, calls: Column | None) -> Column:
     reasoning = F.when(has_think, F.ltrim(inside, F.lit(NL))).otherwise(F.coalesce(m["reasoning_content"], F.lit("")))
     said = F.when(has_think, F.ltrim(after_last(content, K.THINK_CLOSE), F.lit(NL))).otherwise(content)
 
-    def build(said: Column) -> Column:
-        body = F.concat(
-            F.lit(K.THINK_OPEN + NL), F.btrim(reasoning, F.lit(NL)),
-            F.lit(NL + K.THINK_CLOSE + NL + NL), F.ltrim(said, F.lit(NL)),
+    body = F.concat(
+        F.lit(K.THINK_OPEN + NL), F.btrim(reasoning, F.lit(NL)),
+        F.lit(NL + K.THINK_CLOSE + NL + NL), F.ltrim(said, F.lit(NL)),
+    )
+    if calls is not None:
+        lines = F.transform(
+            calls,
+            lambda c: F.concat(
+                F.lit(K.CALL_OPEN + NL + '{"name": "'), c["name"], F.lit('", "arguments": '), c["arguments"],
+                F.lit("}" + NL + K.CALL_CLOSE),
+            ),
         )
-        if calls is not None:
-            lines = F.transform(
-                calls,
-                lambda c: F.concat(
-                    F.lit(K.CALL_OPEN + NL + '{"name": "'), c["name"], F.lit('", "arguments": '), c["arguments"],
-                    F.lit("}" + NL + K.CALL_CLOSE),
-                ),
-            )
-            gap = F.when((said != "") & (F.size(lines) > 0), F.lit(NL)).otherwise(F.lit(""))
-            body = F.concat(body, gap, F.array_join(lines, NL))
-        return _turn(F.lit("assistant"), body)
-
-    return let(said, build)
+        gap = F.when((said != "") & (F.size(calls) > 0), F.lit(NL)).otherwise(F.lit(""))
+        body = F.concat(body, gap, F.array_join(lines, NL))
+    return _turn(F.lit("assistant"), body)
 
 
 def turn_piece(m: Column, is_first: Column, prev_role: Column, next_role: Column, calls: Column | None = None) -> Column:

@@ -71,13 +71,9 @@ def last_valid(mask: Column) -> Column:
 
 def terminal_rewards(mask: Column, reward: Column) -> Column:
     """The reward at the last valid token, 0 elsewhere."""
-    ctx = F.struct(mask.alias("mask"), last_valid(mask).alias("at"), reward.alias("r"), F.array_contains(mask, 1).alias("any"))
-    return F.transform(
-        F.array(ctx),
-        lambda z: F.transform(
-            z["mask"], lambda _m, i: F.when(z["any"] & (i == z["at"]), z["r"]).otherwise(F.lit(0.0))
-        ),
-    ).getItem(0)
+    zero, at = F.lit(0.0), last_valid(mask)
+    placed = F.concat(F.array_repeat(zero, at), F.array(reward), F.array_repeat(zero, F.size(mask) - at - 1))
+    return F.when(F.array_contains(mask, 1), placed).otherwise(F.array_repeat(zero, F.size(mask)))
 
 
 def _discounted_tail(delta: np.ndarray, c: float) -> np.ndarray:
@@ -126,22 +122,14 @@ def returns(advantages: Column, values: Column) -> Column:
 def whiten(df: DataFrame, advantages: str = "advantages", mask: str = "mask") -> DataFrame:
     """Adds ``whitened``: mean 0 and variance 1 over all masked tokens of the table.
 
-    Two scalar sums; each is a pre-aggregated single row read as a scalar
-    subquery, so no rows are moved.
+    Mean and variance are one pre-aggregated row; it comes back as two numbers.
+    Starts a job.
     """
     a, m = F.col(advantages), F.col(mask)
-    sums = df.select(total(masked(a, m)).alias("s"), total_int(F.transform(m, lambda x: x.cast("bigint"))).alias("n"))
-    mean = sums.agg((F.sum("s") / F.greatest(F.sum("n"), F.lit(1))).alias("mean")).scalar()
-    squares = df.select(
-        total(F.zip_with(a, m, lambda x, w: (x - mean) * (x - mean) * w)).alias("s"),
-        total_int(F.transform(m, lambda x: x.cast("bigint"))).alias("n"),
-    )
-    var = squares.agg((F.sum("s") / F.greatest(F.sum("n"), F.lit(1))).alias("var")).scalar()
-    scaled = df.withColumns({"_mean": mean, "_var": var})
-    return scaled.withColumn(
-        "whitened",
-        F.zip_with(a, m, lambda x, w: (x - F.col("_mean")) / F.sqrt(F.col("_var") + F.lit(1e-8)) * w),
-    ).drop("_mean", "_var")
+    tokens = df.select(F.explode(F.zip_with(a, m, lambda x, w: F.when(w > 0, x))).alias("x"))
+    stats = tokens.agg(F.avg("x").alias("mean"), F.var_pop("x").alias("var")).first()
+    mean, scale = stats["mean"] or 0.0, ((stats["var"] or 0.0) + 1e-8) ** -0.5
+    return df.withColumn("whitened", F.zip_with(a, m, lambda x, w: (x - F.lit(mean)) * F.lit(scale) * w))
 
 
 def k3(ref: Column, new: Column) -> Column:

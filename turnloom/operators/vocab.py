@@ -12,7 +12,7 @@ from turnloom import constants as K
 from turnloom.functions.arrays import drop_end, drop_start
 from turnloom.functions.bpe import base_vocab, byte_chars, byte_tokens, reserved_tokens, split_pretokens
 from turnloom.functions.text import truthy
-from turnloom.session import cut_lineage, spread
+from turnloom.session import cut_lineage, drop_scratch, spread
 
 # Inside the trainer a word is a string with one character per token: token id i
 # is chr(0x100 + i).  Merging a pair is then a plain string replace (left to
@@ -88,8 +88,9 @@ def _pairs_after(base: DataFrame, words: DataFrame, merged: Column) -> DataFrame
     """Pair counts once ``merged`` replaces the words the base counts stand for.
 
     Only words that change are taken apart: their old pairs out, their new ones in.
+    Exploding a one-item array computes the long replace chain once per word.
     """
-    changed = words.withColumn("m", merged).where(F.col("m") != F.col("w"))
+    changed = words.select("w", "n", F.explode(F.array(merged)).alias("m")).where(F.col("m") != F.col("w"))
     moves = F.array(F.struct(F.col("w").alias("w"), (-F.col("n")).alias("n")), F.struct(F.col("m").alias("w"), F.col("n").alias("n")))
     delta = changed.select(F.inline(moves)).select(F.explode(_windows(F.col("w"))).alias("pair"), "n")
     return _counted(base.unionByName(_long(delta)))
@@ -107,48 +108,56 @@ def _top(pairs: DataFrame, k: int) -> list[str]:
 def _safe_batch(ranked: list[str], tokens: list[str], known: set[str], room: int) -> list[str]:
     """The longest prefix of the ranking that can be merged in one pass.
 
-    Pairs without a common symbol keep their counts while others are merged.  A
-    pair born from a merge is at most as frequent as an older pair that shares a
-    symbol and ranks lower, and its new symbol has the highest id, so it loses
-    ties too.  The batch ends at a shared symbol; after a pair of equal symbols
-    (runs overlap); and after a merge that yields a token which already exists.
+    Two pairs touch the same place only where one ends on the symbol the other
+    begins with; all others keep their counts while one of them is merged.  A
+    pair born from a merge is at most as frequent as an older pair that touches
+    the merged one, which therefore ranks lower; and its new symbol has the
+    highest id, so it loses ties too.  The batch ends before a pair that touches
+    one taken, after a pair of equal symbols (runs overlap), and after a merge
+    that yields a token which already exists.
     """
     taken: list[str] = []
-    used: set[str] = set()
-    for pair in ranked:
-        if len(taken) >= room or used & set(pair):
+    lefts: set[str] = set()
+    rights: set[str] = set()
+    for left, right in ranked[:room]:
+        if left in rights or right in lefts:
             break
-        taken.append(pair)
-        used |= set(pair)
-        made = "".join(tokens[ord(c) - CODE_BASE] for c in pair)
-        if made in known or pair[0] == pair[1]:
+        taken.append(left + right)
+        lefts.add(left)
+        rights.add(right)
+        made = tokens[ord(left) - CODE_BASE] + tokens[ord(right) - CODE_BASE]
+        if made in known or left == right:
             break
         known = known | {made}
     return taken
 
 
-def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 64, cut_every: int = 16) -> Vocabulary:
+def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 256, cut_every: int = 24) -> Vocabulary:
     """Byte-pair merges over a table of distinct words (word, n).
 
     The corpus is read once, for the word table.  Words and pair counts are kept
     as of the last cut; a pass looks only at the words that the merges since then
-    change, and brings back ``look_ahead`` candidates.  Every ``cut_every``
-    passes both tables are checkpointed anew, which bounds lineage and the number
-    of pending merges.  Starts jobs.
+    change, and brings back ``look_ahead`` candidates.  After ``cut_every``
+    merges both tables are written anew to the shared folder, which bounds the
+    pending merges and what a lost executor has to redo.  Starts jobs.
     """
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size must be at most {MAX_VOCAB}")
+    spark = words.sparkSession
     tokens = base_vocab()
     ids = {t: i for i, t in enumerate(tokens)}
     merges: list[tuple[str, str]] = []
 
-    def cut(df: DataFrame) -> DataFrame:
-        return cut_lineage(df).persist()
+    def cut(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+        table, path = cut_lineage(df, label)
+        return spread(table).persist(), path
 
-    coded = cut(spread(_coded(words).where(F.length("w") > 1)))
-    base = cut(_counted(_long(coded.select(F.explode(_windows(F.col("w"))).alias("pair"), "n"))))
-    pending, passes = F.col("w"), 0
-    pairs = base
+    def first_pairs(words: DataFrame) -> DataFrame:
+        return _counted(_long(words.select(F.explode(_windows(F.col("w"))).alias("pair"), "n")))
+
+    now, words_path = cut(_coded(words).where(F.length("w") > 1), "words")
+    base, pairs_path = cut(first_pairs(now), "pairs")
+    pairs, merged, pending = base, F.col("w"), 0
     while len(tokens) < vocab_size:
         batch = _safe_batch(_top(pairs, look_ahead), tokens, set(ids), vocab_size - len(tokens))
         if not batch:
@@ -160,17 +169,19 @@ def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 64, cut_eve
                 ids[made] = len(tokens)
                 tokens.append(made)
             merges.append((left, right))
-            pending = F.replace(pending, F.lit(pair), F.lit(chr(CODE_BASE + ids[made])))
-        pairs, passes = _pairs_after(base, coded, pending), passes + 1
-        if passes % cut_every == 0:
-            old = (base, coded)
-            base = pairs = cut(pairs)
-            coded = cut(coded.select(pending.alias("w"), "n").where(F.length("w") > 1))
-            pending = F.col("w")
-            for df in old:
-                df.unpersist()
-    base.unpersist()
-    coded.unpersist()
+            merged = F.replace(merged, F.lit(pair), F.lit(chr(CODE_BASE + ids[made])))
+        pairs, pending = _pairs_after(base, now, merged), pending + len(batch)
+        if pending >= cut_every and len(tokens) < vocab_size:
+            old_tables, old_paths = (now, base), (words_path, pairs_path)
+            base, pairs_path = cut(pairs, "pairs")
+            now, words_path = cut(now.select(merged.alias("w"), "n").where(F.length("w") > 1), "words")
+            pairs, merged, pending = base, F.col("w"), 0
+            for table, path in zip(old_tables, old_paths):
+                table.unpersist()
+                drop_scratch(spark, path)
+    for table, path in ((now, words_path), (base, pairs_path)):
+        table.unpersist()
+        drop_scratch(spark, path)
     return Vocabulary(tokens, merges)
 
 

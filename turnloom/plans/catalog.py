@@ -1,6 +1,6 @@
 """All registered queries: name -> (Spark query, check SQL or None)."""
 
-from turnloom.plans import chats, corpus, manifests, rollouts, scores, tools, vocabulary
+from turnloom.plans import chats, corpus, manifests, rollouts, scores, streams, tools, vocabulary
 
-MODULES = (corpus, manifests, chats, tools, scores, vocabulary, rollouts)
+MODULES = (corpus, manifests, chats, tools, scores, vocabulary, rollouts, streams)
 QUERIES = {name: pair for module in MODULES for name, pair in module.QUERIES.items()}

@@ -268,8 +268,8 @@ checked as (
 def chunks(spark, sf_dir, size: int = 64) -> DataFrame:
     """Documents as a stream of text pieces with event times.
 
-    Every other document has a think close tag put into it, so that both the
-    reasoning and the content side have text.
+    Every other document has a think close tag put into it, and every third ends
+    on a tool call, so that all sides of a response have text.
     """
     text = marked_text()
     last = F.floor((F.length("text") - 1) / F.lit(size)).cast("int")
@@ -290,9 +290,12 @@ def chunks(spark, sf_dir, size: int = 64) -> DataFrame:
 def marked_text() -> Column:
     text = F.col("text")
     cut = F.concat(F.substring(text, 1, 100), F.lit("</think>\n\n"), F.substring(text, F.lit(101), F.length(text)))
-    return F.when(F.pmod("doc_id", F.lit(2)) == 0, cut).otherwise(text)
+    marked = F.when(F.pmod("doc_id", F.lit(2)) == 0, cut).otherwise(text)
+    call = F.lit('<tool_call>{"name": "get_current_time"}</tool_call>')
+    return F.when(F.pmod("doc_id", F.lit(3)) == 0, F.concat(marked, call)).otherwise(marked)
 
 
 MARKED_SQL = """marked as (
-  select doc_id, case when doc_id % 2 = 0 then substr(text, 1, 100) || '</think>' || chr(10) || chr(10) || substr(text, 101) else text end as text
+  select doc_id, case when doc_id % 2 = 0 then substr(text, 1, 100) || '</think>' || chr(10) || chr(10) || substr(text, 101) else text end ||
+    case when doc_id % 3 = 0 then '<tool_call>{"name": "get_current_time"}</tool_call>' else '' end as text
   from documents)"""

@@ -50,10 +50,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "cut") -> tuple[DataFrame, str]:
+    """Writes a table to the shared folder and reads it back: (table, its path).
+
+    The result survives the loss of any executor, is computed once, and has no
+    history.  ``drop_scratch`` frees it.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a table that ``cut_lineage`` wrote."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
