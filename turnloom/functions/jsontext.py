@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _STR, _STRS = T.StringType(), T.ArrayType(T.StringType())
-CALLS = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("pos", T.IntegerType()), T.StructField("status", _STR), T.StructField("name", _STR),
-            T.StructField("arguments", _STR), T.StructField("present", _STRS), T.StructField("truthy", _STRS),
-        ]
-    )
+CALL = T.StructType(
+    [
+        T.StructField("status", _STR), T.StructField("name", _STR), T.StructField("arguments", _STR),
+        T.StructField("present", _STRS), T.StructField("truthy", _STRS),
+    ]
 )
+CALLS = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), *CALL.fields]))
 LISTED_CALLS = T.ArrayType(T.StructType([T.StructField("name", _STR), T.StructField("arguments", _STR)]))
 LINE = T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("text", _STR)])
 
@@ -39,31 +38,36 @@ def _load(text):
         return False, None
 
 
-def _call(pos: int, body: str) -> dict:
+def _call(body: str) -> tuple:
+    """Status, name, printed arguments, and which of their keys are set and non-empty."""
     ok, value = _load(body.strip())
-    out = {"pos": pos, "status": "object", "name": None, "arguments": None, "present": [], "truthy": []}
     if not ok or not isinstance(value, dict):
-        return {**out, "status": "other_json" if ok else "invalid"}
+        return "other_json" if ok else "invalid", None, None, [], []
     name, args = value.get("name", ""), value.get("arguments", {})
     if isinstance(args, str):
         ok, args = _load(args)
         args = args if ok else {}
     keys = args if isinstance(args, dict) else {}
-    out.update(
-        name=name if isinstance(name, str) else _dump(name),
-        arguments=_dump(args),
-        present=[k for k, v in keys.items() if v is not None],
-        truthy=[k for k, v in keys.items() if v],
+    return (
+        "object" if isinstance(args, dict) else "bad_arguments",
+        name if isinstance(name, str) else _dump(name),
+        _dump(args),
+        [k for k, v in keys.items() if v is not None],
+        [k for k, v in keys.items() if v],
     )
-    if not isinstance(args, dict):
-        out["status"] = "bad_arguments"
-    return out
+
+
+@F.pandas_udf(CALL)
+def read_call(body: pd.Series) -> pd.DataFrame:
+    """The body of one tool-call tag -> a parsed call."""
+    return pd.DataFrame([_call(b) for b in body], columns=CALL.fieldNames())
 
 
 @F.pandas_udf(CALLS)
 def read_calls(bodies: pd.Series) -> pd.Series:
-    """Bodies of tool-call tags -> parsed calls, in order, one per body."""
-    return bodies.map(lambda found: [_call(i, b) for i, b in enumerate(found)] if found is not None else [])
+    """Bodies of a row's tool-call tags -> parsed calls, in order, one per body."""
+    names = CALL.fieldNames()
+    return bodies.map(lambda found: [] if found is None else [{"pos": i, **dict(zip(names, _call(b)))} for i, b in enumerate(found)])
 
 
 @F.pandas_udf(_STRS)

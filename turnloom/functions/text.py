@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.constants import ANSWER_PATTERN
@@ -24,8 +24,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once per row, however often it is used.
+
+    A filter on a projected column is pushed below the projection and would
+    compute the value a second time; a generated column it cannot pass.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def py_strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WS_CHARS))
+    """str.strip().  Most texts have clean ends, and then nothing is scanned."""
+    edges = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))
+    clean = F.translate(edges, WS_CHARS, "") == edges
+    return F.when(clean, c).otherwise(F.btrim(c, F.lit(WS_CHARS)))
 
 
 def truthy(c: Column) -> Column:

@@ -72,6 +72,8 @@ def sample_n(df: DataFrame, row_id: str, n: int = 10000, seed: int = 42, digits:
     Buckets wholly inside the sample are kept as they stream by; only the one
     bucket the cut falls into (1/65,536 of the rows) is ranked.
     """
+    if n <= 0:
+        return df.where(F.lit(False))
     keyed = df.withColumn("order_key", draw_key(seed, 0, F.col(row_id)))
     slim = keyed.select("order_key", row_id)
     offsets = _bucket_offsets(slim, digits)

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.constants import CHAT_ROLES, TOOL_DIALOG_ROLES
-from turnloom.functions.text import last_number, py_strip, truthy
+from turnloom.functions.text import last_number, once, py_strip, truthy
 from turnloom.schemas import MSG_DDL, MSG_FIELDS
 
 
 def clean_text(df: DataFrame, col: str = "text") -> DataFrame:
     """Strip the text and drop rows that are then empty."""
-    return df.withColumn(col, py_strip(F.coalesce(F.col(col), F.lit("")))).where(F.col(col) != "")
+    return once(df, "_clean", py_strip(F.coalesce(F.col(col), F.lit("")))).where(F.col("_clean") != "").withColumn(col, F.col("_clean")).drop("_clean")
 
 
 def concat_sources(*named: tuple[str, DataFrame]) -> DataFrame:
@@ -78,7 +78,7 @@ def chat_shapes() -> list[Column]:
 
 def unify_chat(df: DataFrame, shapes: Sequence[Column] | None = None, out: str = "conversation") -> DataFrame:
     """Adds the message list; null where no shape fits (the caller splits rejects)."""
-    return df.withColumn(out, F.coalesce(*(shapes or chat_shapes())))
+    return once(df, out, F.coalesce(*(shapes or chat_shapes())))
 
 
 def unify_tool_dialog(df: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def unify_tool_dialog(df: DataFrame) -> DataFrame:
     chosen = F.lit(None).cast("string")
     for fits, value in reversed(tools):
         chosen = F.when(fits, value).otherwise(chosen)
-    return df.withColumn("conversation", F.coalesce(*shapes)).withColumn("dialog_tools", chosen)
+    return once(df.withColumn("dialog_tools", chosen), "conversation", F.coalesce(*shapes))
 
 
 def attach_tools(conversation: Column, tools: Column) -> Column:
@@ -158,7 +158,7 @@ def math_reason(question: Column, solution: Column, answer: Column) -> Column:
 
 def math_rows(df: DataFrame, question: Column, solution: Column) -> DataFrame:
     """Adds question, solution and the number the solution ends on."""
-    return df.withColumns({"question": question, "solution": solution}).withColumn("gt", last_number(F.col("solution")))
+    return once(df.withColumns({"question": question, "solution": solution}), "gt", last_number(F.col("solution")))
 
 
 def listed_gt(gt: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom import constants as K
-from turnloom.functions.jsontext import read_calls
+from turnloom.functions.jsontext import read_call, read_calls
 from turnloom.functions.text import split_words
 from turnloom.operators.chat import call_bodies
 
@@ -75,8 +75,8 @@ def select_tools(names: DataFrame, tools: DataFrame) -> DataFrame:
 
 def explode_calls(df: DataFrame, text: Column) -> DataFrame:
     """One row per tool-call tag: pos, status, name, arguments, argument keys."""
-    parsed = df.withColumn("_calls", read_calls(call_bodies(text)))
-    return parsed.withColumn("call", F.explode("_calls")).drop("_calls").select("*", "call.*").drop("call")
+    bodies = df.select("*", F.posexplode(call_bodies(text)).alias("pos", "_body"))
+    return bodies.withColumn("_call", read_call(F.col("_body"))).select("*", "_call.*").drop("_body", "_call")
 
 
 def kept_calls(calls: Column) -> Column:

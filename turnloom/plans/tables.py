@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from turnloom.operators.normalize import message
 from turnloom.schemas import LOOSE_MSG
+from turnloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,7 +82,7 @@ def mixed_rows(spark, sf_dir) -> DataFrame:
     tagged = F.array(loose(**{"from": asker, "value": F.concat(head, extra)}), loose(**{"from": F.lit("gpt"), "value": tail}))
     plain = F.array(loose(role=F.lit("user"), content=F.concat(head, extra)), loose(role=F.lit("assistant"), content=tail))
     return (
-        documents(spark, sf_dir)
+        spread(documents(spark, sf_dir))
         .select("doc_id", "source", "lang", *[c.alias(n) for n, c in _text_parts().items()])
         .select(
             "doc_id", "source", "lang",
@@ -116,7 +117,7 @@ def dialog_rows(spark, sf_dir) -> DataFrame:
     plain = F.array(loose(role=F.lit("user"), content=F.concat(head, extra)), loose(role=F.lit("assistant"), content=tail))
     listed = F.concat(F.lit('[{"name": "'), F.col("source"), F.lit('"}]'))
     return (
-        documents(spark, sf_dir)
+        spread(documents(spark, sf_dir))
         .select("doc_id", "source", "lang", *[c.alias(n) for n, c in _text_parts().items()])
         .select(
             "doc_id",
@@ -234,7 +235,7 @@ def call_texts(spark, sf_dir) -> DataFrame:
     body = F.when(what == "view", unit).when(what == "click", rate).when(what == "purchase", weather).when(what == "signup", time).otherwise(broken)
     wrap = lambda b: F.concat(F.lit("<tool_call>\n"), b, F.lit("\n</tool_call>"))
     second = F.when(F.pmod("event_id", F.lit(3)) == 0, wrap(time)).otherwise(F.lit(""))
-    return events(spark, sf_dir).select("event_id", F.col("user_id").alias("sample_id"), "event_type", F.concat(F.col("props"), wrap(body), second).alias("response"))
+    return spread(events(spark, sf_dir)).select("event_id", F.col("user_id").alias("sample_id"), "event_type", F.concat(F.col("props"), wrap(body), second).alias("response"))
 
 
 CALLS_SQL = r"""bodies as (
@@ -274,7 +275,7 @@ def chunks(spark, sf_dir, size: int = 64) -> DataFrame:
     text = marked_text()
     last = F.floor((F.length("text") - 1) / F.lit(size)).cast("int")
     return (
-        documents(spark, sf_dir)
+        spread(documents(spark, sf_dir))
         .select("doc_id", text.alias("text"))
         .where(F.length("text") > 0)
         .select("doc_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("seq"), last.alias("last"))

@@ -125,7 +125,9 @@ def stream_deltas(chunks: DataFrame, idle: str = "10 minutes", idle_ms: int = 60
             state.remove()
             yield frame(response.finish(response.s["next"], "timeout"))
             return
+        last = state.getCurrentWatermarkMs()
         for batch in frames:
+            last = max(last, int(batch["ts"].max().timestamp() * 1000))
             batch = batch.sort_values("seq")
             rows = [r for seq, text, done in zip(batch["seq"], batch["chunk"], batch["done"]) for r in response.add(int(seq), text, bool(done))]
             if rows:
@@ -135,7 +137,7 @@ def stream_deltas(chunks: DataFrame, idle: str = "10 minutes", idle_ms: int = 60
                 state.remove()
         else:
             state.update((response.save(),))
-            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + idle_ms)
+            state.setTimeoutTimestamp(last + idle_ms)
 
     return (
         chunks.withWatermark("ts", idle)
