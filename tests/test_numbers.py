@@ -112,7 +112,7 @@ def test_agent_rewards(spark):
     got = [r["reward"] for r in rewards.agent_rewards(df.where("names is not null"), F.col("names")).collect()]
     assert got == [3.0, -0.5 * 2 + 2.5]
     got = [r["reward"] for r in rewards.agent_rewards(df.where("names is null")).collect()]
-    assert np.allclose(got, [0.5 - 0.5 - penalty(call), 3.0, 0.5, -3.0])
+    assert np.allclose(got, [0.5 - 0.5 - penalty(call), 3.0, 0.5, -3.0]), got
 
 
 def test_basic_reward(spark):

@@ -53,7 +53,7 @@ def test_stream_in_small_batches_out_of_order(spark, tmp_path):
     got = {r["response_id"]: r for r in assemble.delta_parts(deltas).collect()}
     for i, text in enumerate(TEXTS):
         assert (got[i]["reasoning"], got[i]["content"]) == split(text)
-    assert [got[i]["n_calls"] for i in range(len(TEXTS))] == [0, 0, 0, 0, 0, 2, 1, 0, 0, 0, 0]
+    assert [got[i]["n_calls"] for i in range(len(TEXTS))] == [0, 0, 0, 0, 0, 2, 1, 0, 0, 0, 1]
     assert got[5]["finish_reason"] == "tool_calls" and got[0]["finish_reason"] == "stop"
 
 

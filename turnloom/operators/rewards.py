@@ -14,7 +14,8 @@ from turnloom.operators.toolcalls import kept_calls
 
 
 def clamp(score: Column, bound: float = 3.0) -> Column:
-    return F.greatest(F.lit(-bound), F.least(F.lit(bound), score))
+    """Within [-bound, bound]; a missing score stays missing."""
+    return F.when(score.isNotNull(), F.greatest(F.lit(-bound), F.least(F.lit(bound), score)))
 
 
 def has_close(text: Column) -> Column:
