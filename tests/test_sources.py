@@ -29,12 +29,13 @@ def test_strict_reader_fails_on_a_bad_line(spark, tmp_path):
 def test_corpus_reader(spark, tmp_path):
     lines = [
         '{"text": "a"}', "{bad}", '{"conversations": [{"content": "x"}, {"content": ""}, {"content": "y"}], "text": "no"}', '{"text": ""}',
-        '{"conversations": []}', '{"text": 5}', '{"text": "t"} tail', '{"other": 1}',
+        '{"conversations": []}', '{"text": 5}', '{"text": "t"} tail', '{"other": 1}', "{'text': 'q'}", '{"text": "a"}] x [{"b": 1}', '{"text": "a"}, {"text": "b"}',
+        '{"text": "a"}} x {"v": 1', '{"text": "nan", "x": NaN}', '{"text": "dup", "text": "last"}', "", "[]", '{"text": "cut',
     ]
     f = tmp_path / "c.jsonl"
     f.write_bytes("\n".join(lines).encode() + b'\n{"text": "b\xffc"}\n')
     got = [r["text"] for r in jsonl.read_corpus(spark, str(f)).orderBy("ord").collect()]
-    assert got == ["a", "x\ny", "5", "bc"]
+    assert got == ["a", "x\ny", "5", "nan", "last", "bc"]
     assert [r["text"] for r in jsonl.read_corpus(spark, str(f), 2).collect()] == ["a"]
 
 

@@ -58,8 +58,8 @@ def test_stream_in_small_batches_out_of_order(spark, tmp_path):
 
 
 def test_batch_twin_in_small_parts(spark):
-    for seed, part in ((2, 8), (3, 9), (4, 1024)):
-        out = assemble.response_parts(frame(spark, pieces(seed)), part).orderBy("response_id", "part").collect()
+    for seed, part, hot in ((2, 8, 2), (3, 9, 100), (4, 1024, 1)):
+        out = assemble.response_parts(frame(spark, pieces(seed)), part, hot).orderBy("response_id", "part").collect()
         got = {}
         for r in out:
             a, b = got.get(r["response_id"], ("", ""))
@@ -83,5 +83,7 @@ def test_call_deltas_in_small_parts(spark):
     rows = [(1, k, k % 2, "id" if k < 2 else None, "n" if k in (2, 3) else None, str(k)) for k in range(40)]
     df = spark.createDataFrame(rows, "response_id int, seq int, call_index int, id string, name string, arguments string").repartition(3)
     for part in (3, 1024):
-        got = {r["call_index"]: (r["id"], r["name"], r["arguments"]) for r in toolcalls.merge_call_deltas(df, part).collect()}
+        got = {0: ("", "", ""), 1: ("", "", "")}
+        for r in toolcalls.merge_call_deltas(df, part).orderBy("part").collect():
+            got[r["call_index"]] = tuple(a + b for a, b in zip(got[r["call_index"]], (r["id"], r["name"], r["arguments"])))
         assert got == {i: ("id", "n", "".join(str(k) for k in range(i, 40, 2))) for i in (0, 1)}

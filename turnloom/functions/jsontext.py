@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +24,6 @@ CALL = T.StructType(
 )
 CALLS = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), *CALL.fields]))
 LISTED_CALLS = T.ArrayType(T.StructType([T.StructField("name", _STR), T.StructField("arguments", _STR)]))
-LINE = T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("text", _STR)])
 
 
 def _dump(value) -> str:
@@ -101,18 +101,14 @@ def call_items(text: pd.Series) -> pd.Series:
     return text.map(items)
 
 
-@F.pandas_udf(LINE)
-def corpus_line(line: pd.Series) -> pd.DataFrame:
-    """A raw corpus line -> whether it is JSON, and the text it contributes."""
+def strict_object(line: Column, ddl: str) -> Column:
+    """A line that is exactly one JSON object, else null; stays in the JVM.
 
-    def read(raw):
-        ok, value = _load(raw)
-        if not ok or not isinstance(value, dict):
-            return ok, None
-        if "conversations" in value:
-            said = [m.get("content") for m in value["conversations"] or [] if isinstance(m, dict)]
-            return True, "\n".join(str(c) for c in said if c) or None
-        return True, str(value["text"]) if value.get("text") else None
-
-    rows = [read(raw) for raw in line]
-    return pd.DataFrame({"ok": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    Spark's parser stops at the end of the first value.  Inside a list and as a
+    member of an object, text after the value is an error in at least one of the
+    two, and a second value shows in the length of the list.
+    """
+    options = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
+    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<{ddl}>", options)
+    member = F.from_json(F.concat(F.lit('{"v":'), line, F.lit("}")), "struct<v:string,_bad:string>", options)
+    return F.when((F.size(listed) == 1) & member["_bad"].isNull() & member["v"].isNotNull(), F.get(listed, F.lit(0)))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from turnloom import constants as K
 from turnloom.functions.arrays import masked, total, total_int
+from turnloom.functions.joins import with_key_stats
 
 DOUBLES = T.ArrayType(T.DoubleType())
 
@@ -29,20 +30,11 @@ def group_stats(rewards: DataFrame, group: str = "prompt_id") -> DataFrame:
 def group_advantages(rewards: DataFrame, group: str = "prompt_id", hot_rows: int = 1_000_000) -> DataFrame:
     """Adds (reward - group mean) / (group std + 1e-4).
 
-    A window over the prompt would put a hot prompt into one task, so the
-    statistics are aggregated and joined back.  Prompts with at least
-    ``hot_rows`` rows - never more than total/hot_rows of them - are broadcast,
-    so their rows stay where they are; the others join by shuffle, where no key
-    is larger than that.
+    A window over the prompt would put a hot prompt into one task; here its
+    statistics are aggregated and joined back.
     """
     stats = group_stats(rewards, group)
-    hot = stats.where(F.col("group_n") >= hot_rows)
-    cold = stats.where(F.col("group_n") < hot_rows)
-    fields = ["group_n", "group_mean", "group_std"]
-    marked = rewards.join(F.broadcast(hot), group, "left")
-    on_hot = marked.where(F.col("group_n").isNotNull())
-    on_cold = marked.where(F.col("group_n").isNull()).drop(*fields).join(cold, group)
-    return on_hot.unionByName(on_cold).withColumn(
+    return with_key_stats(rewards, stats, group, "group_n", hot_rows).withColumn(
         "advantage", (F.col("reward") - F.col("group_mean")) / (F.col("group_std") + F.lit(1e-4))
     )
 

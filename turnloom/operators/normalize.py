@@ -56,29 +56,35 @@ def _tagged(roles: dict[str, str]):
     return lambda m: message(map_role(m["from"], roles), F.coalesce(m["value"], F.lit("")))
 
 
-def chat_shapes() -> list[Column]:
-    """Row shapes in the order they are tried.  A user may extend the list."""
+Shape = tuple[Column, Column]
+
+
+def chat_shapes() -> list[Shape]:
+    """(test, message list) per row shape, in the order tried.  A user may extend it."""
     conv, msgs = F.col("conversations"), F.col("messages")
     first = F.get(conv, F.lit(0))
     instruction, output, extra = (truthy(F.col(c)) for c in ("instruction", "output", "input"))
     asked = F.when(extra.isNull(), instruction).otherwise(F.concat(instruction, F.lit("\n\n"), extra))
+    spoken = F.transform(msgs, lambda m: message(F.coalesce(m["role"], F.lit("user")), F.coalesce(m["content"], F.lit(""))))
     return [
-        F.when(first["role"].isNotNull() & first["content"].isNotNull(), F.transform(conv, _plain)),
-        F.when(first["from"].isNotNull(), F.transform(conv, _tagged(CHAT_ROLES))),
-        F.when(
-            F.size(msgs) > 0,
-            F.transform(msgs, lambda m: message(F.coalesce(m["role"], F.lit("user")), F.coalesce(m["content"], F.lit("")))),
-        ),
-        F.when(
-            instruction.isNotNull() & output.isNotNull(),
-            F.array(message(F.lit("user"), asked), message(F.lit("assistant"), output)),
-        ),
+        (first["role"].isNotNull() & first["content"].isNotNull(), F.transform(conv, _plain)),
+        (first["from"].isNotNull(), F.transform(conv, _tagged(CHAT_ROLES))),
+        (F.coalesce(F.size(msgs) > 0, F.lit(False)), spoken),
+        (instruction.isNotNull() & output.isNotNull(), F.array(message(F.lit("user"), asked), message(F.lit("assistant"), output))),
     ]
 
 
-def unify_chat(df: DataFrame, shapes: Sequence[Column] | None = None, out: str = "conversation") -> DataFrame:
+def no_shape(shapes: Sequence[Shape] | None = None) -> Column:
+    """Reject reason of rows that fit no shape; reads no message texts."""
+    fits = F.lit(False)
+    for test, _build in shapes or chat_shapes():
+        fits = fits | F.coalesce(test, F.lit(False))
+    return F.when(~fits, "no_shape")
+
+
+def unify_chat(df: DataFrame, shapes: Sequence[Shape] | None = None, out: str = "conversation") -> DataFrame:
     """Adds the message list; null where no shape fits (the caller splits rejects)."""
-    return once(df, out, F.coalesce(*(shapes or chat_shapes())))
+    return once(df, out, F.coalesce(*[F.when(test, build) for test, build in shapes or chat_shapes()]))
 
 
 def unify_tool_dialog(df: DataFrame) -> DataFrame:

@@ -187,21 +187,18 @@ def call_report(checked: DataFrame, by: list[str]) -> DataFrame:
 
 
 def merge_call_deltas(deltas: DataFrame, part_deltas: int = 1024) -> DataFrame:
-    """Streamed pieces of tool calls -> one call per (response, index).
+    """Streamed pieces of tool calls, joined in order per (response, index).
 
     Rows: response_id, seq, call_index, id, name, arguments (pieces, may be null).
-    Pieces are joined in two steps, first inside runs of ``part_deltas`` sequence
-    numbers, so the shuffle carries joined text and not single pieces.
+    A call streamed in ordinary length gives one row, part 0; a longer one gives
+    a row per ``part_deltas`` sequence numbers, so no group grows with the data.
     """
     fields = ["id", "name", "arguments"]
-    key = ["response_id", "call_index"]
+    part = F.floor(F.col("seq") / F.lit(part_deltas)).cast("bigint").alias("part")
+    ordered = F.array_sort(F.collect_list(F.struct("seq", *[F.coalesce(f, F.lit("")).alias(f) for f in fields])))
 
     def joined(field: str) -> Column:
         return F.array_join(F.transform("o", lambda s: s[field]), "").alias(field)
 
-    def join_ordered(df: DataFrame, by: list[str], order: str) -> DataFrame:
-        ordered = F.array_sort(F.collect_list(F.struct(order, *[F.coalesce(f, F.lit("")).alias(f) for f in fields])))
-        return df.groupBy(*by).agg(ordered.alias("o")).select(*by, *[joined(f) for f in fields])
-
-    parts = join_ordered(deltas.withColumn("part", F.floor(F.col("seq") / F.lit(part_deltas))), [*key, "part"], "seq")
-    return join_ordered(parts, key, "part")
+    grouped = deltas.groupBy("response_id", "call_index", part).agg(ordered.alias("o"))
+    return grouped.select("response_id", "call_index", "part", *[joined(f) for f in fields])

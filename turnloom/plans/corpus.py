@@ -38,16 +38,15 @@ def _flat(df, *extra):
 
 
 def normalize_mixed(spark, sf_dir):
-    kept, _ = normalize.split_rejects(normalize.unify_chat(t.mixed_rows(spark, sf_dir)), F.when(F.col("conversation").isNull(), "no_shape"))
-    return _flat(kept)
+    kept, _ = normalize.split_rejects(t.mixed_rows(spark, sf_dir), normalize.no_shape())
+    return _flat(normalize.unify_chat(kept))
 
 
 NORMALIZE_MIXED = f"with {t.MIXED_SQL} select doc_id, pos, role, content from mixed"
 
 
 def accept_report(spark, sf_dir):
-    rows = normalize.unify_chat(t.mixed_rows(spark, sf_dir))
-    return normalize.accept_report(rows, F.when(F.col("conversation").isNull(), "no_shape"))
+    return normalize.accept_report(t.mixed_rows(spark, sf_dir), normalize.no_shape())
 
 
 ACCEPT_REPORT = f"""with {t.MIXED_SQL}, ok as (select distinct doc_id from mixed)
@@ -126,8 +125,8 @@ REJECT_REPORT = f"""with {t.MATH_SQL} select source, case when question = '' the
 
 def limit_accepted(spark, sf_dir):
     """The first 100 rows that unify, in id order."""
-    rows = normalize.unify_chat(t.mixed_rows(spark, sf_dir))
-    return _flat(manifest.first_accepted(rows, F.col("conversation").isNotNull(), F.col("doc_id"), 100))
+    rows = manifest.first_accepted(t.mixed_rows(spark, sf_dir), normalize.no_shape().isNull(), F.col("doc_id"), 100)
+    return _flat(normalize.unify_chat(rows))
 
 
 LIMIT_ACCEPTED = f"""with {t.MIXED_SQL}, ids as (select distinct doc_id from mixed order by doc_id limit 100)
@@ -136,8 +135,8 @@ select doc_id, pos, role, content from mixed where doc_id in (select doc_id from
 
 def limit_read(spark, sf_dir):
     """What unifies among the first 100 rows, in id order."""
-    rows = normalize.unify_chat(t.mixed_rows(spark, sf_dir))
-    return _flat(manifest.first_read(rows, F.col("conversation").isNotNull(), F.col("doc_id"), 100))
+    rows = manifest.first_read(t.mixed_rows(spark, sf_dir), normalize.no_shape().isNull(), F.col("doc_id"), 100)
+    return _flat(normalize.unify_chat(rows))
 
 
 LIMIT_READ = f"""with {t.MIXED_SQL}, ids as (select doc_id from documents order by doc_id limit 100)

@@ -8,6 +8,7 @@ from turnloom import constants as K
 from turnloom.functions.text import py_strip
 from turnloom.operators import toolcalls
 from turnloom.plans import tables as t
+from turnloom.session import spread
 from turnloom.plans.sqltext import WS, quoted, strip
 
 
@@ -208,26 +209,23 @@ TEXT_LENGTH = f"select doc_id, length(text) as characters, len(regexp_extract_al
 
 def call_deltas(spark, sf_dir):
     """Streamed call pieces: an id, a name in two pieces, then the words of the arguments."""
-    rows = t.documents(spark, sf_dir).select(F.col("doc_id").alias("response_id"), "source", py_strip(F.col("text")).alias("text"))
-    call = (F.col("response_id") % 3).cast("int")
-    opening = rows.select(
-        "response_id", call.alias("call_index"),
-        F.posexplode(
-            F.array(
-                F.struct(F.concat(F.lit("call_"), F.col("response_id").cast("string")).alias("id"), F.lit("unit_").alias("name")),
-                F.struct(F.lit(None).cast("string").alias("id"), F.lit("converter").alias("name")),
-            )
-        ).alias("seq", "p"),
-    ).select("response_id", "call_index", "seq", "p.id", "p.name", F.lit(None).cast("string").alias("arguments"))
-    pieces = rows.select("response_id", call.alias("call_index"), F.posexplode(F.split("text", " ")).alias("seq", "arguments")).select(
-        "response_id", "call_index", (F.col("seq") + 2).alias("seq"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"), "arguments"
-    )
-    merged = toolcalls.merge_call_deltas(opening.unionByName(pieces))
-    return merged.select("response_id", "call_index", "id", "name", "arguments")
+    rows = spread(t.documents(spark, sf_dir)).select(F.col("doc_id").alias("response_id"), py_strip(F.col("text")).alias("text"))
+    none = F.lit(None).cast("string")
+
+    def piece(id_=none, name=none, arguments=none):
+        return F.struct(id_.alias("id"), name.alias("name"), arguments.alias("arguments"))
+
+    opening = F.array(piece(id_=F.concat(F.lit("call_"), F.col("response_id").cast("string")), name=F.lit("unit_")), piece(name=F.lit("converter")))
+    words = F.transform(F.split("text", " "), lambda w: piece(arguments=w))
+    deltas = rows.select("response_id", (F.col("response_id") % 3).cast("int").alias("call_index"), F.posexplode(F.concat(opening, words)).alias("seq", "p"))
+    return toolcalls.merge_call_deltas(deltas.select("response_id", "call_index", "seq", "p.*"))
 
 
-CALL_DELTAS = f"""select doc_id as response_id, cast(doc_id % 3 as integer) as call_index, 'call_' || doc_id as id, 'unit_converter' as name,
-  replace({strip('text')}, ' ', '') as arguments from documents"""
+# Parts hold 1024 pieces: the first two are the id and the name.
+CALL_DELTAS = f"""with w as (select doc_id, string_split({strip('text')}, ' ') as l from documents),
+p as (select *, unnest(range(0, (len(l) + 2 + 1023) // 1024)) as part from w)
+select doc_id as response_id, cast(doc_id % 3 as integer) as call_index, part, case when part = 0 then 'call_' || doc_id else '' end as id,
+  case when part = 0 then 'unit_converter' else '' end as name, array_to_string(l[greatest(part * 1024 - 1, 1) : part * 1024 + 1022], '') as arguments from p"""
 
 QUERIES = {
     "call_parse": (call_parse, CALL_PARSE),

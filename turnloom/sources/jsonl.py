@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom import constants as K
-from turnloom.functions.jsontext import corpus_line
-from turnloom.functions.text import py_strip
+from turnloom.functions.jsontext import strict_object
+from turnloom.functions.text import once, py_strip
 from turnloom.operators.manifest import first_n
-from turnloom.schemas import CHAT_ROW, PAIR_ROW, RL_ROW, TEXT_ROW
+from turnloom.operators.vocab import corpus_text
+from turnloom.schemas import CHAT_ROW, CORPUS_ROW, PAIR_ROW, RL_ROW, TEXT_ROW
 
 
 def _json(spark: SparkSession, path, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
@@ -70,10 +71,11 @@ def read_corpus(spark: SparkSession, path, sample_limit: int = 0) -> DataFrame:
 
     Malformed UTF-8 bytes are dropped, as a reader that ignores errors does.
     """
-    lines = read_lines(spark, path, sample_limit)
-    clean = F.replace(F.make_valid_utf8("value"), F.lit("�"), F.lit("")) if hasattr(F, "make_valid_utf8") else F.col("value")
-    value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(clean)
-    return lines.select("ord", corpus_line(value).alias("r")).where(F.col("r.text").isNotNull()).select("ord", F.col("r.text").alias("text"))
+    fixed = F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit(""))
+    value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(fixed)
+    lines = read_lines(spark, path, sample_limit).select("ord", strict_object(value, CORPUS_ROW.simpleString()).alias("r"))
+    texts = once(lines, "text", corpus_text(F.col("r.conversations"), F.col("r.text")))
+    return texts.where(F.col("text").isNotNull()).select("ord", "text")
 
 
 def write_jsonl(df: DataFrame, path: str, force: bool = False) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.constants import CALL_CLOSE, CALL_OPEN, THINK_CLOSE
+from turnloom.functions.joins import with_key_stats
 from turnloom.functions.text import let
 
 PART_CHUNKS = 1024
@@ -170,7 +171,7 @@ def delta_parts(deltas: DataFrame) -> DataFrame:
     )
 
 
-def response_parts(chunks: DataFrame, part_chunks: int = PART_CHUNKS) -> DataFrame:
+def response_parts(chunks: DataFrame, part_chunks: int = PART_CHUNKS, hot_parts: int = 100_000) -> DataFrame:
     """The same texts from a finished table of pieces.
 
     Pieces are joined in parts of bounded size, so a response that holds much of
@@ -196,9 +197,8 @@ def response_parts(chunks: DataFrame, part_chunks: int = PART_CHUNKS) -> DataFra
     texts = texts.where(F.col("text") != "").withColumn(
         "at", F.instr(F.concat("text", F.substring("border", 1, ahead)), THINK_CLOSE)
     )
-    closers = (
-        texts.where(F.col("at") > 0).groupBy("response_id")
-        .agg(F.min(F.struct("part", "at", F.length("text").alias("len"))).alias("c"))
+    closers = texts.groupBy("response_id").agg(
+        F.min(F.when(F.col("at") > 0, F.struct("part", "at", F.length("text").alias("len")))).alias("c"), F.count("*").alias("n_parts")
     )
     # Characters of the part that belong to the tag or lie before it.
     used = (
@@ -216,4 +216,5 @@ def response_parts(chunks: DataFrame, part_chunks: int = PART_CHUNKS) -> DataFra
         F.struct(F.substring(F.col("text"), used + 1, F.length("text")).alias("t"), F.coalesce(ends_here | ends_next, F.lit(False)).alias("trim")),
         lambda z: F.when(z["trim"], F.ltrim(z["t"], F.lit("\n"))).otherwise(z["t"]),
     )
-    return texts.join(closers, "response_id", "left").select("response_id", "part", thought.alias("reasoning"), said.alias("content"))
+    placed = with_key_stats(texts, closers, "response_id", "n_parts", hot_parts)
+    return placed.select("response_id", "part", thought.alias("reasoning"), said.alias("content"))
