@@ -84,11 +84,20 @@ def _counted(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
 
 
+def _merged(pending: list[tuple[str, str]]) -> Column:
+    """Words after the pending merges, in order.
+
+    A fold over a constant list: the compiled code is the same in every pass.
+    """
+    steps = F.split(F.lit(" ".join(pair + token for pair, token in pending)), " ")
+    return F.aggregate(steps, F.col("w"), lambda word, s: F.replace(word, F.substring(s, 1, 2), F.substring(s, 3, 1)))
+
+
 def _pairs_after(base: DataFrame, words: DataFrame, merged: Column) -> DataFrame:
     """Pair counts once ``merged`` replaces the words the base counts stand for.
 
     Only words that change are taken apart: their old pairs out, their new ones in.
-    Exploding a one-item array computes the long replace chain once per word.
+    Exploding a one-item array computes the merged word once.
     """
     changed = words.select("w", "n", F.explode(F.array(merged)).alias("m")).where(F.col("m") != F.col("w"))
     moves = F.array(F.struct(F.col("w").alias("w"), (-F.col("n")).alias("n")), F.struct(F.col("m").alias("w"), F.col("n").alias("n")))
@@ -132,7 +141,7 @@ def _safe_batch(ranked: list[str], tokens: list[str], known: set[str], room: int
     return taken
 
 
-def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 256, cut_every: int = 24) -> Vocabulary:
+def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 256, cut_every: int = 64) -> Vocabulary:
     """Byte-pair merges over a table of distinct words (word, n).
 
     The corpus is read once, for the word table.  Words and pair counts are kept
@@ -157,7 +166,7 @@ def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 256, cut_ev
 
     now, words_path = cut(_coded(words).where(F.length("w") > 1), "words")
     base, pairs_path = cut(first_pairs(now), "pairs")
-    pairs, merged, pending = base, F.col("w"), 0
+    pairs, pending = base, []
     while len(tokens) < vocab_size:
         batch = _safe_batch(_top(pairs, look_ahead), tokens, set(ids), vocab_size - len(tokens))
         if not batch:
@@ -169,13 +178,14 @@ def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 256, cut_ev
                 ids[made] = len(tokens)
                 tokens.append(made)
             merges.append((left, right))
-            merged = F.replace(merged, F.lit(pair), F.lit(chr(CODE_BASE + ids[made])))
-        pairs, pending = _pairs_after(base, now, merged), pending + len(batch)
-        if pending >= cut_every and len(tokens) < vocab_size:
+            pending.append((pair, chr(CODE_BASE + ids[made])))
+        merged = _merged(pending)
+        pairs = _pairs_after(base, now, merged)
+        if len(pending) >= cut_every and len(tokens) < vocab_size:
             old_tables, old_paths = (now, base), (words_path, pairs_path)
             base, pairs_path = cut(pairs, "pairs")
             now, words_path = cut(now.select(merged.alias("w"), "n").where(F.length("w") > 1), "words")
-            pairs, merged, pending = base, F.col("w"), 0
+            pairs, pending = base, []
             for table, path in zip(old_tables, old_paths):
                 table.unpersist()
                 drop_scratch(spark, path)
