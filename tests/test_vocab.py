@@ -102,3 +102,12 @@ def test_export_names_every_token(spark):
     assert learned.merge_table(spark).count() == 2
 
 
+def test_pieces_are_held_until_they_decode():
+    for raw in (b"a\xc3\xa9b", "가나".encode(), b"", b"a\xffb", "x\ufffdy".encode(), "<|im_end|>é".encode()):
+        for size in (1, 2, 3):
+            parts = [raw[i : i + size] for i in range(0, len(raw), size)]
+            slow, fast = bpe._buffered(parts), bpe._cut_at_characters(parts)
+            if fast is not None:
+                assert (list(fast[0]), fast[1]) == slow
+    assert bpe._cut_at_characters([b"\xff"]) is None
+    assert bpe._buffered([b"\xea\xb0", b"\x80", b"!"]) == ([2, 1], ["가", "!"])

@@ -114,28 +114,50 @@ def decoder(vocab: list[str] | None = None, merges: list[tuple[str, str]] | None
     return decode_bytes
 
 
-def streamed_pieces(vocab: list[str] | None = None):
-    """A Column function ids -> pieces of text, as a stream would show them.
+PIECES = T.StructType([T.StructField("n_tokens", T.ArrayType(T.IntegerType())), T.StructField("text", T.ArrayType(T.StringType()))])
+
+
+def _buffered(parts: list[bytes]) -> tuple[list[int], list[str]]:
+    """Token by token: held until the bytes decode without a replacement character."""
+    counts, texts, held, count = [], [], b"", 0
+    for part in parts:
+        held, count = held + part, count + 1
+        text = held.decode("utf-8", errors="replace")
+        if text and "\ufffd" not in text:
+            counts.append(count)
+            texts.append(text)
+            held, count = b"", 0
+    return counts, texts
+
+
+def _cut_at_characters(parts: list[bytes]) -> tuple[np.ndarray, list[str]] | None:
+    """The same at once for valid UTF-8: a piece ends where the next byte starts a character."""
+    raw = b"".join(parts)
+    try:
+        text = raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    if "\ufffd" in text or not raw:
+        return None if raw else (np.empty(0, dtype="int32"), [])
+    starts = (np.frombuffer(raw, dtype="uint8") & 0xC0) != 0x80
+    ends = np.cumsum([len(p) for p in parts])
+    done = np.flatnonzero(np.append(starts, True)[ends])
+    chars = np.cumsum(starts)[ends[done] - 1].tolist()
+    return np.diff(done, prepend=-1).astype("int32"), [text[a:b] for a, b in zip([0, *chars], chars)]
 
-    Token bytes are buffered until they decode without a replacement character.
-    """
-    tokens = vocab or base_vocab()
-    holder: dict[str, Codec] = {}
 
-    @F.pandas_udf("array<struct<n_tokens:int,text:string>>")
-    def pieces(ids: pd.Series) -> pd.Series:
-        codec = holder.setdefault("codec", Codec(tokens, []))
-
-        def one(row):
-            out, held, count = [], b"", 0
-            for i in row:
-                held, count = held + codec.raw([i]), count + 1
-                text = held.decode("utf-8", errors="replace")
-                if text and "\ufffd" not in text:
-                    out.append({"n_tokens": count, "text": text})
-                    held, count = b"", 0
-            return out
-
-        return ids.map(one, na_action="ignore")
+def streamed_pieces(vocab: list[str] | None = None):
+    """A Column function ids -> pieces of text and their token counts, as a stream shows them."""
+    tokens = vocab or base_vocab()
+    holder: dict[str, list[bytes]] = {}
+
+    @F.pandas_udf(PIECES)
+    def pieces(ids: pd.Series) -> pd.DataFrame:
+        if "bytes" not in holder:
+            codec = Codec(tokens, [])
+            holder["bytes"] = [codec.raw([i]) for i in range(len(tokens))]
+        table = holder["bytes"]
+        rows = [[table[i] for i in row] for row in ids]
+        return pd.DataFrame([_cut_at_characters(r) or _buffered(r) for r in rows], columns=PIECES.fieldNames())
 
     return pieces

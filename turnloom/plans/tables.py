@@ -272,18 +272,14 @@ def chunks(spark, sf_dir, size: int = 64) -> DataFrame:
     Every other document has a think close tag put into it, and every third ends
     on a tool call, so that all sides of a response have text.
     """
-    text = marked_text()
-    last = F.floor((F.length("text") - 1) / F.lit(size)).cast("int")
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s)(.{{1,{size}}})"), F.lit(1))
     return (
         spread(documents(spark, sf_dir))
-        .select("doc_id", text.alias("text"))
-        .where(F.length("text") > 0)
-        .select("doc_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("seq"), last.alias("last"))
+        .select("doc_id", marked_text().alias("text"))
+        .select("doc_id", F.size(pieces).alias("n"), F.posexplode(pieces).alias("seq", "chunk"))
         .select(
-            F.col("doc_id").alias("response_id"), "seq",
-            F.timestamp_seconds(F.lit(1704067200) + F.col("seq")).alias("ts"),
-            F.substring("text", F.col("seq") * size + 1, F.lit(size)).alias("chunk"),
-            (F.col("seq") == F.col("last")).alias("done"),
+            F.col("doc_id").alias("response_id"), "seq", F.timestamp_seconds(F.lit(1704067200) + F.col("seq")).alias("ts"), "chunk",
+            (F.col("seq") == F.col("n") - 1).alias("done"),
         )
     )
 

@@ -199,7 +199,7 @@ RESULT_TEXT = """select doc_id, case when doc_id % 5 in (0, 1) then '{"error": "
 
 
 def text_length(spark, sf_dir):
-    return t.documents(spark, sf_dir).select("doc_id", toolcalls.text_length(F.col("text")).alias("n")).select(
+    return spread(t.documents(spark, sf_dir)).select("doc_id", toolcalls.text_length(F.col("text")).alias("n")).select(
         "doc_id", F.col("n.characters").cast("bigint").alias("characters"), F.col("n.words").cast("bigint").alias("words")
     )
 

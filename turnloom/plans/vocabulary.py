@@ -106,8 +106,8 @@ def stream_pieces(spark, sf_dir):
     ids = bpe.encoder()(F.col("text"))
     rows = spread(t.documents(spark, sf_dir)).select("doc_id", ids.alias("ids"))
     out = rows.select("doc_id", F.size("ids").alias("n"), bpe.streamed_pieces()(F.col("ids")).alias("p"))
-    return out.select("doc_id", F.col("n").cast("bigint").alias("n_tokens"), F.size("p").cast("bigint").alias("n_pieces"),
-                      F.md5(F.array_join(F.transform("p", lambda x: x["text"]), "")).alias("text_md5"))
+    return out.select("doc_id", F.col("n").cast("bigint").alias("n_tokens"), F.size("p.text").cast("bigint").alias("n_pieces"),
+                      F.md5(F.array_join("p.text", "")).alias("text_md5"))
 
 
 STREAM_PIECES = "select doc_id, octet_length(encode(text)) as n_tokens, length(text) as n_pieces, md5(text) as text_md5 from documents"
