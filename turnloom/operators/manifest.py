@@ -154,3 +154,9 @@ def epoch_manifest(df: DataFrame, row_id: str, batch_size: int, epochs: int = 1,
 def expand_generations(prompts: DataFrame, n: int) -> DataFrame:
     """Each prompt n times, numbered; rollout idx // n leads back to its prompt."""
     return prompts.withColumn("gen", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+
+
+def prompts_of(rollouts: DataFrame, prompts: DataFrame, n: int, index: str = "idx", prompt_no: str = "prompt_no") -> DataFrame:
+    """Each rollout with the prompt it came from, by number (idx // n)."""
+    numbered = rollouts.withColumn(prompt_no, F.floor(F.col(index) / F.lit(n)).cast("bigint"))
+    return numbered.join(prompts, prompt_no)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom import constants as K
+from turnloom.functions.bpe import Codec, base_vocab
 from turnloom.functions.arrays import drop_end, drop_start, keep_last, pad_left, pad_right, total_int
 
 
@@ -75,6 +76,12 @@ def answer_labels(opening: list[int], closing: list[int], max_length: int):
     return label
 
 
+def answer_marks(vocab: list[str] | None = None, merges: list[tuple[str, str]] | None = None) -> tuple[list[int], list[int]]:
+    """Ids of what opens and closes an answer, under a vocabulary."""
+    codec = Codec(vocab or base_vocab(), merges or [])
+    return codec.encode(f"{K.BOS}assistant\n"), codec.encode(f"{K.EOS}\n")
+
+
 def loss_mask(labels: Column) -> Column:
     return F.transform(labels, lambda x: F.when(x == K.IGNORE_LABEL, 0).otherwise(1))
 

@@ -79,7 +79,20 @@ def prompt_expand(spark, sf_dir):
 PROMPT_EXPAND = """select conv_id, turn, cast(g as integer) as gen, length(text) as n_chars
 from (select *, unnest(range(0, 6)) as g from conversations where role = 'user')"""
 
+def rollout_prompts(spark, sf_dir):
+    """Three rollouts per user turn, numbered, then joined to their prompts."""
+    prompts = t.conversations(spark, sf_dir).where(F.col("role") == "user").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_no"), F.col("text").alias("prompt")
+    )
+    rollouts = manifest.expand_generations(prompts.select("prompt_no"), 3).select((F.col("prompt_no") * 3 + F.col("gen")).alias("idx"))
+    return manifest.prompts_of(rollouts, prompts, 3).select("idx", "prompt_no", "prompt")
+
+
+ROLLOUT_PROMPTS = """select (conv_id * 1000 + turn) * 3 + g as idx, conv_id * 1000 + turn as prompt_no, text as prompt
+from (select *, unnest(range(0, 3)) as g from conversations where role = 'user')"""
+
 QUERIES = {
+    "rollout_prompts": (rollout_prompts, ROLLOUT_PROMPTS),
     "rlaif_sample": (rlaif_sample, RLAIF_SAMPLE),
     "epoch_manifest": (epoch_manifest, EPOCH_MANIFEST),
     "resume_manifest": (resume_manifest, RESUME_MANIFEST),

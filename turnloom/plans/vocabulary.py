@@ -147,13 +147,10 @@ ids as (select doc_id, n, list_transform(range(1, n + 1), lambda i: ({BYTE_IDS_S
 select doc_id, cast(512 as bigint) as width, cast(3 + coalesce(list_sum(l), 0) as bigint) as id_sum, 512 - n - 2 as n_ignored, cast(1 as bigint) as first_id from ids"""
 
 SFT_LENGTH = 768
-_OPEN = f"{K.BOS}assistant\n"
-_CLOSE = f"{K.EOS}\n"
 
 
 def _label_fn(max_length: int):
-    codec = bpe.Codec(bpe.base_vocab(), [])
-    return tokens.answer_labels(codec.encode(_OPEN), codec.encode(_CLOSE), max_length)
+    return tokens.answer_labels(*tokens.answer_marks(), max_length)
 
 
 def sft_labels(spark, sf_dir):

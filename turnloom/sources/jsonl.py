@@ -93,13 +93,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def stage_path(root: str, stage: str) -> str:
+    return f"{root}/{next(out for name, _needs, out in K.STAGES if name == stage)}"
+
+
 def stage_output(spark: SparkSession, root: str, stage: str, force: bool = False) -> str:
     """Where a stage writes.  Needs the stage before it, and a free place unless forced."""
-    stages = {name: (needs, out) for name, needs, out in K.STAGES}
-    needs, out = stages[stage]
-    if needs and not path_exists(spark, f"{root}/{stages[needs][1]}"):
+    needs = next(needs for name, needs, _out in K.STAGES if name == stage)
+    if needs and not path_exists(spark, stage_path(root, needs)):
         raise FileNotFoundError(f"{stage} needs the output of {needs}")
-    path = f"{root}/{out}"
+    path = stage_path(root, stage)
     if path_exists(spark, path) and not force:
         raise FileExistsError(f"{path} exists; pass force to replace it")
     return path
