@@ -67,21 +67,19 @@ MASKED_KL = f"""with {t.TOKENS_SQL} select prompt_id, cast(sum(m) as bigint) as
   round(sum((exp(ref_lp - new_lp) - (ref_lp - new_lp) - 1.0::double) * m) / sum(m), 6) as ref_kl from toks group by prompt_id"""
 
 
-def _losses(spark, sf_dir, kind):
-    rows = t.logged_tokens(spark, sf_dir)
-    mask = diagnostics.first_eos_mask(F.col("ids"), F.col("mask"))
-    rows = diagnostics.group_advantages(rows.withColumn("cut", F.when(F.col("sample_id") % 17 == 0, F.transform("mask", lambda _m: F.lit(0))).otherwise(mask)))
-    losses = diagnostics.policy_losses(F.col("new_logps"), F.col("old_logps"), F.col("ref_logps"), F.col("advantage"), kind)
-    return diagnostics.row_losses(rows, losses, F.col("cut"))
-
-
 def policy_loss(spark, sf_dir):
     """Masked mean losses per prompt: clipped and clamped, over filled rows and over all."""
-    out = None
-    for kind in ("grpo", "cispo"):
-        part = diagnostics.mean_loss(_losses(spark, sf_dir, kind), ["prompt_id"]).select("prompt_id", F.lit(kind).alias("kind"), *_six("valid_mean", "all_mean"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    rows = t.logged_tokens(spark, sf_dir)
+    cut = diagnostics.first_eos_mask(F.col("ids"), F.col("mask"))
+    rows = rows.withColumn("cut", F.when(F.col("sample_id") % 17 == 0, F.transform("mask", lambda _m: F.lit(0))).otherwise(cut))
+    rows = diagnostics.group_advantages(rows.select("prompt_id", "reward", "new_logps", "old_logps", "ref_logps", "cut"))
+    logps = [F.col(c) for c in ("new_logps", "old_logps", "ref_logps", "advantage")]
+    sums = [
+        F.struct(F.lit(kind).alias("kind"), arrays.total(arrays.masked(diagnostics.policy_losses(*logps, kind), F.col("cut"))).alias("loss_sum"))
+        for kind in ("grpo", "cispo")
+    ]
+    per_row = rows.select("prompt_id", tokens.label_coverage(F.col("cut")).alias("n_tokens"), F.inline(F.array(*sums)))
+    return diagnostics.mean_loss(per_row, ["prompt_id", "kind"]).select("prompt_id", "kind", *_six("valid_mean", "all_mean"))
 
 
 _CUT_SQL = f"""{t.TOKENS_SQL}, e as (select sample_id, min(i) filter (where id = 2 and m = 1) as at from toks group by sample_id),
