@@ -44,6 +44,24 @@ def test_group_advantage_hot_and_cold(spark):
     assert a[3] == 0.0  # alone in its group
 
 
+def test_hot_group_is_spread(spark):
+    """A group with a third of all rows does not end up in one partition."""
+    rows = spark.range(0, 60000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1000).alias("prompt_id"), F.col("id").alias("gen"), (F.col("id") % 7 / 7).alias("reward")
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = diagnostics.group_advantages(rows, hot_rows=5000)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 60000 and max(sizes) < 60000 * 0.2
+
+
 def test_answer_spans():
     head, tail = np.array([1, 9]), np.array([2, 8])
     ids = np.array([1, 9, 5, 6, 2, 8, 7, 1, 9, 4, 2, 3, 1, 9])

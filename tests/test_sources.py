@@ -26,6 +26,16 @@ def test_strict_reader_fails_on_a_bad_line(spark, tmp_path):
     assert jsonl.read_rl(spark, str(f)).first()["gt"] == ["1"]
 
 
+def test_rejects_are_kept(spark, tmp_path):
+    from turnloom.schemas import TEXT_ROW
+
+    f = tmp_path / "t.jsonl"
+    f.write_text('{"text": "a"}\n{bad\n{"x": 1}\n', encoding="utf-8")
+    good, bad = jsonl.read_with_rejects(spark, str(f), TEXT_ROW)
+    assert sorted(str(r["text"]) for r in good.collect()) == ["None", "a"]
+    assert [r[0] for r in bad.collect()] == ["{bad"]
+
+
 def test_corpus_reader(spark, tmp_path):
     lines = [
         '{"text": "a"}', "{bad}", '{"conversations": [{"content": "x"}, {"content": ""}, {"content": "y"}], "text": "no"}', '{"text": ""}',

@@ -73,13 +73,13 @@ TOOL_TURN_PARTS = f"with {RETOLD_SQL} select conv_id, turn // 3 as part, string_
 
 def think_render(spark, sf_dir):
     """Assistant turns whose reasoning stands in the text or in its own field."""
-    own = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("\n"), F.substring("text", 1, 40), F.lit("\n")))
+    own = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("\n"), F.col("text"), F.lit("\n")))
     msg = normalize.message(F.lit("assistant"), F.concat(F.lit("\n"), F.col("response")), reasoning_content=own)
     none = F.lit(None).cast("string")
     return t.responses(spark, sf_dir).select("conv_id", "turn", chat.turn_piece(msg, F.lit(False), none, none).alias("piece"))
 
 
-THINK_RENDER = f"""with {t.RESPONSES_SQL}, x as (select conv_id, turn, chr(10) || response as c, case when turn % 3 = 0 then chr(10) || substr(text, 1, 40) || chr(10) end as own from responses),
+THINK_RENDER = f"""with {t.RESPONSES_SQL}, x as (select conv_id, turn, chr(10) || response as c, case when turn % 3 = 0 then chr(10) || text || chr(10) end as own from responses),
 y as (select *, own is null and contains(c, '</think>') as split from x)
 select conv_id, turn, '<|im_start|>assistant' || chr(10) || '<think>' || chr(10) ||
   trim(case when split then ltrim(split_part(rtrim(split_part(c, '</think>', 1), chr(10)), '<think>', -1), chr(10)) else coalesce(own, '') end, chr(10)) ||

@@ -14,8 +14,9 @@ from turnloom.operators.vocab import corpus_text
 from turnloom.schemas import CHAT_ROW, CORPUS_ROW, PAIR_ROW, RL_ROW, TEXT_ROW
 
 
-def _json(spark: SparkSession, path, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
-    return spark.read.schema(schema).option("mode", mode).json(path)
+def _json(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """Strict: a line that is not JSON or does not fit fails the job, naming the file."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_text(spark: SparkSession, path) -> DataFrame:
@@ -31,8 +32,13 @@ def read_pairs(spark: SparkSession, path) -> DataFrame:
 
 
 def read_rl(spark: SparkSession, path) -> DataFrame:
-    """Strict: one bad line fails the job."""
-    return _json(spark, path, RL_ROW, "FAILFAST")
+    return _json(spark, path, RL_ROW)
+
+
+def read_with_rejects(spark: SparkSession, path, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad lines as text): nothing is lost and nothing fails."""
+    rows = once(read_raw_lines(spark, path), "row", strict_object(F.col("value"), schema.simpleString()))
+    return rows.where(F.col("row").isNotNull()).select("row.*"), rows.where(F.col("row").isNull()).select("value")
 
 
 def read_snapshot(spark: SparkSession, path: str, split: str | None = None, subset: str | None = None) -> DataFrame:
