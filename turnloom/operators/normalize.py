@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +29,9 @@ def concat_sources(*named: tuple[str, DataFrame]) -> DataFrame:
 
 
 def message(role: Column, content: Column, **extra: Column) -> Column:
-    """One message struct; fields not given are null."""
+    """One message struct of text columns; fields not given are null."""
     given = {"role": role, "content": content, **extra}
-    return F.struct(*[given.get(f, F.lit(None)).cast("string").alias(f) for f in MSG_FIELDS])
+    return F.struct(*[given[f].alias(f) if f in given else F.expr(f"cast(null as string) as {f}") for f in MSG_FIELDS])
 
 
 def empty_messages() -> Column:
@@ -56,35 +58,40 @@ def _tagged(roles: dict[str, str]):
     return lambda m: message(map_role(m["from"], roles), F.coalesce(m["value"], F.lit("")))
 
 
-Shape = tuple[Column, Column]
+Shape = tuple[Column, Callable[[], Column]]
 
 
 def chat_shapes() -> list[Shape]:
     """(test, message list) per row shape, in the order tried.  A user may extend it."""
     conv, msgs = F.col("conversations"), F.col("messages")
     first = F.get(conv, F.lit(0))
-    instruction, output, extra = (truthy(F.col(c)) for c in ("instruction", "output", "input"))
-    asked = F.when(extra.isNull(), instruction).otherwise(F.concat(instruction, F.lit("\n\n"), extra))
-    spoken = F.transform(msgs, lambda m: message(F.coalesce(m["role"], F.lit("user")), F.coalesce(m["content"], F.lit(""))))
+    instruction, output = truthy(F.col("instruction")), truthy(F.col("output"))
+
+    def said(m: Column) -> Column:
+        return message(F.coalesce(m["role"], F.lit("user")), F.coalesce(m["content"], F.lit("")))
+
+    def asked_and_answered() -> Column:
+        extra = truthy(F.col("input"))
+        asked = F.when(extra.isNull(), instruction).otherwise(F.concat(instruction, F.lit("\n\n"), extra))
+        return F.array(message(F.lit("user"), asked), message(F.lit("assistant"), output))
+
     return [
-        (first["role"].isNotNull() & first["content"].isNotNull(), F.transform(conv, _plain)),
-        (first["from"].isNotNull(), F.transform(conv, _tagged(CHAT_ROLES))),
-        (F.coalesce(F.size(msgs) > 0, F.lit(False)), spoken),
-        (instruction.isNotNull() & output.isNotNull(), F.array(message(F.lit("user"), asked), message(F.lit("assistant"), output))),
+        (first["role"].isNotNull() & first["content"].isNotNull(), lambda: F.transform(conv, _plain)),
+        (first["from"].isNotNull(), lambda: F.transform(conv, _tagged(CHAT_ROLES))),
+        (F.coalesce(F.size(msgs) > 0, F.lit(False)), lambda: F.transform(msgs, said)),
+        (instruction.isNotNull() & output.isNotNull(), asked_and_answered),
     ]
 
 
 def no_shape(shapes: Sequence[Shape] | None = None) -> Column:
     """Reject reason of rows that fit no shape; reads no message texts."""
-    fits = F.lit(False)
-    for test, _build in shapes or chat_shapes():
-        fits = fits | F.coalesce(test, F.lit(False))
-    return F.when(~fits, "no_shape")
+    fits = [F.coalesce(test, F.lit(False)) for test, _build in shapes or chat_shapes()]
+    return F.when(~reduce(or_, fits), "no_shape")
 
 
 def unify_chat(df: DataFrame, shapes: Sequence[Shape] | None = None, out: str = "conversation") -> DataFrame:
     """Adds the message list; null where no shape fits (the caller splits rejects)."""
-    return once(df, out, F.coalesce(*[F.when(test, build) for test, build in shapes or chat_shapes()]))
+    return once(df, out, F.coalesce(*[F.when(test, build()) for test, build in shapes or chat_shapes()]))
 
 
 def unify_tool_dialog(df: DataFrame) -> DataFrame:

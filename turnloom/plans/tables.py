@@ -71,7 +71,7 @@ PARTS_SQL = """parts as (
 
 def loose(**given: Column) -> Column:
     """A message as published: any of the known keys, the others missing."""
-    return F.struct(*[given.get(f, F.lit(None)).cast("string").alias(f) for f in LOOSE_MSG.fieldNames()])
+    return F.struct(*[given[f].alias(f) if f in given else F.expr(f"cast(null as string) as `{f}`") for f in LOOSE_MSG.fieldNames()])
 
 
 def mixed_rows(spark, sf_dir) -> DataFrame:
