@@ -31,12 +31,16 @@ def chunk_assemble(spark, sf_dir):
     return assemble.response_parts(t.chunks(spark, sf_dir))
 
 
-_TEXTS = f"""{t.MARKED_SQL}, x as (select doc_id as response_id, text, instr(text, '</think>') as tag_at from marked where text <> '')"""
-_SPLIT = """response_id, cast(0 as bigint) as part, case when tag_at > 0 then substr(text, 1, tag_at - 1) else text end as reasoning,
-  case when tag_at > 0 then ltrim(substr(text, tag_at + 8), chr(10)) else '' end as content"""
+# A part is 1024 pieces of 64 characters; the tag, where there is one, lies in the first.
+_PART = 1024 * 64
+_TEXTS = f"""{t.MARKED_SQL}, m as (select doc_id as response_id, text, instr(text, '</think>') as tag_at, (length(text) - 1) // {_PART} as last_part from marked where text <> ''),
+x as (select *, unnest(range(0, last_part + 1)) as part from m)"""
+_SPLIT = f"""response_id, part,
+  case when tag_at = 0 then substr(text, part * {_PART} + 1, {_PART}) when part = 0 then substr(text, 1, tag_at - 1) else '' end as reasoning,
+  case when tag_at = 0 then '' when part = 0 then ltrim(substr(text, tag_at + 8, {_PART} - tag_at - 7), chr(10)) else substr(text, part * {_PART} + 1, {_PART}) end as content"""
 CHUNK_ASSEMBLE = f"with {_TEXTS} select {_SPLIT} from x"
-STREAM_ASSEMBLE = f"""with {_TEXTS} select {_SPLIT}, cast(case when response_id % 3 = 0 then 1 else 0 end as bigint) as n_calls,
-  case when response_id % 3 = 0 then 'tool_calls' else 'stop' end as finish_reason from x"""
+STREAM_ASSEMBLE = f"""with {_TEXTS} select {_SPLIT}, cast(case when response_id % 3 = 0 and part = last_part then 1 else 0 end as bigint) as n_calls,
+  case when part < last_part then null when response_id % 3 = 0 then 'tool_calls' else 'stop' end as finish_reason from x"""
 
 QUERIES = {
     "stream_ingest": (stream_ingest, CORPUS_CLEAN),
