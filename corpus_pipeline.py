@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import packing, quality
+from turnloom.llm import jaccard, mixing, packing, quality
 from turnloom.llm.common import table
 from turnloom.session import cut_lineage
 
@@ -18,12 +18,22 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that the n-gram Jaccard join links."""
+    return jaccard.one_of_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources in their target shares; a row stands as often as it is taken."""
+    return mixing.mixed(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("quality_rules", rules), ("best_fit_packing", pack)]
+STAGES = [("quality_rules", rules), ("ngram_jaccard", near_copies), ("pareto_mix", mix), ("best_fit_packing", pack)]
 # Best fit depends on what was placed before and has no SQL form; tests hold the
 # stages against brute force.
 ORACLE_SQL = None

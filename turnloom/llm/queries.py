@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import dac, mixing, packing, quality
+from turnloom.llm import dac, jaccard, mixing, packing, quality
 from turnloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ def over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_token_ids": (over("documents", dac.round_trip), None),
     "op2_best_fit_packing": (over("documents", packing.pack_documents), None),
+    "op3_ngram_jaccard": (over("documents", jaccard.link), None),
     "op5_pareto_mix": (over("documents", mixing.report), mixing.SQL),
     "op10_quality_rules": (over("documents", quality.report), quality.SQL),
 }
