@@ -48,7 +48,7 @@ FRAGMENT_KEYS = 2_000_000
 BUCKET_CLASSES = 10_000
 SEGMENTS = 16
 HOT_SHARE = 100  # hot: in more than one in so many documents of a batch
-BATCH_ROWS = 4000
+BATCH_ROWS = 2000
 _U = np.uint64
 _HOT_DF = 2**40
 
@@ -127,19 +127,19 @@ def _runs(docs: DataFrame, fragments: int, buckets: int, hot: np.ndarray) -> Dat
     return docs.select("text").mapInPandas(split, "place long, classes binary, sizes binary, runs binary, keys binary")
 
 
-def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class, set size and (7 low bytes of the) shingle of each entry; each class once per place."""
+def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Classes, their set sizes, and per shingle its class's index and 7 low bytes; each class once per place."""
     cls = np.frombuffer(b"".join(rows["classes"]), "<i8")
     size = np.frombuffer(b"".join(rows["sizes"]), "<i4").astype(np.int64)
-    runs = np.frombuffer(b"".join(rows["runs"]), "<i4").astype(np.int64)
+    runs = np.frombuffer(b"".join(rows["runs"]), "<i4")
     packed = np.frombuffer(b"".join(rows["keys"]), np.uint8).reshape(-1, 7)
-    key = np.zeros((len(packed), 8), np.uint8)
-    key[:, :7] = packed
     _, first = np.unique(cls, return_index=True)
     keep = np.zeros(len(cls), bool)
     keep[first] = True
     kept = np.repeat(keep, runs)
-    return np.repeat(cls, runs)[kept], np.repeat(size, runs)[kept], key.view("<u8").ravel()[kept]
+    key = np.zeros((np.count_nonzero(kept), 8), np.uint8)
+    key[:, :7] = packed if kept.all() else packed[kept]
+    return cls, size, np.repeat(np.arange(len(cls), dtype=np.int32), runs)[kept], key.view("<u8").ravel()
 
 
 def _shared(runs: DataFrame, fragments: int, buckets: int) -> DataFrame:
@@ -150,14 +150,17 @@ def _shared(runs: DataFrame, fragments: int, buckets: int) -> DataFrame:
         place = int(rows["place"].iloc[0])
         if place < 0:  # hot shingles go on as they are
             return pd.DataFrame({"bucket": -1 - place, "cls": rows["classes"], "size": rows["sizes"], "key": rows["keys"], "df": None, "runs": rows["runs"]})
-        cls, size, key = _unpacked(rows)
-        order = np.argsort(key, kind="stable")
-        cls, size, key = cls[order], size[order], key[order]
+        cls, size, who, key = _unpacked(rows)
+        order = np.argsort(key)
+        key, who = key[order], who[order]
+        del order
+        same = key[1:] == key[:-1]
+        some = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(key) else np.zeros(0, bool)
+        key, who = key[some], who[some]
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         df = np.diff(np.append(head, len(key)))
         df = np.repeat(df, df)
-        some = df > 1
-        cls, size, key, df = cls[some], size[some], key[some], df[some]
+        cls, size = cls[who], size[who]
         if fragments > 1:  # the top byte again
             low = key & _U(2**56 - 1)
             key = low | ((_U(place) << _U(shift)) & _U(0xFF << 56))
@@ -188,8 +191,8 @@ def _classes(shared: DataFrame, hot: dict[int, int], percent: int) -> DataFrame:
         cls, size, key, df = (np.frombuffer(b"".join(plain[c]), "<i8") for c in ("cls", "size", "key", "df"))
         if len(packed):
             more = _unpacked(pd.DataFrame({"classes": packed["cls"], "sizes": packed["size"], "runs": packed["runs"], "keys": packed["key"]}))
-            at = np.searchsorted(low, more[2].astype(np.int64))
-            cls, size = np.concatenate([cls, more[0]]), np.concatenate([size, more[1]])
+            at = np.searchsorted(low, more[3].astype(np.int64))
+            cls, size = np.concatenate([cls, more[0][more[2]]]), np.concatenate([size, more[1][more[2]]])
             key, df = np.concatenate([key, whole[at]]), np.concatenate([df, _HOT_DF + rank[at]])
         order = np.lexsort((key, df, cls))
         cls, size, key = cls[order], size[order], key[order]

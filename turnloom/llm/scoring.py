@@ -1,0 +1,129 @@
+"""Cross-entropy difference: how much better a target model foretells a text than a background model.
+
+Both models are interpolated trigrams over one vocabulary, the 256 bytes of the
+texts (ASCII letters lower-cased; byte 0 stands for both edges of a text), with
+the same smoothing and, after scaling, the same amount of text.  The target
+model learns from the documents labelled good and not toxic, the background
+model from all documents.  A text's score is its mean loss under the target
+model minus that under the background model, per token: lower is nearer to the
+target.
+
+Counts cover every document and are pre-aggregated in each task before they are
+summed.  A model has at most 2^24 trigrams, whatever the corpus, so it can be
+broadcast; texts are scored in one pass without a join.
+
+* Null and empty texts have no tokens and null scores.
+* Without labelled documents the target model is uniform.
+* A document with several label rows is a target when all of them say so.
+* Repeated rows count each; an empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from turnloom.llm.words import text_runs
+
+STRENGTH = 5.0  # weight of the shorter context, in counts
+SYMBOLS = 256
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LOWER[0] = 32
+
+
+def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Trigram codes of a run of texts, and how many each text has (its bytes and its end)."""
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    full = [r for r in raw if r]
+    n = np.array([len(r) + 1 if r else 0 for r in raw], np.int64)
+    if not full:
+        return np.zeros(0, np.int32), n
+    # Each text stands as 0 0 text 0; its trigrams end in its bytes and its last 0.
+    buf = _LOWER[np.frombuffer(b"\x00\x00" + b"\x00\x00\x00".join(full) + b"\x00", np.uint8)].astype(np.int32)
+    ends = np.cumsum([len(r) + 3 for r in full])
+    buf[np.concatenate([ends - 1, [0], ends[:-1], [1], ends[:-1] + 1])] = 0
+    codes = (buf[:-2] << 16) | (buf[1:-1] << 8) | buf[2:]
+    keep = np.ones(len(codes), bool)
+    keep[np.concatenate([ends[:-1] - 2, ends[:-1] - 1])] = False  # they end in the next text's first two zeros
+    return codes[keep], n
+
+
+def trigram_counts(docs: DataFrame, chars: int = 2_000_000) -> DataFrame:
+    """(code, n) over all texts, summed in each task first."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        code, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for run in text_runs(batch["text"].tolist(), chars):
+                key, own = np.unique(_codes(run)[0], return_counts=True)
+                both = np.concatenate([code, key.astype(np.int64)])
+                code, where = np.unique(both, return_inverse=True)
+                n = np.bincount(where, np.concatenate([n, own]), len(code)).astype(np.int64)
+        if len(code):
+            yield pd.DataFrame({"code": code, "n": n})
+
+    return docs.select("text").mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def log_chances(code: np.ndarray, n: np.ndarray, strength: float = STRENGTH) -> np.ndarray:
+    """Natural log of P(c | a b) for each trigram code, from the counts of all of them."""
+    n = n.astype(float)
+    ab, bc, c = code >> 8, code & 0xFFFF, code & 0xFF
+    single = np.bincount(c, n, SYMBOLS)
+    p1 = (single + 1.0) / (single.sum() + SYMBOLS)
+    pairs = np.bincount(bc, n, SYMBOLS**2)
+    heads = np.bincount(bc >> 8, n, SYMBOLS)
+    p2 = (pairs + strength * np.tile(p1, SYMBOLS)) / np.repeat(heads + strength, SYMBOLS)
+    context = np.bincount(ab, n, SYMBOLS**2)
+    return np.log((n + strength * p2[bc]) / (context[ab] + strength))
+
+
+def is_target(labels: DataFrame) -> DataFrame:
+    """Ids of documents whose labels all say good and not toxic."""
+    good = F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
+    return labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(good).alias("_good")).where("_good").select("doc_id")
+
+
+def models(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of all trigrams, and their log chances under target and background."""
+    chosen = docs.select("doc_id", "text").join(is_target(labels), "doc_id", "left_semi")
+    target = trigram_counts(chosen).select("code", F.col("n").alias("t"))
+    both = trigram_counts(docs).join(target, "code", "left").select("code", "n", F.coalesce("t", F.lit(0)).alias("t"))
+    table = both.toPandas().sort_values("code")  # at most 2^24 rows
+    code, n, t = (table[c].to_numpy(np.int64) for c in ("code", "n", "t"))
+    scale = t.sum() / n.sum() if len(n) and t.sum() else 1.0
+    return code, log_chances(code, t), log_chances(code, n * scale)
+
+
+def score(docs: DataFrame, labels: DataFrame, chars: int = 2_000_000) -> DataFrame:
+    """(doc_id, n_tokens, ce_target, ce_background, score) of every document."""
+    code, target, background = models(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast((code.astype(np.int32), target, background))
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        code, target, background = shared.value
+        place = np.zeros(1 << 24, np.int32)
+        place[code] = np.arange(len(code), dtype=np.int32)
+        for batch in batches:
+            at = 0
+            for run in text_runs(batch["text"].tolist(), chars):
+                codes, n = _codes(run)
+                where = place[codes]
+                cut = np.concatenate([[0], np.cumsum(n)])
+                sums = [-np.diff(np.concatenate([[0.0], np.cumsum(model[where])])[cut]) for model in (target, background)]
+                some = np.where(n > 0, n, np.nan)
+                rows = pd.DataFrame({
+                    "doc_id": batch["doc_id"].iloc[at : at + len(run)].astype("Int64").to_numpy(), "n_tokens": n,
+                    "ce_target": sums[0] / some, "ce_background": sums[1] / some,
+                })
+                at += len(run)
+                yield rows.assign(score=rows["ce_target"] - rows["ce_background"])
+
+    schema = "doc_id long, n_tokens long, ce_target double, ce_background double, score double"
+    out = docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(scored, schema)
+    return out.select("doc_id", "n_tokens", *[F.nanvl(c, F.lit(None)).alias(c) for c in ("ce_target", "ce_background", "score")])

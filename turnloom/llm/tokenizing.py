@@ -11,16 +11,16 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 
-from turnloom.llm.words import Words, gather, words_of
+from turnloom.llm.words import Words, gather, text_runs, words_of
 
 TOKENIZER = "word_bpe_49k.json"
 KNOWN_WORDS = 2_000_000
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_500_000
 # Letters that normalising leaves alone but for their case, and the marks that often follow a word.
 _CORE = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _ENDS = (b".", b",")
@@ -126,23 +126,11 @@ class WordEncoder:
         ends = np.concatenate([[0], np.cumsum(length)])
         return gather(self.pool, self.at[place], length), ends[w.bounds]
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text as 32-bit numbers; none for a null text."""
-        batch: list[str | None] = []
-        size = 0
-        for t in texts:
-            batch.append(t)
-            size += len(t or "")
-            if size >= BATCH_CHARS:
-                yield from self._split(batch)
-                batch, size = [], 0
-        yield from self._split(batch)
-
-    def _split(self, batch: list[str | None]) -> Iterator[np.ndarray]:
-        if not batch:
-            return
-        ids, ends = self._coded(words_of(batch))
-        yield from (ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()))
+        for run in text_runs(texts, BATCH_CHARS):
+            ids, ends = self._coded(words_of(run))
+            yield from (ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()))
 
 
 @cache

@@ -7,6 +7,7 @@ into words.  Hashes depend on nothing but the bytes: any task gets the same.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -86,27 +87,42 @@ def gather(pool: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
     return pool[shift + np.arange(total)]
 
 
-def shingle_sets(texts: list[str | None], size: int = 3) -> list[np.ndarray]:
+def text_runs(texts: list[str | None], chars: int) -> Iterator[list[str | None]]:
+    """The texts in runs of about so many characters; a longer text is a run of its own."""
+    run: list[str | None] = []
+    size = 0
+    for t in texts:
+        own = len(t or "")
+        if run and size + own > chars:
+            yield run
+            run, size = [], 0
+        run.append(t)
+        size += own
+    if run:
+        yield run
+
+
+def shingle_sets(texts: list[str | None], size: int = 3, chars: int = 1_000_000) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's shingles of lower-cased words.
 
     A text of fewer words is one shingle; one without words has none.
     """
+    return [s for run in text_runs(texts, chars) for s in _shingle_sets(run, size)]
+
+
+def _shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
     w = words_of(texts, lower=True)
+    step = _U(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
         n = len(w.hash)
         grams = np.zeros(max(0, n - size + 1), _U)
         for k in range(size):
-            grams = mixed(grams * _U(0x9E3779B97F4A7C15) + w.hash[k : n - size + 1 + k])
-        sets = []
+            grams = mixed(grams * step + w.hash[k : n - size + 1 + k])
         for a, b in zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist()):
             if b - a >= size:
-                own = np.unique(grams[a : b - size + 1])
-            elif b > a:
-                short = np.zeros(1, _U)
-                for k in range(a, b):
-                    short = mixed(short * _U(0x9E3779B97F4A7C15) + w.hash[k] + _U(b - a))
-                own = short
+                yield np.unique(grams[a : b - size + 1])
             else:
-                own = np.zeros(0, _U)
-            sets.append(own)
-    return sets
+                short = np.zeros(min(1, b - a), _U)
+                for k in range(a, b):
+                    short = mixed(short * step + w.hash[k] + _U(b - a))
+                yield short
