@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import dac, html, jaccard, mixing, packing, quality, scoring, urls, warc
+from turnloom.llm import covertree, dac, html, jaccard, mixing, packing, quality, scoring, urls, warc
 from turnloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op5_pareto_mix": (over("documents", mixing.report), mixing.SQL),
     "op6_min_cut_text": (over("pages", html.extract), None),
     "op7_url_filter": (over("pages", lambda pages: urls.judge(pages).drop("score")), None),
+    "op8_cover_tree": (over("embeddings", covertree.link), None),
     "op9_warc_captures": (over("pages", warc.round_trip), None),
     "op10_quality_rules": (over("documents", quality.report), quality.SQL),
 }
