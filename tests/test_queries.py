@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from turnloom.plans.catalog import QUERIES
 from tests.compare import difference, duck, rows_of_duck, rows_of_spark
 
 SF = "/root/testdata/sf0.001"
@@ -15,14 +16,18 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_SQL))
 def test_query(spark, con, name):
-    got = rows_of_spark(contract.queries()[name](spark, SF))
-    assert difference(got, rows_of_duck(con, contract.oracle_sql()[name])) is None
+    query, sql = QUERIES[name]
+    assert difference(rows_of_spark(query(spark, SF)), rows_of_duck(con, sql)) is None
 
 
 def test_all_but_two_have_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == NO_SQL
+    assert {name for name, (_query, sql) in QUERIES.items() if not sql} == NO_SQL
+
+
+def test_contract_lists_them():
+    assert set(QUERIES) <= set(contract.queries())
 
 
 def test_entry(spark):
