@@ -54,20 +54,25 @@ def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def trigram_counts(docs: DataFrame, chars: int = 2_000_000) -> DataFrame:
-    """(code, n) over all texts, summed in each task first."""
+    """(code, n, t) over all rows of (text, target), summed in each task first; t counts in targets alone."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        code, n, t = (np.zeros(0, np.int64) for _ in range(3))
         for batch in batches:
+            at = 0
             for run in text_runs(batch["text"].tolist(), chars):
-                key, own = np.unique(_codes(run)[0], return_counts=True)
-                both = np.concatenate([code, key.astype(np.int64)])
-                code, where = np.unique(both, return_inverse=True)
-                n = np.bincount(where, np.concatenate([n, own]), len(code)).astype(np.int64)
+                codes, length = _codes(run)
+                target = np.repeat(batch["target"].to_numpy(bool)[at : at + len(run)], length)
+                at += len(run)
+                key, own = np.unique(codes, return_inverse=True)
+                more = np.bincount(own, minlength=len(key)), np.bincount(own[target], minlength=len(key))
+                code, where = np.unique(np.concatenate([code, key.astype(np.int64)]), return_inverse=True)
+                n, t = (np.bincount(where, np.concatenate(x), len(code)).astype(np.int64) for x in ((n, more[0]), (t, more[1])))
         if len(code):
-            yield pd.DataFrame({"code": code, "n": n})
+            yield pd.DataFrame({"code": code, "n": n, "t": t})
 
-    return docs.select("text").mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "target").mapInPandas(count, "code long, n long, t long")
+    return counted.groupBy("code").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
 def log_chances(code: np.ndarray, n: np.ndarray, strength: float = STRENGTH) -> np.ndarray:
@@ -91,9 +96,10 @@ def is_target(labels: DataFrame) -> DataFrame:
 
 def models(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of all trigrams, and their log chances under target and background."""
-    chosen = docs.select("doc_id", "text").join(is_target(labels), "doc_id", "left_semi")
-    target = trigram_counts(chosen).select("code", F.col("n").alias("t"))
-    both = trigram_counts(docs).join(target, "code", "left").select("code", "n", F.coalesce("t", F.lit(0)).alias("t"))
+    # Labels grow with the documents: shuffled at every size, so that the plan is the same at all of them.
+    chosen = is_target(labels).select(F.col("doc_id").alias("_good")).hint("shuffle_merge")
+    marked = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_good"), "left")
+    both = trigram_counts(marked.select("text", F.col("_good").isNotNull().alias("target")))
     table = both.toPandas().sort_values("code")  # at most 2^24 rows
     code, n, t = (table[c].to_numpy(np.int64) for c in ("code", "n", "t"))
     scale = t.sum() / n.sum() if len(n) and t.sum() else 1.0
