@@ -10,68 +10,50 @@ from turnloom.functions.jsontext import call_items, json_items, read_calls
 from turnloom.operators import chat, normalize, toolcalls
 
 
-def plain_render(messages, tools=None):
-    """What a prompt must look like, written out turn by turn."""
-    out = []
-    lead = messages[0]["role"] == "system"
-    if tools:
-        out.append("<|im_start|>system\n" + (messages[0]["content"] + "\n\n" if lead else "") + K.TOOLS_HEAD)
-        out += ["\n" + json.dumps(t, ensure_ascii=False) for t in tools]
-        out.append(K.TOOLS_TAIL)
-    elif lead:
-        out.append(f"<|im_start|>system\n{messages[0]['content']}<|im_end|>\n")
-    for i, m in enumerate(messages):
-        content, role = m.get("content") or "", m["role"]
-        around = [messages[j]["role"] if 0 <= j < len(messages) else None for j in (i - 1, i + 1)]
-        if role == "user" or (role == "system" and i):
-            out.append(f"<|im_start|>{role}\n{content}<|im_end|>\n")
-        elif role == "assistant":
-            think = m.get("reasoning_content")
-            if think is None:
-                think = ""
-                if "</think>" in content:
-                    think = content.split("</think>")[0].rstrip("\n").split("<think>")[-1].lstrip("\n")
-                    content = content.split("</think>")[-1].lstrip("\n")
-            out.append("<|im_start|>assistant\n<think>\n" + think.strip("\n") + "\n</think>\n\n" + content.lstrip("\n"))
-            for k, call in enumerate(json.loads(m["tool_calls"]) if m.get("tool_calls") else []):
-                call = call.get("function") or call
-                args = call["arguments"]
-                out.append("\n" if (k == 0 and content) or k else "")
-                out.append('<tool_call>\n{"name": "' + call["name"] + '", "arguments": ' + (args if isinstance(args, str) else json.dumps(args, ensure_ascii=False)) + "}\n</tool_call>")
-            out.append("<|im_end|>\n")
-        elif role == "tool":
-            out.append(("<|im_start|>user" if around[0] != "tool" else "") + f"\n<tool_response>\n{content}\n</tool_response>" + ("<|im_end|>\n" if around[1] != "tool" else ""))
-    return "".join(out)
-
-
-def random_messages(rng):
-    texts = ["hi", "", "\nx\n", "<think>\nwhy\n</think>\n\nso", "a</think>b", "<think>open", "가나", "q</think></think>r"]
-    calls = [None, '[{"name": "f", "arguments": {"a": "가"}}]', '[{"function": {"name": "g", "arguments": "{}"}}, {"name": "h", "arguments": {"b": 1.5}}]', "[]"]
-    out = []
-    for _ in range(rng.randint(1, 7)):
-        role = rng.choice(["system", "user", "assistant", "assistant", "tool", "tool"])
-        out.append(
-            {
-                "role": role, "content": rng.choice(texts), "reasoning_content": rng.choice([None, None, "\nr\n"]) if role == "assistant" else None,
-                "tools": None, "tool_calls": rng.choice(calls) if role == "assistant" else None,
-            }
-        )
-    return out
-
-
-def test_render_like_plain_python(spark):
-    rng = random.Random(3)
-    tools = [{"name": "f", "d": "설명"}, {"name": "g"}]
-    rows = [(i, random_messages(rng)) for i in range(250)]
+SYS, USER, BOT, END = "<|im_start|>system\n", "<|im_start|>user\n", "<|im_start|>assistant\n<think>\n", "<|im_end|>\n"
+TOOLS = [{"name": "f", "d": "설명"}, {"name": "g"}]
+HEAD = K.TOOLS_HEAD + '\n{"name": "f", "d": "설명"}\n{"name": "g"}' + K.TOOLS_TAIL
+# (messages as role, content, reasoning, calls), prompt without tools, start of the prompt with tools
+RENDERED = [
+    ([("user", "hi", None, None)], USER + "hi" + END, SYS + HEAD),
+    ([("system", "S", None, None), ("user", "", None, None)], SYS + "S" + END + USER + END, SYS + "S\n\n" + HEAD),
+    ([("user", "u", None, None), ("system", "later", None, None)], USER + "u" + END + SYS + "later" + END, SYS + HEAD),
+    ([("assistant", "\nx\n", None, None)], BOT + "\n</think>\n\nx\n" + END, SYS + HEAD),
+    ([("assistant", "<think>\nwhy\n</think>\n\nso", None, None)], BOT + "why\n</think>\n\nso" + END, SYS + HEAD),
+    ([("assistant", "a</think>b", None, None)], BOT + "a\n</think>\n\nb" + END, SYS + HEAD),
+    ([("assistant", "<think>open", None, None)], BOT + "\n</think>\n\n<think>open" + END, SYS + HEAD),
+    ([("assistant", "q</think></think>r", None, None)], BOT + "q\n</think>\n\nr" + END, SYS + HEAD),
+    ([("assistant", "a</think>b", "\nr\n", None)], BOT + "r\n</think>\n\na</think>b" + END, SYS + HEAD),
+    (
+        [("assistant", "", None, '[{"name": "f", "arguments": {"a": "가"}}]')],
+        BOT + '\n</think>\n\n<tool_call>\n{"name": "f", "arguments": {"a": "가"}}\n</tool_call>' + END, SYS + HEAD,
+    ),
+    (
+        [("assistant", "hi", None, '[{"function": {"name": "g", "arguments": "{}"}}, {"name": "h", "arguments": {"b": 1.5}}]')],
+        BOT + '\n</think>\n\nhi\n<tool_call>\n{"name": "g", "arguments": {}}\n</tool_call>\n<tool_call>\n{"name": "h", "arguments": {"b": 1.5}}\n</tool_call>' + END,
+        SYS + HEAD,
+    ),
+    (
+        [("tool", "1", None, None), ("tool", "2", None, None), ("user", "u", None, None), ("tool", "3", None, None)],
+        "<|im_start|>user\n<tool_response>\n1\n</tool_response>\n<tool_response>\n2\n</tool_response>" + END + USER + "u" + END
+        + "<|im_start|>user\n<tool_response>\n3\n</tool_response>" + END,
+        SYS + HEAD,
+    ),
+]
+
+
+def test_rendered_prompts(spark):
+    rows = [(i, [{"role": r, "content": c, "reasoning_content": k, "tools": None, "tool_calls": x} for r, c, k, x in m]) for i, (m, _, _) in enumerate(RENDERED)]
     df = spark.createDataFrame(rows, F_SCHEMA)
     calls = df.select("i", F.posexplode("m").alias("p", "x")).select("i", "p", call_items("x.tool_calls").alias("c"))
     calls = calls.groupBy("i").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "c"))), lambda s: s["c"]).alias("calls"))
-    df = df.join(calls, "i").withColumn("lines", json_items(F.lit(json.dumps(tools))))
+    df = df.join(calls, "i").withColumn("lines", json_items(F.lit(json.dumps(TOOLS))))
     got = df.select("i", chat.render(F.col("m"), None, F.col("calls")).alias("plain"), chat.render(F.col("m"), F.col("lines"), F.col("calls")).alias("tooled"))
-    want = dict(rows)
     for r in got.collect():
-        assert r["plain"] == plain_render(want[r["i"]])
-        assert r["tooled"] == plain_render(want[r["i"]], tools)
+        messages, plain, start = RENDERED[r["i"]]
+        assert r["plain"] == plain
+        lead = SYS + messages[0][1] + END if messages[0][0] == "system" else ""
+        assert r["tooled"] == start + plain.removeprefix(lead)
 
 
 F_SCHEMA = "i int, m array<struct<role:string,content:string,reasoning_content:string,tools:string,tool_calls:string>>"
@@ -85,7 +67,8 @@ def test_parts_join_to_the_whole(spark):
     """Splitting a long conversation anywhere does not change its prompt."""
     rng = random.Random(5)
     turns = turns_of(rng, 97)
-    want = plain_render([{"role": r, "content": t} for _c, _i, r, t in turns])
+    whole = spark.createDataFrame([(0, [(r, t, None, None, None) for _c, _i, r, t in turns])], F_SCHEMA)
+    want = whole.select(chat.render(F.col("m"))).first()[0]
     df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(5)
     for size in (1, 2, 3, 10, 1024):
         parts = chat.render_parts(chat.assemble_parts(df, size)).orderBy("part").collect()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from turnloom.operators import tokens
 from turnloom.plans import stages
+from turnloom.functions.joins import with_key_stats
 from turnloom.sources import jsonl
 
 
@@ -60,3 +61,28 @@ def test_training_rows(spark):
     opening, closing = tokens.answer_marks()
     assert all(sum(x != -100 for x in r["labels"]) >= len("answer") + len(closing) for r in rows) and opening[0] == 1
     assert {r["rank"] for r in rows} == {0, 1}
+
+
+def test_chosen_as_text_and_answers_as_text(spark, tmp_path):
+    """A solution may be plain text or a list of messages; an expected answer may be one string."""
+    lines = ['{"question": "q1", "chosen": "so it is 42"}', '{"question": "q2", "chosen": [{"role": "assistant", "content": "it is 1,200"}]}', '{"question": "q3", "chosen": ""}']
+    (tmp_path / "math.jsonl").write_text("\n".join(lines))
+    out = stages.agent_rl_math(spark, str(tmp_path / "out"), str(tmp_path / "math.jsonl"))
+    assert out == {"accepted": 2, "skipped": 1}
+    (tmp_path / "rl.jsonl").write_text('{"conversations": [], "gt": "7"}\n{"conversations": [], "gt": ["8", "9"]}\n{"conversations": [], "gt": ""}\n')
+    assert sorted(r["gt"] for r in jsonl.read_rl(spark, str(tmp_path / "rl.jsonl")).collect()) == [[], ["7"], ["8", "9"]]
+
+
+def test_equal_rows_of_a_hot_key_spread(spark):
+    """Salts are by place: equal rows of one key don't meet in one partition."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(20_000).select(F.lit("k").alias("key"), F.lit(1).alias("x")).repartition(4)
+    stats = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("x").alias("s"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = with_key_stats(rows, stats, "key", "n", hot_rows=1000)
+        sizes = [r["c"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("c")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and len(sizes) > 1 and max(sizes) < 15_000

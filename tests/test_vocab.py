@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers, trainers
 
+from pyspark.sql import functions as F
 from turnloom.functions import bpe
 from turnloom.operators import vocab
 from turnloom.plans.tables import documents
@@ -111,3 +112,13 @@ def test_pieces_are_held_until_they_decode():
                 assert (list(fast[0]), fast[1]) == slow
     assert bpe._cut_at_characters([b"\xff"]) is None
     assert bpe._buffered([b"\xea\xb0", b"\x80", b"!"]) == ([2, 1], ["가", "!"])
+
+
+def test_windows_over_codes_that_are_line_separators(spark):
+    """Token ids 7,976 and 7,977 are coded as line and paragraph separators; their pairs count like others."""
+    from turnloom.operators.vocab import _windows
+
+    words = ["a\u2028b", "\u2028\u2029", "\u2029", "abc"]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
+    got = [r["p"] for r in df.select("i", _windows(F.col("w")).alias("p")).orderBy("i").collect()]
+    assert got == [["a\u2028", "\u2028b"], ["\u2028\u2029"], [], ["ab", "bc"]]

@@ -20,8 +20,9 @@ def with_key_stats(rows: DataFrame, stats: DataFrame, key: str, n: str, hot_rows
     hot = stats.where(F.col(n) >= hot_rows).select(key, F.struct(*fields).alias("_hot"))
     # Not a literal: the optimiser would take a constant out of the join key.
     unsalted = -(F.col(n) < hot_rows).cast("int")
+    # Rows are salted by their place, as equal rows would share a salt made of their values.
     cold = stats.where(F.col(n) < hot_rows).select(key, unsalted.alias("_salt"), F.struct(*fields).alias("_cold"))
-    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
     joined = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).join(cold, [key, "_salt"], "left")
     both = joined.withColumn("_stats", F.coalesce("_hot", "_cold"))
     return both.select(*rows.columns, *[F.col(f"_stats.{f}").alias(f) for f in fields])

@@ -76,8 +76,8 @@ def _coded(words: DataFrame) -> DataFrame:
 
 
 def _windows(word: Column) -> Column:
-    """All two-character windows of a coded word, overlapping."""
-    return F.regexp_extract_all(word, F.lit("(?=(..))"), F.lit(1))
+    """All two-character windows of a coded word, overlapping; codes may be line separators."""
+    return F.regexp_extract_all(word, F.lit("(?s)(?=(..))"), F.lit(1))
 
 
 def _counted(pairs: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ def source_counts(spark, sf_dir):
     docs = normalize.clean_text(t.documents(spark, sf_dir).select("text"))
     pages = normalize.clean_text(t.table(spark, sf_dir, "pages").select(F.col("html").alias("text")))
     both = normalize.concat_sources(("documents", docs), ("pages", pages))
-    return both.rollup("source").agg(F.count("*").alias("n_rows")).select(F.coalesce("source", F.lit("total")).alias("source"), "n_rows")
+    counts = both.groupBy("source").agg(F.count("*").alias("n"))  # the rollup then expands one row per source
+    return counts.rollup("source").agg(F.sum("n").alias("n_rows")).select(F.coalesce("source", F.lit("total")).alias("source"), "n_rows")
 
 
 SOURCE_COUNTS = f"""with u as (select 'documents' as source from documents where {strip('text')} <> ''

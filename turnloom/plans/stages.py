@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from turnloom.functions.bpe import encoder
 from turnloom.functions.draws import draw_key
+from turnloom.functions.text import truthy
 from turnloom.operators import chat, manifest, normalize, tokens
 from turnloom.schemas import MSG_DDL, RAW_CHAT_ROW
 from turnloom.sources import jsonl
@@ -20,15 +21,19 @@ _LOOSE_LIST = RAW_CHAT_ROW["messages"].dataType
 _TYPES = {"conversations": _LOOSE_LIST, "messages": _LOOSE_LIST, "chosen": f"array<{MSG_DDL}>", "rejected": f"array<{MSG_DDL}>"}
 
 
-def read_source(spark: SparkSession, path: str, columns: list[str], fmt: str = "json", split: str | None = None) -> DataFrame:
-    """A snapshot with the columns a stage looks at (missing ones null) and the source order."""
+def read_source(spark: SparkSession, path: str, columns: list[str], fmt: str = "json", split: str | None = None, as_text: tuple[str, ...] = ()) -> DataFrame:
+    """A snapshot with the columns a stage looks at (missing ones null) and the source order.
+
+    Columns in ``as_text`` may hold text or anything else, which then comes as JSON.
+    """
     if fmt == "json":
-        fields = ", ".join(f"{c} {t if isinstance(t, str) else t.simpleString()}" for c in columns for t in [_TYPES.get(c, "string")])
+        fields = ", ".join(f"{c} {t if isinstance(t, str) else t.simpleString()}" for c in columns for t in ["string" if c in as_text else _TYPES.get(c, "string")])
         # Field names of the loose messages include a keyword, hence back quotes.
         df = spark.read.schema(fields.replace("from:", "`from`:")).json(path)
     else:
         df = jsonl.read_snapshot(spark, path, split)
-    missing = {c: F.lit(None).cast(_TYPES.get(c, "string")) for c in columns if c not in df.columns}
+        df = df.withColumns({c: F.to_json(c) for c in as_text if c in df.columns and dict(df.dtypes)[c] != "string"})
+    missing = {c: F.lit(None).cast("string" if c in as_text else _TYPES.get(c, "string")) for c in columns if c not in df.columns}
     return df.withColumns(missing).select(*columns, jsonl.line_order().alias("ord"))
 
 
@@ -81,8 +86,10 @@ def rlaif(spark, root: str, n: int = 10000, seed: int = 42, force: bool = False)
     """A sample of the SFT output, lines kept as they are."""
     path = jsonl.stage_output(spark, root, "rlaif", force)
     lines = jsonl.read_raw_lines(spark, jsonl.stage_path(root, "sft"))
-    # Equal lines must stay separate rows: the key is the line's place and text.
-    keyed = lines.select("value", F.to_json(F.struct(jsonl.line_order().alias("o"))).alias("row_id"))
+    # Equal lines stay separate rows: the key is the line's text and which of its equals it is, whatever the layout.
+    counted = lines.groupBy("value").agg(F.count("*").alias("n"))
+    each = counted.select("value", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
+    keyed = each.select("value", F.concat_ws(":", F.md5("value"), "k").alias("row_id"))
     picked = manifest.sample_n(keyed, "row_id", n, seed)
     picked.select("value").write.mode("overwrite" if force else "errorifexists").text(path)
     return {"accepted": spark.read.text(path).count()}
@@ -101,8 +108,9 @@ def agent_rl_math(spark, root: str, source: str, limit: int = 0, fmt: str = "jso
     """Questions with the number their solution ends on."""
     path = jsonl.stage_output(spark, root, "agent_rl_math", force)
     cols = ["question", "prompt", "instruction", "chosen_text", "chosen", "output", "answer"]
-    rows = read_source(spark, source, cols, fmt)
-    said = F.when(F.size("chosen") > 0, normalize.last_assistant(F.col("chosen")))
+    rows = read_source(spark, source, cols, fmt, as_text=("chosen",))
+    turns = F.from_json("chosen", f"array<{MSG_DDL}>")
+    said = F.when(F.size(turns) > 0, normalize.last_assistant(turns)).when(~F.ltrim("chosen").startswith("["), truthy(F.col("chosen")))
     solution = F.coalesce(said, normalize.first_filled(F.col("chosen_text"), F.col("output"), F.col("answer")))
     rows = normalize.math_rows(rows, normalize.first_filled(F.col("question"), F.col("prompt"), F.col("instruction")), solution)
     reason = normalize.math_reason(F.col("question"), F.col("solution"), F.col("gt"))

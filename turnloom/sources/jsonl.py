@@ -10,6 +10,7 @@ from turnloom import constants as K
 from turnloom.functions.jsontext import strict_object
 from turnloom.functions.text import once, py_strip
 from turnloom.operators.manifest import first_n
+from turnloom.operators.normalize import listed_gt
 from turnloom.operators.vocab import corpus_text
 from turnloom.schemas import CHAT_ROW, CORPUS_ROW, PAIR_ROW, RL_ROW, TEXT_ROW
 
@@ -32,7 +33,10 @@ def read_pairs(spark: SparkSession, path) -> DataFrame:
 
 
 def read_rl(spark: SparkSession, path) -> DataFrame:
-    return _json(spark, path, RL_ROW)
+    """Expected answers may be written as a list or as one string; they are read as a list."""
+    loose = T.StructType([f if f.name != "gt" else T.StructField("gt", T.StringType()) for f in RL_ROW.fields])
+    gt = F.when(F.startswith("gt", F.lit("[")), F.from_json("gt", "array<string>")).when(F.col("gt").isNotNull(), listed_gt(F.col("gt")))
+    return _json(spark, path, loose).withColumn("gt", gt)
 
 
 def read_with_rejects(spark: SparkSession, path, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
