@@ -96,10 +96,9 @@ def best_fit(
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, **rules) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces that is cheap to read twice."""
-    groups = pieces.select(F.greatest(F.lit(1), F.ceil(F.count("*") / group_pieces)).alias("_groups"))
+    groups = max(1, -(-pieces.count() // group_pieces))
     names = pieces.columns
-    place = F.pmod(F.xxhash64(F.lit(7), "doc_id", "piece"), F.col("_groups")).cast("int")
-    dealt = pieces.crossJoin(F.broadcast(groups)).withColumn("_group", place).drop("_groups")
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(7), "doc_id", "piece"), F.lit(groups)).cast("int"))
 
     def packed(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
