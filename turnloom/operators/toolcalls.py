@@ -122,7 +122,7 @@ def unknown_calls(calls: DataFrame, tools: DataFrame) -> DataFrame:
 
 def allowed_calls(calls: DataFrame, allowed: DataFrame) -> DataFrame:
     """Calls whose name is among the sample's own tools."""
-    return calls.join(allowed.select("sample_id", "name"), ["sample_id", "name"], "left_semi")
+    return calls.join(allowed.select("sample_id", "name").distinct(), ["sample_id", "name"], "left_semi")
 
 
 # --- table-backed results ---------------------------------------------------------
