@@ -11,7 +11,10 @@ CALL = '<tool_call>{"name": "f"}</tool_call>'
 TEXTS = [
     "think</think>\n\nsay", "no tag at all", "</think>", "a</think>b</think>c", "x<tool_call>{}</tool_call></think>y", f"r</think>{CALL} and {CALL}", CALL,
     "t</think>\n\n\n", "t</thin", f"q</think>a<tool_call>[1]</tool_call>b<tool_call>oops", "r</think>\n" + CALL[:20] + "\n" + CALL[20:],
+    f"{CALL}<think>plan {CALL}</think> \n{CALL}", f"a<think>b{CALL}", "t</think>" + "\n" * 40 + "late",
 ]
+OPENS = [True] * 11 + [True, False, True]
+N_CALLS = [0, 0, 0, 0, 0, 2, 1, 0, 0, 0, 1, 2, 1, 0]
 
 
 def pieces(seed, low=1, high=4):
@@ -22,24 +25,27 @@ def pieces(seed, low=1, high=4):
             n = rng.randint(low, high)
             cut.append(text[at : at + n])
             at += n
-        rows += [(i, k, 1704067200 + k, c, k == len(cut) - 1) for k, c in enumerate(cut)]
+        rows += [(i, k, 1704067200 + k % 3, c, k == len(cut) - 1, OPENS[i]) for k, c in enumerate(cut)]
     return rows
 
 
-def split(text):
+def split(i):
+    text = TEXTS[i]
     at = text.find("</think>")
+    if not OPENS[i]:
+        return "", text
     return (text, "") if at < 0 else (text[:at], text[at + 8 :].lstrip("\n"))
 
 
 def frame(spark, rows):
-    df = spark.createDataFrame(rows, "response_id bigint, seq int, t bigint, chunk string, done boolean")
+    df = spark.createDataFrame(rows, "response_id bigint, seq int, t bigint, chunk string, done boolean, open_thinking boolean")
     return df.withColumn("ts", F.timestamp_seconds("t")).drop("t")
 
 
 def test_assembler_keeps_little():
-    a = assemble.Assembler()
+    a = assemble.Assembler(thinking=True)
     rows = [r for k in range(500) for r in assemble.Assembler.add(a, k, "abc<", False)]
-    assert len(a.save()) < 300 and "".join(r[2] for r in rows) == "abc<" * 499 + "abc"
+    assert len(a.save()) < 400 and "".join(r[2] for r in rows) == "abc<" * 499 + "abc"
 
 
 def test_stream_in_small_batches_out_of_order(spark, tmp_path):
@@ -51,9 +57,10 @@ def test_stream_in_small_batches_out_of_order(spark, tmp_path):
     chunks = spark.readStream.schema(frame(spark, rows).schema).option("maxFilesPerTrigger", 1).parquet(str(feed))
     deltas = assemble.run_assembly(chunks, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     got = {r["response_id"]: r for r in assemble.delta_parts(deltas).collect()}
-    for i, text in enumerate(TEXTS):
-        assert (got[i]["reasoning"], got[i]["content"]) == split(text)
-    assert [got[i]["n_calls"] for i in range(len(TEXTS))] == [0, 0, 0, 0, 0, 2, 1, 0, 0, 0, 1]
+    assert sorted(got) == list(range(len(TEXTS)))
+    for i in got:
+        assert (got[i]["reasoning"], got[i]["content"]) == split(i)
+    assert [got[i]["n_calls"] for i in range(len(TEXTS))] == N_CALLS
     assert got[5]["finish_reason"] == "tool_calls" and got[0]["finish_reason"] == "stop"
 
 
@@ -64,9 +71,29 @@ def test_batch_twin_in_small_parts(spark):
         for r in out:
             a, b = got.get(r["response_id"], ("", ""))
             got[r["response_id"]] = (a + r["reasoning"], b + r["content"])
-        for i, text in enumerate(TEXTS):
-            # Newlines after the tag are dropped up to the end of the part.
-            assert (got[i][0], got[i][1].lstrip("\n")) == split(text)
+        for i in range(len(TEXTS)):
+            assert got[i] == split(i)
+
+
+def test_one_response_per_batch(spark, tmp_path):
+    feed = tmp_path / "feed"
+    for k in range(6):
+        rows = [(k, j, 1704067200 + 3600 * (5 - k), f"w{j} ", j == 2, False) for j in range(3)]
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(str(feed))
+    chunks = spark.readStream.schema(frame(spark, rows).schema).option("maxFilesPerTrigger", 1).parquet(str(feed))
+    deltas = assemble.run_assembly(chunks, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    got = {r["response_id"]: (r["content"], r["finish_reason"]) for r in assemble.delta_parts(deltas).collect()}
+    assert got == {k: ("w0 w1 w2 ", "stop") for k in range(6)}
+
+
+def test_long_open_call_is_searched_once():
+    watch = assemble.CallWatch()
+    watch.add('<tool_call>{"name": "', False)
+    for _ in range(5000):
+        watch.add("abcdefgh", False)
+    watch.add('"}</tool_', False)
+    watch.add("call>", True)
+    assert len(watch.calls()) == 1 and len(watch.calls()[0]) > 40_000
 
 
 def test_ingest_takes_only_new_files(spark, tmp_path):

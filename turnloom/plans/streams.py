@@ -17,13 +17,26 @@ def stream_ingest(spark, sf_dir):
     return rows.select("doc_id", "source", "text")
 
 
+def _assembled(spark, feed, **options):
+    chunks = spark.readStream.schema(spark.read.parquet(feed).schema).options(**options).parquet(feed)
+    deltas = assemble.run_assembly(chunks, scratch_path(spark, "deltas"), scratch_path(spark, "deltas-checkpoint"))
+    return assemble.delta_parts(deltas).select("response_id", "part", "reasoning", "content", "n_calls", "finish_reason")
+
+
 def stream_assemble(spark, sf_dir):
     """Documents as streamed pieces, put together by the stateful stream."""
     feed = scratch_path(spark, "chunks")
     t.chunks(spark, sf_dir).write.parquet(feed)
-    chunks = spark.readStream.schema(spark.read.parquet(feed).schema).option("maxBytesPerTrigger", ingest.BATCH_BYTES).parquet(feed)
-    deltas = assemble.run_assembly(chunks, scratch_path(spark, "deltas"), scratch_path(spark, "deltas-checkpoint"))
-    return assemble.delta_parts(deltas).select("response_id", "part", "reasoning", "content", "n_calls", "finish_reason")
+    return _assembled(spark, feed, maxBytesPerTrigger=ingest.BATCH_BYTES)
+
+
+def stream_assemble_batches(spark, sf_dir):
+    """The same over six micro-batches that each hold pieces of every response, out of order."""
+    feed, batches = scratch_path(spark, "chunks"), 6
+    chunks = t.chunks(spark, sf_dir)
+    files = max(2 * batches, chunks.rdd.getNumPartitions())
+    chunks.repartition(files, "seq").write.parquet(feed)
+    return _assembled(spark, feed, maxFilesPerTrigger=-(-files // batches))
 
 
 def chunk_assemble(spark, sf_dir):
@@ -36,8 +49,9 @@ _PART = 1024 * 64
 _TEXTS = f"""{t.MARKED_SQL}, m as (select doc_id as response_id, text, instr(text, '</think>') as tag_at, (length(text) - 1) // {_PART} as last_part from marked where text <> ''),
 x as (select *, unnest(range(0, last_part + 1)) as part from m)"""
 _SPLIT = f"""response_id, part,
-  case when tag_at = 0 then substr(text, part * {_PART} + 1, {_PART}) when part = 0 then substr(text, 1, tag_at - 1) else '' end as reasoning,
-  case when tag_at = 0 then '' when part = 0 then ltrim(substr(text, tag_at + 8, {_PART} - tag_at - 7), chr(10)) else substr(text, part * {_PART} + 1, {_PART}) end as content"""
+  case when response_id % 4 >= 2 then '' when tag_at = 0 then substr(text, part * {_PART} + 1, {_PART}) when part = 0 then substr(text, 1, tag_at - 1) else '' end as reasoning,
+  case when response_id % 4 >= 2 then substr(text, part * {_PART} + 1, {_PART}) when tag_at = 0 then ''
+    when part = 0 then ltrim(substr(text, tag_at + 8, {_PART} - tag_at - 7), chr(10)) else substr(text, part * {_PART} + 1, {_PART}) end as content"""
 CHUNK_ASSEMBLE = f"with {_TEXTS} select {_SPLIT} from x"
 STREAM_ASSEMBLE = f"""with {_TEXTS} select {_SPLIT}, cast(case when response_id % 3 = 0 and part = last_part then 1 else 0 end as bigint) as n_calls,
   case when part < last_part then null when response_id % 3 = 0 then 'tool_calls' else 'stop' end as finish_reason from x"""
@@ -45,5 +59,6 @@ STREAM_ASSEMBLE = f"""with {_TEXTS} select {_SPLIT}, cast(case when response_id
 QUERIES = {
     "stream_ingest": (stream_ingest, CORPUS_CLEAN),
     "stream_assemble": (stream_assemble, STREAM_ASSEMBLE),
+    "stream_assemble_batches": (stream_assemble_batches, STREAM_ASSEMBLE),
     "chunk_assemble": (chunk_assemble, CHUNK_ASSEMBLE),
 }

@@ -270,7 +270,7 @@ def chunks(spark, sf_dir, size: int = 64) -> DataFrame:
     """Documents as a stream of text pieces with event times.
 
     Every other document has a think close tag put into it, and every third ends
-    on a tool call, so that all sides of a response have text.
+    on a tool call; two of four start in thinking, one with and one without a tag.
     """
     pieces = F.regexp_extract_all("text", F.lit(f"(?s)(.{{1,{size}}})"), F.lit(1))
     return (
@@ -279,7 +279,7 @@ def chunks(spark, sf_dir, size: int = 64) -> DataFrame:
         .select("doc_id", F.size(pieces).alias("n"), F.posexplode(pieces).alias("seq", "chunk"))
         .select(
             F.col("doc_id").alias("response_id"), "seq", F.timestamp_seconds(F.lit(1704067200) + F.col("seq")).alias("ts"), "chunk",
-            (F.col("seq") == F.col("n") - 1).alias("done"),
+            (F.col("seq") == F.col("n") - 1).alias("done"), (F.pmod("doc_id", F.lit(4)) < 2).alias("open_thinking"),
         )
     )
 

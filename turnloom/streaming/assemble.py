@@ -1,8 +1,9 @@
 """Assembling streamed responses: text pieces -> reasoning, content, calls, finish.
 
-A response is open until its last piece; reasoning ends at the first think close
-tag.  The stream version keeps only what it cannot decide yet (a few characters
-that may begin a tag, an open call, pieces that came early), never the text.
+A response is open until its last piece.  One that starts in thinking reasons up
+to the first think close tag; all others are content from the start.  The stream
+version keeps only what it cannot decide yet: a few characters that may begin a
+tag, a call that is open, pieces that came before their turn.
 """
 
 from __future__ import annotations
@@ -10,13 +11,12 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnloom.constants import CALL_CLOSE, CALL_OPEN, THINK_CLOSE
+from turnloom.constants import CALL_CLOSE, CALL_OPEN, THINK_CLOSE, THINK_OPEN
 from turnloom.functions.joins import with_key_stats
-from turnloom.functions.text import let
 
 PART_CHUNKS = 1024
 
@@ -34,38 +34,103 @@ def _held_back(text: str, tag: str) -> int:
     return next((n for n in range(min(len(tag) - 1, len(text)), 0, -1) if tag.startswith(text[-n:])), 0)
 
 
-class Assembler:
-    """The undecided rest of one response."""
+class CallWatch:
+    """Tool calls of a text that comes in pieces.
 
-    def __init__(self, saved: str | None = None):
-        fresh = {"next": 0, "early": {}, "thinking": True, "tail": "", "skip": False, "call": "", "calls": []}
-        self.s = json.loads(saved) if saved else fresh
+    Only calls outside think blocks count.  Without a whole block, a lone close
+    tag makes all before it reasoning; an open tag that is never closed hides
+    nothing.  So two searches run: ``main`` leaves out the blocks closed so far,
+    ``late`` starts at the first close tag.  Held are an open call, the state
+    before an open block, and the characters that may begin a tag.
+    """
 
-    def save(self) -> str:
-        return json.dumps(self.s, ensure_ascii=False)
+    def __init__(self, saved: dict | None = None):
+        self.s = saved or {"tail": "", "block": False, "blocks": 0, "trim": False, "main": self.fresh(), "before": None, "late": None}
+
+    @staticmethod
+    def fresh() -> dict:
+        return {"buf": "", "seen": 0, "calls": []}
 
-    def _watch_calls(self, text: str) -> None:
-        buf = self.s["call"] + text
+    @staticmethod
+    def _search(w: dict, text: str) -> None:
+        buf = w["buf"] + text
         while True:
             at = buf.find(CALL_OPEN)
             if at < 0:
                 buf = buf[len(buf) - _held_back(buf, CALL_OPEN) :]
+                w["seen"] = 0
                 break
-            end = buf.find(CALL_CLOSE, at + len(CALL_OPEN))
+            # What an earlier piece was searched for is not searched again.
+            end = buf.find(CALL_CLOSE, at + max(len(CALL_OPEN), w["seen"] - len(CALL_CLOSE)))
             if end < 0:
                 buf = buf[at:]
+                w["seen"] = len(buf)
                 break
             try:
                 call = json.loads(buf[at + len(CALL_OPEN) : end].strip())
                 if isinstance(call, dict):
-                    self.s["calls"].append(json.dumps(call, ensure_ascii=False))
+                    w["calls"].append(json.dumps(call, ensure_ascii=False))
             except ValueError:
                 pass
             buf = buf[end + len(CALL_CLOSE) :]
-        self.s["call"] = buf
+            w["seen"] = 0
+        w["buf"] = buf
+
+    def _feed(self, text: str, late: bool = True) -> None:
+        s = self.s
+        if late and s["late"] is not None:
+            self._search(s["late"], text)
+        if s["trim"]:
+            text = text.lstrip()
+            s["trim"] = not text
+        self._search(s["main"], text)
+
+    def add(self, text: str, done: bool) -> None:
+        s = self.s
+        text = s["tail"] + text
+        while True:
+            tags = [THINK_CLOSE] if s["block"] else [THINK_OPEN, THINK_CLOSE]
+            at, tag = min(((text.find(t), t) for t in tags if t in text), default=(-1, ""))
+            if at < 0:
+                break
+            self._feed(text[:at])
+            text = text[at + len(tag) :]
+            first_close = tag == THINK_CLOSE and s["late"] is None
+            if tag == THINK_OPEN:
+                s.update(block=True, before=json.dumps(s["main"]))
+                self._feed(tag)
+            elif s["block"]:
+                if s["late"] is not None:
+                    self._search(s["late"], tag)
+                s.update(block=False, blocks=s["blocks"] + 1, trim=True, main=json.loads(s["before"]), before=None)
+            else:
+                self._feed(tag)
+            if first_close:
+                s["late"] = self.fresh()
+        keep = 0 if done else max(_held_back(text, THINK_OPEN), _held_back(text, THINK_CLOSE))
+        s["tail"] = text[len(text) - keep :]
+        self._feed(text[: len(text) - keep])
+
+    def calls(self) -> list[str]:
+        whole = self.s["blocks"] or self.s["late"] is None
+        return self.s["main" if whole else "late"]["calls"]
+
+
+class Assembler:
+    """The undecided rest of one response."""
+
+    def __init__(self, saved: str | None = None, thinking: bool = False):
+        fresh = {"next": 0, "early": {}, "thinking": thinking, "tail": "", "skip": False, "watch": None}
+        self.s = json.loads(saved) if saved else fresh
+        self.watch = CallWatch(self.s["watch"])
+        self.s["watch"] = self.watch.s
+
+    def save(self) -> str:
+        return json.dumps(self.s, ensure_ascii=False)
 
     def _say(self, seq: int, text: str, done: bool):
         s = self.s
+        self.watch.add(text, done)
         if s["thinking"]:
             text = s["tail"] + text
             at = text.find(THINK_CLOSE)
@@ -73,20 +138,15 @@ class Assembler:
             reasoning = text[:at] if at >= 0 else text[: len(text) - keep]
             s["tail"] = "" if at >= 0 else text[len(text) - keep :]
             if reasoning:
-                self._watch_calls(reasoning)
                 yield seq, "reasoning", reasoning
             if at < 0:
                 return
-            # Calls before the close tag were reasoning after all.
-            s.update(thinking=False, skip=True, call="", calls=[])
+            s.update(thinking=False, skip=True)
             text = text[at + len(THINK_CLOSE) :]
-        elif seq % PART_CHUNKS == 0:
-            s["skip"] = False
         if s["skip"]:
             text = text.lstrip("\n")
             s["skip"] = not text
         if text:
-            self._watch_calls(text)
             yield seq, "content", text
 
     def add(self, seq: int, text: str, done: bool):
@@ -100,36 +160,39 @@ class Assembler:
             s["next"] = at + 1
             yield from self._say(at, piece[0] or "", bool(piece[1]))
             if piece[1]:
-                yield from self.finish(at, "tool_calls" if s["calls"] else "stop")
+                yield from self.finish(at, "tool_calls" if self.watch.calls() else "stop")
                 return
 
     def finish(self, seq: int, reason: str):
         self.s["over"] = True
-        for call in self.s["calls"]:
+        for call in self.watch.calls():
             yield seq, "tool_call", call
         yield seq, "finish", reason
 
 
-def stream_deltas(chunks: DataFrame, idle: str = "10 minutes", idle_ms: int = 600_000) -> DataFrame:
-    """Streamed pieces (response_id, seq, ts, chunk, done) -> delta rows.
+def stream_deltas(chunks: DataFrame, idle_ms: int | None = None) -> DataFrame:
+    """Streamed pieces (response_id, seq, chunk, done, open_thinking) -> delta rows.
 
-    A response without news for ``idle`` of event time ends as 'timeout', which
-    frees its state.
+    No row is dropped for its time: pieces may come in any order and in any
+    micro-batch.  ``open_thinking`` (false when null or not there) tells whether
+    a response starts inside its reasoning.  A response stays open until its last
+    piece is there.  With ``idle_ms``, one without news for that long (processing
+    time) ends as 'timeout', which frees its state; do not set it shorter than a
+    backlog may take.
     """
 
     def step(key, frames, state):
         def frame(rows):
             return pd.DataFrame([(key[0], *r) for r in rows], columns=["response_id", "seq", "kind", "delta"])
 
-        response = Assembler(state.get[0] if state.exists else None)
+        response = Assembler(state.get[0]) if state.exists else None
         if state.hasTimedOut:
             state.remove()
             yield frame(response.finish(response.s["next"], "timeout"))
             return
-        last = state.getCurrentWatermarkMs()
         for batch in frames:
-            last = max(last, int(batch["ts"].max().timestamp() * 1000))
             batch = batch.sort_values("seq")
+            response = response or Assembler(thinking=bool(batch["open_thinking"].any()))
             rows = [r for seq, text, done in zip(batch["seq"], batch["chunk"], batch["done"]) for r in response.add(int(seq), text, bool(done))]
             if rows:
                 yield frame(rows)
@@ -138,15 +201,20 @@ def stream_deltas(chunks: DataFrame, idle: str = "10 minutes", idle_ms: int = 60
                 state.remove()
         else:
             state.update((response.save(),))
-            state.setTimeoutTimestamp(last + idle_ms)
+            if idle_ms is not None:
+                state.setTimeoutDuration(idle_ms)
 
     return (
-        chunks.withWatermark("ts", idle)
+        chunks.select("response_id", "seq", "chunk", "done", _opens(chunks).alias("open_thinking"))
         .groupBy("response_id")
-        .applyInPandasWithState(step, DELTA, STATE, "append", "EventTimeTimeout")
+        .applyInPandasWithState(step, DELTA, STATE, "append", "NoTimeout" if idle_ms is None else "ProcessingTimeTimeout")
     )
 
 
+def _opens(chunks: DataFrame) -> Column:
+    return F.coalesce("open_thinking", F.lit(False)) if "open_thinking" in chunks.columns else F.lit(False)
+
+
 def run_assembly(chunks: DataFrame, out: str, checkpoint: str) -> DataFrame:
     """Runs the stream over all that is there and returns the delta table."""
     query = (
@@ -187,18 +255,22 @@ def response_parts(chunks: DataFrame, part_chunks: int = PART_CHUNKS, hot_parts:
             F.when((within < ahead) & (part > 0), F.struct((part - 1).alias("part"), F.lit(False).alias("own"))),
         )
     )
-    spread = chunks.select("response_id", "seq", "chunk", F.explode(spots).alias("s")).select("response_id", "seq", "chunk", "s.part", "s.own")
+    spread = chunks.withColumn("opens", _opens(chunks)).select("response_id", "seq", "chunk", "opens", F.explode(spots).alias("s"))
+    spread = spread.select("response_id", "seq", "chunk", "opens", "s.part", "s.own")
 
     def joined(own):
         rows = F.array_sort(F.collect_list(F.when(F.col("own") == own, F.struct("seq", "chunk"))))
         return F.array_join(F.transform(rows, lambda r: r["chunk"]), "")
 
-    texts = spread.groupBy("response_id", "part").agg(joined(True).alias("text"), joined(False).alias("border"))
+    texts = spread.groupBy("response_id", "part").agg(
+        joined(True).alias("text"), joined(False).alias("border"), F.max("opens").alias("opens")
+    )
     texts = texts.where(F.col("text") != "").withColumn(
         "at", F.instr(F.concat("text", F.substring("border", 1, ahead)), THINK_CLOSE)
     )
     closers = texts.groupBy("response_id").agg(
-        F.min(F.when(F.col("at") > 0, F.struct("part", "at", F.length("text").alias("len")))).alias("c"), F.count("*").alias("n_parts")
+        F.min(F.when(F.col("at") > 0, F.struct("part", "at", F.length("text").alias("len")))).alias("c"),
+        F.max("opens").alias("thinks"), F.count("*").alias("n_parts"),
     )
     # Characters of the part that belong to the tag or lie before it.
     used = (
@@ -207,14 +279,19 @@ def response_parts(chunks: DataFrame, part_chunks: int = PART_CHUNKS, hot_parts:
         .when(F.col("part") == F.col("c.part") + 1, F.greatest(F.col("c.at") - 1 + len(THINK_CLOSE) - F.col("c.len"), F.lit(0)))
         .otherwise(F.lit(0))
     )
-    ends_here = (F.col("part") == F.col("c.part")) & (F.col("c.at") - 1 + len(THINK_CLOSE) <= F.col("c.len"))
-    ends_next = (F.col("part") == F.col("c.part") + 1) & (F.col("c.at") - 1 + len(THINK_CLOSE) > F.col("c.len"))
     thought = F.when(F.col("c").isNull() | (F.col("part") < F.col("c.part")), F.col("text")).when(
         F.col("part") == F.col("c.part"), F.substring(F.col("text"), F.lit(1), F.col("c.at") - 1)
     ).otherwise(F.lit(""))
-    said = let(
-        F.struct(F.substring(F.col("text"), used + 1, F.length("text")).alias("t"), F.coalesce(ends_here | ends_next, F.lit(False)).alias("trim")),
-        lambda z: F.when(z["trim"], F.ltrim(z["t"], F.lit("\n"))).otherwise(z["t"]),
-    )
     placed = with_key_stats(texts, closers, "response_id", "n_parts", hot_parts)
-    return placed.select("response_id", "part", thought.alias("reasoning"), said.alias("content"))
+    cut = placed.select(
+        "response_id", "part", "thinks", F.when(F.col("thinks"), thought).otherwise(F.lit("")).alias("reasoning"),
+        F.when(F.col("thinks"), F.substring(F.col("text"), used + 1, F.length("text"))).otherwise(F.col("text")).alias("rest"),
+    )
+    # Newlines after the tag go, also where they fill whole parts.
+    trimmed = F.ltrim("rest", F.lit("\n"))
+    heads = cut.groupBy("response_id").agg(F.min(F.when(trimmed != "", F.col("part"))).alias("head"), F.count("*").alias("n_parts"))
+    said = (
+        F.when(~F.col("thinks") | (F.col("part") > F.col("head")), F.col("rest"))
+        .when(F.col("part") == F.col("head"), trimmed).otherwise(F.lit(""))
+    )
+    return with_key_stats(cut, heads, "response_id", "n_parts", hot_parts).select("response_id", "part", "reasoning", said.alias("content"))
