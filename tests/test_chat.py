@@ -157,3 +157,37 @@ def test_attach_tools_without_system(spark):
     assert len(out[1]) == 1
 
 
+
+TURNS = "conv_id bigint, turn bigint, role string, text string, tools string, tool_calls string"
+
+
+def test_tools_and_calls_in_turns_and_parts(spark):
+    """Tools of a late system message stand in the header, calls in their turn, wherever a part ends."""
+    call = '[{"name": "f", "arguments": {"x": 1}}]'
+    rows = [
+        (7, 0, "system", "S", '[{"name": "old"}]', None), (7, 1, "user", "q", None, None), (7, 2, "system", "now", '[{"name":"f"}]', None),
+        (7, 3, "assistant", "", None, call), (7, 4, "tool", "1", None, None), (7, 5, "tool", "2", None, None), (7, 6, "assistant", "done", None, None),
+        (8, 0, "user", "hi", None, None), (8, 1, "assistant", "yes", None, call),
+    ]
+    df = spark.createDataFrame(rows, TURNS).repartition(3)
+    whole = spark.createDataFrame([(c, [(r[2], r[3], None, r[4], r[5]) for r in rows if r[0] == c]) for c in (7, 8)], F_SCHEMA)
+    want = {r["i"]: r["p"] for r in whole.select("i", chat.render_chat(F.col("m")).alias("p")).collect()}
+    assert '{"name": "f"}' in want[7] and "old" not in want[7] and want[7].count('{"name": "f", "arguments": {"x": 1}}') == 1
+    assert want[8].endswith('yes\n<tool_call>\n{"name": "f", "arguments": {"x": 1}}\n</tool_call><|im_end|>\n') and "# Tools" not in want[8]
+    pieces = chat.render_turns(df).orderBy("turn").collect()
+    assert {c: "".join(r["piece"] for r in pieces if r["conv_id"] == c) for c in (7, 8)} == want
+    for size in (2, 100):
+        parts = chat.render_parts(chat.assemble_parts(df, size), with_tools=True).orderBy("part").collect()
+        assert {c: "".join(r["prompt"] for r in parts if r["conv_id"] == c) for c in (7, 8)} == want
+
+
+def test_rules_past_a_thousand_turns(spark):
+    """Nothing changes in a conversation of 1,026 turns."""
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"t{k}", None, None) for k in range(1026)]
+    rows[3] = (1, 3, "system", "s", "[1]", None)
+    df = spark.createDataFrame(rows, TURNS).repartition(4)
+    recent = chat.recent_messages(df, 4).select(F.col("messages")["content"]).first()[0]
+    assert recent == ["t1022", "t1023", "t1024", "t1025"]
+    assert tuple(chat.prompt_summary(df).first()) == (1, 1025, "[1]")
+    pieces = [r["piece"] for r in chat.context_pieces(df).orderBy("turn").collect()]
+    assert pieces[0] == "user: t0" and pieces[1024] == "\nuser: t1024" and pieces[1025].endswith("t1025") and not pieces[1025].startswith("\n" + "assistant")

@@ -109,8 +109,12 @@ def test_ingest_takes_only_new_files(spark, tmp_path):
 def test_call_deltas_in_small_parts(spark):
     rows = [(1, k, k % 2, "id" if k < 2 else None, "n" if k in (2, 3) else None, str(k)) for k in range(40)]
     df = spark.createDataFrame(rows, "response_id int, seq int, call_index int, id string, name string, arguments string").repartition(3)
-    for part in (3, 1024):
-        got = {0: ("", "", ""), 1: ("", "", "")}
-        for r in toolcalls.merge_call_deltas(df, part).orderBy("part").collect():
-            got[r["call_index"]] = tuple(a + b for a, b in zip(got[r["call_index"]], (r["id"], r["name"], r["arguments"])))
+    for run in (3, 1024):
+        got = {r["call_index"]: (r["id"], r["name"], r["arguments"]) for r in toolcalls.merge_call_deltas(df, run).collect()}
         assert got == {i: ("id", "n", "".join(str(k) for k in range(i, 40, 2))) for i in (0, 1)}
+
+
+def test_late_call_is_one_row(spark):
+    rows = [(1, 1022 + k, 0, "id" if k == 0 else None, "n" if k == 1 else None, str(k)) for k in range(6)]
+    df = spark.createDataFrame(rows, "response_id int, seq int, call_index int, id string, name string, arguments string")
+    assert [tuple(r) for r in toolcalls.merge_call_deltas(df).collect()] == [(1, 0, "id", "n", "012345")]

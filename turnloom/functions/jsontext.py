@@ -81,6 +81,16 @@ def json_items(text: pd.Series) -> pd.Series:
     return text.map(items)
 
 
+def _listed(raw: str | None) -> list[dict] | None:
+    def one(call):
+        call = call.get("function") or call
+        args = call.get("arguments")
+        return {"name": str(call.get("name") or ""), "arguments": args if isinstance(args, str) else _dump(args)}
+
+    ok, value = _load(raw) if raw else (False, None)
+    return [one(c) for c in value if isinstance(c, dict)] if ok and isinstance(value, list) else None
+
+
 @F.pandas_udf(LISTED_CALLS)
 def call_items(text: pd.Series) -> pd.Series:
     """A JSON list of calls in a string -> name and printed arguments.
@@ -88,17 +98,13 @@ def call_items(text: pd.Series) -> pd.Series:
     A call may be wrapped in a ``function`` field; arguments that are already a
     string are kept as they are.
     """
+    return text.map(_listed)
 
-    def one(call):
-        call = call.get("function") or call
-        args = call.get("arguments")
-        return {"name": str(call.get("name") or ""), "arguments": args if isinstance(args, str) else _dump(args)}
 
-    def items(raw):
-        ok, value = _load(raw) if raw else (False, None)
-        return [one(c) for c in value if isinstance(c, dict)] if ok and isinstance(value, list) else None
-
-    return text.map(items)
+@F.pandas_udf(T.ArrayType(LISTED_CALLS))
+def call_item_lists(texts: pd.Series) -> pd.Series:
+    """The same for a list of such strings, one per message."""
+    return texts.map(lambda row: None if row is None else [_listed(raw) for raw in row])
 
 
 def strict_object(line: Column, ddl: str) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from turnloom import constants as K
 from turnloom.functions.arrays import drop_end, keep_last
 from turnloom.functions.draws import pick, uniform
+from turnloom.functions.joins import with_key_stats
+from turnloom.functions.jsontext import call_item_lists, call_items, json_items
 from turnloom.functions.text import WS, after_first, after_last, before_first, let, py_strip, truthy
 from turnloom.operators.normalize import message
 
@@ -79,6 +81,11 @@ def prompt_header(first: Column, tool_lines: Column | None = None) -> Column:
     return F.when(F.size(tool_lines) > 0, listed).otherwise(plain)
 
 
+def message_calls(messages: Column) -> Column:
+    """The parsed tool calls of every message of a list."""
+    return call_item_lists(F.transform(messages, lambda m: m["tool_calls"]))
+
+
 def generation_prompt(open_thinking: Column | bool) -> Column:
     """The suffix that asks the model to speak."""
     flag = open_thinking if isinstance(open_thinking, Column) else F.lit(open_thinking)
@@ -113,6 +120,11 @@ def render_body(
     return F.array_join(F.transform(joined, piece), "")
 
 
+def render_chat(messages: Column, **prompt) -> Column:
+    """A whole conversation as prompt text, with the tools and calls its messages hold."""
+    return render(messages, json_items(conversation_tools(messages)), message_calls(messages), **prompt)
+
+
 def render(
     messages: Column, tool_lines: Column | None = None, calls: Column | None = None,
     add_generation_prompt: bool = False, open_thinking: Column | bool = False,
@@ -133,6 +145,13 @@ def turn_message(turns: DataFrame) -> Column:
     return message(F.col("role"), F.col("text"), **extra)
 
 
+def _listed_tools(turns: DataFrame) -> Column:
+    """Tools that a turn row lists, null for most."""
+    if "tools" not in turns.columns:
+        return F.lit(None).cast("string")
+    return F.when(F.col("role") == "system", truthy(F.col("tools")))
+
+
 def assemble_parts(turns: DataFrame, part_turns: int = 1024) -> DataFrame:
     """Turn rows -> message lists of at most ``part_turns`` turns.
 
@@ -140,7 +159,8 @@ def assemble_parts(turns: DataFrame, part_turns: int = 1024) -> DataFrame:
     conversation of ordinary length gives one row, part 0.  A longer one gives
     several, so no group grows with the data even if one conversation holds a
     third of all rows; each part knows the roles just beyond its borders, which
-    is all that rendering needs from its neighbours.  One shuffle.
+    is all that rendering needs from its neighbours.  Where turns have tools, part
+    0 knows those of the conversation's last system message that has any.  One shuffle.
     """
     part = F.floor(F.col("turn") / F.lit(part_turns)).cast("bigint")
     within = F.col("turn") % F.lit(part_turns)
@@ -149,6 +169,7 @@ def assemble_parts(turns: DataFrame, part_turns: int = 1024) -> DataFrame:
             F.struct(part.alias("part"), F.lit("own").alias("kind")),
             F.when((within == 0) & (F.col("turn") > 0), F.struct((part - 1).alias("part"), F.lit("after").alias("kind"))),
             F.when(within == part_turns - 1, F.struct((part + 1).alias("part"), F.lit("before").alias("kind"))),
+            F.when(_listed_tools(turns).isNotNull(), F.struct(F.lit(0).cast("bigint").alias("part"), F.lit("tools").alias("kind"))),
         )
     )
     msg = turn_message(turns)
@@ -160,17 +181,22 @@ def assemble_parts(turns: DataFrame, part_turns: int = 1024) -> DataFrame:
         F.array_sort(F.collect_list(F.when(own, F.struct("turn", F.col("msg").alias("m"))))).alias("ordered"),
         F.max(F.when(F.col("kind") == "before", F.col("role"))).alias("prev_role"),
         F.max(F.when(F.col("kind") == "after", F.col("role"))).alias("next_role"),
+        F.max_by(F.col("msg.tools"), F.when(F.col("kind") == "tools", F.col("turn"))).alias("tools"),
     )
     return grouped.where(F.size("ordered") > 0).select(
-        "conv_id", "part", F.transform("ordered", lambda s: s["m"]).alias("messages"), "prev_role", "next_role"
+        "conv_id", "part", F.transform("ordered", lambda s: s["m"]).alias("messages"), "prev_role", "next_role", "tools"
     )
 
 
-def render_parts(parts: DataFrame) -> DataFrame:
-    """Prompt text per part; the parts of a conversation in order are its prompt."""
+def render_parts(parts: DataFrame, with_tools: bool = False) -> DataFrame:
+    """Prompt text per part; the parts of a conversation in order are its prompt.
+
+    ``with_tools`` renders tools and calls, which takes a pass through Python.
+    """
     head = F.col("part") == 0
-    header = F.when(head, prompt_header(F.get("messages", F.lit(0)))).otherwise(F.lit(""))
-    body = render_body(F.col("messages"), at_head=head, prev_role=F.col("prev_role"), next_role=F.col("next_role"))
+    lines, calls = (json_items("tools"), message_calls(F.col("messages"))) if with_tools else (None, None)
+    header = F.when(head, prompt_header(F.get("messages", F.lit(0)), lines)).otherwise(F.lit(""))
+    body = render_body(F.col("messages"), calls, at_head=head, prev_role=F.col("prev_role"), next_role=F.col("next_role"))
     return parts.withColumn("prompt", F.concat(header, body))
 
 
@@ -178,7 +204,8 @@ def render_turns(turns: DataFrame) -> DataFrame:
     """Prompt text per turn row, without assembling anything.
 
     Only tool turns look at their neighbours, so only they are joined, on the
-    unique key (conversation, turn).
+    unique key (conversation, turn).  The tools of a conversation are joined to
+    its first turn; a table without tools or calls skips that work.
     """
     key = ["conv_id", "turn"]
     tool = F.col("role") == "tool"
@@ -189,8 +216,18 @@ def render_turns(turns: DataFrame) -> DataFrame:
     rows = turns.where(~tool).withColumns({"prev_role": none, "next_role": none}).unionByName(placed)
     msg = turn_message(turns)
     first = F.col("turn") == 0
-    header = F.when(first & (F.col("role") == "system"), prompt_header(msg)).otherwise(F.lit(""))
-    return rows.withColumn("piece", F.concat(header, turn_piece(msg, first, F.col("prev_role"), F.col("next_role"))))
+    lines, calls = None, None
+    if "tools" in turns.columns:
+        listed = turns.where(_listed_tools(turns).isNotNull()).groupBy("conv_id").agg(F.max_by("tools", "turn").alias("listed"))
+        listed = listed.withColumn("turn", F.lit(0).cast(turns.schema["turn"].dataType))
+        rows = rows.join(listed, key, "left").withColumn("lines", json_items("listed")).drop("listed")
+        lines = F.col("lines")
+    if "tool_calls" in turns.columns:
+        rows = rows.withColumn("calls", F.coalesce(call_items("tool_calls"), F.array().cast(CALLS_DDL)))
+        calls = F.col("calls")
+    header = F.when(first, prompt_header(msg, lines)).otherwise(F.lit(""))
+    piece = F.concat(header, turn_piece(msg, first, F.col("prev_role"), F.col("next_role"), calls))
+    return rows.withColumn("piece", piece).drop("lines", "calls")
 
 
 def prompt_stats(turns: DataFrame) -> DataFrame:
@@ -306,11 +343,32 @@ def finish_reason(any_parsed: Column) -> Column:
     return F.when(any_parsed, "tool_calls").otherwise("stop")
 
 
-def context_text(messages: Column) -> Column:
-    """Earlier turns as 'role: content' lines, then the last question."""
-    history = F.array_join(F.transform(drop_end(messages), lambda m: F.concat(m["role"], F.lit(": "), m["content"])), NL)
-    last = F.coalesce(F.try_element_at(messages, F.lit(-1))["content"], F.lit(""))
-    return F.when(history != "", F.concat(history, F.lit(K.HISTORY_CONNECTOR), last)).otherwise(last)
+def prompt_summary(turns: DataFrame) -> DataFrame:
+    """Per conversation: messages before the answer, and the tools of the last system message that has any."""
+    listed = F.when(F.col("role") == "system", truthy(F.col("tools")))
+    return turns.groupBy("conv_id").agg(
+        (F.count("*") - 1).alias("n_prompt"), F.max_by("tools", F.when(listed.isNotNull(), F.col("turn"))).alias("tools")
+    )
+
+
+def context_pieces(turns: DataFrame) -> DataFrame:
+    """Earlier turns as 'role: content' lines, then the last question; one ``piece`` per turn row.
+
+    The pieces of a conversation in order are its context.
+    """
+    sizes = turns.groupBy("conv_id").agg(F.count("*").alias("n_turns"))
+    placed = with_key_stats(turns, sizes, "conv_id", "n_turns")
+    line = F.concat(F.when(F.col("turn") > 0, NL).otherwise(""), F.col("role"), F.lit(": "), F.col("text"))
+    last = F.coalesce("text", F.lit(""))
+    question = F.when(F.col("n_turns") > 1, F.concat(F.lit(K.HISTORY_CONNECTOR), last)).otherwise(last)
+    return placed.withColumn("piece", F.when(F.col("turn") < F.col("n_turns") - 1, line).otherwise(question)).drop("n_turns")
+
+
+def recent_messages(turns: DataFrame, k: int) -> DataFrame:
+    """The last k messages of each conversation as one list, in order."""
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "msg")))
+    kept = last_turns(turns, k).select("conv_id", "turn", turn_message(turns).alias("msg"))
+    return kept.groupBy("conv_id").agg(F.transform(ordered, lambda s: s["msg"]).alias("messages"))
 
 
 def last_messages(messages: Column, k: int | Column) -> Column:

@@ -186,19 +186,20 @@ def call_report(checked: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def merge_call_deltas(deltas: DataFrame, part_deltas: int = 1024) -> DataFrame:
-    """Streamed pieces of tool calls, joined in order per (response, index).
+def merge_call_deltas(deltas: DataFrame, run_deltas: int = 1024) -> DataFrame:
+    """Streamed pieces of tool calls, joined in order: one row per (response, index).
 
     Rows: response_id, seq, call_index, id, name, arguments (pieces, may be null).
-    A call streamed in ordinary length gives one row, part 0; a longer one gives
-    a row per ``part_deltas`` sequence numbers, so no group grows with the data.
+    Pieces are joined in runs of neighbouring sequence numbers first, so that a
+    call with very many pieces is sorted and joined in many tasks; its runs, a
+    thousandth of the rows, are joined after that.
     """
-    fields = ["id", "name", "arguments"]
-    part = F.floor(F.col("seq") / F.lit(part_deltas)).cast("bigint").alias("part")
-    ordered = F.array_sort(F.collect_list(F.struct("seq", *[F.coalesce(f, F.lit("")).alias(f) for f in fields])))
+    key, fields = ["response_id", "call_index"], ["id", "name", "arguments"]
 
-    def joined(field: str) -> Column:
-        return F.array_join(F.transform("o", lambda s: s[field]), "").alias(field)
+    def join_in_order(rows: DataFrame, by: list[str], place: str) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct(place, *[F.coalesce(f, F.lit("")).alias(f) for f in fields])))
+        texts = [F.array_join(F.col("o")[f], "").alias(f) for f in fields]
+        return rows.groupBy(*by).agg(ordered.alias("o")).select(*by, *texts)
 
-    grouped = deltas.groupBy("response_id", "call_index", part).agg(ordered.alias("o"))
-    return grouped.select("response_id", "call_index", "part", *[joined(f) for f in fields])
+    run = F.floor(F.col("seq") / F.lit(run_deltas)).cast("bigint")
+    return join_in_order(join_in_order(deltas.withColumn("run", run), [*key, "run"], "seq"), key, "run")

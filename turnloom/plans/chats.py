@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from turnloom import constants as K
 from turnloom.functions.draws import uniform
+from turnloom.functions.joins import with_key_stats
 from turnloom.functions.jsontext import call_items, json_items, read_calls
-from turnloom.functions.text import count_of
+from turnloom.functions.text import count_of, truthy
 from turnloom.operators import chat, normalize, toolcalls
 from turnloom.plans import tables as t
 from turnloom.plans.sqltext import WS, draw, pick, quoted, strip
@@ -118,12 +119,23 @@ TOOLS_RENDER = f"""with {t.RESPONSES_SQL} select conv_id, turn, '<|im_start|>sys
   '<|im_start|>assistant' || chr(10) || case when turn % 3 = 0 then '<think>' || chr(10) else '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) end as prompt from responses"""
 
 
+def _heads(spark, sf_dir):
+    """Per conversation: turns, and its first message, marked when any message has tools.
+
+    That is all that decides about a system prompt; the sums are combined before the shuffle.
+    """
+    turns = t.conversations(spark, sf_dir)
+    tools = F.col("tools") if "tools" in turns.columns else F.lit(None).cast("string")
+    first = F.min_by(F.struct("role", "text"), "turn")
+    heads = turns.groupBy("conv_id").agg(F.count("*").alias("n"), first.alias("f"), F.max(truthy(tools)).alias("tools"))
+    return heads.select("conv_id", "n", F.array(normalize.message(F.col("f.role"), F.col("f.text"), tools=F.col("tools"))).alias("first"))
+
+
 def system_inject(spark, sf_dir):
-    head = _parts(spark, sf_dir).where(F.col("part") == 0)
-    placed = chat.inject_system(F.col("messages"), F.col("conv_id"))
+    placed = _heads(spark, sf_dir).withColumn("m", chat.inject_system(F.col("first"), F.col("conv_id")))
     first = F.get("m", F.lit(0))
-    return head.select("conv_id", placed.alias("m")).select(
-        "conv_id", F.size("m").cast("bigint").alias("n_messages"), first["role"].alias("first_role"), first["content"].alias("first_content")
+    return placed.select(
+        "conv_id", (F.col("n") - 1 + F.size("m")).alias("n_messages"), first["role"].alias("first_role"), first["content"].alias("first_content")
     )
 
 
@@ -135,21 +147,21 @@ SYSTEM_INJECT = f"""with {INJECT_SQL} select conv_id, n + case when hit then 1 e
 
 
 def rl_prompts(spark, sf_dir):
-    """Prompts of a rollout pool: system prompt drawn, answer dropped, thinking drawn."""
-    head = _parts(spark, sf_dir)
-    messages = F.when(F.col("part") == 0, chat.inject_system(F.col("messages"), F.col("conv_id"))).otherwise(F.col("messages"))
-    # Only the last part holds the answer; it is the one with nothing after it.
-    body = F.when(F.col("next_role").isNull(), chat.prompt_messages(F.col("m"))).otherwise(F.col("m"))
-    rows = head.withColumn("m", messages).withColumn("messages", body)
-    tail = F.when(F.col("next_role").isNull(), chat.generation_prompt(chat.thinking_flag(F.col("conv_id")))).otherwise(F.lit(""))
-    return chat.render_parts(rows).select("conv_id", "part", F.concat("prompt", tail).alias("prompt"))
+    """Prompts of a rollout pool, in pieces: system prompt drawn (turn -1), answer dropped,
+    thinking drawn (the generation prompt stands in the answer's place)."""
+    heads = _heads(spark, sf_dir).withColumn("m", chat.inject_system(F.col("first"), F.col("conv_id")))
+    lead = heads.where(F.size("m") > 1).select("conv_id", F.lit(-1).cast("bigint").alias("turn"), chat.prompt_header(F.get("m", F.lit(0))).alias("piece"))
+    tail = heads.select("conv_id", (F.col("n") - 1).alias("turn"), chat.generation_prompt(chat.thinking_flag(F.col("conv_id"))).alias("piece"))
+    turns = with_key_stats(t.conversations(spark, sf_dir), heads.select("conv_id", "n"), "conv_id", "n")
+    body = chat.render_turns(turns).where(F.col("turn") < F.col("n") - 1).select("conv_id", F.col("turn").cast("bigint").alias("turn"), "piece")
+    return lead.unionByName(body).unionByName(tail)
 
 
-RL_PROMPTS = f"""with {INJECT_SQL}, bodies as (select c.conv_id, string_agg({TURN_SQL}, '' order by turn) filter (where turn < n - 1) as body
-  from conversations c join heads h on c.conv_id = h.conv_id group by c.conv_id)
-select conv_id, cast(0 as bigint) as part, case when hit then '<|im_start|>system' || chr(10) || sys || '<|im_end|>' || chr(10) else '' end || coalesce(body, '') || '<|im_start|>assistant' || chr(10) ||
-  case when {draw('42open', 'conv_id')} < 0.5 then '<think>' || chr(10) else '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) end as prompt
-from inj join bodies using (conv_id)"""
+RL_PROMPTS = f"""with {INJECT_SQL}
+select conv_id, cast(-1 as bigint) as turn, '<|im_start|>system' || chr(10) || sys || '<|im_end|>' || chr(10) as piece from inj where hit
+union all select conv_id, cast(turn as bigint), {TURN_SQL} from conversations join (select conv_id, n from heads) using (conv_id) where turn < n - 1
+union all select conv_id, n - 1, '<|im_start|>assistant' || chr(10) ||
+  case when {draw('42open', 'conv_id')} < 0.5 then '<think>' || chr(10) else '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) end from heads"""
 
 
 def think_drop(spark, sf_dir):
@@ -197,7 +209,8 @@ LAST_TURNS = "select conv_id, turn, role, text from conversations qualify row_nu
 
 def history_windows(spark, sf_dir):
     """The three history rules: sizes kept and what comes first."""
-    rows = _parts(spark, sf_dir).where(F.col("next_role").isNull())
+    # No rule looks back further than 4 turns, so no more than these are put together.
+    rows = chat.recent_messages(t.conversations(spark, sf_dir), 4)
     has_tools = F.col("conv_id") % 3 == 0
     out = rows.select(
         "conv_id", chat.history_for_prompt(F.col("messages"), 4).alias("p"), chat.history_for_client(F.col("messages"), 0).alias("c"),
@@ -230,23 +243,21 @@ def prompt_split(spark, sf_dir):
     listed = F.when((F.col("role") == "system") | ((F.col("conv_id") % 5 == 0) & (F.col("turn") == 2)), F.concat(F.lit('[{"name": "t'), F.col("turn").cast("string"), F.lit('"}]')))
     role = F.when((F.col("conv_id") % 5 == 0) & (F.col("turn") == 2), "system").otherwise(F.col("role"))
     turns = t.conversations(spark, sf_dir).withColumn("tools", listed).withColumn("role", role)
-    parts = chat.assemble_parts(turns)
-    kept = F.when(F.col("next_role").isNull(), chat.prompt_messages(F.col("messages"))).otherwise(F.col("messages"))
-    return parts.select("conv_id", "part", F.size(kept).cast("bigint").alias("n_prompt"), chat.conversation_tools(F.col("messages")).alias("tools"))
+    return chat.prompt_summary(turns)
 
 
 PROMPT_SPLIT = """with x as (select *, case when role = 'system' or (conv_id % 5 = 0 and turn = 2) then '[{"name": "t' || turn || '"}]' end as tools from conversations)
-select conv_id, cast(0 as bigint) as part, count(*) - 1 as n_prompt, arg_max(tools, turn) filter (where tools is not null) as tools from x group by conv_id"""
+select conv_id, count(*) - 1 as n_prompt, arg_max(tools, turn) filter (where tools is not null) as tools from x group by conv_id"""
 
 
 def context_text(spark, sf_dir):
-    rows = _parts(spark, sf_dir)
-    return rows.select("conv_id", "part", chat.context_text(F.col("messages")).alias("context"))
+    """Context of a score: earlier turns as lines, then the last question, one piece per turn."""
+    return chat.context_pieces(t.conversations(spark, sf_dir)).select("conv_id", "turn", "piece")
 
 
 CONTEXT_TEXT = f"""with n as (select *, count(*) over (partition by conv_id) as n from conversations)
-select conv_id, cast(0 as bigint) as part, case when max(n) > 1 then string_agg(role || ': ' || text, chr(10) order by turn) filter (where turn < n - 1) || {quoted(K.HISTORY_CONNECTOR)} else '' end ||
-  max(case when turn = n - 1 then text end) as context from n group by conv_id"""
+select conv_id, turn, case when turn < n - 1 then case when turn > 0 then chr(10) else '' end || role || ': ' || text
+  when n > 1 then {quoted(K.HISTORY_CONNECTOR)} || text else text end as piece from n"""
 
 
 def thinking_requests(spark, sf_dir):

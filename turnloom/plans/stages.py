@@ -131,7 +131,7 @@ def training_rows(chats: DataFrame, row_id: str, max_length: int = 768, batch_si
     joined = placed.join(chats.select(row_id, "conversations"), row_id)
     key = draw_key(seed, F.col("epoch"), F.col(row_id))
     messages = chat.inject_system(F.col("conversations"), key, seed=str(seed))
-    prompts = joined.withColumn("prompt", chat.render(messages))
+    prompts = joined.withColumn("prompt", chat.render_chat(messages))
     prompts = prompts.withColumn("prompt", chat.drop_empty_think(F.col("prompt"), key, seed=str(seed)))
     encode = encoder(vocab, merges)
     rows = prompts.withColumn("ids", tokens.fixed_length(encode(F.col("prompt")), max_length))

@@ -221,11 +221,8 @@ def call_deltas(spark, sf_dir):
     return toolcalls.merge_call_deltas(deltas.select("response_id", "call_index", "seq", "p.*"))
 
 
-# Parts hold 1024 pieces: the first two are the id and the name.
-CALL_DELTAS = f"""with w as (select doc_id, string_split({strip('text')}, ' ') as l from documents),
-p as (select *, unnest(range(0, (len(l) + 2 + 1023) // 1024)) as part from w)
-select doc_id as response_id, cast(doc_id % 3 as integer) as call_index, part, case when part = 0 then 'call_' || doc_id else '' end as id,
-  case when part = 0 then 'unit_converter' else '' end as name, array_to_string(l[greatest(part * 1024 - 1, 1) : part * 1024 + 1022], '') as arguments from p"""
+CALL_DELTAS = f"""with w as (select doc_id, string_split({strip('text')}, ' ') as l from documents)
+select doc_id as response_id, cast(doc_id % 3 as integer) as call_index, 'call_' || doc_id as id, 'unit_converter' as name, array_to_string(l, '') as arguments from w"""
 
 QUERIES = {
     "call_parse": (call_parse, CALL_PARSE),

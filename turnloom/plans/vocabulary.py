@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from turnloom import constants as K
 from turnloom.functions import arrays, bpe
+from turnloom.functions.joins import with_key_stats
 from turnloom.operators import chat, diagnostics, manifest, tokens, vocab
 from turnloom.operators.toolcalls import literal_table
 from turnloom.plans import tables as t
@@ -28,17 +29,28 @@ PRETOKENS = f"words as (select word, count(*) as n from (select unnest({_pretoke
 
 
 def corpus_lines(spark, sf_dir):
-    """Text each conversation or document gives to the vocabulary corpus."""
-    parts = chat.assemble_parts(t.conversations(spark, sf_dir)).select(
-        F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("row_id"), vocab.corpus_text(F.col("messages"), F.lit(None).cast("string")).alias("text")
+    """Text each conversation or document gives to the vocabulary corpus.
+
+    A conversation's texts are joined by newlines; it comes as one piece per turn
+    that has text, each but the first with its newline in front.
+    """
+    turns = t.conversations(spark, sf_dir).where(F.col("text") != "")
+    first = turns.groupBy("conv_id").agg(F.min("turn").alias("first"), F.count("*").alias("n"))
+    joined = with_key_stats(turns, first, "conv_id", "n")
+    lines = joined.select(
+        F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("row_id"), F.col("turn").cast("bigint").alias("piece"),
+        F.concat(F.when(F.col("turn") > F.col("first"), "\n").otherwise(""), F.col("text")).alias("text"),
     )
     none = F.lit(None).cast("array<struct<content:string>>")
-    docs = t.documents(spark, sf_dir).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("row_id"), vocab.corpus_text(none, F.col("text")).alias("text"))
-    return parts.unionByName(docs).where(F.col("text").isNotNull())
+    docs = t.documents(spark, sf_dir).select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("row_id"), F.lit(0).cast("bigint").alias("piece"), vocab.corpus_text(none, F.col("text")).alias("text")
+    )
+    return lines.unionByName(docs.where(F.col("text").isNotNull()))
 
 
-CORPUS_LINES = """select 'c' || conv_id as row_id, string_agg(text, chr(10) order by turn) as text from conversations where text <> '' group by conv_id
-  union all select 'd' || doc_id, text from documents where text <> ''"""
+CORPUS_LINES = """select 'c' || conv_id as row_id, cast(turn as bigint) as piece,
+    case when row_number() over (partition by conv_id order by turn) > 1 then chr(10) else '' end || text as text from conversations where text <> ''
+  union all select 'd' || doc_id, 0, text from documents where text <> ''"""
 
 
 def pretoken_counts(spark, sf_dir):
@@ -91,14 +103,14 @@ def bpe_compression(spark, sf_dir):
 
 
 def byte_round_trip(spark, sf_dir):
-    """decode(encode(prompt)) must be the prompt, reserved tokens included."""
-    prompts = chat.render_parts(chat.assemble_parts(t.conversations(spark, sf_dir))).select(F.col("part").alias("grp"), "prompt")
+    """decode(encode(turn)) must be the rendered turn, reserved tokens included."""
+    prompts = chat.render_turns(t.conversations(spark, sf_dir)).select(F.col("role").alias("grp"), F.col("piece").alias("prompt"))
     encode, decode = bpe.encoder(), bpe.decoder()
     coded = prompts.withColumn("ids", encode(F.col("prompt")))
     return vocab.round_trip(coded, F.col("prompt"), F.col("ids"), decode, "grp")
 
 
-BYTE_ROUND_TRIP = "select turn // 1024 as grp, count(distinct conv_id) as n_rows, cast(0 as bigint) as n_changed from conversations group by 1"
+BYTE_ROUND_TRIP = "select role as grp, count(*) as n_rows, cast(0 as bigint) as n_changed from conversations group by 1"
 
 
 def stream_pieces(spark, sf_dir):
@@ -155,12 +167,14 @@ def _label_fn(max_length: int):
 
 def sft_labels(spark, sf_dir):
     """Loss only on assistant answers and their end marks, cut to 768 tokens."""
-    prompts = chat.render_parts(chat.assemble_parts(t.conversations(spark, sf_dir)))
-    rows = prompts.select("conv_id", "part", tokens.fixed_length(bpe.encoder()(F.col("prompt")), SFT_LENGTH).alias("ids"))
+    # A rendered turn has at least one token, so what the cut keeps lies in the first turns.
+    turns = t.conversations(spark, sf_dir).where(F.col("turn") < SFT_LENGTH)
+    prompts = chat.render_parts(chat.assemble_parts(turns, SFT_LENGTH))
+    rows = prompts.select("conv_id", tokens.fixed_length(bpe.encoder()(F.col("prompt")), SFT_LENGTH).alias("ids"))
     rows = rows.withColumn("labels", _label_fn(SFT_LENGTH)(F.col("ids")))
     mask = tokens.loss_mask(F.col("labels"))
     return rows.select(
-        "conv_id", "part", F.size("ids").cast("bigint").alias("width"), F.size(F.filter("ids", lambda x: x == K.PAD_ID)).cast("bigint").alias("n_pad"),
+        "conv_id", F.size("ids").cast("bigint").alias("width"), F.size(F.filter("ids", lambda x: x == K.PAD_ID)).cast("bigint").alias("n_pad"),
         tokens.label_coverage(mask).alias("n_loss"),
     )
 
@@ -172,7 +186,7 @@ SFT_LABELS = f"""with p as (select conv_id, turn, role, {TURN_SQL} as piece from
 n as (select *, {_TOKENS_SQL.format(x='piece')} as k from p),
 o as (select *, sum(k) over (partition by conv_id order by turn) - k as start from n),
 s as (select *, case when role = 'assistant' then greatest(least(start + k, {SFT_LENGTH}) - least(start + 11, {SFT_LENGTH}), 0) else 0 end as loss from o)
-select conv_id, cast(0 as bigint) as part, cast({SFT_LENGTH} as bigint) as width, cast(greatest({SFT_LENGTH} - sum(k), 0) as bigint) as n_pad, cast(sum(loss) as bigint) as n_loss from s group by conv_id"""
+select conv_id, cast({SFT_LENGTH} as bigint) as width, cast(greatest({SFT_LENGTH} - sum(k), 0) as bigint) as n_pad, cast(sum(loss) as bigint) as n_loss from s group by conv_id"""
 
 
 def dpo_arrays(spark, sf_dir):
