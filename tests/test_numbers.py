@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from turnloom.operators import diagnostics, rewards, tokens, trajectories
@@ -138,3 +139,14 @@ def test_basic_reward(spark):
     df = spark.createDataFrame(rows, "r string, s double")
     got = [x[0] for x in df.select(rewards.basic_reward(F.col("r"), F.col("s"))).collect()]
     assert got == [-0.5, 1.5, 0.5 + 1.25, 0.5 - 0.75 + 3.0]
+
+
+def test_losses_and_whitening_by_hand(spark):
+    """Two rows of one group: values outside the mask are 0, means are over tokens."""
+    rows = [("a", [0.0, 0.0], [0.0, 0.0], [1.0, -1.0], [1, 1]), ("a", [math.log(2.0), 0.0], [0.0, 0.0], [1.0, 9.0], [1, 0])]
+    df = spark.createDataFrame(rows, "g string, new array<double>, old array<double>, advantages array<double>, mask array<int>")
+    loss = diagnostics.clipped_losses(F.col("new"), F.col("old"), F.col("advantages"))
+    out = diagnostics.token_mean(diagnostics.row_losses(df, loss, F.col("mask")), ["g"]).first()
+    assert out["n_tokens"] == 3 and out["loss"] == pytest.approx((-1.0 + 1.0 - 1.2) / 3)
+    white = [r["whitened"] for r in diagnostics.whiten(df).collect()]
+    assert sorted(x for w in white for x in w) == pytest.approx([-math.sqrt(2), 0.0, math.sqrt(0.5), math.sqrt(0.5)], abs=1e-6)

@@ -19,7 +19,7 @@ _STR, _STRS = T.StringType(), T.ArrayType(T.StringType())
 CALL = T.StructType(
     [
         T.StructField("status", _STR), T.StructField("name", _STR), T.StructField("arguments", _STR),
-        T.StructField("present", _STRS), T.StructField("truthy", _STRS),
+        T.StructField("present", _STRS), T.StructField("truthy", _STRS), T.StructField("printed", _STR),
     ]
 )
 CALLS = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), *CALL.fields]))
@@ -39,11 +39,15 @@ def _load(text):
 
 
 def _call(body: str) -> tuple:
-    """Status, name, printed arguments, and which of their keys are set and non-empty."""
+    """Status, name, read arguments, which of their keys are set and non-empty, and the arguments as given.
+
+    ``arguments`` looks into arguments that are JSON in a string; ``printed`` keeps the string.
+    """
     ok, value = _load(body.strip())
     if not ok or not isinstance(value, dict):
-        return "other_json" if ok else "invalid", None, None, [], []
+        return "other_json" if ok else "invalid", None, None, [], [], None
     name, args = value.get("name", ""), value.get("arguments", {})
+    printed = _dump(args)
     if isinstance(args, str):
         ok, args = _load(args)
         args = args if ok else {}
@@ -54,6 +58,7 @@ def _call(body: str) -> tuple:
         _dump(args),
         [k for k, v in keys.items() if v is not None],
         [k for k, v in keys.items() if v],
+        printed,
     )
 
 

@@ -114,14 +114,30 @@ def returns(advantages: Column, values: Column) -> Column:
 def whiten(df: DataFrame, advantages: str = "advantages", mask: str = "mask") -> DataFrame:
     """Adds ``whitened``: mean 0 and variance 1 over all masked tokens of the table.
 
-    Mean and variance are one pre-aggregated row; it comes back as two numbers.
-    Starts a job.
+    Mean and variance are one pre-aggregated row, read as a scalar subquery.
     """
     a, m = F.col(advantages), F.col(mask)
-    tokens = df.select(F.explode(F.zip_with(a, m, lambda x, w: F.when(w > 0, x))).alias("x"))
-    stats = tokens.agg(F.avg("x").alias("mean"), F.var_pop("x").alias("var")).first()
-    mean, scale = stats["mean"] or 0.0, ((stats["var"] or 0.0) + 1e-8) ** -0.5
-    return df.withColumn("whitened", F.zip_with(a, m, lambda x, w: (x - F.lit(mean)) * F.lit(scale) * w))
+    # The outer form: the filter that goes with the plain one would hold the Python expression.
+    tokens = df.select(F.explode_outer(F.zip_with(a, m, lambda x, w: F.when(w > 0, x))).alias("x"))
+    scale = F.pow(F.coalesce(F.var_pop("x"), F.lit(0.0)) + 1e-8, F.lit(-0.5))
+    stats = tokens.agg(F.struct(F.coalesce(F.avg("x"), F.lit(0.0)).alias("mean"), scale.alias("scale")).alias("s"))
+    placed = df.withColumn("_s", stats.scalar())
+    return placed.withColumn("whitened", F.zip_with(a, m, lambda x, w: (x - F.col("_s.mean")) * F.col("_s.scale") * w)).drop("_s")
+
+
+def token_mean(df: DataFrame, by: list[str], loss_sum: str = "loss_sum", n_tokens: str = "n_tokens") -> DataFrame:
+    """Mean over the tokens of all rows of a group: sums by row, divided once."""
+    n = F.sum(n_tokens)
+    return df.groupBy(*by).agg(n.alias("n_tokens"), (F.sum(loss_sum) / F.greatest(n, F.lit(1))).alias("loss"))
+
+
+def clipped_losses(new: Column, old: Column, advantages: Column, epsilon: float = 0.2) -> Column:
+    """Per-token policy loss with an advantage for every token: the larger of plain and clipped."""
+
+    def loss(ratio: Column, adv: Column) -> Column:
+        return F.greatest(-adv * ratio, -adv * F.least(F.greatest(ratio, F.lit(1 - epsilon)), F.lit(1 + epsilon)))
+
+    return F.zip_with(ratios(new, old), advantages, loss)
 
 
 def k3(ref: Column, new: Column) -> Column:

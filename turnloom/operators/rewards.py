@@ -90,7 +90,7 @@ def agent_rewards(trajectories: DataFrame, allowed: Column | None = None, rules:
 
     Columns read: response, turn_outputs ARRAY<STRING>, gt ARRAY<STRING>,
     unfinished, rm_score.  ``allowed`` holds the names the sample may call (null:
-    every registry tool).  The registry's few rules are part of the expression, so
+    none); without it every registry tool may be called.  The registry's few rules are part of the expression, so
     the whole score is one pass without a join or a shuffle.
     """
     answers = F.transform("turn_outputs", turn_answer)

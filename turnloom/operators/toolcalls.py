@@ -84,13 +84,17 @@ def kept_calls(calls: Column) -> Column:
     return F.filter(calls, lambda c: c["status"].isin("object", "bad_arguments"))
 
 
+def named_calls(calls: Column) -> Column:
+    """Calls as (id, name, arguments); the id counts tags, not successes."""
+    return F.transform(
+        kept_calls(calls), lambda c: F.struct(F.concat(F.lit("call_"), c["pos"]).alias("id"), c["name"].alias("name"), c["printed"].alias("arguments"))
+    )
+
+
 def strict_calls(text: Column) -> Column:
-    """Only bodies of the form {...}; the id counts tags, not successes."""
+    """Only bodies of the form {...}; null without any."""
     bodies = F.regexp_extract_all(text, F.lit(r"(?s)<tool_call>[\p{Z}\x09-\x0d\x1c-\x1f\x85]*(\{.*?\})[\p{Z}\x09-\x0d\x1c-\x1f\x85]*</tool_call>"), F.lit(1))
-    parsed = kept_calls(read_calls(bodies))
-    named = F.transform(
-        parsed, lambda c: F.struct(F.concat(F.lit("call_"), c["pos"]).alias("id"), c["name"].alias("name"), c["arguments"].alias("arguments"))
-    )
+    named = named_calls(read_calls(bodies))
     return F.when(F.size(named) > 0, named)
 
 

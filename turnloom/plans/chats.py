@@ -187,16 +187,18 @@ from conversations"""
 
 def parse_response(spark, sf_dir):
     rows = t.responses(spark, sf_dir).withColumn("s", chat.split_reasoning(F.col("response")))
-    rows = rows.withColumn("calls", toolcalls.kept_calls(read_calls(chat.call_bodies(F.col("s.rest")))))
+    rows = rows.withColumn("calls", toolcalls.named_calls(read_calls(chat.call_bodies(F.col("s.rest")))))
     some = F.size("calls") > 0
+    listed = F.transform("calls", lambda c: F.concat_ws(" ", c["id"], c["name"], c["arguments"]))
     return rows.select(
         "conv_id", "turn", chat.strip_calls(F.col("s.rest"), some).alias("content"), F.col("s.reasoning").alias("reasoning"),
-        F.size("calls").cast("bigint").alias("n_calls"), chat.finish_reason(some).alias("finish_reason"),
+        F.array_join(listed, "\n").alias("calls"), chat.finish_reason(some).alias("finish_reason"),
     )
 
 
 PARSE_RESPONSE = f"""with {t.RESPONSES_SQL} select conv_id, turn, {strip("case conv_id % 4 when 1 then " + f"regexp_replace(substr(text,81), '^[{WS}]+', '')" + " when 2 then text else response end")} as content,
-  case when conv_id % 4 = 1 then {strip('substr(text,1,80)')} end as reasoning, cast(case when conv_id % 4 = 2 then 1 else 0 end as bigint) as n_calls,
+  case when conv_id % 4 = 1 then {strip('substr(text,1,80)')} end as reasoning, 
+  case when conv_id % 4 = 2 then 'call_0 get_exchange_rate ' || replace(json_extract(regexp_extract(response, '<tool_call>(.*?)</tool_call>', 1), '$.arguments')::varchar, '":"', '": "').replace('","', '", "') else '' end as calls,
   case when conv_id % 4 = 2 then 'tool_calls' else 'stop' end as finish_reason from responses"""
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from turnloom.functions import arrays
+from turnloom.functions.text import once
 from turnloom.operators import diagnostics, tokens, trajectories
 from turnloom.plans import tables as t
 from turnloom.session import spread
@@ -27,10 +28,12 @@ select sample_id, string_agg(cast(m as varchar), '' order by i) as mask, cast(su
 
 
 def _advantages(spark, sf_dir):
+    """Advantages over the tokens up to the first EOS; values elsewhere count as 0."""
     rows = spread(t.logged_tokens(spark, sf_dir))
-    estimate = diagnostics.advantage_estimator()
+    rows = rows.withColumn("mask", diagnostics.first_eos_mask(F.col("ids"), F.col("mask")))
+    rows = rows.withColumn("values", arrays.masked(F.col("values"), F.col("mask")))
     rewards = diagnostics.terminal_rewards(F.col("mask"), F.col("reward"))
-    return rows.withColumn("advantages", estimate(F.col("values"), rewards))
+    return once(rows, "advantages", diagnostics.advantage_estimator()(F.col("values"), rewards))
 
 
 def gae(spark, sf_dir):
@@ -41,8 +44,11 @@ def gae(spark, sf_dir):
 
 
 # The sum form of the recurrence: discounted errors of all later tokens.
-GAE_BODY = f"""{t.TOKENS_SQL}, d as (select *, case when m = 1 and i = 63 then reward else 0.0::double end + coalesce(lead(v) over (partition by sample_id order by i), 0.0::double) - v as delta from toks),
-adv as (select a.sample_id, a.i, a.m, a.v, a.reward, a.prompt_id, sum(b.delta * pow(0.95::double, b.i - a.i)) as adv from d a join d b on a.sample_id = b.sample_id and b.i >= a.i group by all)"""
+GAE_BODY = f"""{t.TOKENS_SQL}, ends as (select sample_id, min(i) filter (where id = 2 and m = 1) as at from toks group by sample_id),
+cut as (select t.* exclude (m, v), cm as m, v * cm as v, max(case when cm = 1 then t.i end) over (partition by t.sample_id) as last_i
+  from (select toks.*, case when ends.at is not null and toks.i > ends.at then 0 else m end as cm from toks join ends on toks.sample_id = ends.sample_id) t),
+d as (select *, case when i = last_i then reward else 0.0::double end + coalesce(lead(v) over (partition by sample_id order by i), 0.0::double) - v as delta from cut),
+adv as (select a.sample_id, a.i, a.m, a.v, a.reward, a.prompt_id, a.new_lp, a.old_lp, sum(b.delta * pow(0.95::double, b.i - a.i)) as adv from d a join d b on a.sample_id = b.sample_id and b.i >= a.i group by all)"""
 GAE = f"with {GAE_BODY} select sample_id, cast(i as integer) as pos, round(adv, 6) as advantage, round(adv + v, 6) as return from adv"
 
 
@@ -102,16 +108,29 @@ POLICY_LOSS = (
 
 
 def value_loss(spark, sf_dir):
-    """Clipped value loss per sample, with returns as targets."""
+    """Clipped value loss per prompt, a mean over tokens, with returns as targets."""
     rows = _advantages(spark, sf_dir).withColumn("targets", diagnostics.returns(F.col("advantages"), F.col("values")))
     new = F.transform("values", lambda v: v * 0.5)
     loss = diagnostics.value_loss(new, F.col("values"), F.col("targets"), F.col("mask"), clip=0.05)
-    return rows.select("sample_id", F.round(loss, 6).alias("loss"))
+    per_row = rows.select("prompt_id", loss.alias("loss_sum"), tokens.label_coverage(F.col("mask")).alias("n_tokens"))
+    return diagnostics.token_mean(per_row, ["prompt_id"]).select("prompt_id", "n_tokens", *_six("loss"))
 
 
-VALUE_LOSS = f"""with {GAE_BODY}, z as (select sample_id, m, v * 0.5::double as nv, v, adv + v as tgt from adv),
+VALUE_LOSS = f"""with {GAE_BODY}, z as (select prompt_id, m, v * 0.5::double as nv, v, adv + v as tgt from adv),
 n as (select *, least(greatest(nv, v - 0.05::double), v + 0.05::double) as near from z)
-select sample_id, round(sum(0.5::double * greatest((nv - tgt) * (nv - tgt), (near - tgt) * (near - tgt)) * m), 6) as loss from n group by sample_id"""
+select prompt_id, cast(sum(m) as bigint) as n_tokens, round(sum(0.5::double * greatest((nv - tgt) * (nv - tgt), (near - tgt) * (near - tgt)) * m) / greatest(sum(m), 1), 6) as loss from n group by prompt_id"""
+
+
+def ppo_loss(spark, sf_dir):
+    """Clipped policy loss per prompt, a mean over tokens, with an advantage for every token."""
+    rows = _advantages(spark, sf_dir)
+    loss = diagnostics.clipped_losses(F.col("new_logps"), F.col("old_logps"), F.col("advantages"))
+    per_row = diagnostics.row_losses(rows, loss, F.col("mask"))
+    return diagnostics.token_mean(per_row, ["prompt_id"]).select("prompt_id", "n_tokens", *_six("loss"))
+
+
+PPO_LOSS = f"""with {GAE_BODY}, z as (select prompt_id, m, adv, exp(new_lp - old_lp) as ratio from adv)
+select prompt_id, cast(sum(m) as bigint) as n_tokens, round(sum(greatest(-adv * ratio, -adv * least(greatest(ratio, 0.8::double), 1.2::double)) * m) / greatest(sum(m), 1), 6) as loss from z group by prompt_id"""
 
 
 def rollout_metrics(spark, sf_dir):
@@ -221,6 +240,7 @@ QUERIES = {
     "masked_kl": (masked_kl, MASKED_KL),
     "policy_loss": (policy_loss, POLICY_LOSS),
     "value_loss": (value_loss, VALUE_LOSS),
+    "ppo_loss": (ppo_loss, PPO_LOSS),
     "rollout_metrics": (rollout_metrics, ROLLOUT_METRICS),
     "label_coverage": (label_coverage, LABEL_COVERAGE),
     "dpo_margin": (dpo_margin, DPO_MARGIN),

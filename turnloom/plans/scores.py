@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import functions as F
 
 from turnloom.functions import text
@@ -45,33 +47,63 @@ REWARD_BASIC = f"""with {t.RESPONSES_SQL}, x as (select *, case when contains(re
 select conv_id, turn, round({_format_sql('response', 20)} - {penalty('answer')} + greatest(-3.0::double, least(3.0::double, (turn - 3) * 1.5::double)), 6) as reward from x"""
 
 
+_GOOD = '<tool_call>{"name": "unit_converter", "arguments": {"value": 3, "from_unit": "km", "to_unit": "miles"}}</tool_call>'
+_EMPTY = '<tool_call>{"name": "get_exchange_rate", "arguments": {"from_currency": "USD", "to_currency": ""}}</tool_call>'
+_CITY = '<tool_call>{"name": "get_current_weather", "arguments": {"location": "Paris"}}</tool_call>'
+
+
 def _trajectories(spark, sf_dir):
-    """Two logged turns per response, with expected answers taken from its text."""
-    rows = _scored(spark, sf_dir)
-    words = F.split("text", " ")
-    return rows.select(
+    """Two logged turns per response.
+
+    The first turn makes none to three calls, some of them with an empty argument
+    or of a tool that was not offered, some with a tag left open; the second is
+    the response.  Expected answers, none to three and also twice the same, come
+    from its text.
+    """
+    # Only a-z: engines differ in what they make of letters like the sharp s.
+    word = F.translate(F.get(F.split("text", " "), F.lit(0)), ascii_lowercase, ascii_uppercase)
+    kind, wants = (F.col("conv_id") + F.col("turn")) % 5, F.col("conv_id") % 3
+    calls = (
+        F.when(kind == 1, _GOOD).when(kind == 2, _GOOD + _EMPTY).when(kind == 3, f"{_GOOD} and {_CITY}{_GOOD}").when(kind == 4, "plan <tool_call>").otherwise("plan")
+    )
+    return _scored(spark, sf_dir).select(
         "conv_id", "turn", F.concat("response", F.lit(" 1,350.0 원")).alias("response"), "rm_score", "text",
-        F.array(F.lit("<think>a</think> plan <tool_call>"), F.concat("response", F.lit(" 1,350.0 원"))).alias("turn_outputs"),
-        F.array(F.upper(F.get(words, F.lit(0))), F.lit("1350"), F.lit("-77")).alias("gt"),
+        F.array(F.concat(F.lit("<think>a</think> "), calls), F.concat("response", F.lit(" 1,350.0 원"))).alias("turn_outputs"),
+        F.when(wants == 0, F.array().cast("array<string>")).when(wants == 1, F.array(word)).otherwise(F.array(word, F.lit("1350"), word)).alias("gt"),
         (F.col("conv_id") % 5 == 0).alias("unfinished"),
+        F.when(F.col("conv_id") % 2 == 0, F.array(F.lit("unit_converter"), F.lit("get_current_weather"), F.lit("get_exchange_rate")))
+        .when(F.col("conv_id") % 7 != 0, F.array(F.lit("unit_converter"))).alias("offered"),
     )
 
 
 def reward_agent(spark, sf_dir):
-    scored = rewards.agent_rewards(_trajectories(spark, sf_dir))
+    scored = rewards.agent_rewards(_trajectories(spark, sf_dir), F.col("offered"))
     return scored.select("conv_id", "turn", F.col("n_calls").cast("bigint").alias("n_calls"), F.col("n_valid").cast("bigint").alias("n_valid"), F.round("reward", 6).alias("reward"))
 
 
-# In these rows a call appears only in responses of kind 2 (one, valid), and the
-# expected words are looked for in what follows it.
-REWARD_AGENT = f"""with {t.RESPONSES_SQL}, x as (select conv_id, turn, text, response || ' 1,350.0 원' as r, conv_id % 5 = 0 as unfinished,
-  [upper(split_part(text, ' ', 1)), '1350', '-77'] as gt from responses),
-a as (select *, case when contains(r, '</think>') then {_after_think('r')} else {strip('r')} end as answer from x),
-b as (select *, conv_id % 4 = 2 as called, 1 + abs((length(answer) - length(replace(answer, '<tool_call>', ''))) / 11 - (length(answer) - length(replace(answer, '</tool_call>', ''))) / 12) as tags,
-  case when unfinished then '' else split_part(answer, '</tool_call>', -1) end as tail from a),
-c as (select *, case when unfinished then 0 else len(list_distinct(list_filter(gt, lambda g: contains(lower(tail), lower(g)) or g = '1350'))) end as hits from b)
-select conv_id, turn, cast(case when called then 1 else 0 end as bigint) as n_calls, cast(case when called then 1 else 0 end as bigint) as n_valid,
-  round(greatest(-3.0::double, least(3.0::double, case when called then -0.5::double * 2 + 2.5::double * hits / 3.0::double - case when unfinished then 0.5::double else 0.0::double end
+def _gap_sql(x: str) -> str:
+    return f"abs((length({x}) - length(replace({x}, '<tool_call>', ''))) / 11 - (length({x}) - length(replace({x}, '</tool_call>', ''))) / 12)"
+
+
+# Calls are read from both turns with DuckDB's JSON functions and checked one by one.
+_RUNS_SQL = f"""{t.RESPONSES_SQL}, x as (select conv_id, turn, text, response || ' 1,350.0 원' as r, conv_id % 5 = 0 as unfinished, translate(split_part(text, ' ', 1), '{ascii_lowercase}', '{ascii_uppercase}') as word,
+    case (conv_id + turn) % 5 when 1 then '{_GOOD}' when 2 then '{_GOOD}{_EMPTY}' when 3 then '{_GOOD} and {_CITY}{_GOOD}' when 4 then 'plan <tool_call>' else 'plan' end as a1,
+    case when conv_id % 2 = 0 then ['unit_converter', 'get_current_weather', 'get_exchange_rate'] when conv_id % 7 <> 0 then ['unit_converter'] else [] end as offered from responses),
+a as (select *, case conv_id % 3 when 0 then [] when 1 then [word] else [word, '1350', word] end as gt,
+  case when contains(r, '</think>') then {_after_think('r')} else {strip('r')} end as answer from x),
+bodies as (select conv_id, turn, offered, unnest(list_concat(regexp_extract_all(a1, '(?s)<tool_call>(.*?)</tool_call>', 1), regexp_extract_all(answer, '(?s)<tool_call>(.*?)</tool_call>', 1))) as body from a),
+k as (select conv_id, turn, count(*) as n_calls, count(*) filter (where list_contains(offered, json_extract_string(body, '$.name')) and case json_extract_string(body, '$.name')
+    when 'unit_converter' then json_extract(body, '$.arguments.value') is not null and json_extract_string(body, '$.arguments.from_unit') <> '' and json_extract_string(body, '$.arguments.to_unit') <> ''
+    when 'get_exchange_rate' then json_extract_string(body, '$.arguments.from_currency') <> '' and json_extract_string(body, '$.arguments.to_currency') <> ''
+    when 'get_current_weather' then json_extract_string(body, '$.arguments.location') <> '' else false end) as n_valid from bodies where json_valid(body) group by conv_id, turn)"""
+REWARD_AGENT = f"""with {_RUNS_SQL},
+b as (select a.*, coalesce(k.n_calls, 0) as n_calls, coalesce(k.n_valid, 0) as n_valid, {_gap_sql('a1')} + {_gap_sql('answer')} as tags,
+  case when unfinished then '' else split_part(answer, '</tool_call>', -1) end as tail from a left join k on a.conv_id = k.conv_id and a.turn = k.turn),
+c as (select *, len(list_distinct(list_filter(gt, lambda g: (g <> '' and contains(lower(tail), lower(g))) or (g = '1350' and contains(tail, '1,350.0'))))) as hits,
+  abs(n_valid - len(gt)) + n_calls - n_valid as gap from b)
+select conv_id, turn, n_calls, n_valid,
+  round(greatest(-3.0::double, least(3.0::double, case when n_calls > 0 then case when gap = 0 then 0.5::double else -0.5::double * gap end
+      + case when len(gt) > 0 then 2.5::double * hits / len(gt) else 0.0::double end - case when unfinished then 0.5::double else 0.0::double end
       - {penalty("case when tail <> '' then tail else answer end")}
     else {_format_sql('r', 5)} + greatest(-3.0::double, least(3.0::double, (turn - 3) * 1.5::double)) - {penalty('answer')} end - 0.5::double * tags)), 6) as reward from c"""
 
@@ -110,7 +142,7 @@ def tag_balance(spark, sf_dir):
     return rows.select("conv_id", "turn", rewards.tag_imbalance(F.col("turn_outputs")).alias("gap"))
 
 
-TAG_BALANCE = f"with {t.RESPONSES_SQL} select conv_id, turn, cast(1 + case when conv_id % 4 = 3 then 1 else 0 end as bigint) as gap from responses"
+TAG_BALANCE = f"with {_RUNS_SQL} select conv_id, turn, cast({_gap_sql('a1')} + {_gap_sql('answer')} as bigint) as gap from a"
 
 
 def unfinished_flags(spark, sf_dir):

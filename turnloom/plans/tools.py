@@ -46,9 +46,9 @@ def strict_calls(spark, sf_dir):
 STRICT_CALLS = f"""with {t.CALLS_SQL}, texts as (select event_id, string_agg('<tool_call>' || chr(10) || body || chr(10) || '</tool_call>', '' order by pos) as response from calls group by event_id),
 found as (select event_id, regexp_extract_all(response, '(?s)<tool_call>[{WS}]*(\\{{.*?\\}})[{WS}]*</tool_call>', 1) as l from texts),
 items as (select event_id, unnest(l) as body, unnest(range(0, len(l))) as n from found),
-good as (select event_id, n, json_extract_string(body, '$.name') as name, case when json_type(json_extract(body, '$.arguments')) = 'VARCHAR'
-  then json_extract_string(body, '$.arguments') else json_extract(body, '$.arguments')::varchar end as args from items where json_valid(body))
-select event_id, 'call_' || n as id, name, replace(replace(replace(args, '":', '": '), ',"', ', "'), ':  ', ': ') as arguments from good"""
+good as (select event_id, n, json_extract_string(body, '$.name') as name, json_type(json_extract(body, '$.arguments')) = 'VARCHAR' as is_text,
+  json_extract(body, '$.arguments')::varchar as args from items where json_valid(body))
+select event_id, 'call_' || n as id, name, case when is_text then args else replace(replace(replace(args, '":', '": '), ',"', ', "'), ':  ', ': ') end as arguments from good"""
 
 
 def tool_validity(spark, sf_dir):

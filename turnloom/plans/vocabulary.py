@@ -12,7 +12,7 @@ from turnloom.operators.toolcalls import literal_table
 from turnloom.plans import tables as t
 from turnloom.plans.chats import TURN_SQL
 from turnloom.session import spread
-from turnloom.plans.sqltext import quoted
+from turnloom.plans.sqltext import draw, quoted
 
 # RE2 has no look-ahead.  A mark is put before the last white space of a run that
 # is followed by text; no word may cross it, which splits runs where the
@@ -193,7 +193,8 @@ def dpo_arrays(spark, sf_dir):
     """Each side of a preference pair as x, y and mask, one shorter than 1024."""
     length = 1024
     pairs = t.preference_rows(spark, sf_dir).where(F.col("rejected").isNotNull())
-    sides = diagnostics.stack_sides(pairs).select("pair_id", "side", tokens.fixed_length(bpe.encoder()(chat.render(F.col("item"))), length).alias("ids"))
+    prompt = chat.drop_empty_think(chat.render(F.col("item")), F.concat_ws("-", "pair_id", "side"))
+    sides = diagnostics.stack_sides(pairs).select("pair_id", "side", tokens.fixed_length(bpe.encoder()(prompt), length).alias("ids"))
     rows = sides.withColumn("loss", tokens.loss_mask(_label_fn(length)(F.col("ids"))))
     rows = rows.select("pair_id", "side", *[c.alias(n) for n, c in tokens.shifted(F.col("ids"), F.col("loss")).items()])
     return rows.select(
@@ -205,7 +206,9 @@ def dpo_arrays(spark, sf_dir):
 def _side_sql(side: str, x: str) -> str:
     # user turn: mark, 'user', newline, text, mark, newline; then mark + 'assistant' + newline
     start = "(octet_length(encode(source)) + 8 + 11)"
-    body = f"(octet_length(encode(ltrim({x}, chr(10)))) + 6 + 2)"
+    # The empty think block is 6 tokens, unless it is dropped.
+    key = f"pair_id || '-{side}'"
+    body = f"(octet_length(encode(ltrim({x}, chr(10)))) + case when {draw('42think', key)} > 0.2 then 0 else 6 end + 2)"
     return f"""select pair_id, '{side}' as side, cast(1023 as bigint) as len_x, cast(1023 as bigint) as len_y, cast(1023 as bigint) as len_mask,
   cast(greatest(least({start} + {body}, 1024) - least({start}, 1024), 0) as bigint) as n_loss, cast(1 as bigint) as first_x,
   cast({K.RESERVED_COUNT + bpe.byte_tokens().index('u')} as bigint) as first_y from pairs where bad is not null"""
