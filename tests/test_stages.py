@@ -26,9 +26,9 @@ def test_all_stages(spark, tmp_path):
     chats = [{"conversations": [{"from": "human", "value": f"q{i}"}, {"from": "gpt", "value": "a"}]} for i in range(6)]
     chats += [{"instruction": "i", "output": "o"}, {"instruction": "i"}, {"messages": [{"role": "user", "content": "m"}]}]
     source = lines(tmp_path / "chat.jsonl", chats)
-    assert stages.sft(spark, root, source) == {"accepted": 8, "skipped": 1}
+    assert stages.sft(spark, root, source) == {"accepted": 8, "skipped": 1, "broken": 0}
     assert jsonl.read_chat(spark, f"{root}/sft_ko_mini").where(F.size("conversations") > 0).count() == 8
-    assert stages.sft(spark, root, source, limit=3, force=True)["accepted"] == 3
+    assert stages.sft(spark, root, source, limit=3, force=True) == {"accepted": 3, "skipped": 0, "broken": 0}
     got = [r["conversations"][0]["content"] for r in jsonl.read_chat(spark, f"{root}/sft_ko_mini").collect()]
     assert sorted(got) == ["q0", "q1", "q2"]
 
@@ -36,15 +36,15 @@ def test_all_stages(spark, tmp_path):
     assert all(json.loads(r["value"])["conversations"] for r in spark.read.text(f"{root}/rlaif_ko").collect())
 
     pair = {"chosen": [{"role": "user", "content": "q"}], "rejected": [{"role": "user", "content": "r"}]}
-    assert stages.dpo(spark, root, lines(tmp_path / "dpo.jsonl", [pair, {"chosen": pair["chosen"]}])) == {"accepted": 1, "skipped": 1}
+    assert stages.dpo(spark, root, lines(tmp_path / "dpo.jsonl", [pair, {"chosen": pair["chosen"]}])) == {"accepted": 1, "skipped": 1, "broken": 0}
 
     dialogs = [{"messages": [{"role": "user", "content": "q"}], "functions": "[1]"}, {"conversations": [{"from": "observation", "value": "x"}]}, {}]
-    assert stages.agent_rl(spark, root, lines(tmp_path / "d.jsonl", dialogs)) == {"accepted": 2, "skipped": 1}
+    assert stages.agent_rl(spark, root, lines(tmp_path / "d.jsonl", dialogs)) == {"accepted": 2, "skipped": 1, "broken": 0}
     rows = {r["conversations"][0]["role"]: r for r in jsonl.read_rl(spark, f"{root}/agent_rl_ko").collect()}
     assert rows["system"]["conversations"][0]["tools"] == "[1]" and rows["system"]["gt"] == [] and "tool" in rows
 
     maths = [{"question": "q", "chosen": [{"role": "assistant", "content": "= 1,200"}]}, {"prompt": "p", "answer": "5 ends."}, {"instruction": "i", "output": "x 42"}, {"output": "1"}]
-    assert stages.agent_rl_math(spark, root, lines(tmp_path / "m.jsonl", maths)) == {"accepted": 3, "skipped": 1}
+    assert stages.agent_rl_math(spark, root, lines(tmp_path / "m.jsonl", maths)) == {"accepted": 3, "skipped": 1, "broken": 0}
     assert sorted(r["gt"][0] for r in jsonl.read_rl(spark, f"{root}/agent_rl_math_ko").collect()) == ["1200", "42", "5"]
 
 
@@ -68,7 +68,7 @@ def test_chosen_as_text_and_answers_as_text(spark, tmp_path):
     lines = ['{"question": "q1", "chosen": "so it is 42"}', '{"question": "q2", "chosen": [{"role": "assistant", "content": "it is 1,200"}]}', '{"question": "q3", "chosen": ""}']
     (tmp_path / "math.jsonl").write_text("\n".join(lines))
     out = stages.agent_rl_math(spark, str(tmp_path / "out"), str(tmp_path / "math.jsonl"))
-    assert out == {"accepted": 2, "skipped": 1}
+    assert out == {"accepted": 2, "skipped": 1, "broken": 0}
     (tmp_path / "rl.jsonl").write_text('{"conversations": [], "gt": "7"}\n{"conversations": [], "gt": ["8", "9"]}\n{"conversations": [], "gt": ""}\n')
     assert sorted(r["gt"] for r in jsonl.read_rl(spark, str(tmp_path / "rl.jsonl")).collect()) == [[], ["7"], ["8", "9"]]
 
@@ -86,3 +86,20 @@ def test_equal_rows_of_a_hot_key_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 20_000 and len(sizes) > 1 and max(sizes) < 15_000
+
+
+def test_skips_before_the_limit_and_broken_lines(spark, tmp_path):
+    rows = ['{"instruction": "a", "output": "b"}', "{broken", '{"instruction": "only"}', '{"instruction": "c", "output": "d"}', '{"x": 1}', '{"instruction": "e", "output": "f"}']
+    (tmp_path / "chat.jsonl").write_text("\n".join(rows))
+    root, source = str(tmp_path / "out"), str(tmp_path / "chat.jsonl")
+    assert stages.sft(spark, root, source, limit=2) == {"accepted": 2, "skipped": 1, "broken": 1}
+    assert stages.sft(spark, root, source, limit=9, force=True) == {"accepted": 3, "skipped": 2, "broken": 1}
+
+
+def test_first_lines_over_many_blocks(spark, tmp_path):
+    """The cut falls into any block; only that block is ranked."""
+    for k in range(4):
+        (tmp_path / f"part-{k}.txt").write_text("".join(f"{k}-{i}\n" for i in range(5)))
+    want = [f"{k}-{i}" for k in range(4) for i in range(5)]
+    for n in (1, 5, 6, 14, 20, 30):
+        assert sorted(r["value"] for r in jsonl.read_lines(spark, str(tmp_path), n).collect()) == want[:n]

@@ -15,14 +15,29 @@ from pyspark.sql import functions as F
 from turnloom.functions.draws import draw_key, hex_prefix
 
 
-def first_n(df: DataFrame, order: Column, n: int) -> DataFrame:
-    """The first n rows by a unique key, without moving the rows.
+def nth_key(df: DataFrame, order: Column, n: int, block: Column | None = None) -> Column:
+    """The n-th smallest value of a unique key, null when there are fewer rows.
 
-    Only keys take part in the top-n; its largest key then filters the scan.
+    Without ``block`` this is a top-n of keys, for a small n.  ``block`` is a
+    prefix of the order that cuts the rows into blocks of bounded size, such as
+    file splits: then one count per block tells the block the cut falls into, and
+    only that block is ranked.
     """
-    keys = df.select(order.alias("k")).orderBy("k").limit(n)
-    cut = keys.agg(F.max("k").alias("cut"))
-    return df.where(order <= cut.scalar())
+    if block is None:
+        keys = df.select(order.alias("k")).orderBy("k").limit(n)
+        return keys.agg(F.when(F.count("*") == n, F.max("k")).alias("cut")).scalar()
+    keys = df.select(block.alias("b"), order.alias("k"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = keys.groupBy("b").agg(F.count("*").alias("n")).withColumn("before", before)
+    edge = counts.where((F.col("before") < n) & (F.col("before") + F.col("n") >= n)).agg(F.max(F.struct("b", "before")).alias("e"))
+    ranked = keys.where(F.col("b") == edge.select("e.b").scalar()).withColumn("rank", F.row_number().over(Window.partitionBy("b").orderBy("k")))
+    return ranked.where(F.col("rank") == n - edge.select("e.before").scalar()).agg(F.max("k").alias("cut")).scalar()
+
+
+def first_n(df: DataFrame, order: Column, n: int, block: Column | None = None) -> DataFrame:
+    """The first n rows by a unique key, without moving the rows: the n-th key filters the scan."""
+    cut = nth_key(df, order, n, block)
+    return df.where(cut.isNull() | (order <= cut))
 
 
 def first_accepted(df: DataFrame, accepted: Column, order: Column, n: int = 0) -> DataFrame:

@@ -24,31 +24,38 @@ _TYPES = {"conversations": _LOOSE_LIST, "messages": _LOOSE_LIST, "chosen": f"arr
 def read_source(spark: SparkSession, path: str, columns: list[str], fmt: str = "json", split: str | None = None, as_text: tuple[str, ...] = ()) -> DataFrame:
     """A snapshot with the columns a stage looks at (missing ones null) and the source order.
 
+    ``broken`` holds a JSON line that does not parse or does not fit, else null.
+
     Columns in ``as_text`` may hold text or anything else, which then comes as JSON.
     """
     if fmt == "json":
         fields = ", ".join(f"{c} {t if isinstance(t, str) else t.simpleString()}" for c in columns for t in ["string" if c in as_text else _TYPES.get(c, "string")])
         # Field names of the loose messages include a keyword, hence back quotes.
-        df = spark.read.schema(fields.replace("from:", "`from`:")).json(path)
+        fields = fields.replace("from:", "`from`:") + ", broken string"
+        df = spark.read.schema(fields).option("columnNameOfCorruptRecord", "broken").json(path)
     else:
         df = jsonl.read_snapshot(spark, path, split)
         df = df.withColumns({c: F.to_json(c) for c in as_text if c in df.columns and dict(df.dtypes)[c] != "string"})
-    missing = {c: F.lit(None).cast("string" if c in as_text else _TYPES.get(c, "string")) for c in columns if c not in df.columns}
-    return df.withColumns(missing).select(*columns, jsonl.line_order().alias("ord"))
+    missing = {c: F.lit(None).cast("string" if c in as_text else _TYPES.get(c, "string")) for c in [*columns, "broken"] if c not in df.columns}
+    return df.withColumns(missing).select(*columns, "broken", jsonl.line_order().alias("ord"))
 
 
 def _write(df: DataFrame, reason: Column, build, columns: list[str], path: str, limit: int, force: bool) -> dict:
-    """Accepted rows, built and written; counts are observed on the way."""
+    """Accepted rows, built and written; counts are observed on the way.
+
+    ``skipped`` counts rows that fit no rule, ``broken`` lines that do not parse.
+    With a limit, both count what lies before the last accepted row.
+    """
     seen = Observation()
-    marked = df.withColumn("why", reason).observe(
-        seen, F.count_if(F.col("why").isNull()).alias("accepted"), F.count_if(F.col("why").isNotNull()).alias("skipped")
-    )
-    kept = marked.where(F.col("why").isNull())
-    if limit:
-        kept = manifest.first_n(df.where(reason.isNull()), F.col("ord"), limit)
-    jsonl.write_jsonl(build(kept).select(*columns), path, force)
+    marked = df.withColumn("why", F.when(reason.isNotNull() & F.col("broken").isNotNull(), "broken").otherwise(reason))
     if limit:
-        return {"accepted": jsonl.read_text(df.sparkSession, path).count(), "skipped": None}
+        cut = manifest.nth_key(df.where(reason.isNull()), F.col("ord"), limit, jsonl.line_block())
+        marked = marked.where(cut.isNull() | (F.col("ord") <= cut))
+    marked = marked.observe(
+        seen, F.count_if(F.col("why").isNull()).alias("accepted"), F.count_if(F.col("why") != "broken").alias("skipped"),
+        F.count_if(F.col("why") == "broken").alias("broken"),
+    )
+    jsonl.write_jsonl(build(marked.where(F.col("why").isNull())).select(*columns), path, force)
     return dict(seen.get)
 
 
@@ -59,7 +66,7 @@ def pretrain(spark, root: str, encyclopedia: str, web: str | None = None, limit:
 
     def texts(source: str, n: int) -> DataFrame:
         rows = normalize.clean_text(read_source(spark, source, ["text"], fmt))
-        return manifest.first_n(rows, F.col("ord"), n) if n else rows
+        return manifest.first_n(rows, F.col("ord"), n, jsonl.line_block()) if n else rows
 
     rows = texts(encyclopedia, limit)
     if web:

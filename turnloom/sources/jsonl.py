@@ -65,10 +65,15 @@ def line_order() -> Column:
     )
 
 
+def line_block(ord_name: str = "ord") -> Column:
+    """The part of a source order that names one file block."""
+    return F.struct(F.col(f"{ord_name}.file"), F.col(f"{ord_name}.block"))
+
+
 def read_lines(spark: SparkSession, path, limit: int = 0) -> DataFrame:
     """Lines in source order (``ord``); ``limit`` counts lines read, good or bad."""
     lines = spark.read.text(path).select("value", line_order().alias("ord"))
-    return first_n(lines, F.col("ord"), limit) if limit else lines
+    return first_n(lines, F.col("ord"), limit, line_block()) if limit else lines
 
 
 def read_raw_lines(spark: SparkSession, path) -> DataFrame:
