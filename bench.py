@@ -18,6 +18,7 @@ HEADLINE = [
     "corpus_clean", "source_counts", "normalize_mixed", "math_answers", "sft_render", "chat_stats", "parse_back", "epoch_manifest",
     "rlaif_sample", "rep_penalty", "reward_agent", "tool_validity", "tool_report", "group_advantage", "pretoken_counts", "pair_counts",
     "sft_labels", "pack_trajectories", "gae", "masked_kl", "policy_loss", "rollout_metrics", "pretrain_arrays", "dpo_arrays", "stream_pieces",
+    "stream_ingest", "stream_assemble", "bpe_vocab", "bpe_compression",
 ]
 
 

@@ -12,8 +12,7 @@ from turnloom.functions.jsontext import read_call, read_calls
 from turnloom.functions.text import split_words
 from turnloom.operators.chat import call_bodies
 
-# Every table in this section is fixed reference data of at most some dozens of
-# rows, which is the bound that makes broadcasting it safe at any input size.
+# The registry is fixed data of some dozens of rows.
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
@@ -30,45 +29,17 @@ def literal_table(spark: SparkSession, rows: list[tuple], names: str) -> DataFra
 
 
 def registry(spark: SparkSession) -> DataFrame:
+    """name, definition as JSON, and the arguments that must be given."""
     rows = []
-    for tool in K.AGENT_TOOLS:
-        need = K.REQUIRED_ARGS[tool["function"]["name"]]
-        rows.append((tool["function"]["name"], json.dumps(tool, ensure_ascii=False), need["present"], need["truthy"]))
+    for name, need in K.REQUIRED_ARGS.items():
+        tool = {"type": "function", "function": {"name": name, "parameters": {"type": "object", "required": need["present"] + need["truthy"]}}}
+        rows.append((name, json.dumps(tool, ensure_ascii=False), need["present"], need["truthy"]))
     return literal_table(spark, rows, "name tool need_present need_truthy")
 
 
-def eval_names(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, [(n,) for n in K.EVAL_TOOL_NAMES], "name")
-
-
-def eval_cases(spark: SparkSession) -> DataFrame:
-    rows = [(i, prompt, tools) for i, (prompt, tools) in enumerate(K.EVAL_CASES)]
-    return literal_table(spark, rows, "case_id prompt tools")
-
-
-def weather_table(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, K.WEATHER, "location temperature condition")
-
-
-def time_table(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, K.TIMES, "timezone datetime")
-
-
-def rate_table(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, K.RATES, "from_currency to_currency rate")
-
-
-def translation_table(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, K.TRANSLATIONS, "text target_language translated")
-
-
-def unit_table(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, K.UNIT_FACTORS, "units factor")
-
-
 def select_tools(names: DataFrame, tools: DataFrame) -> DataFrame:
     """Registry entry of each name.  An unknown name is an error, as in a dict lookup."""
-    known = names.join(F.broadcast(tools), "name", "left")
+    known = names.join(tools, "name", "left")
     missing = F.concat(F.lit("unknown tool: "), F.coalesce(F.col("name"), F.lit("null")))
     return known.withColumn("tool", F.coalesce("tool", F.raise_error(missing).cast("string")))
 
@@ -109,7 +80,7 @@ def check_calls(calls: DataFrame, tools: DataFrame, allowed: DataFrame | None =
     ``allowed`` (sample_id, name) limits a sample to its own tools; without it
     every registry tool is allowed.
     """
-    dim = F.broadcast(tools.select("name", "need_present", "need_truthy", F.lit(True).alias("in_registry")))
+    dim = tools.select("name", "need_present", "need_truthy", F.lit(True).alias("in_registry"))
     out = calls.join(dim, "name", "left").withColumn("known", F.coalesce("in_registry", F.lit(False)))
     ok = F.col("known") & arguments_ok(F.col("present"), F.col("truthy"), F.col("need_present"), F.col("need_truthy"))
     if allowed is not None:
@@ -121,7 +92,7 @@ def check_calls(calls: DataFrame, tools: DataFrame, allowed: DataFrame | None =
 
 
 def unknown_calls(calls: DataFrame, tools: DataFrame) -> DataFrame:
-    return calls.join(F.broadcast(tools.select("name")), "name", "left_anti")
+    return calls.join(tools.select("name"), "name", "left_anti")
 
 
 def allowed_calls(calls: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -132,41 +103,18 @@ def allowed_calls(calls: DataFrame, allowed: DataFrame) -> DataFrame:
 # --- table-backed results ---------------------------------------------------------
 
 
-def weather(calls: DataFrame, table: DataFrame) -> DataFrame:
-    temperature, condition = K.WEATHER_DEFAULT
-    return calls.join(F.broadcast(table), "location", "left").withColumns(
-        {
-            "temperature": F.coalesce("temperature", F.lit(temperature)),
-            "condition": F.coalesce("condition", F.lit(condition)),
-            "humidity": F.lit(K.HUMIDITY),
-        }
-    )
-
-
-def local_time(calls: DataFrame, table: DataFrame) -> DataFrame:
-    asked = calls.withColumn("timezone", F.coalesce("timezone", F.lit(K.TIMEZONE_DEFAULT)))
-    return asked.join(F.broadcast(table), "timezone", "left").withColumn("datetime", F.coalesce("datetime", F.lit(K.TIME_DEFAULT)))
-
+def looked_up(calls: DataFrame, table: DataFrame, on: list[str], defaults: dict[str, Column]) -> DataFrame:
+    """Adds the table's columns to calls whose arguments it holds, else the defaults.
 
-def exchange_rate(calls: DataFrame, table: DataFrame) -> DataFrame:
-    return calls.join(F.broadcast(table), ["from_currency", "to_currency"], "left").withColumn("rate", F.coalesce("rate", F.lit(1.0)))
-
-
-def translation(calls: DataFrame, table: DataFrame) -> DataFrame:
-    return calls.join(F.broadcast(table), ["text", "target_language"], "left").withColumn(
-        "translated", F.coalesce("translated", "text", F.lit(""))
-    )
+    ``table`` has one row per key.  How it is joined is left to Spark's size check.
+    """
+    return calls.join(table, on, "left").withColumns({name: F.coalesce(F.col(name), default) for name, default in defaults.items()})
 
 
-def convert_unit(calls: DataFrame, table: DataFrame) -> DataFrame:
-    """value * factor, half-even at 4 places; unknown unit pairs have factor 1."""
-    units = F.concat(F.lower(F.coalesce("from_unit", F.lit(""))), F.lit("_"), F.lower(F.coalesce("to_unit", F.lit(""))))
-    return (
-        calls.withColumn("units", units)
-        .join(F.broadcast(table), "units", "left")
-        .withColumn("result", F.bround(F.coalesce("value", F.lit(0.0)) * F.coalesce("factor", F.lit(1.0)), 4))
-        .drop("units", "factor")
-    )
+def scaled(calls: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """value * factor of the key, half-even at 4 places; unknown keys have factor 1, a missing value is 0."""
+    placed = looked_up(calls, table, on, {"factor": F.lit(1.0)})
+    return placed.withColumn("result", F.bround(F.coalesce("value", F.lit(0.0)) * F.col("factor"), 4)).drop("factor")
 
 
 def result_text(result: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from turnloom import constants as K
@@ -110,82 +112,60 @@ UNKNOWN_TOOLS = f"with {t.CALLS_SQL} select event_id, pos, name from checked whe
 def select_tools(spark, sf_dir):
     """Definition of the tool behind each known call."""
     known = _checked(spark, sf_dir).where("known").select("event_id", "pos", "name")
-    return toolcalls.select_tools(known, toolcalls.registry(spark)).select("event_id", "pos", "name", F.get_json_object("tool", "$.function.description").alias("description"))
+    return toolcalls.select_tools(known, toolcalls.registry(spark)).select("event_id", "pos", "name", F.get_json_object("tool", "$.function.parameters.required").alias("required"))
 
 
-SELECT_TOOLS = f"""with {t.CALLS_SQL} select event_id, pos, c.name, v.description from checked c join
-  {_values([(x['function']['name'], x['function']['description']) for x in K.AGENT_TOOLS], 'name, description')} on v.name = c.name where c.is_object"""
+SELECT_TOOLS = f"""with {t.CALLS_SQL} select event_id, pos, c.name, v.required from checked c join
+  {_values([(name, json.dumps(need['present'] + need['truthy'], separators=(',', ':'))) for name, need in K.REQUIRED_ARGS.items()], 'name, required')} on v.name = c.name where c.is_object"""
 
 
 def case_calls(spark, sf_dir):
-    """Evaluation cases: calls per case and how many use a tool of the case."""
-    calls = _calls(spark, sf_dir).where(F.col("name").isNotNull()).withColumn("case_id", (F.col("event_id") % len(K.EVAL_CASES)).cast("int"))
-    offered = toolcalls.eval_cases(spark).select("case_id", F.explode("tools").alias("name"))
-    offered = offered.join(toolcalls.eval_names(spark), "name").withColumn("offered", F.lit(True))
-    joined = calls.join(F.broadcast(offered), ["case_id", "name"], "left")
-    return joined.groupBy("case_id").agg(F.count("*").alias("calls"), F.count_if(F.coalesce("offered", F.lit(False))).alias("in_case"))
-
-
-CASE_CALLS = f"""with {t.CALLS_SQL} select cast(event_id % 8 as integer) as case_id, count(*) as calls, count(v.name) as in_case from checked c left join
-  {_values([(i * 1.0, n) for i, (_p, names) in enumerate(K.EVAL_CASES) for n in names], 'case_no, name')} on v.case_no = event_id % 8 and v.name = c.name where c.is_object group by 1"""
-
-
-def unit_convert(spark, sf_dir):
-    rows = t.events(spark, sf_dir).select(
-        "event_id", "value", F.when(F.col("event_id") % 2 == 0, "KM").otherwise("celsius").alias("from_unit"),
-        F.when(F.col("event_id") % 3 == 0, "miles").otherwise("Fahrenheit").alias("to_unit"),
+    """Per sample: calls and how many use a tool it was offered.  Calls are counted per name before the join."""
+    named = _calls(spark, sf_dir).where(F.col("name").isNotNull()).groupBy("sample_id", "name").agg(F.count("*").alias("n"))
+    offered = toolcalls.looked_up(
+        named, _allowed(spark, sf_dir).distinct().withColumn("offered", F.lit(True)), ["sample_id", "name"], {"offered": F.lit(False)}
     )
-    return toolcalls.convert_unit(rows, toolcalls.unit_table(spark)).select("event_id", "result")
+    return offered.groupBy("sample_id").agg(F.sum("n").alias("calls"), F.sum(F.when(F.col("offered"), F.col("n")).otherwise(0)).alias("in_case"))
 
 
-UNIT_CONVERT = """select event_id, round_even(value * case when event_id % 2 = 0 and event_id % 3 = 0 then 0.621371::double when event_id % 2 <> 0 and event_id % 3 <> 0 then 1.8::double else 1.0::double end, 4) as result from events"""
+CASE_CALLS = f"""with {t.CALLS_SQL}, {ALLOWED_SQL} select c.sample_id, count(*) as calls, count(a.name) as in_case
+  from checked c left join allowed a on a.sample_id = c.sample_id and a.name = c.name where c.is_object group by 1"""
 
 
-def exchange_rate(spark, sf_dir):
-    kind = F.col("event_type")
-    rows = t.events(spark, sf_dir).select(
-        "event_id", F.when(kind == "view", "USD").when(kind == "click", "EUR").when(kind == "signup", "JPY").otherwise("KRW").alias("from_currency"),
-        F.when(F.col("event_id") % 2 == 0, "KRW").otherwise("EUR").alias("to_currency"),
-    )
-    return toolcalls.exchange_rate(rows, toolcalls.rate_table(spark)).select("event_id", "from_currency", "to_currency", "rate")
-
-
-EXCHANGE_RATE = f"""with x as (select event_id, case event_type when 'view' then 'USD' when 'click' then 'EUR' when 'signup' then 'JPY' else 'KRW' end as a,
-  case when event_id % 2 = 0 then 'KRW' else 'EUR' end as b from events)
-select event_id, x.a as from_currency, x.b as to_currency, coalesce(v.rate, 1.0::double) as rate from x left join {_values(K.RATES, 'a, b, rate')} on v.a = x.a and v.b = x.b"""
-
-
-def weather_lookup(spark, sf_dir):
-    kind = F.col("event_type")
-    place = F.when(kind == "view", "서울").when(kind == "click", "Paris").when(kind == "signup", "New York").otherwise(F.col("props"))
-    return toolcalls.weather(t.events(spark, sf_dir).select("event_id", place.alias("location")), toolcalls.weather_table(spark)).select(
-        "event_id", "location", "temperature", "condition", "humidity"
-    )
+def key_lookup(spark, sf_dir):
+    """One argument looked up: a supplier's nation, some of them not in the table."""
+    asked = t.table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") + F.col("s_suppkey") % 3 * 10).cast("int").alias("nationkey"))
+    names = t.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("nation"))
+    return toolcalls.looked_up(asked, names, ["nationkey"], {"nation": F.lit("unknown")}).select("s_suppkey", "nationkey", "nation")
 
 
-WEATHER_LOOKUP = f"""with x as (select event_id, case event_type when 'view' then '서울' when 'click' then 'Paris' when 'signup' then 'New York' else props end as location from events)
-select event_id, x.location, coalesce(v.t, '22°C') as temperature, coalesce(v.c, '맑음') as condition, '65%' as humidity from x left join {_values(K.WEATHER, 'location, t, c')} on v.location = x.location"""
+KEY_LOOKUP = """with x as (select s_suppkey, cast(s_nationkey + s_suppkey % 3 * 10 as integer) as nationkey from supplier)
+select s_suppkey, nationkey, coalesce(n_name, 'unknown') as nation from x left join nation on n_nationkey = nationkey"""
 
 
-def time_lookup(spark, sf_dir):
-    kind = F.col("event_type")
-    zone = F.when(kind == "view", "Asia/Seoul").when(kind == "click", "Europe/Paris").when(kind == "signup", "Mars/Base")
-    return toolcalls.local_time(t.events(spark, sf_dir).select("event_id", zone.alias("timezone")), toolcalls.time_table(spark)).select("event_id", "timezone", "datetime")
+def pair_lookup(spark, sf_dir):
+    """A value scaled by the factor of two arguments: the greatest balance of a nation and segment, where it is not negative."""
+    customers = t.table(spark, sf_dir, "customer")
+    on = ["c_nationkey", "c_mktsegment"]
+    factors = customers.groupBy(*on).agg(F.max("c_acctbal").alias("factor")).where(F.col("factor") >= 5000)
+    asked = customers.select("c_custkey", *on, F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey") / 3).alias("value"))
+    return toolcalls.scaled(asked, factors, on).select("c_custkey", "result")
 
 
-TIME_LOOKUP = f"""with x as (select event_id, coalesce(case event_type when 'view' then 'Asia/Seoul' when 'click' then 'Europe/Paris' when 'signup' then 'Mars/Base' end, 'Asia/Seoul') as timezone from events)
-select event_id, x.timezone, coalesce(v.d, '2025-03-07 14:30:00') as datetime from x left join {_values(K.TIMES, 'timezone, d')} on v.timezone = x.timezone"""
+PAIR_LOOKUP = """with f as (select c_nationkey, c_mktsegment, max(c_acctbal) as factor from customer group by 1, 2 having max(c_acctbal) >= 5000)
+select c_custkey, round_even(case when c_custkey % 7 <> 0 then c_custkey / 3.0::double else 0.0::double end * coalesce(factor, 1.0::double), 4) as result
+from customer c left join f on f.c_nationkey = c.c_nationkey and f.c_mktsegment = c.c_mktsegment"""
 
 
-def translate_lookup(spark, sf_dir):
-    kind = F.col("conv_id") % 3
-    text = F.when(kind == 0, "Good morning").when(kind == 1, "안녕 세상").otherwise(F.col("text"))
-    rows = t.conversations(spark, sf_dir).select("conv_id", "turn", text.alias("text"), F.when(F.col("turn") % 2 == 0, "korean").otherwise("english").alias("target_language"))
-    return toolcalls.translation(rows, toolcalls.translation_table(spark)).select("conv_id", "turn", "target_language", "translated")
+def text_lookup(spark, sf_dir):
+    """Whole texts looked up with their language: the first document with both, its own id where there is one only."""
+    docs, on = t.documents(spark, sf_dir), ["text", "lang"]
+    firsts = docs.groupBy(*on).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
+    return toolcalls.looked_up(docs.select("doc_id", *on), firsts, on, {"first_id": F.col("doc_id")}).select("doc_id", "first_id")
 
 
-TRANSLATE_LOOKUP = f"""with x as (select conv_id, turn, case conv_id % 3 when 0 then 'Good morning' when 1 then '안녕 세상' else text end as text, case when turn % 2 = 0 then 'korean' else 'english' end as target_language from conversations)
-select conv_id, turn, x.target_language, coalesce(v.r, x.text) as translated from x left join {_values(K.TRANSLATIONS, 'text, target_language, r')} on v.text = x.text and v.target_language = x.target_language"""
+TEXT_LOOKUP = """with f as (select text, lang, min(doc_id) as first_id from documents group by 1, 2 having count(*) > 1)
+select doc_id, coalesce(first_id, doc_id) as first_id from documents d left join f on f.text = d.text and f.lang = d.lang"""
 
 
 def result_text(spark, sf_dir):
@@ -234,11 +214,9 @@ QUERIES = {
     "unknown_tools": (unknown_tools, UNKNOWN_TOOLS),
     "select_tools": (select_tools, SELECT_TOOLS),
     "case_calls": (case_calls, CASE_CALLS),
-    "unit_convert": (unit_convert, UNIT_CONVERT),
-    "exchange_rate": (exchange_rate, EXCHANGE_RATE),
-    "weather_lookup": (weather_lookup, WEATHER_LOOKUP),
-    "time_lookup": (time_lookup, TIME_LOOKUP),
-    "translate_lookup": (translate_lookup, TRANSLATE_LOOKUP),
+    "key_lookup": (key_lookup, KEY_LOOKUP),
+    "pair_lookup": (pair_lookup, PAIR_LOOKUP),
+    "text_lookup": (text_lookup, TEXT_LOOKUP),
     "result_text": (result_text, RESULT_TEXT),
     "text_length": (text_length, TEXT_LENGTH),
     "call_deltas": (call_deltas, CALL_DELTAS),
