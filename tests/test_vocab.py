@@ -122,3 +122,31 @@ def test_windows_over_codes_that_are_line_separators(spark):
     df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
     got = [r["p"] for r in df.select("i", _windows(F.col("w")).alias("p")).orderBy("i").collect()]
     assert got == [["a\u2028", "\u2028b"], ["\u2028\u2029"], [], ["ab", "bc"]]
+
+
+def test_merging_like_the_slow_way():
+    """The heap merges in the same order as a full search for every merge, also in long words and runs."""
+    import random
+
+    rng = random.Random(3)
+    merges = [("a", "a"), ("b", "c"), ("aa", "b"), ("aa", "aa"), ("c", "a"), ("aab", "c"), ("b", "b")]
+    vocab = bpe.base_vocab() + ["".join(m) for m in merges]
+    codec = bpe.Codec(vocab, merges)
+    for n in (0, 1, 2, 5, 30, 400):
+        for _ in range(20):
+            word = "".join(rng.choice("aaabc") for _ in range(n))
+            parts = list(word)
+            while True:
+                ranked = [(merges.index(p), at) for at, p in enumerate(zip(parts, parts[1:])) if p in merges]
+                if not ranked:
+                    break
+                at = min(ranked)[1]
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            assert codec._word_ids(word) == [codec.ids[p] for p in parts]
+    text = "<|im_start|>aab c<|im_end|> bca"
+    assert [codec.encode(text, k) for k in range(1, 9)] == [codec.encode(text)[:k] for k in range(1, 9)]
+
+
+def test_pieces_after_a_bad_byte():
+    assert bpe._buffered([b"a", "é".encode()[:1], "é".encode()[1:], b"b", b"\xff", b"c"]) == ([1, 2, 1], ["a", "é", "b"])
+    assert bpe._buffered(["x�".encode(), b"c"]) == ([], [])

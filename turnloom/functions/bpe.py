@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -61,24 +63,49 @@ class Codec:
         self.word_ids = lru_cache(maxsize=cache)(self._word_ids)
 
     def _word_ids(self, word: str) -> list[int]:
+        """Merges by rank, leftmost first, in n log n: a heap of pairs over a linked list of parts."""
         parts = [BYTE_CHAR[b] for b in word.encode("utf-8")]
-        while len(parts) > 1 and self.rank:
-            ranked = [(self.rank[pair], at) for at, pair in enumerate(zip(parts, parts[1:])) if pair in self.rank]
-            if not ranked:
-                break
-            at = min(ranked)[1]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ids[p] for p in parts]
-
-    def encode(self, text: str) -> list[int]:
+        if not self.rank:
+            return [self.ids[p] for p in parts]
+        end = len(parts)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        heap: list[tuple[int, int, str, str]] = []
+
+        def offer(at: int) -> None:
+            if at >= 0 and after[at] < end:
+                left, right = parts[at], parts[after[at]]
+                if (rank := self.rank.get((left, right))) is not None:
+                    heapq.heappush(heap, (rank, at, left, right))
+
+        for at in range(end):
+            offer(at)
+        while heap:
+            _rank, at, left, right = heapq.heappop(heap)
+            gone = after[at]
+            # A pair that an earlier merge took part of is no longer there.
+            if parts[at] != left or gone >= end or parts[gone] != right:
+                continue
+            parts[at], parts[gone] = left + right, ""
+            after[at] = after[gone]
+            if after[at] < end:
+                before[after[at]] = at
+            offer(before[at])
+            offer(at)
+        return [self.ids[p] for p in parts if p]
+
+    def encode(self, text: str, limit: int | None = None) -> list[int]:
+        """Ids of the text; with a limit, encoding stops once that many are there."""
         out: list[int] = []
-        for piece in self.cut.split(text):
-            if piece in self.reserved:
-                out.append(self.ids[piece])
-            else:
-                for word in self.words.findall(piece):
-                    out.extend(self.word_ids(word))
-        return out
+        start = 0
+        for mark in [*self.cut.finditer(text), None]:
+            for word in self.words.finditer(text, start, mark.start() if mark else len(text)):
+                out.extend(self.word_ids(word.group()))
+                if limit is not None and len(out) >= limit:
+                    return out[:limit]
+            if mark:
+                out.append(self.ids[mark.group()])
+                start = mark.end()
+        return out if limit is None else out[:limit]
 
     def raw(self, ids) -> bytes:
         out = bytearray()
@@ -88,15 +115,18 @@ class Codec:
         return bytes(out)
 
 
-def encoder(vocab: list[str] | None = None, merges: list[tuple[str, str]] | None = None):
-    """A Column function text -> ids.  Vocabulary size bounds what is shipped."""
+def encoder(vocab: list[str] | None = None, merges: list[tuple[str, str]] | None = None, limit: int | None = None):
+    """A Column function text -> ids, the first ``limit`` of them where one is given.
+
+    Vocabulary size bounds what is shipped.
+    """
     tokens, pairs = vocab or base_vocab(), merges or []
     holder: dict[str, Codec] = {}
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode_ids(text: pd.Series) -> pd.Series:
         codec = holder.setdefault("codec", Codec(tokens, pairs))
-        return text.map(lambda t: np.asarray(codec.encode(t), dtype="int32"), na_action="ignore")
+        return text.map(lambda t: np.asarray(codec.encode(t, limit), dtype="int32"), na_action="ignore")
 
     return encode_ids
 
@@ -118,15 +148,25 @@ PIECES = T.StructType([T.StructField("n_tokens", T.ArrayType(T.IntegerType())),
 
 
 def _buffered(parts: list[bytes]) -> tuple[list[int], list[str]]:
-    """Token by token: held until the bytes decode without a replacement character."""
-    counts, texts, held, count = [], [], b"", 0
+    """Token by token: held until the bytes decode without a replacement character.
+
+    What follows a byte that cannot be decoded, or a replacement character in the
+    text itself, is held for good, so the walk ends there.
+    """
+    counts, texts, text, count = [], [], "", 0
+    reader = codecs.getincrementaldecoder("utf-8")("strict")
     for part in parts:
-        held, count = held + part, count + 1
-        text = held.decode("utf-8", errors="replace")
-        if text and "\ufffd" not in text:
+        count += 1
+        try:
+            text += reader.decode(part)
+        except UnicodeDecodeError:
+            break
+        if "\ufffd" in text:
+            break
+        if text and not reader.getstate()[0]:
             counts.append(count)
             texts.append(text)
-            held, count = b"", 0
+            text, count = "", 0
     return counts, texts
 
 

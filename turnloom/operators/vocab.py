@@ -141,7 +141,7 @@ def _safe_batch(ranked: list[str], tokens: list[str], known: set[str], room: int
     return taken
 
 
-def learn_vocab(words: DataFrame, vocab_size: int, look_ahead: int = 256, cut_every: int = 64) -> Vocabulary:
+def learn_vocab(words: DataFrame, vocab_size: int = 8000, look_ahead: int = 256, cut_every: int = 64) -> Vocabulary:
     """Byte-pair merges over a table of distinct words (word, n).
 
     The corpus is read once, for the word table.  Words and pair counts are kept

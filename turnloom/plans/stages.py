@@ -140,7 +140,7 @@ def training_rows(chats: DataFrame, row_id: str, max_length: int = 768, batch_si
     messages = chat.inject_system(F.col("conversations"), key, seed=str(seed))
     prompts = joined.withColumn("prompt", chat.render_chat(messages))
     prompts = prompts.withColumn("prompt", chat.drop_empty_think(F.col("prompt"), key, seed=str(seed)))
-    encode = encoder(vocab, merges)
+    encode = encoder(vocab, merges, max_length)
     rows = prompts.withColumn("ids", tokens.fixed_length(encode(F.col("prompt")), max_length))
     opening, closing = tokens.answer_marks(vocab, merges)
     rows = rows.withColumn("labels", tokens.answer_labels(opening, closing, max_length)(F.col("ids")))

@@ -90,7 +90,7 @@ def _learned(spark, sf_dir):
 
 
 def bpe_vocab(spark, sf_dir):
-    """A vocabulary of 400 tokens learned from all documents."""
+    """A vocabulary learned from all documents; 400 tokens, where the operator's default is 8,000."""
     return _learned(spark, sf_dir).vocab_table(spark)
 
 
@@ -145,7 +145,7 @@ BYTE_IDS_SQL = "[" + ", ".join(str(K.RESERVED_COUNT + bpe.byte_tokens().index(bp
 
 def pretrain_arrays(spark, sf_dir):
     """BOS, ids cut to 512, EOS, padding; labels ignore padding."""
-    ids = bpe.encoder()(F.col("text"))
+    ids = bpe.encoder(limit=510)(F.col("text"))
     rows = spread(t.documents(spark, sf_dir)).select("doc_id", tokens.pretrain_ids(ids, 512).alias("ids"))
     rows = rows.withColumn("labels", tokens.pretrain_labels(F.col("ids")))
     return rows.select(
@@ -170,7 +170,7 @@ def sft_labels(spark, sf_dir):
     # A rendered turn has at least one token, so what the cut keeps lies in the first turns.
     turns = t.conversations(spark, sf_dir).where(F.col("turn") < SFT_LENGTH)
     prompts = chat.render_parts(chat.assemble_parts(turns, SFT_LENGTH))
-    rows = prompts.select("conv_id", tokens.fixed_length(bpe.encoder()(F.col("prompt")), SFT_LENGTH).alias("ids"))
+    rows = prompts.select("conv_id", tokens.fixed_length(bpe.encoder(limit=SFT_LENGTH)(F.col("prompt")), SFT_LENGTH).alias("ids"))
     rows = rows.withColumn("labels", _label_fn(SFT_LENGTH)(F.col("ids")))
     mask = tokens.loss_mask(F.col("labels"))
     return rows.select(
@@ -194,7 +194,7 @@ def dpo_arrays(spark, sf_dir):
     length = 1024
     pairs = t.preference_rows(spark, sf_dir).where(F.col("rejected").isNotNull())
     prompt = chat.drop_empty_think(chat.render(F.col("item")), F.concat_ws("-", "pair_id", "side"))
-    sides = diagnostics.stack_sides(pairs).select("pair_id", "side", tokens.fixed_length(bpe.encoder()(prompt), length).alias("ids"))
+    sides = diagnostics.stack_sides(pairs).select("pair_id", "side", tokens.fixed_length(bpe.encoder(limit=length)(prompt), length).alias("ids"))
     rows = sides.withColumn("loss", tokens.loss_mask(_label_fn(length)(F.col("ids"))))
     rows = rows.select("pair_id", "side", *[c.alias(n) for n, c in tokens.shifted(F.col("ids"), F.col("loss")).items()])
     return rows.select(
