@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import covertree, dac, html, jaccard, mixing, packing, quality, scoring, urls, warc
+from turnloom.llm import covertree, dac, html, jaccard, mixing, packing, quality, urls, warc, wordscores
 from turnloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +20,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_token_ids": (over("documents", dac.round_trip), None),
     "op2_best_fit_packing": (over("documents", packing.pack_documents), None),
     "op3_ngram_jaccard": (over("documents", jaccard.link), None),
-    "op4_cross_entropy_difference": (lambda spark, sf_dir: scoring.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), None),
+    "op4_cross_entropy_difference": (lambda spark, sf_dir: wordscores.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), None),
     "op5_pareto_mix": (over("documents", mixing.report), mixing.SQL),
     "op6_min_cut_text": (over("pages", html.extract), None),
     "op7_url_filter": (over("pages", lambda pages: urls.judge(pages).drop("score")), None),
