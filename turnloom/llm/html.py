@@ -6,7 +6,9 @@ punctuation, tag) and what a block's ancestors say of themselves (tags, roles,
 class names) give each block the cost of calling it content and of calling it
 boilerplate; these are the capacities of its terminal edges.  Neighbours in page
 order, and blocks with a common parent (by way of a node for that parent), pull
-each other to the same label.  The minimum cut is the cheapest labelling.
+each other to the same label, whatever their markup says.  The minimum cut is the
+cheapest labelling.  Only text that is not shown (scripts, styles, ``hidden``) is
+boilerplate for certain.
 
 The classifier is trained here, on at most ``SAMPLE_PAGES`` pages (those with
 the smallest hashes), with the labels that telling markup gives.  Everything
@@ -38,7 +40,11 @@ SURE = 1000 * UNIT
 NEXT_TO = 600
 SAME_PARENT = 300
 CLIP = 3.0
-ARTICLE = 4.0
+# What markup adds to the log odds: an article around a block, an article elsewhere on the page, a telling tag, role or name.
+# Neighbours and the classifier together can outvote each of them.
+ARTICLE = 3.5
+OUTSIDE = -2.0
+MARKED = -3.5
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -71,7 +77,7 @@ _STOP = frozenset(STOP_WORDS)
 class Node:
     tag: str
     parent: int  # place of the parent among the nodes, -1 for none
-    state: int  # -1 boilerplate, 1 inside the article, 0 neither
+    state: int  # -2 not shown, -1 marked as boilerplate, 1 inside the article, 0 neither
 
 
 @dataclass
@@ -87,15 +93,19 @@ class Block:
 
 def _state(tag: str, attrs: str, above: int) -> int:
     """What an element says of the text in it."""
-    if above < 0:
-        return -1
+    if above < -1:
+        return above
     words = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)} if attrs.strip() else {}
+    if "hidden" in words or words.get("aria-hidden") == "true":
+        return -2
+    if above < 0:
+        return above
     role = words.get("role", "").lower()
     names: list[str] = []
     for value in (words.get("class", ""), words.get("id", "")):
         parts = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
         names += [n for i, n in enumerate(parts) if not (i and parts[i - 1] in ("no", "has", "with", "without"))]
-    if tag in _BAD_TAGS or role in _BAD_ROLES or "hidden" in words or words.get("aria-hidden") == "true":
+    if tag in _BAD_TAGS or role in _BAD_ROLES:
         return -1
     if tag == "header" and not above:
         return -1
@@ -250,27 +260,24 @@ def label(nodes: list[Node], blocks: list[Block], weights: tuple[float, ...]) ->
     articles = any(b.state > 0 for b in blocks)
     content, boiler = [], []
     for b in blocks:
-        if b.state < 0:
+        if b.state < -1:
             content.append(0)
             boiler.append(SURE)
             continue
         odds = max(-CLIP, min(CLIP, float(np.dot(weights, features(b)))))
-        if articles:
-            odds += ARTICLE if b.state > 0 else -ARTICLE
+        if b.state < 0:
+            odds += MARKED
+        elif articles:
+            odds += ARTICLE if b.state > 0 else OUTSIDE
         # What it costs to call it boilerplate, and to call it content.
         content.append(round(UNIT * np.logaddexp(0, odds)))
         boiler.append(round(UNIT * np.logaddexp(0, -odds)))
     n = len(blocks)
-    edges = [
-        (i, i + 1, NEXT_TO // (1 if a.parent == b.parent else 2))
-        for i, (a, b) in enumerate(zip(blocks, blocks[1:]))
-        if a.state == b.state
-    ]
+    edges = [(i, i + 1, NEXT_TO // (1 if a.parent == b.parent else 2)) for i, (a, b) in enumerate(zip(blocks, blocks[1:]))]
     parents: dict[int, int] = {}
     for i, b in enumerate(blocks):
         for k in {b.parent, nodes[b.parent].parent} - {-1}:
-            if nodes[k].state == b.state:
-                edges.append((i, parents.setdefault(k, n + len(parents)), SAME_PARENT))
+            edges.append((i, parents.setdefault(k, n + len(parents)), SAME_PARENT))
     free = [0] * len(parents)
     return min_cut(content + free, boiler + free, edges)[:n]
 
