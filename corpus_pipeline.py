@@ -19,8 +19,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that the n-gram Jaccard join links."""
-    return jaccard.one_of_each(docs)
+    """One document of each group that the n-gram Jaccard join links: five words, 80 percent."""
+    return jaccard.one_of_each(docs, percent=80, shingle=5)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

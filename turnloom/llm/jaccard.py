@@ -1,7 +1,7 @@
 """N-gram Jaccard join by vertical partitioning, and the groups it links.
 
-A document's set is its distinct 3-word shingles (ASCII letters lower-cased) as
-64-bit hashes.  Equal sets are one class; everything below works on classes.
+A document's set is its distinct shingles (3 words unless a caller says so; ASCII
+letters lower-cased) as 64-bit hashes.  Equal sets are one class; everything below works on classes.
 
 1. The order of all shingles is cut into fragments by hash.  Each document sends
    its shingles to the fragments as packed runs; a fragment counts in how many
@@ -22,7 +22,7 @@ Shingles in over about a hundredth of the documents skip the fragments: they are
 found by counts per batch, are few by definition, and go straight to step 2.
 
 * Null, empty and blank texts have no set and link with nothing.
-* A text of one or two words is one shingle.
+* A text of fewer words than a shingle is one shingle.
 * Repeated rows share a class; an empty table gives an empty result.
 """
 
@@ -57,18 +57,18 @@ def _class_id(own: np.ndarray) -> int:
     return int.from_bytes(blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
+def _batches(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
     for frame in frames:
         for a in range(0, len(frame), BATCH_ROWS):
             part = frame.iloc[a : a + BATCH_ROWS]
-            yield part, shingle_sets(part["text"].tolist(), SHINGLE)
+            yield part, shingle_sets(part["text"].tolist(), shingle)
 
 
-def class_table(docs: DataFrame) -> DataFrame:
+def class_table(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n, class, hot): class is null for an empty set; hot lists a batch's frequent shingles."""
 
     def classes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, sets in _batches(frames):
+        for part, sets in _batches(frames, shingle):
             ids = [_class_id(s) if len(s) else None for s in sets]
             first = {c: i for i, c in reversed(list(enumerate(ids))) if c is not None}
             least = max(16, len(first) // HOT_SHARE)
@@ -86,14 +86,14 @@ def class_table(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(classes, schema)
 
 
-def _runs(docs: DataFrame, fragments: int, buckets: int, hot: np.ndarray) -> DataFrame:
+def _runs(docs: DataFrame, fragments: int, buckets: int, hot: np.ndarray, shingle: int = SHINGLE) -> DataFrame:
     """Packed shingles by place: fragments 0, 1 ...; hot shingles by class bucket at -1, -2 ..."""
     shift = _U(64 - fragments.bit_length() + 1)
     hot_sorted = np.sort(hot)
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
-        for _part, sets in _batches(frames):
+        for _part, sets in _batches(frames, shingle):
             ids, own = [], []
             for s in sets:
                 if len(s) and (c := _class_id(s)) not in seen:
@@ -260,9 +260,9 @@ def class_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     return components(near.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
-def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def link(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    table, _ = cut_lineage(class_table(docs), "classes")
+    table, _ = cut_lineage(class_table(docs, shingle), "classes")
     totals = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("class")).first()
     fragments = 1 << max(FRAGMENTS, -(-totals[0] // FRAGMENT_KEYS)).bit_length() - 1
     buckets = max(scan_splits(docs), -(-totals[1] // BUCKET_CLASSES))
@@ -275,7 +275,7 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         lows.setdefault(k & (2**56 - 1), k)
     hot = {k: i for k, i in hot.items() if lows[k & (2**56 - 1)] == k}
 
-    runs = _runs(docs, fragments, buckets, np.array(list(hot), np.int64).view(_U))
+    runs = _runs(docs, fragments, buckets, np.array(list(hot), np.int64).view(_U), shingle)
     classes, _ = cut_lineage(_classes(_shared(runs, fragments, buckets), hot, percent), "link-classes")
     roots = class_links(classes, percent)
 
@@ -289,7 +289,7 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """One row of each linked group: the one with the smallest doc_id."""
-    kept = link(docs, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = link(docs, percent, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
