@@ -40,3 +40,21 @@ def test_stage_links_five_words_and_eighty_percent(spark):
     want = kept_ids(docs)
     assert 1 not in want and 3 in want
     assert sorted(r.doc_id for r in STAGE(spark, frame, "").collect()) == want
+
+
+def test_null_and_shared_ids(spark):
+    rng = random.Random(12)
+    one, two, three, four = (" ".join(rng.choices([f"v{i}" for i in range(900)], k=80)) for _ in range(4))
+    docs = [
+        (None, one), (None, one + " end"),  # a group without ids: one of the two
+        (None, two), (3, two + " end"),  # the id stands for the null
+        (None, "unique among all"), (None, None), (None, ""), (None, " "), (4, None),
+        (7, two), (7, three),  # shared id: the near copy of 3 goes, the other stays
+        (8, four), (8, four),  # repeats stay
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in STAGE(spark, frame, "").collect()), key=str)
+    ends = [(d, t) for d, t in got if t in (one, one + " end")]
+    assert len(ends) == 1
+    want = [*ends, (3, two + " end"), (None, "unique among all"), (None, None), (None, ""), (None, " "), (4, None), (7, three), (8, four), (8, four)]
+    assert got == sorted(want, key=str)

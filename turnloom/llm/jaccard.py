@@ -65,7 +65,7 @@ def _batches(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[tuple[pd.
 
 
 def class_table(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n, class, hot): class is null for an empty set; hot lists a batch's frequent shingles."""
+    """(doc_id, mark, n, class, hot): mark is the text's hash, class is null for an empty set; hot lists a batch's frequent shingles."""
 
     def classes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, sets in _batches(frames, shingle):
@@ -78,12 +78,12 @@ def class_table(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             if often.any():
                 hot[0] = [{"key": k, "count": c} for k, c in zip(key[often].view(np.int64).tolist(), count[often].tolist())]
             yield pd.DataFrame({
-                "doc_id": part["doc_id"].astype("Int64").to_numpy(), "n": [len(s) for s in sets],
+                "doc_id": part["doc_id"].astype("Int64").to_numpy(), "mark": part["mark"].to_numpy(), "n": [len(s) for s in sets],
                 "class": pd.array(ids, "Int64"), "hot": hot,
             })
 
-    schema = "doc_id long, n long, class long, hot array<struct<key: long, count: long>>"
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(classes, schema)
+    schema = "doc_id long, mark long, n long, class long, hot array<struct<key: long, count: long>>"
+    return docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("mark")).mapInPandas(classes, schema)
 
 
 def _runs(docs: DataFrame, fragments: int, buckets: int, hot: np.ndarray, shingle: int = SHINGLE) -> DataFrame:
@@ -260,8 +260,8 @@ def class_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     return components(near.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
-def link(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def _linked(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """(doc_id, mark, n, class, first) of every row; first is what stands for its component: no_id, doc_id, class, mark."""
     table, _ = cut_lineage(class_table(docs, shingle), "classes")
     totals = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("class")).first()
     fragments = 1 << max(FRAGMENTS, -(-totals[0] // FRAGMENT_KEYS)).bit_length() - 1
@@ -279,17 +279,31 @@ def link(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> Dat
     classes, _ = cut_lineage(_classes(_shared(runs, fragments, buckets), hot, percent), "link-classes")
     roots = class_links(classes, percent)
 
-    members = table.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("low"))
+    # The smallest id first, null ids last, then the smallest class and mark.
+    low = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("low")
+    members = table.where("class IS NOT NULL").groupBy("class").agg(low)
     rooted = members.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     rooted, _ = cut_lineage(rooted, "class-roots")
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named, _ = cut_lineage(rooted.join(lowest, "root").select("class", "component_id"), "class-components")
-    return table.join(named, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+    first = F.min(F.struct("low.no_id", "low.doc_id", "class", "low.mark")).alias("first")
+    named, _ = cut_lineage(rooted.join(rooted.groupBy("root").agg(first), "root").select("class", "first"), "class-components")
+    return table.join(named, "class", "left").select("doc_id", "mark", "n", "class", "first")
+
+
+def link(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    return _linked(docs, percent, shingle).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("first.doc_id", "doc_id").alias("component_id"),
     )
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """One row of each linked group: the one with the smallest doc_id."""
-    kept = link(docs, percent, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    """One row of each linked group: the one with the smallest doc_id.
+
+    A row is known by its id and its text, so rows that share an id are judged
+    each by its own text.  Null ids come after all others: where a group has no
+    other, the row of the smallest text class stands for it.  Rows without words
+    are no group and all stay, and so do exact repeats of a kept row.
+    """
+    stands = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.class") == F.col("class")) & (F.col("first.mark") == F.col("mark"))
+    kept = _linked(docs, percent, shingle).where(F.col("class").isNull() | stands).select(F.col("doc_id").alias("_kept"), F.col("mark").alias("_mark")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept")) & (F.xxhash64("text") == F.col("_mark")), "left_semi")
