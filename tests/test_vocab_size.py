@@ -1,0 +1,10 @@
+"""The registered vocabulary queries learn the operator's whole default size."""
+
+import inspect
+
+from turnloom.operators.vocab import learn_vocab
+from turnloom.plans import vocabulary
+
+
+def test_registered_size_is_the_default():
+    assert vocabulary.VOCAB_SIZE == inspect.signature(learn_vocab).parameters["vocab_size"].default == 8000

@@ -82,7 +82,7 @@ def word_compression(spark, sf_dir):
 WORD_COMPRESSION = f"""select lang, count(*) as n_rows, round(avg(length(text)::double / len({_pretokens_sql('text')})), 6) as chars_per_token
 from documents where text <> '' group by lang"""
 
-VOCAB_SIZE = 400
+VOCAB_SIZE = 8000
 
 
 def _learned(spark, sf_dir):
@@ -90,7 +90,7 @@ def _learned(spark, sf_dir):
 
 
 def bpe_vocab(spark, sf_dir):
-    """A vocabulary learned from all documents; 400 tokens, where the operator's default is 8,000."""
+    """A vocabulary learned from all documents, of the operator's default size."""
     return _learned(spark, sf_dir).vocab_table(spark)
 
 
