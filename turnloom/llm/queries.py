@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import covertree, dac, html, jaccard, mixing, packing, quality, urls, warc, wordscores
+from turnloom.llm import alignment, covertree, dac, html, jaccard, lexical, mixing, packing, quality, urls, warc, wordcodes, wordscores
 from turnloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,4 +27,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_cover_tree": (over("embeddings", covertree.link), None),
     "op9_warc_captures": (over("pages", warc.round_trip), None),
     "op10_quality_rules": (over("documents", quality.report), quality.SQL),
+    "op11_lexical_rank": (lambda spark, sf_dir: lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")), lexical.SQL),
+    "op12_bpe_words": (over("documents", wordcodes.round_trip), None),
+    "op13_token_alignment": (over("documents", alignment.align), None),
 }
