@@ -61,19 +61,21 @@ def brute_force(counts, size):
     return tokens, merges
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_learned_like_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "ranked", "segments"), [(1, 6, 1000), (2, 20, 8), (3, 4096, 200_000)])
+def test_learned_like_brute_force(spark, seed, ranked, segments):
+    """Few tracked pairs, few segments, and all at once: tokens, merges and their order are the same."""
     rng = random.Random(seed)
     counts = {"".join(rng.choice("aabcd") for _ in range(rng.randint(1, 9))): rng.randint(1, 6) for _ in range(60)}
-    learned = vocab.learn_vocab(spark.createDataFrame(list(counts.items()), "word string, n bigint"), 330, cut_every=4)
+    words = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    learned = vocab.learn_vocab(words, 330, ranked=ranked, most_segments=segments)
     assert (learned.tokens, learned.merges) == brute_force(counts, 330)
 
 
 def test_learned_like_the_library(spark):
     docs = documents(spark, SF)
     texts = [r["text"] for r in docs.select("text").collect()]
-    tok = library(texts, 340)
-    learned = vocab.learn_vocab(vocab.pretoken_counts(docs), 340)
+    tok = library(texts, 8000)
+    learned = vocab.learn_vocab(vocab.pretoken_counts(docs), 8000)
     assert {t: i for i, t in enumerate(learned.tokens)} == tok.get_vocab()
     sample = texts[:20] + ["<|im_start|>user\n안녕 세상 it's 42!<|im_end|>\n", "a  b\n\n c\t", ""]
     codec = bpe.Codec(learned.tokens, learned.merges)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 import json
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +16,7 @@ from turnloom import constants as K
 from turnloom.functions.arrays import drop_end, drop_start
 from turnloom.functions.bpe import base_vocab, byte_chars, byte_tokens, reserved_tokens, split_pretokens
 from turnloom.functions.text import truthy
-from turnloom.session import cut_lineage, drop_scratch, spread
+from turnloom.session import cut_lineage, drop_scratch
 
 # Inside the trainer a word is a string with one character per token: token id i
 # is chr(0x100 + i).  Merging a pair is then a plain string replace (left to
@@ -80,75 +84,122 @@ def _windows(word: Column) -> Column:
     return F.regexp_extract_all(word, F.lit("(?s)(?=(..))"), F.lit(1))
 
 
-def _counted(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
+def _first_pairs(words: DataFrame) -> DataFrame:
+    """(pair, n): adjacent tokens over all words."""
+    pairs = words.select(F.explode(_windows(F.col("w"))).alias("pair"), "n")
+    return pairs.groupBy("pair").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def _merged(pending: list[tuple[str, str]]) -> Column:
-    """Words after the pending merges, in order.
+def _segments(words: DataFrame, tracked: set[str]) -> DataFrame:
+    """(w, n): the longest runs of tokens whose adjacent pairs are all tracked, each distinct one once."""
 
-    A fold over a constant list: the compiled code is the same in every pass.
-    """
-    steps = F.split(F.lit(" ".join(pair + token for pair, token in pending)), " ")
-    return F.aggregate(steps, F.col("w"), lambda word, s: F.replace(word, F.substring(s, 1, 2), F.substring(s, 3, 1)))
-
-
-def _pairs_after(base: DataFrame, words: DataFrame, merged: Column) -> DataFrame:
-    """Pair counts once ``merged`` replaces the words the base counts stand for.
-
-    Only words that change are taken apart: their old pairs out, their new ones in.
-    Exploding a one-item array computes the merged word once.
-    """
-    changed = words.select("w", "n", F.explode(F.array(merged)).alias("m")).where(F.col("m") != F.col("w"))
-    moves = F.array(F.struct(F.col("w").alias("w"), (-F.col("n")).alias("n")), F.struct(F.col("m").alias("w"), F.col("n").alias("n")))
-    delta = changed.select(F.inline(moves)).select(F.explode(_windows(F.col("w"))).alias("pair"), "n")
-    return _counted(base.unionByName(_long(delta)))
-
-
-def _long(pairs: DataFrame) -> DataFrame:
-    return pairs.select("pair", F.col("n").cast("bigint").alias("n"))
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            held: dict[str, int] = {}
+            for word, n in zip(frame["w"], frame["n"]):
+                start = 0
+                for i in range(1, len(word) + 1):
+                    if i == len(word) or word[i - 1 : i + 1] not in tracked:
+                        if i - start > 1:
+                            held[word[start:i]] = held.get(word[start:i], 0) + n
+                        start = i
+            yield pd.DataFrame({"w": list(held), "n": list(held.values())}).astype({"w": "str", "n": "int64"})
 
+    return words.select("w", "n").mapInPandas(cut, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
 
-def _top(pairs: DataFrame, k: int) -> list[str]:
-    """The k most frequent pairs: count first, then lower ids.  k is a constant."""
-    return [r["pair"] for r in pairs.orderBy(F.desc("n"), "pair").limit(k).collect()]
 
+class _Replay:
+    """Merges on a table of distinct segments, with exact counts and an index from pairs to segments.
 
-def _safe_batch(ranked: list[str], tokens: list[str], known: set[str], room: int) -> list[str]:
-    """The longest prefix of the ranking that can be merged in one pass.
-
-    Two pairs touch the same place only where one ends on the symbol the other
-    begins with; all others keep their counts while one of them is merged.  A
-    pair born from a merge is at most as frequent as an older pair that touches
-    the merged one, which therefore ranks lower; and its new symbol has the
-    highest id, so it loses ties too.  The batch ends before a pair that touches
-    one taken, after a pair of equal symbols (runs overlap), and after a merge
-    that yields a token which already exists.
+    The index only grows: a segment that has lost a pair is passed over when the
+    pair comes up.
     """
-    taken: list[str] = []
-    lefts: set[str] = set()
-    rights: set[str] = set()
-    for left, right in ranked[:room]:
-        if left in rights or right in lefts:
-            break
-        taken.append(left + right)
-        lefts.add(left)
-        rights.add(right)
-        made = tokens[ord(left) - CODE_BASE] + tokens[ord(right) - CODE_BASE]
-        if made in known or left == right:
-            break
-        known = known | {made}
-    return taken
-
 
-def learn_vocab(words: DataFrame, vocab_size: int = 8000, look_ahead: int = 256, cut_every: int = 64) -> Vocabulary:
+    def __init__(self, segments: list[str], counts: list[int]):
+        self.words, self.weights = segments, counts
+        self.holders: dict[str, array] = {}
+        self.counts: dict[str, int] = {}
+        for at, (word, n) in enumerate(zip(segments, counts)):
+            pairs = [word[i : i + 2] for i in range(len(word) - 1)]
+            for p in pairs:
+                self.counts[p] = self.counts.get(p, 0) + n
+            for p in set(pairs):
+                self.holders.setdefault(p, array("I")).append(at)
+        self.heap = [(-n, p) for p, n in self.counts.items()]
+        heapq.heapify(self.heap)
+
+    def best(self) -> tuple[int, str] | None:
+        """(minus its count, the pair) that is next: the largest count, then the lower ids."""
+        while self.heap:
+            n, pair = self.heap[0]
+            if self.counts.get(pair) == -n:
+                return n, pair
+            heapq.heappop(self.heap)
+        return None
+
+    def merge(self, pair: str, token: str) -> None:
+        change: dict[str, int] = {}
+        for at in self.holders.pop(pair):
+            old = self.words[at]
+            if pair not in old:
+                continue
+            new = self.words[at] = old.replace(pair, token)
+            for word, by in ((old, -self.weights[at]), (new, self.weights[at])):
+                for i in range(len(word) - 1):
+                    p = word[i : i + 2]
+                    change[p] = change.get(p, 0) + by
+            for p in {new[i : i + 2] for i in range(len(new) - 1)}:
+                if token in p:
+                    self.holders.setdefault(p, array("I")).append(at)
+        for p, by in change.items():
+            n = self.counts[p] = self.counts.get(p, 0) + by
+            if n > 0 and by:
+                heapq.heappush(self.heap, (-n, p))
+        self.counts.pop(pair)
+
+
+def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """Words after the merges (pair, token), in their order."""
+    rank = {pair: i for i, (pair, _) in enumerate(merges)}
+
+    def merged(word: str) -> str:
+        last = -1
+        while len(word) > 1:
+            # A merge is past once a later one is done: a token that an old pair holds may come up again.
+            left = [r for i in range(len(word) - 1) if (r := rank.get(word[i : i + 2], -1)) > last]
+            if not left:
+                break
+            last = min(left)
+            word = word.replace(*merges[last])
+        return word
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(w=[merged(w) for w in frame["w"]])
+
+    return words.select("w", "n").mapInPandas(run, "w string, n bigint").where(F.length("w") > 1)
+
+
+def learn_vocab(words: DataFrame, vocab_size: int = 8000, ranked: int = 4096, most_segments: int = 200_000) -> Vocabulary:
     """Byte-pair merges over a table of distinct words (word, n).
 
-    The corpus is read once, for the word table.  Words and pair counts are kept
-    as of the last cut; a pass looks only at the words that the merges since then
-    change, and brings back ``look_ahead`` candidates.  After ``cut_every``
-    merges both tables are written anew to the shared folder, which bounds the
-    pending merges and what a lost executor has to redo.  Starts jobs.
+    The corpus is read once, for the word table.  A round counts all pairs with a
+    grouped sum and tracks the most frequent ones, up to ``ranked``.  Words are cut
+    wherever an adjacent pair is not tracked; the distinct segments, summed over
+    all words, are all that merges of tracked pairs and of what they give birth
+    to depend on.  So the driver takes them, ``most_segments`` at most, and merges
+    one pair after the other with exact counts, hundreds or thousands a round.
+    Then the words get these merges and are written to the shared folder, which
+    bounds what a lost executor costs.
+
+    The result is that of one merge at a time over all words: a pair over a cut,
+    whatever its sides have grown to, occurs at most as often as the pair of
+    tokens that was cut there, and with equal counts its newer tokens come later.
+    So a round ends when the next pair is no longer ahead of the first pair that
+    is not tracked.  It also ends after a merge that yields a token which already
+    exists, as that token's pairs may lie over cuts and inside segments.
+
+    Where too many segments are found, fewer pairs are tracked.  Starts jobs.
     """
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size must be at most {MAX_VOCAB}")
@@ -156,42 +207,40 @@ def learn_vocab(words: DataFrame, vocab_size: int = 8000, look_ahead: int = 256,
     tokens = base_vocab()
     ids = {t: i for i, t in enumerate(tokens)}
     merges: list[tuple[str, str]] = []
-
-    def cut(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-        table, path = cut_lineage(df, label)
-        return spread(table).persist(), path
-
-    def first_pairs(words: DataFrame) -> DataFrame:
-        return _counted(_long(words.select(F.explode(_windows(F.col("w"))).alias("pair"), "n")))
-
-    now, words_path = cut(_coded(words).where(F.length("w") > 1), "words")
-    base, pairs_path = cut(first_pairs(now), "pairs")
-    pairs, pending = base, []
+    now, path = cut_lineage(_coded(words).where(F.length("w") > 1), "words")
+    width = ranked
     while len(tokens) < vocab_size:
-        batch = _safe_batch(_top(pairs, look_ahead), tokens, set(ids), vocab_size - len(tokens))
-        if not batch:
+        best = _first_pairs(now).orderBy(F.desc("n"), "pair").limit(ranked + 1).collect()
+        if not best:
             break
-        for pair in batch:
+        width = min(width, ranked)
+        while True:
+            found = _segments(now, {r["pair"] for r in best[:width]})
+            # Segments of one pair are that pair, or runs of one token: a handful.
+            table = (found.limit(most_segments + 1) if width > 1 else found).toPandas()
+            if len(table) <= most_segments or width == 1:
+                break
+            width = width // 2
+        rest = (-best[width]["n"], best[width]["pair"]) if len(best) > width else (0, "")
+        replay, done = _Replay(table["w"].tolist(), table["n"].tolist()), []
+        rising = False
+        while len(tokens) < vocab_size and not rising and (first := replay.best()) and first < rest:
+            pair = first[1]
             left, right = (tokens[ord(c) - CODE_BASE] for c in pair)
             made = left + right
-            if made not in ids:
+            rising = made in ids
+            if not rising:
                 ids[made] = len(tokens)
                 tokens.append(made)
             merges.append((left, right))
-            pending.append((pair, chr(CODE_BASE + ids[made])))
-        merged = _merged(pending)
-        pairs = _pairs_after(base, now, merged)
-        if len(pending) >= cut_every and len(tokens) < vocab_size:
-            old_tables, old_paths = (now, base), (words_path, pairs_path)
-            base, pairs_path = cut(pairs, "pairs")
-            now, words_path = cut(now.select(merged.alias("w"), "n").where(F.length("w") > 1), "words")
-            pairs, pending = base, []
-            for table, path in zip(old_tables, old_paths):
-                table.unpersist()
-                drop_scratch(spark, path)
-    for table, path in ((now, words_path), (base, pairs_path)):
-        table.unpersist()
+            done.append((pair, chr(CODE_BASE + ids[made])))
+            replay.merge(*done[-1])
+        after, new_path = cut_lineage(_merged(now, done), "words")
         drop_scratch(spark, path)
+        now, path = after, new_path
+        if 4 * len(table) < most_segments:
+            width *= 4
+    drop_scratch(spark, path)
     return Vocabulary(tokens, merges)
 
 
