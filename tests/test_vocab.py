@@ -105,15 +105,42 @@ def test_export_names_every_token(spark):
     assert learned.merge_table(spark).count() == 2
 
 
-def test_pieces_are_held_until_they_decode():
-    for raw in (b"a\xc3\xa9b", "가나".encode(), b"", b"a\xffb", "x\ufffdy".encode(), "<|im_end|>é".encode()):
-        for size in (1, 2, 3):
-            parts = [raw[i : i + size] for i in range(0, len(raw), size)]
-            slow, fast = bpe._buffered(parts), bpe._cut_at_characters(parts)
-            if fast is not None:
-                assert (list(fast[0]), fast[1]) == slow
-    assert bpe._cut_at_characters([b"\xff"]) is None
-    assert bpe._buffered([b"\xea\xb0", b"\x80", b"!"]) == ([2, 1], ["가", "!"])
+def held(parts):
+    """Token by token: held until the bytes decode without a replacement character."""
+    import codecs
+
+    out, text, count, reader = [], "", 0, codecs.getincrementaldecoder("utf-8")("strict")
+    for part in parts:
+        count += 1
+        try:
+            text += reader.decode(part)
+        except UnicodeDecodeError:
+            break
+        if "\ufffd" in text:
+            break
+        if text and not reader.getstate()[0]:
+            out.append((count, text))
+            text, count = "", 0
+    return out
+
+
+def test_pieces_are_held_until_they_decode(spark):
+    """All ways of bytes to be or not to be text, in tokens of one byte and of several."""
+    raws = [b"a\xc3\xa9b", "가나".encode(), b"", b"a\xffb", "x\ufffdy".encode(), "<|im_end|>é".encode(), b"a\x80b", b"\xea\xb0!", b"\xed\xa0\x80", b"ab\xc3", "😀x".encode() + b"\xf0\x9f", b"\xc3\xa9\xa9z", b"\x80"]
+    rows = [[raw[i : i + size] for i in range(0, len(raw), size)] for raw in raws for size in (1, 2, 3)]
+    more = sorted({p for r in rows for p in r if len(p) > 1})
+    tokens = bpe.base_vocab() + ["".join(bpe.BYTE_CHAR[b] for b in p) for p in more]
+    number = {"".join(bpe.BYTE_CHAR[b] for b in p): tokens.index("".join(bpe.BYTE_CHAR[b] for b in p)) for r in rows for p in r}
+    df = spark.createDataFrame([(i, [number["".join(bpe.BYTE_CHAR[b] for b in p)] for p in r]) for i, r in enumerate(rows)], "i int, ids array<int>")
+    got = {r["i"]: [tuple(p) for p in r["p"]] for r in df.select("i", bpe.streamed_pieces(F.col("ids"), tokens).alias("p")).collect()}
+    assert got == {i: held(r) for i, r in enumerate(rows)}
+
+
+def test_byte_ids(spark):
+    texts = ["a\u0085é 가😀\n", "", "<think>", None]
+    got = [r["ids"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(bpe.byte_ids(F.col("t")).alias("ids")).collect()]
+    order = bpe.byte_tokens()
+    assert got == [None if t is None else [36 + order.index(bpe.BYTE_CHAR[b]) for b in t.encode()] for t in texts]
 
 
 def test_windows_over_codes_that_are_line_separators(spark):
@@ -147,8 +174,3 @@ def test_merging_like_the_slow_way():
             assert codec._word_ids(word) == [codec.ids[p] for p in parts]
     text = "<|im_start|>aab c<|im_end|> bca"
     assert [codec.encode(text, k) for k in range(1, 9)] == [codec.encode(text)[:k] for k in range(1, 9)]
-
-
-def test_pieces_after_a_bad_byte():
-    assert bpe._buffered([b"a", "é".encode()[:1], "é".encode()[1:], b"b", b"\xff", b"c"]) == ([1, 2, 1], ["a", "é", "b"])
-    assert bpe._buffered(["x�".encode(), b"c"]) == ([], [])

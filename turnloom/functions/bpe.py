@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import codecs
 import heapq
 from functools import lru_cache
 
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom import constants as K
+from turnloom.functions.text import let
 
 # --- fixed values: byte alphabet and word splitter of byte-level vocabularies ---
 # Bytes that print stand for themselves, the others for U+0100 onwards.
@@ -144,60 +144,66 @@ def decoder(vocab: list[str] | None = None, merges: list[tuple[str, str]] | None
     return decode_bytes
 
 
-PIECES = T.StructType([T.StructField("n_tokens", T.ArrayType(T.IntegerType())), T.StructField("text", T.ArrayType(T.StringType()))])
+def byte_ids(text: Column) -> Column:
+    """Ids of a text under the byte vocabulary, one per UTF-8 byte; reserved tokens in it are plain text."""
+    order = byte_tokens()
+    table = F.split(F.lit(" ".join(str(len(reserved_tokens()) + order.index(BYTE_CHAR[b])) for b in range(256))), " ").cast("array<int>")
+    raw = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    return F.when(text == "", F.array().cast("array<int>")).otherwise(F.transform(F.split(raw, ""), lambda c: F.element_at(table, F.ascii(c) + 1)))
 
 
-def _buffered(parts: list[bytes]) -> tuple[list[int], list[str]]:
-    """Token by token: held until the bytes decode without a replacement character.
+def _is_text(data: Column) -> Column:
+    """Whether bytes are text without a replacement character."""
+    return F.is_valid_utf8(data) & ~F.contains(data, F.lit("\ufffd"))
 
-    What follows a byte that cannot be decoded, or a replacement character in the
-    text itself, is held for good, so the walk ends there.
+
+def _from_hex(digits: Column) -> Column:
+    return F.unhex(digits).cast("string")
+
+
+def _goes_on(then: Column) -> Column:
+    """Whether the next token, in hex, begins with a continuation byte."""
+    return F.substring(then, 1, 1).between("8", "B")
+
+
+def _pieces_of_text(raw: Column, after: Column) -> Column:
+    """Pieces of tokens that are text as a whole: byte FF, which text never has, is put between pieces and read as U+FFFD."""
+    within = lambda then: _goes_on(then) | (then == "")
+    marked = F.array_join(F.zip_with(raw, after, lambda own, then: F.when(within(then), own).otherwise(F.concat(own, F.lit("FF")))), "")
+    texts = F.split(_from_hex(marked), "\ufffd")
+    ends = F.array_join(F.transform(after, lambda then: F.when(then == "", "").when(_goes_on(then), ".").otherwise("|")), "")
+    return F.zip_with(F.split(ends, r"\|"), texts, lambda held, text: F.struct((F.length(held) + 1).alias("n_tokens"), text.alias("text")))
+
+
+def _pieces_up_to_bad(raw: Column, after: Column) -> Column:
+    """Pieces before the first one that is no text; of that one, the part that was text before a stray continuation byte."""
+    marked = F.zip_with(raw, after, lambda own, then: F.concat(own, F.when(_goes_on(then), ",").otherwise("|")))
+    text = lambda p: _from_hex(F.replace(p, F.lit(","), F.lit("")))
+
+    def cut(listed: Column) -> Column:
+        first_bad = F.array_position(F.transform(listed, lambda p: _is_text(text(p))), F.lit(False)).cast("int")
+        tokens = F.split(F.element_at(listed, first_bad), ",")
+        parts = F.transform(F.sequence(F.lit(1), F.size(tokens)), lambda n: F.array_join(F.slice(tokens, 1, n), ","))
+        saved = F.slice(F.filter(parts, lambda p: _is_text(text(p))), 1, 1)
+        return F.concat(F.slice(listed, 1, first_bad - 1), saved)
+
+    kept = let(F.filter(F.split(F.array_join(marked, ""), r"\|"), lambda p: p != ""), cut)
+    return F.transform(kept, lambda p: F.struct(F.size(F.split(p, ",")).alias("n_tokens"), text(p).alias("text")))
+
+
+def streamed_pieces(ids: Column, vocab: list[str] | None = None) -> Column:
+    """Pieces (n_tokens, text) of token ids as a stream shows them: tokens are held until their bytes form characters.
+
+    A token ends a piece if the next one does not begin with a continuation byte.
+    What follows a byte that no character has there, or a replacement character,
+    is held for good.
     """
-    counts, texts, text, count = [], [], "", 0
-    reader = codecs.getincrementaldecoder("utf-8")("strict")
-    for part in parts:
-        count += 1
-        try:
-            text += reader.decode(part)
-        except UnicodeDecodeError:
-            break
-        if "\ufffd" in text:
-            break
-        if text and not reader.getstate()[0]:
-            counts.append(count)
-            texts.append(text)
-            text, count = "", 0
-    return counts, texts
-
-
-def _cut_at_characters(parts: list[bytes]) -> tuple[np.ndarray, list[str]] | None:
-    """The same at once for valid UTF-8: a piece ends where the next byte starts a character."""
-    raw = b"".join(parts)
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if "\ufffd" in text or not raw:
-        return None if raw else (np.empty(0, dtype="int32"), [])
-    starts = (np.frombuffer(raw, dtype="uint8") & 0xC0) != 0x80
-    ends = np.cumsum([len(p) for p in parts])
-    done = np.flatnonzero(np.append(starts, True)[ends])
-    chars = np.cumsum(starts)[ends[done] - 1].tolist()
-    return np.diff(done, prepend=-1).astype("int32"), [text[a:b] for a, b in zip([0, *chars], chars)]
-
-
-def streamed_pieces(vocab: list[str] | None = None):
-    """A Column function ids -> pieces of text and their token counts, as a stream shows them."""
-    tokens = vocab or base_vocab()
-    holder: dict[str, list[bytes]] = {}
-
-    @F.pandas_udf(PIECES)
-    def pieces(ids: pd.Series) -> pd.DataFrame:
-        if "bytes" not in holder:
-            codec = Codec(tokens, [])
-            holder["bytes"] = [codec.raw([i]) for i in range(len(tokens))]
-        table = holder["bytes"]
-        rows = [[table[i] for i in row] for row in ids]
-        return pd.DataFrame([_cut_at_characters(r) or _buffered(r) for r in rows], columns=PIECES.fieldNames())
-
-    return pieces
+    codec = Codec(vocab or base_vocab(), [])
+    table = F.split(F.lit(" ".join(codec.raw([i]).hex().upper() for i in range(len(codec.tokens)))), " ")
+
+    def pieces(raw: Column) -> Column:
+        after = F.concat(F.slice(raw, 2, F.greatest(F.size(raw), F.lit(1))), F.array(F.lit("")))
+        whole = _is_text(_from_hex(F.array_join(raw, "")))
+        return F.when(F.size(raw) == 0, F.array().cast("array<struct<n_tokens: int, text: string>>")).when(whole, _pieces_of_text(raw, after)).otherwise(_pieces_up_to_bad(raw, after))
+
+    return let(F.transform(ids, lambda i: F.element_at(table, i + 1)), pieces)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from turnloom import constants as K
 from turnloom.functions import arrays, bpe
 from turnloom.functions.joins import with_key_stats
-from turnloom.operators import chat, diagnostics, manifest, tokens, vocab
+from turnloom.operators import chat, diagnostics, manifest, tokens, vocab, wordcoding
 from turnloom.operators.toolcalls import literal_table
 from turnloom.plans import tables as t
 from turnloom.plans.chats import TURN_SQL
@@ -96,10 +96,28 @@ def bpe_vocab(spark, sf_dir):
 
 def bpe_compression(spark, sf_dir):
     """Mean characters per token under the learned vocabulary, by language."""
-    learned = _learned(spark, sf_dir)
-    encode = bpe.encoder(learned.tokens, learned.merges)
-    rows = spread(t.documents(spark, sf_dir)).select("lang", F.length("text").alias("c"), F.size(encode(F.col("text"))).alias("k"))
-    return vocab.compression(rows, F.col("c"), F.col("k"), "lang")
+    docs = t.documents(spark, sf_dir).select("doc_id", "lang", "text", F.length("text").alias("c"))
+    rows = wordcoding.token_counts(spread(docs), ["doc_id", "lang", "c"], "text", _learned(spark, sf_dir))
+    return vocab.compression(rows, F.col("c"), F.col("n_tokens"), "lang")
+
+
+def bpe_pretrain_arrays(spark, sf_dir):
+    """BOS, ids under the learned vocabulary cut to 512, EOS, padding; the digest is of all ids."""
+    coded = wordcoding.encode_texts(spread(t.documents(spark, sf_dir)), ["doc_id"], "text", _learned(spark, sf_dir))
+    rows = coded.withColumn("row", tokens.pretrain_ids(F.col("ids"), 512))
+    return rows.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.md5(F.array_join("ids", ",")).alias("ids_md5"),
+        F.size(F.filter(tokens.pretrain_labels(F.col("row")), lambda x: x == K.IGNORE_LABEL)).cast("bigint").alias("n_ignored"),
+    )
+
+
+def bpe_round_trip(spark, sf_dir):
+    """decode(encode(turn)) under the learned vocabulary must be the rendered turn, reserved tokens included; by role."""
+    prompts = chat.render_turns(t.conversations(spark, sf_dir)).select("conv_id", "turn", F.col("role").alias("grp"), F.col("piece").alias("prompt"))
+    learned, keys = _learned(spark, sf_dir), ["conv_id", "turn"]
+    coded = wordcoding.encode_texts(spread(prompts), keys, "prompt", learned)
+    back = prompts.join(wordcoding.decode_texts(coded, keys, learned), keys, "left")
+    return back.groupBy("grp").agg(F.count("*").alias("n_rows"), F.count_if(~F.encode("prompt", "UTF-8").eqNullSafe(F.col("bytes"))).alias("n_changed"))
 
 
 def byte_round_trip(spark, sf_dir):
@@ -110,14 +128,13 @@ def byte_round_trip(spark, sf_dir):
     return vocab.round_trip(coded, F.col("prompt"), F.col("ids"), decode, "grp")
 
 
-BYTE_ROUND_TRIP = "select role as grp, count(*) as n_rows, cast(0 as bigint) as n_changed from conversations group by 1"
+BYTE_ROUND_TRIP = BPE_ROUND_TRIP = "select role as grp, count(*) as n_rows, cast(0 as bigint) as n_changed from conversations group by 1"
 
 
 def stream_pieces(spark, sf_dir):
     """Byte tokens of whole documents, shown only once they form characters."""
-    ids = bpe.encoder()(F.col("text"))
-    rows = spread(t.documents(spark, sf_dir)).select("doc_id", ids.alias("ids"))
-    out = rows.select("doc_id", F.size("ids").alias("n"), bpe.streamed_pieces()(F.col("ids")).alias("p"))
+    rows = spread(t.documents(spark, sf_dir)).select("doc_id", bpe.byte_ids(F.col("text")).alias("ids"))
+    out = rows.select("doc_id", F.size("ids").alias("n"), bpe.streamed_pieces(F.col("ids")).alias("p"))
     return out.select("doc_id", F.col("n").cast("bigint").alias("n_tokens"), F.size("p.text").cast("bigint").alias("n_pieces"),
                       F.md5(F.array_join("p.text", "")).alias("text_md5"))
 
@@ -252,6 +269,8 @@ QUERIES = {
     "word_compression": (word_compression, WORD_COMPRESSION),
     "bpe_vocab": (bpe_vocab, None),
     "bpe_compression": (bpe_compression, None),
+    "bpe_pretrain_arrays": (bpe_pretrain_arrays, None),
+    "bpe_round_trip": (bpe_round_trip, BPE_ROUND_TRIP),
     "byte_round_trip": (byte_round_trip, BYTE_ROUND_TRIP),
     "stream_pieces": (stream_pieces, STREAM_PIECES),
     "special_token_hits": (special_token_hits, SPECIAL_TOKEN_HITS),
