@@ -38,16 +38,14 @@ def components(nodes, linked):
     return low
 
 
-def shingles(text):
+def shingles(text, size=3):
     w = words(lowered(text))
-    if not w:
-        return set()
-    return set(zip(w, w[1:], w[2:])) if len(w) >= 3 else {tuple(w)}
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def jaccard(docs, percent=90):
+def jaccard(docs, percent=90, size=3):
     """docs: (doc_id, text) with unique ids."""
-    sets = {d: shingles(t) for d, t in docs}
+    sets = {d: shingles(t, size) for d, t in docs}
     ids = sorted(sets)
     links = []
     for i, a in enumerate(ids):

@@ -221,12 +221,11 @@ def _can_link(percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) that link: overlaps counted per segment and summed."""
-    segments = classes.select("class", F.posexplode("segments").alias("part", "keys"))
-    left = segments.select(F.col("class").alias("a"), "part", F.col("keys").alias("ka"))
-    right = segments.select(F.col("class").alias("b"), "part", F.col("keys").alias("kb"))
-    partial = pairs.join(left, "a").join(right, ["b", "part"]).withColumn("both", F.size(F.array_intersect("ka", "kb")))
-    overlap = partial.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
+    """The pairs (a, b, na, nb) that link: overlaps counted per segment and summed, in one row a pair."""
+    left = classes.select(F.col("class").alias("a"), F.col("segments").alias("sa"))
+    right = classes.select(F.col("class").alias("b"), F.col("segments").alias("sb"))
+    partial = F.zip_with("sa", "sb", lambda x, y: F.size(F.array_intersect(x, y)))
+    overlap = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", F.aggregate(partial, F.lit(0), lambda s, x: s + x).alias("both"))
     return overlap.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
