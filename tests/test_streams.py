@@ -44,8 +44,43 @@ def frame(spark, rows):
 
 def test_assembler_keeps_little():
     a = assemble.Assembler(thinking=True)
-    rows = [r for k in range(500) for r in assemble.Assembler.add(a, k, "abc<", False)]
-    assert len(a.save()) < 400 and "".join(r[2] for r in rows) == "abc<" * 499 + "abc"
+    rows = [r for k in range(500) for r in a.add([(k, "abc<", False)])]
+    assert sum(len(str(x)) for x in a.save()) < 400 and "".join(r[2] for r in rows) == "abc<" * 499 + "abc"
+
+
+def test_pieces_read_as_one():
+    """However pieces fall into calls, the text is the same; a run ends with its part."""
+    for seed in range(4):
+        rng = random.Random(seed)
+        for i in range(len(TEXTS)):
+            own = [(r[1], r[3], r[4]) for r in pieces(seed) if r[0] == i]
+            rng.shuffle(own)
+            a, got, at = assemble.Assembler(thinking=OPENS[i]), [], 0
+            while at < len(own):
+                n = rng.randint(1, len(own))
+                got += a.add(own[at : at + n] + own[:at][:2])  # some pieces come again
+                at += n
+            assert tuple("".join(t for _, k, t in got if k == kind) for kind in ("reasoning", "content")) == split(i)
+            assert sum(k == "tool_call" for _, k, _ in got) == N_CALLS[i] and a.over and not a.early
+    long_ = assemble.Assembler()
+    rows = list(long_.add([(k, "a", k == 2999) for k in range(3000)]))
+    assert [(seq, len(t)) for seq, kind, t in rows if kind == "content"] == [(1023, 1024), (2047, 1024), (2999, 952)]
+
+
+def test_late_repeats_and_waiting_pieces(spark, tmp_path):
+    """Pieces after the end say nothing more, early ones wait over batches, restarts go on."""
+    feed, out, check = (str(tmp_path / x) for x in ("feed", "out", "checkpoint"))
+
+    def run(rows):
+        frame(spark, [(1, k, 0, t, d, False) for k, t, d in rows]).coalesce(1).write.mode("append").parquet(feed)
+        chunks = spark.readStream.schema(frame(spark, []).schema).option("maxFilesPerTrigger", 1).parquet(feed)
+        return sorted((r["seq"], r["kind"], r["delta"]) for r in assemble.run_assembly(chunks, out, check).collect())
+
+    assert run([(3, "d", True), (1, "b", False)]) == []
+    assert run([(0, "a", False)]) == [(1, "content", "ab")]
+    ended = [(1, "content", "ab"), (3, "content", "cd"), (3, "finish", "stop")]
+    assert run([(2, "c", False), (0, "a", False)]) == ended
+    assert run([(0, "a", False), (3, "d", True)]) == ended
 
 
 def test_stream_in_small_batches_out_of_order(spark, tmp_path):

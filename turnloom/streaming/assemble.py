@@ -9,11 +9,13 @@ tag, a call that is open, pieces that came before their turn.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from turnloom.constants import CALL_CLOSE, CALL_OPEN, THINK_CLOSE, THINK_OPEN
 from turnloom.functions.joins import with_key_stats
@@ -26,7 +28,8 @@ DELTA = T.StructType(
         T.StructField("kind", T.StringType()), T.StructField("delta", T.StringType()),
     ]
 )
-STATE = T.StructType([T.StructField("held", T.StringType())])
+HEAD = "next int, thinking boolean, tail string, skip boolean, watch string, n_waiting int"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _held_back(text: str, tag: str) -> int:
@@ -117,97 +120,151 @@ class CallWatch:
 
 
 class Assembler:
-    """The undecided rest of one response."""
+    """The undecided rest of one response: HEAD without the number of pieces that wait."""
 
-    def __init__(self, saved: str | None = None, thinking: bool = False):
-        fresh = {"next": 0, "early": {}, "thinking": thinking, "tail": "", "skip": False, "watch": None}
-        self.s = json.loads(saved) if saved else fresh
-        self.watch = CallWatch(self.s["watch"])
-        self.s["watch"] = self.watch.s
+    def __init__(self, saved: tuple | None = None, thinking: bool = False):
+        self.next, self.thinking, self.tail, self.skip, watch = saved or (0, thinking, "", False, None)
+        self.watch = CallWatch(json.loads(watch) if watch else None)
+        self.early: dict[int, tuple[str, bool]] = {}
+        self.over = False
 
-    def save(self) -> str:
-        return json.dumps(self.s, ensure_ascii=False)
+    def save(self) -> tuple:
+        return self.next, self.thinking, self.tail, self.skip, json.dumps(self.watch.s, ensure_ascii=False)
 
     def _say(self, seq: int, text: str, done: bool):
-        s = self.s
         self.watch.add(text, done)
-        if s["thinking"]:
-            text = s["tail"] + text
+        if self.thinking:
+            text = self.tail + text
             at = text.find(THINK_CLOSE)
             keep = 0 if done else _held_back(text, THINK_CLOSE)
             reasoning = text[:at] if at >= 0 else text[: len(text) - keep]
-            s["tail"] = "" if at >= 0 else text[len(text) - keep :]
+            self.tail = "" if at >= 0 else text[len(text) - keep :]
             if reasoning:
                 yield seq, "reasoning", reasoning
             if at < 0:
                 return
-            s.update(thinking=False, skip=True)
+            self.thinking, self.skip = False, True
             text = text[at + len(THINK_CLOSE) :]
-        if s["skip"]:
+        if self.skip:
             text = text.lstrip("\n")
-            s["skip"] = not text
+            self.skip = not text
         if text:
             yield seq, "content", text
 
-    def add(self, seq: int, text: str, done: bool):
-        """Rows that this piece decides; pieces that come early wait for their turn."""
-        s = self.s
-        if seq < s["next"]:
-            return
-        s["early"][str(seq)] = [text, done]
-        while (piece := s["early"].pop(str(s["next"]), None)) is not None:
-            at = s["next"]
-            s["next"] = at + 1
-            yield from self._say(at, piece[0] or "", bool(piece[1]))
-            if piece[1]:
-                yield from self.finish(at, "tool_calls" if self.watch.calls() else "stop")
+    def add(self, pieces: Iterable[tuple[int, str | None, bool]]):
+        """Rows that these pieces decide; pieces that come early wait for their turn.
+
+        Pieces that follow each other are read as one, up to the end of a part;
+        their rows have the number of the last of them.
+        """
+        for seq, text, done in pieces:
+            if seq >= self.next:
+                self.early.setdefault(seq, (text or "", bool(done)))
+        while self.next in self.early:
+            texts, done = [], False
+            while self.next in self.early and not done and not (texts and self.next % PART_CHUNKS == 0):
+                text, done = self.early.pop(self.next)
+                texts.append(text)
+                self.next += 1
+            yield from self._say(self.next - 1, "".join(texts), done)
+            if done:
+                yield from self.finish(self.next - 1, "tool_calls" if self.watch.calls() else "stop")
                 return
 
     def finish(self, seq: int, reason: str):
-        self.s["over"] = True
+        self.over = True
         for call in self.watch.calls():
             yield seq, "tool_call", call
         yield seq, "finish", reason
 
 
-def stream_deltas(chunks: DataFrame, idle_ms: int | None = None) -> DataFrame:
-    """Streamed pieces (response_id, seq, chunk, done, open_thinking) -> delta rows.
+class Responses(StatefulProcessor):
+    """Open responses as state: a head, pieces that wait as entries of a map, and a mark of those that ended.
 
-    No row is dropped for its time: pieces may come in any order and in any
-    micro-batch.  ``open_thinking`` (false when null or not there) tells whether
-    a response starts inside its reasoning.  A response stays open until its last
-    piece is there.  With ``idle_ms``, one without news for that long (processing
-    time) ends as 'timeout', which frees its state; do not set it shorter than a
-    backlog may take.
+    A piece that waits is written once and taken out once.  The mark keeps late
+    repeats of a response from opening it again.
     """
 
-    def step(key, frames, state):
-        def frame(rows):
-            return pd.DataFrame([(key[0], *r) for r in rows], columns=["response_id", "seq", "kind", "delta"])
+    def __init__(self, idle_ms: int | None, forget_ms: int | None):
+        self.idle_ms, self.forget_ms = idle_ms, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.head = handle.getValueState("head", HEAD)
+        self.waiting = handle.getMapState("waiting", "seq int", "text string, done boolean")
+        self.ended = handle.getValueState("ended", "over boolean", self.forget_ms)
+
+    def _frame(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], *r) for r in rows], columns=DELTA.fieldNames())
+
+    def _close(self) -> None:
+        self.head.clear()
+        self.waiting.clear()
+        self.ended.update((True,))
 
-        response = Assembler(state.get[0]) if state.exists else None
-        if state.hasTimedOut:
-            state.remove()
-            yield frame(response.finish(response.s["next"], "timeout"))
+    def _wait(self, now: int | None) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if now is not None:
+            self.handle.registerTimer(now + self.idle_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: TimerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values("seq")
+        if self.ended.exists():
             return
-        for batch in frames:
-            batch = batch.sort_values("seq")
-            response = response or Assembler(thinking=bool(batch["open_thinking"].any()))
-            rows = [r for seq, text, done in zip(batch["seq"], batch["chunk"], batch["done"]) for r in response.add(int(seq), text, bool(done))]
-            if rows:
-                yield frame(rows)
-        if response.s.get("over"):
-            if state.exists:
-                state.remove()
+        saved = self.head.get() if self.head.exists() else None
+        response = Assembler(tuple(saved)[:5] if saved else None, thinking=bool(batch["open_thinking"].any()))
+        before: dict[int, tuple[str, bool]] = {}
+        if saved and saved[5]:
+            before = {k[0]: tuple(v) for k, v in self.waiting.iterator()}
+            response.early = dict(before)
+        out = list(response.add(zip(batch["seq"].tolist(), batch["chunk"], batch["done"])))
+        if out:
+            yield self._frame(key, out)
+        if response.over:
+            if saved:
+                self._close()
+            else:
+                self.ended.update((True,))
         else:
-            state.update((response.save(),))
-            if idle_ms is not None:
-                state.setTimeoutDuration(idle_ms)
+            for seq in before.keys() - response.early.keys():
+                self.waiting.removeKey((seq,))
+            for seq in response.early.keys() - before.keys():
+                self.waiting.updateValue((seq,), response.early[seq])
+            self.head.update((*response.save(), len(response.early)))
+        if self.idle_ms is not None:
+            self._wait(None if response.over else timers.getCurrentProcessingTimeInMs())
+
+    def handleExpiredTimer(self, key: tuple, timers: TimerValues, expired: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        saved = self.head.get() if self.head.exists() else None
+        if saved:
+            response = Assembler(tuple(saved)[:5])
+            self._close()
+            yield self._frame(key, list(response.finish(response.next, "timeout")))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_deltas(chunks: DataFrame, idle_ms: int | None = None, forget_ms: int | None = None) -> DataFrame:
+    """Streamed pieces (response_id, seq, chunk, done, open_thinking) -> delta rows.
 
+    No row is dropped for its time: pieces may come in any order and in any
+    micro-batch, and a repeated piece changes nothing.  Pieces of one micro-batch
+    that follow each other give one row.  ``open_thinking`` (false when null or
+    not there) tells whether a response starts inside its reasoning.  A response
+    stays open until its last piece is there.  With ``idle_ms``, one without news
+    for that long (processing time) ends as 'timeout', which frees its state; do
+    not set it shorter than a backlog may take.  The mark of a response that has
+    ended goes after ``forget_ms``; pieces that come later are taken for a new
+    one.  Both need a query that runs on, as time makes new batches without end;
+    without them a query may stop once all input is read, and marks stay.
+    """
+    timed = idle_ms is not None or forget_ms is not None
     return (
         chunks.select("response_id", "seq", "chunk", "done", _opens(chunks).alias("open_thinking"))
         .groupBy("response_id")
-        .applyInPandasWithState(step, DELTA, STATE, "append", "NoTimeout" if idle_ms is None else "ProcessingTimeTimeout")
+        .transformWithStateInPandas(Responses(idle_ms, forget_ms), DELTA, "append", "processingTime" if timed else "none")
     )
 
 
@@ -216,7 +273,12 @@ def _opens(chunks: DataFrame) -> Column:
 
 
 def run_assembly(chunks: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Runs the stream over all that is there and returns the delta table."""
+    """Runs the stream over all that is there and returns the delta table.
+
+    Typed state needs the state store that keeps it by column family; the
+    checkpoint holds it in the shared folder.
+    """
+    chunks.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     query = (
         stream_deltas(chunks).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
