@@ -153,3 +153,30 @@ def test_late_call_is_one_row(spark):
     rows = [(1, 1022 + k, 0, "id" if k == 0 else None, "n" if k == 1 else None, str(k)) for k in range(6)]
     df = spark.createDataFrame(rows, "response_id int, seq int, call_index int, id string, name string, arguments string")
     assert [tuple(r) for r in toolcalls.merge_call_deltas(df).collect()] == [(1, 0, "id", "n", "012345")]
+
+
+def test_capped_pull_over_runs_and_repeats(spark, tmp_path):
+    """The first rows in file and line order, over triggers and restarts; a batch that runs again changes nothing."""
+    src, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    schema = spark.createDataFrame([], "text string").schema
+
+    def pull():
+        return sorted(r[0] for r in ingest.ingest_capped(spark, src, schema, out, check, 7, maxFilesPerTrigger=1).collect())
+
+    def add(*texts):
+        spark.createDataFrame([(x,) for x in texts], "text string").coalesce(1).write.mode("append").json(src)
+
+    add(" a1", "  ", "a2 ")
+    assert pull() == ["a1", "a2"]
+    add("b1", "b2", "b3", " ", "b4")
+    add("c1", "c2", "c3")
+    first = pull()
+    assert len(first) == 7 and {"a1", "a2"} <= set(first)
+    assert set(first) in ({"a1", "a2", "b1", "b2", "b3", "b4", "c1"}, {"a1", "a2", "c1", "c2", "c3", "b1", "b2"})
+    add("d1")
+    assert pull() == first
+    again = ingest._capped_batch(out, f"{check}/counts", 7)
+    kept = spark.read.parquet(f"{out}/batch_id=0").select("text")
+    kept.write.json(str(tmp_path / "copy"))
+    again(spark.read.schema(schema).json(str(tmp_path / "copy")).select("*", ingest._file_block().alias("_at")), 0)
+    assert sorted(r[0] for r in spark.read.parquet(f"{out}/batch_id=*").collect()) == first

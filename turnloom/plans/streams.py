@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from turnloom.operators import normalize
 from turnloom.plans import tables as t
 from turnloom.plans.corpus import CORPUS_CLEAN
 from turnloom.session import scratch_path
@@ -17,6 +20,31 @@ def stream_ingest(spark, sf_dir):
     return rows.select("doc_id", "source", "text")
 
 
+CAPPED_ROWS = 600
+
+
+def stream_capped(spark, sf_dir):
+    """The first 600 cleaned documents over several micro-batches and a second run that finds more files.
+
+    Which rows come first depends on when files are found, so the result says how
+    many there are, how often one came twice, and how many are no cleaned document.
+    """
+    docs = t.documents(spark, sf_dir)
+    feed, out, check = (scratch_path(spark, name) for name in ("feed", "capped-out", "capped-checkpoint"))
+    for arrival in (0, 1):
+        docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == arrival).repartition(4).write.mode("append").parquet(feed)
+        rows = ingest.ingest_capped(spark, feed, docs.schema, out, check, CAPPED_ROWS, fmt="parquet", maxFilesPerTrigger=2)
+    known = normalize.clean_text(docs).select("doc_id", F.col("text").alias("clean"), F.lit(1).alias("found"))
+    held = rows.select("doc_id", "text").join(known, "doc_id", "left")
+    return held.agg(
+        F.count("*").alias("n_rows"), (F.count("*") - F.count_distinct("doc_id")).alias("n_again"),
+        F.count_if(~F.col("text").eqNullSafe(F.col("clean"))).alias("n_foreign"),
+    )
+
+
+STREAM_CAPPED = f"select least({CAPPED_ROWS}, count(*)) as n_rows, cast(0 as bigint) as n_again, cast(0 as bigint) as n_foreign from ({CORPUS_CLEAN})"
+
+
 def _assembled(spark, feed, **options):
     chunks = spark.readStream.schema(spark.read.parquet(feed).schema).options(**options).parquet(feed)
     deltas = assemble.run_assembly(chunks, scratch_path(spark, "deltas"), scratch_path(spark, "deltas-checkpoint"))
@@ -58,6 +86,7 @@ STREAM_ASSEMBLE = f"""with {_TEXTS} select {_SPLIT}, cast(case when response_id
 
 QUERIES = {
     "stream_ingest": (stream_ingest, CORPUS_CLEAN),
+    "stream_capped": (stream_capped, STREAM_CAPPED),
     "stream_assemble": (stream_assemble, STREAM_ASSEMBLE),
     "stream_assemble_batches": (stream_assemble_batches, STREAM_ASSEMBLE),
     "chunk_assemble": (chunk_assemble, CHUNK_ASSEMBLE),
