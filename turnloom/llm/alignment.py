@@ -59,10 +59,10 @@ PIECE_TOKENIZER = "piece_bpe_32k.model"
 RANGE = 65_536
 LONG_UNIT = 4_096
 FAN = 16
-KNOWN_UNITS = 600_000
+KNOWN_UNITS = 400_000
 BATCH_CHARS = 1_000_000
 BATCH_ROWS = 100_000
-RUN_PAIRS = 4_000_000
+RUN_PAIRS = 1_500_000
 WIDE_GROUP = 65_536
 _ID_BITS = 20
 _ID_MASK = (1 << _ID_BITS) - 1
