@@ -44,7 +44,7 @@ from turnloom.session import cut_lineage
 PERCENT = 90
 SHINGLE = 3
 FRAGMENTS = 64
-FRAGMENT_KEYS = 2_000_000
+FRAGMENT_KEYS = 1_000_000
 BUCKET_CLASSES = 10_000
 SEGMENTS = 16
 HOT_SHARE = 100  # hot: in more than one in so many documents of a batch
