@@ -63,7 +63,8 @@ def transaction(page_id: int | None, url: str | None, html: str | None, first: i
     digest = digest_of(payload)
     # Line breaks would end a header.
     target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    own = _urn("response", page_id, digest) if first is None and not again else _urn("other", page_id, at)
+    # A page without an id is revisited by none, and others like it have responses of their own.
+    own = _urn("response", page_id, digest) if first is None and not again and page_id is not None else _urn("other", page_id, at)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     common = {"WARC-Date": DATE, "WARC-Target-URI": target}
     main = {"WARC-Type": "response" if first is None else "revisit", "WARC-Record-ID": f"<{own}>", **common}
