@@ -74,7 +74,7 @@ def library(name: str = TOKENIZER):
 def planes(x: np.ndarray) -> bytes:
     """Whole numbers below 2^32, compressed byte by byte of their digits."""
     rows = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.compress(rows.tobytes(), 3)
+    return zstandard.compress(rows.tobytes(), 9)
 
 
 def unplaned(body: bytes) -> np.ndarray:
@@ -104,7 +104,7 @@ def _runs(docs: DataFrame, fragments: int, blocks: int) -> DataFrame:
             rows = []
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
                 own = [words[i] for i in order[a:b].tolist()]
-                body = zstandard.compress("\n".join(own).encode("utf-8", "surrogatepass"), 3)
+                body = zstandard.compress("\n".join(own).encode("utf-8", "surrogatepass"), 9)
                 rows.append((int(of[order[a]]) * blocks + block, run, int(of[order[a]]), b - a, body, None, None))
             places = np.concatenate([[len(of)], of, *at]) if at else np.concatenate([[len(of)], of])
             rows.append((-1 - run, run, _PLACES, len(ids), planes(places), ids, [len(x) for x in at]))
