@@ -13,9 +13,15 @@ Random numbers are functions of seed and doc_id.  Sums along the order are taken
 over 1024 classes of ranks, then inside the one class the cut falls into, twice;
 no task ever sorts a source.  What is joined back is one row per source.
 
+Rows that share id, source and size share a rank too.  Where the cut falls among
+such rows, they are counted per split of the table, and taken in the order of the
+table until the target is reached.  The table is read twice and has to come in the
+same order both times: stored tables do, others are written first by the caller.
+
 * A null text has no words; null sources are one source, the last.  Documents
   without words are taken or not like others and add nothing.
-* Rows that share id, source and size share their fate.
+* Rows that share id, source and size, null ids among them, are told apart by
+  their place alone: as many of them are taken as the target needs.
 * An empty table gives an empty result.
 """
 
@@ -99,33 +105,60 @@ def _cuts(rows: DataFrame, n_sources: int, classes: int) -> DataFrame:
         cut = sums.where(F.col("_sofar") < F.col("_want")).groupBy("source").agg(F.max(F.struct("_class", "_sofar")).alias("_cut"))
         rows = _by_source(rows, cut, n_sources).where(F.col("_class") == F.col("_cut._class"))
         rows = rows.withColumns({"_before": F.col("_cut._sofar"), "_low": F.col("_low") + F.col("_class") * F.lit(width)}).drop("_cut")
+    # Rows of one place are one row here, so a window holds what differs inside one class.
+    ties = rows.withColumn("_at", _place()).groupBy("source", "_at").agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in ("_want", "_before", "_low")])
+    size = F.col("_at.s")
     order = Window.partitionBy("source").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_at", _place())
-    rows = rows.withColumn("_sofar", F.col("_before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
-    taken = rows.where(2 * F.col("_sofar") + F.col("size") < 2 * F.col("_want"))
+    ties = ties.withColumn("_sofar", F.col("_before") + F.coalesce(F.sum(size * F.col("_n")).over(order), F.lit(0)))
+    short = 2 * F.col("_want") - 2 * F.col("_sofar") - size
+    number = F.when(size == 0, F.col("_n")).otherwise(F.least("_n", F.greatest(F.lit(1), F.ceil(short / (2 * size)))))
+    taken = ties.where(2 * F.col("_sofar") + size < 2 * F.col("_want")).withColumn("_take", number)
     # A class before the cut is taken whole, so a source without a row here still needs its cut.
     whole = rows.groupBy("source").agg(F.min("_low").alias("_from"))
-    last = taken.groupBy("source").agg(F.max("_at").alias("_last"))
-    joined = whole.withColumnRenamed("source", "_s").join(last, F.col("_s").eqNullSafe(F.col("source")), "left")
-    return joined.select(F.col("_s").alias("source"), "_from", "_last")
+    last = taken.groupBy("source").agg(F.max(F.struct("_at", "_take", "_n")).alias("_last"))
+    edge = _by_source(rows, last.where("_last._take < _last._n"), n_sources).where(_place() == F.col("_last._at"))
+    return _beside(_beside(whole, last), _last_numbers(edge)).select("source", "_from", F.col("_last._at").alias("_last"), "_last_no")
+
+
+def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join of two tables with one row per source."""
+    right = right.withColumnRenamed("source", "_source")
+    return left.join(right, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+
+
+def _last_numbers(edge: DataFrame) -> DataFrame:
+    """(source, _last_no): the number of the last row taken among equal ones.
+
+    Counted per split of the table; only the split the cut falls into is ranked.
+    """
+    part = F.shiftright("_no", 33)  # the split's part of a row's number
+    counts = edge.groupBy("source", part.alias("_part")).agg(F.count("*").alias("_c"), F.first("_last._take").alias("_take"))
+    earlier = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_ahead", F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
+    at = counts.where((F.col("_ahead") < F.col("_take")) & (F.col("_take") <= F.col("_ahead") + F.col("_c")))
+    at = at.select(F.col("source").alias("_source"), "_part", (F.col("_take") - F.col("_ahead")).alias("_nth"))
+    inside = edge.join(at, F.col("source").eqNullSafe(F.col("_source")) & (part == F.col("_part")))
+    place = F.row_number().over(Window.partitionBy("source").orderBy("_no"))
+    return inside.withColumn("_place", place).where(F.col("_place") == F.col("_nth")).select("source", F.col("_no").alias("_last_no"))
 
 
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
     """Adds ``_mix``: size, source_size, target and the number of copies the mix takes."""
-    small = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"))
+    number = F.monotonically_increasing_id().alias("_no")
+    small = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), number)
     small, _ = cut_lineage(small, "mix-sizes")
     sums = small.groupBy("source").agg(F.sum("size").alias("source_size"))
     per_source, _ = cut_lineage(targets(sums, weights, share, most), "mix-targets")
     n_sources = per_source.count()
     drawn = _by_source(small, per_source, n_sources).withColumns(_draws(seed, most))
     cuts, _ = cut_lineage(_cuts(drawn, n_sources, CLASSES), "mix-cuts")
-    right = per_source.withColumnRenamed("source", "_s").join(cuts, F.col("_s").eqNullSafe(F.col("source")), "left").drop("source")
-    figures = right.withColumnRenamed("_s", "source")
+    figures = _beside(per_source, cuts)
 
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", size_of(F.col("text")).alias("size"))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", size_of(F.col("text")).alias("size"), number)
     full = _by_source(row, figures, n_sources).withColumns(_draws(seed, most))
     below = F.col("_rank") < F.col("_from")
-    extra = F.coalesce(below | (_place() <= F.col("_last")), below, F.lit(False)).cast("bigint")
+    at_cut = (_place() == F.col("_last")) & (F.col("_last_no").isNull() | (F.col("_no") <= F.col("_last_no")))
+    extra = F.coalesce(below | (_place() < F.col("_last")) | at_cut, below, F.lit(False)).cast("bigint")
     mix = F.struct("size", "source_size", "target", (F.col("_certain") + extra).alias("copies"))
     return full.select("_row.*", mix.alias("_mix"))
 
