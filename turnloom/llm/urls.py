@@ -6,7 +6,9 @@ in the pages' texts finds the most probable split (Viterbi).  Multinomial naive
 Bayes, trained on the URLs that a rule decides, scores the words of the others.
 
 The model of words is never moved whole: the substrings of the distinct pieces
-meet the word counts in a join, and only hits go to the splitting.  Scores are
+meet the word counts in a join, and only hits go to the splitting.  Words of more
+than ``ANCHOR`` letters, of any length, are found by their first ones and then
+compared whole, so a piece makes a bounded number of substrings per letter.  Scores are
 whole numbers (log odds times 1e9), so sums don't depend on their order.
 
 * A null URL or one without ``://`` has an empty host and path and no rule; its
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from turnloom.session import cut_lineage
 
-LONGEST_WORD = 24
+ANCHOR = 24
 SMALL_PIECES = 100_000
 _UNIT = 1e9
 
@@ -88,23 +90,27 @@ def word_counts(pages: DataFrame) -> DataFrame:
     """(word, n) over the visible texts of all pages."""
     shown = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
     words = F.regexp_extract_all(F.lower(F.coalesce(shown, F.lit(""))), F.lit(r"([\p{L}\p{M}]+)"), F.lit(1))
-    counts = pages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    return counts.where(F.length("word") <= LONGEST_WORD)
+    return pages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def split_words(piece: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
     """The most probable words of a piece; ``known`` has counts by (start, end).
 
-    An unknown run is ten times less probable with each letter.  Of equal splits
-    the one whose last word starts first is taken.
+    An unknown run, of any length, is ten times less probable with each letter.  Of
+    equal splits the one whose last word starts first is taken.  The best start of
+    an unknown run is the same for all its ends, so it is kept while the ends go by.
     """
-    best, came = [0.0] + [float("inf")] * len(piece), [0] * (len(piece) + 1)
+    ending: dict[int, list[tuple[int, int]]] = {}
+    for (start, end), n in sorted(known.items()):
+        ending.setdefault(end, []).append((start, n))
+    letter, unknown = log(10), log((total + 10) / 10)
+    best, came = [0.0] * (len(piece) + 1), [0] * (len(piece) + 1)
+    run_from, run_cost = 0, 0.0  # cost before the run, less a letter's cost for each letter before it
     for end in range(1, len(piece) + 1):
-        for start in range(max(0, end - LONGEST_WORD), end):
-            n = known.get((start, end))
-            chance = log(n / total) if n else log(10 / (total + 10)) - (end - start) * log(10)
-            if best[start] - chance < best[end]:
-                best[end], came[end] = best[start] - chance, start
+        if best[end - 1] - (end - 1) * letter < run_cost:
+            run_from, run_cost = end - 1, best[end - 1] - (end - 1) * letter
+        ways = [(best[start] - log(n / total), start) for start, n in ending.get(end, [])]
+        best[end], came[end] = min([(run_cost + end * letter + unknown, run_from), *ways])
     words, end = [], len(piece)
     while end:
         words.append(piece[came[end] : end])
@@ -118,10 +124,16 @@ def segmented(pieces: DataFrame, counts: DataFrame) -> DataFrame:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     letters = pieces.where(F.col("piece").rlike(r"^[^\d]"))
     spans = letters.select("piece", F.posexplode(F.split("piece", "")).alias("start", "_c")).where("_c <> ''")
-    ends = F.sequence(F.col("start") + 1, F.least(F.col("start") + LONGEST_WORD, F.length("piece")))
+    ends = F.sequence(F.col("start") + 1, F.least(F.col("start") + ANCHOR, F.length("piece")))
     spans = spans.select("piece", "start", F.explode(ends).alias("end"))
     spans = spans.withColumn("word", F.substring("piece", F.col("start") + 1, F.col("end") - F.col("start")))
-    hits = spans.join(counts, "word").groupBy("piece").agg(F.collect_list(F.struct("start", "end", "n")).alias("known"))
+    short = spans.join(counts.where(F.length("word") <= ANCHOR), "word")
+    heads = counts.where(F.length("word") > ANCHOR).select(F.substring("word", 1, ANCHOR).alias("word"), F.col("word").alias("_whole"), "n")
+    long = spans.where(F.col("end") - F.col("start") == ANCHOR).join(heads, "word")
+    long = long.where(F.substring("piece", F.col("start") + 1, F.length("_whole")) == F.col("_whole"))
+    long = long.withColumn("end", F.col("start") + F.length("_whole"))
+    found = short.select("piece", "start", "end", "n").unionByName(long.select("piece", "start", "end", "n"))
+    hits = found.groupBy("piece").agg(F.collect_list(F.struct("start", "end", "n")).alias("known"))
     rows = pieces.join(hits, "piece", "left").crossJoin(F.broadcast(total))
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
