@@ -5,8 +5,9 @@ squared lengths).  Pieces come longest first; each goes to the open sequence
 that can take it under every capacity and scores best: smallest norm of what is
 then left (``norm``), or largest weighted product of demand and room (``dot``).
 
-Pieces are dealt to groups of about ``GROUP_PIECES`` by a hash, and every group
-is packed on its own, so nothing grows with the input but the number of groups.
+Pieces are dealt to groups of about ``GROUP_PIECES`` by a hash of their places in
+the table of pieces, so rows that share an id are spread too, and every group is
+packed on its own, so nothing grows with the input but the number of groups.
 A group leaves at most a sequence or two half full among thousands.
 
 * Null and empty texts are one end id.  Repeated rows are packed each.
@@ -95,10 +96,10 @@ def best_fit(
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, **rules) -> DataFrame:
-    """Adds sequence_id and offset to a table of pieces that is cheap to read twice."""
+    """Adds sequence_id and offset to a written table of pieces."""
     groups = max(1, -(-pieces.count() // group_pieces))
     names = pieces.columns
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(7), "doc_id", "piece"), F.lit(groups)).cast("int"))
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(7), F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
 
     def packed(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
