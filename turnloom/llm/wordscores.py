@@ -40,6 +40,7 @@ from turnloom.llm.words import mixed, text_runs, words_of
 from turnloom.session import cut_lineage
 
 HOT_SHARE = 1024
+SEEN = 1 << 20  # distinct words a task holds before it hands them on
 FRAGMENTS = 32
 FRAGMENT_KEYS = 4_000_000
 CHARS = 2_000_000
@@ -89,11 +90,10 @@ def _survey(docs: DataFrame) -> tuple[int, int, np.ndarray]:
     """Tokens of all texts, size of the vocabulary, and the sorted keys of words and pairs that may be hot."""
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, tokens = np.zeros(0, _U), 0
+        seen = np.zeros(0, _U)
         for batch in batches:
             for run in text_runs(batch["text"].tolist(), CHARS):
                 word, _, pair, _ = _grams(run)
-                tokens += len(word)
                 hot = []
                 for kind, keys in enumerate((word, pair)):
                     key, count = np.unique(keys, return_counts=True)
@@ -101,18 +101,20 @@ def _survey(docs: DataFrame) -> tuple[int, int, np.ndarray]:
                     hot += [{"pair": kind, "key": k, "count": c} for k, c in zip(key[often].view(np.int64).tolist(), count[often].tolist())]
                     if not kind:
                         seen = np.union1d(seen, key)
-                yield pd.DataFrame({"place": [-1], "tokens": len(word), "words": [b""], "hot": [hot]})
-        cuts = np.searchsorted(seen, np.arange(1, 64, dtype=_U) << _U(58))
-        parts = [(p, 0, x.tobytes(), []) for p, x in enumerate(np.split(seen, cuts)) if len(x)]
-        yield pd.DataFrame(parts, columns=["place", "tokens", "words", "hot"])
+                yield pd.DataFrame({"tokens": len(word), "words": [None], "hot": [hot]})
+                if len(seen) > SEEN:
+                    yield from words(seen)
+                    seen = np.zeros(0, _U)
+        yield from words(seen)
 
-    def distinct(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"v": [len(np.unique(np.frombuffer(b"".join(rows["words"]), _U)))]})
+    def words(seen: np.ndarray) -> Iterator[pd.DataFrame]:
+        for a in range(0, len(seen), 65536):
+            yield pd.DataFrame({"tokens": 0, "words": [seen[a : a + 65536].view(np.int64)], "hot": [[]]})
 
-    schema = "place long, tokens long, words binary, hot array<struct<pair: int, key: long, count: long>>"
+    schema = "tokens long, words array<long>, hot array<struct<pair: int, key: long, count: long>>"
     table, _ = cut_lineage(docs.select("text").mapInPandas(look, schema), "vocabulary")
     tokens = table.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    size = table.where("place >= 0").groupBy("place").applyInPandas(distinct, "v long").agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
+    size = table.select(F.explode("words")).distinct().count()
     # What is in one of HOT_SHARE tokens is, half of it or more, in runs where it is in one of 2 HOT_SHARE.
     often = table.select(F.explode("hot").alias("h")).groupBy("h.pair", "h.key").agg(F.sum("h.count").alias("c"))
     rows = often.where(F.col("c") * 2 * HOT_SHARE > tokens).select("key").collect()
@@ -216,7 +218,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(place)).tolist())
                 ]
                 ids = [None if pd.isna(x) else int(x) for x in part["doc_id"]]
-                rows.append((-1 - made % 64, made, None, None, None, None, ids, n.tolist(), base.ravel().tolist()))
+                rows.append((-1 - made, made, None, None, None, None, ids, n.tolist(), base.ravel().tolist()))
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in _RUNS.split(", ")])
                 made += 1
 
