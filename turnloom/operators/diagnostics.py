@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,6 +107,62 @@ def advantage_estimator(gamma: float = 1.0, lam: float = 0.95):
     return estimate
 
 
+def _chunk_width(c: float, width: int) -> int:
+    """Steps of a chunk, so few that powers of c stay far above the smallest double."""
+    return max(2, min(width, int(-575 / math.log(c)))) if 0.0 < c < 1.0 else width
+
+
+def _chunked(rows: DataFrame, width: int) -> DataFrame:
+    return rows.withColumns({"_chunk": F.floor(F.col("pos") / F.lit(width)).cast("bigint"), "_at": F.pmod("pos", F.lit(width))})
+
+
+def discounted_tails(rows: DataFrame, key: str, c: float, longest: int, width: int = 1024) -> DataFrame:
+    """Adds ``tail`` to (key, pos, x, ...): the sum over k >= pos of c**(k - pos) * x[k].
+
+    A step is an affine map of what comes after it, and maps compose in any
+    grouping: chunks of ``width`` steps are summed by themselves, their heads are
+    the same problem with c**width and a ``width``-th of the rows, and what lies
+    after a chunk is joined back by (key, chunk).  So no task holds a whole
+    trajectory.  ``pos`` counts from 0 without gaps and ``longest`` is its highest
+    value.  Below 1e-30 a factor is taken as 0.
+    """
+    if c < 1e-30:
+        return rows.withColumn("tail", F.col("x"))
+    width = _chunk_width(c, width)
+    if "_chunk" not in rows.columns:
+        rows = _chunked(rows, width)
+    onward = Window.partitionBy(key, "_chunk").orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scale = F.pow(F.lit(c), F.col("_at"))
+    local = rows.withColumn("tail", F.sum(F.col("x") * scale).over(onward) / scale)
+    if longest < width:
+        return local.drop("_chunk", "_at")
+    heads = local.where(F.col("_at") == 0).select(key, F.col("_chunk").alias("pos"), F.col("tail").alias("x"))
+    after = discounted_tails(heads, key, c**width, longest // width, width)
+    after = after.select(key, (F.col("pos") - 1).alias("_chunk"), F.col("tail").alias("_after"))
+    carried = F.pow(F.lit(c), F.lit(width) - F.col("_at")) * F.coalesce("_after", F.lit(0.0))
+    joined = local.join(after, [key, "_chunk"], "left").withColumn("tail", F.col("tail") + carried)
+    return joined.drop("_chunk", "_at", "_after")
+
+
+def long_advantages(steps: DataFrame, key: str, gamma: float = 1.0, lam: float = 0.95, width: int = 1024) -> DataFrame:
+    """(key, pos, advantage, return) of steps (key, pos, value, reward), one row each.
+
+    For trajectories that no row should hold whole.  The value after a chunk's
+    last step comes from a copy of the next chunk's first row.  Keys are not null;
+    an empty table gives an empty result.  Starts a job for the longest trajectory.
+    """
+    longest = steps.agg(F.max("pos")).first()[0]
+    width = _chunk_width(gamma * lam, width)
+    placed = _chunked(steps.select(key, "pos", "value", "reward"), width)
+    own, border = F.struct("_chunk", "_at"), F.struct((F.col("_chunk") - 1).alias("_chunk"), F.lit(width).cast(placed.schema["_at"].dataType).alias("_at"))
+    places = F.when((F.col("_at") == 0) & (F.col("pos") > 0), F.array(own, border)).otherwise(F.array(own))
+    copied = placed.withColumn("_p", F.explode(places)).withColumns({"_chunk": F.col("_p._chunk"), "_at": F.col("_p._at")}).drop("_p")
+    following = F.lead("value", 1, 0.0).over(Window.partitionBy(key, "_chunk").orderBy("_at"))
+    errors = copied.withColumn("x", F.col("reward") + F.lit(gamma) * following - F.col("value")).where(F.col("_at") < width)
+    tails = discounted_tails(errors, key, gamma * lam, longest or 0, width)
+    return tails.select(key, "pos", F.col("tail").alias("advantage"), (F.col("tail") + F.col("value")).alias("return"))
+
+
 def returns(advantages: Column, values: Column) -> Column:
     return F.zip_with(advantages, values, lambda a, v: a + v)
 

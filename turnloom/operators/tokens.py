@@ -111,6 +111,35 @@ def batch_width(df: DataFrame, ids: str, batch: str) -> DataFrame:
     return df.withColumn("width", F.max(F.size(ids)).over(Window.partitionBy(batch)))
 
 
+def dense_batches(df: DataFrame, ids: str, batch: str, order: str) -> DataFrame:
+    """(batch, n_rows, width, ids, mask): every batch as one tensor of bytes.
+
+    ``ids`` holds the rows in order, each padded on the right to the longest, as
+    little-endian 32-bit integers; ``mask`` has one bit a token, lowest first, each
+    row starting a new byte.  Batches are of fixed size by construction, which
+    bounds the aggregate.  Null lists are rows without tokens.
+    """
+    listed = F.coalesce(F.col(ids), F.array().cast("array<int>"))
+    rows = df.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct(order, listed.alias("_ids")))).alias("_rows"))
+    rows = rows.withColumn("width", F.array_max(F.transform("_rows", lambda r: F.size(r["_ids"]))))
+
+    def word(i: Column) -> Column:
+        h = F.lpad(F.hex(i), 8, "0")
+        return F.concat(*[F.substring(h, at, 2) for at in (7, 5, 3, 1)])
+
+    def bits(n: Column) -> Column:
+        full, rest = F.floor(n / 8).cast("int"), F.pmod(n, F.lit(8))
+        some = F.when(rest > 0, F.lpad(F.hex(F.pow(F.lit(2), rest).cast("int") - 1), 2, "0")).otherwise("")
+        return F.rpad(F.concat(F.repeat(F.lit("FF"), full), some), 2 * F.ceil(F.col("width") / 8).cast("int"), F.lit("0"))
+
+    padded = F.transform("_rows", lambda r: F.array_join(F.transform(pad_right(r["_ids"], F.col("width"), K.PAD_ID), word), ""))
+    masks = F.transform("_rows", lambda r: bits(F.size(r["_ids"])))
+    return rows.select(
+        batch, F.size("_rows").alias("n_rows"), "width",
+        F.unhex(F.array_join(padded, "")).alias("ids"), F.unhex(F.array_join(masks, "")).alias("mask"),
+    )
+
+
 def rectangular(ids: Column, width: Column, value=K.PAD_ID) -> Column:
     return pad_right(ids, width, value)
 

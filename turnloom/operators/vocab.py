@@ -245,16 +245,29 @@ def learn_vocab(words: DataFrame, vocab_size: int = 8000, ranked: int = 4096, mo
 
 
 def export_row(spark: SparkSession, vocab: Vocabulary) -> DataFrame:
-    """Vocabulary and settings as one JSON document (its size is that of the vocabulary)."""
+    """Vocabulary with splitter and decoder as a file that public tokenizer libraries load, and the settings beside it.
+
+    Two JSON documents, ``tokenizer`` and ``config``; their size is that of the vocabulary.
+    """
+    splitter = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
     doc = {
-        "model": {"type": "BPE", "vocab": {t: i for i, t in enumerate(vocab.tokens)}, "merges": [list(m) for m in vocab.merges]},
+        "version": "1.0", "truncation": None, "padding": None, "normalizer": None, "post_processor": None,
+        "pre_tokenizer": splitter, "decoder": splitter,
+        "model": {
+            "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None,
+            "fuse_unk": False, "byte_fallback": False, "ignore_merges": False,
+            "vocab": {t: i for i, t in enumerate(vocab.tokens)}, "merges": [list(m) for m in vocab.merges],
+        },
         "added_tokens": [
-            {"id": i, "content": t, "special": t in K.SPECIAL_TOKENS} for i, t in enumerate(reserved_tokens())
+            {"id": i, "content": t, **flags, "special": t in K.SPECIAL_TOKENS} for i, t in enumerate(reserved_tokens())
         ],
+    }
+    config = {
         "bos_token": K.BOS, "eos_token": K.EOS, "pad_token": K.PAD, "unk_token": K.PAD,
         "add_prefix_space": False, "model_max_length": 131072,
     }
-    return spark.createDataFrame([(json.dumps(doc, ensure_ascii=False),)], "tokenizer string")
+    return spark.createDataFrame([(json.dumps(doc, ensure_ascii=False), json.dumps(config))], "tokenizer string, config string")
 
 
 def compression(df: DataFrame, n_chars: Column, n_tokens: Column, by: str) -> DataFrame:

@@ -6,9 +6,11 @@ import math
 
 from pyspark.sql import functions as F
 
-from turnloom.operators import manifest
+from turnloom.operators import chat, manifest
+from turnloom.plans import stages
 from turnloom.plans import tables as t
 from turnloom.plans.sqltext import order_key
+from turnloom.session import scratch_path
 
 
 def rlaif_sample(spark, sf_dir):
@@ -91,11 +93,29 @@ def rollout_prompts(spark, sf_dir):
 ROLLOUT_PROMPTS = """select (conv_id * 1000 + turn) * 3 + g as idx, conv_id * 1000 + turn as prompt_no, text as prompt
 from (select *, unnest(range(0, 3)) as g from conversations where role = 'user')"""
 
+
+def training_set(spark, sf_dir):
+    """Two epochs of encoded conversations stored for two ranks; rank 1 goes on at batch 2."""
+    parts = chat.assemble_parts(t.conversations(spark, sf_dir))
+    chats = parts.select(F.concat_ws("-", "conv_id", "part").alias("row_id"), F.col("messages").alias("conversations"))
+    path = scratch_path(spark, "training")
+    stages.write_training_set(stages.training_rows(chats, "row_id", 256, 8, epochs=2, world=2), path)
+    rows = stages.read_training_set(spark, path, rank=1, from_batch=2)
+    sizes = [F.size(c).cast("bigint").alias(n) for c, n in (("ids", "n_ids"), ("labels", "n_labels"))]
+    return rows.select("epoch", "rank", "batch_id", "pos", "row_id", *sizes)
+
+
+TRAINING_SET = "with parts as (select distinct conv_id || '-' || (turn // 1024) as row_id from conversations), placed as (" + " union all ".join(
+    f"select {e} as epoch, row_id, row_number() over (order by {order_key(42 + e, e, 'row_id')}, row_id) - 1 as pos from parts" for e in range(2)
+) + """), dealt as (select *, cast(pos % 2 as integer) as rank, pos // 2 // 8 as batch_id from placed)
+select epoch, rank, batch_id, pos, row_id, cast(256 as bigint) as n_ids, cast(256 as bigint) as n_labels from dealt where rank = 1 and (epoch > 0 or batch_id >= 2)"""
+
 QUERIES = {
     "rollout_prompts": (rollout_prompts, ROLLOUT_PROMPTS),
     "rlaif_sample": (rlaif_sample, RLAIF_SAMPLE),
     "epoch_manifest": (epoch_manifest, EPOCH_MANIFEST),
     "resume_manifest": (resume_manifest, RESUME_MANIFEST),
     "rank_shards": (rank_shards, RANK_SHARDS),
+    "training_set": (training_set, TRAINING_SET),
     "prompt_expand": (prompt_expand, PROMPT_EXPAND),
 }

@@ -52,6 +52,24 @@ adv as (select a.sample_id, a.i, a.m, a.v, a.reward, a.prompt_id, a.new_lp, a.ol
 GAE = f"with {GAE_BODY} select sample_id, cast(i as integer) as pos, round(adv, 6) as advantage, round(adv + v, 6) as return from adv"
 
 
+def gae_long(spark, sf_dir):
+    """Advantages of documents as trajectories of their words, in long form, 64 steps a chunk."""
+    words = t.documents(spark, sf_dir).select("doc_id", F.split("text", " ").alias("w"))
+    steps = words.select("doc_id", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
+    last = F.when(F.col("pos") == F.col("n") - 1, F.pmod("doc_id", F.lit(10)) / F.lit(10.0)).otherwise(0.0)
+    steps = steps.select("doc_id", "pos", F.log(F.length("word") + F.lit(2.0)).alias("value"), last.alias("reward"))
+    out = diagnostics.long_advantages(steps, "doc_id", width=64)
+    return out.select("doc_id", "pos", *[F.round(c, 6).alias(c) for c in ("advantage", "return")])
+
+
+GAE_LONG = """with w as (select doc_id, string_split(text, ' ') as w from documents),
+s as (select doc_id, len(w) as n, unnest(w) as word, unnest(range(0, len(w))) as i from w),
+d as (select doc_id, i, ln(length(word) + 2.0::double) as v, case when i = n - 1 then (doc_id % 10) / 10.0::double else 0.0::double end
+  + coalesce(lead(ln(length(word) + 2.0::double)) over (partition by doc_id order by i), 0.0::double) - ln(length(word) + 2.0::double) as delta from s),
+a as (select doc_id, i, v, sum(delta * pow(0.95::double, i)) over (partition by doc_id order by i desc rows between unbounded preceding and current row) / pow(0.95::double, i) as adv from d)
+select doc_id, cast(i as integer) as pos, round(adv, 6) as advantage, round(adv + v, 6) as return from a"""
+
+
 def whitened(spark, sf_dir):
     """Advantages with mean 0 and variance 1 over all masked tokens."""
     rows = diagnostics.whiten(_advantages(spark, sf_dir))
@@ -236,6 +254,7 @@ select sample_id, k as n, round(l[1], 6) as first, round(list_sum(l), 6) as tota
 QUERIES = {
     "eos_cut": (eos_cut, EOS_CUT),
     "gae": (gae, GAE),
+    "gae_long": (gae_long, GAE_LONG),
     "whitened": (whitened, WHITENED),
     "masked_kl": (masked_kl, MASKED_KL),
     "policy_loss": (policy_loss, POLICY_LOSS),

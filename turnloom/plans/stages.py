@@ -17,6 +17,7 @@ from turnloom.operators import chat, manifest, normalize, tokens
 from turnloom.schemas import MSG_DDL, RAW_CHAT_ROW
 from turnloom.sources import jsonl
 
+REPEATS = 1 << 16
 _LOOSE_LIST = RAW_CHAT_ROW["messages"].dataType
 _TYPES = {"conversations": _LOOSE_LIST, "messages": _LOOSE_LIST, "chosen": f"array<{MSG_DDL}>", "rejected": f"array<{MSG_DDL}>"}
 
@@ -95,7 +96,12 @@ def rlaif(spark, root: str, n: int = 10000, seed: int = 42, force: bool = False)
     lines = jsonl.read_raw_lines(spark, jsonl.stage_path(root, "sft"))
     # Equal lines stay separate rows: the key is the line's text and which of its equals it is, whatever the layout.
     counted = lines.groupBy("value").agg(F.count("*").alias("n"))
-    each = counted.select("value", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
+    # A line that is repeated more often than a block of numbers holds is dealt to many tasks.
+    blocks = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / F.lit(REPEATS)).cast("bigint"))).alias("b")
+    few, many = counted.where(F.col("n") <= REPEATS), counted.where(F.col("n") > REPEATS)
+    dealt = few.select("value", "n", F.lit(0).cast("bigint").alias("b")).unionByName(many.select("value", "n", blocks).repartition("b"))
+    numbers = F.sequence(F.col("b") * REPEATS + 1, F.least("n", (F.col("b") + 1) * REPEATS))
+    each = dealt.select("value", F.explode(numbers).alias("k"))
     keyed = each.select("value", F.concat_ws(":", F.md5("value"), "k").alias("row_id"))
     picked = manifest.sample_n(keyed, "row_id", n, seed)
     picked.select("value").write.mode("overwrite" if force else "errorifexists").text(path)
@@ -145,3 +151,25 @@ def training_rows(chats: DataFrame, row_id: str, max_length: int = 768, batch_si
     opening, closing = tokens.answer_marks(vocab, merges)
     rows = rows.withColumn("labels", tokens.answer_labels(opening, closing, max_length)(F.col("ids")))
     return rows.select("epoch", "rank", "batch_id", "pos", row_id, "ids", "labels")
+
+
+def write_training_set(rows: DataFrame, path: str, force: bool = False) -> None:
+    """Stores ``training_rows``: a folder per epoch and rank, batches in order.
+
+    Rows are dealt to tasks by ranges of (epoch, rank, batch), so a file holds
+    neighbouring batches, and its statistics tell which.
+    """
+    order = ["epoch", "rank", "batch_id", "pos"]
+    ranged = rows.repartitionByRange(*order[:3]).sortWithinPartitions(*order)
+    ranged.write.mode("overwrite" if force else "errorifexists").partitionBy("epoch", "rank").parquet(path)
+
+
+def read_training_set(spark: SparkSession, path: str, rank: int, epoch: int = 0, from_batch: int = 0) -> DataFrame:
+    """What a rank reads that goes on at a batch of an epoch.
+
+    Other ranks' and earlier epochs' folders are not listed for reading; files and
+    row groups that end before the batch are skipped by their statistics.
+    """
+    stored = spark.read.parquet(path).where(F.col("rank") == rank)
+    first = stored.where((F.col("epoch") == epoch) & (F.col("batch_id") >= from_batch))
+    return first.unionByName(stored.where(F.col("epoch") > epoch))

@@ -262,6 +262,26 @@ RAGGED_PAD = """with w as (select conv_id, turn, list_transform(string_split(tex
 b as (select *, pos // 8 as batch_id from w), m as (select *, max(len(l)) over (partition by batch_id) as width from b)
 select conv_id, turn, batch_id, width, array_to_string(list_concat(l, list_transform(range(0, width - len(l)), lambda i: 0)), ',') as padded, len(l) as n_real from m"""
 
+
+def dense_batches(spark, sf_dir):
+    """Batches of 8 rows as tensors of bytes with a bit for each real token."""
+    rows = t.conversations(spark, sf_dir).select("conv_id", "turn", F.transform(F.split("text", " "), lambda w: F.length(w) + 3).alias("ids"))
+    rows = rows.withColumn("row_id", F.col("conv_id") * 100 + F.col("turn"))
+    placed = manifest.batches(manifest.shuffled_positions(rows, "row_id", 42, 0), 8)
+    out = tokens.dense_batches(placed, "ids", "batch_id", "pos")
+    sizes = [F.col(c).cast("bigint").alias(c) for c in ("n_rows", "width")]
+    return out.select("batch_id", *sizes, F.md5("ids").alias("ids_md5"), F.md5("mask").alias("mask_md5"))
+
+
+DENSE_BATCHES = """with w as (select list_transform(string_split(text, ' '), lambda x: length(x) + 3) as l,
+  row_number() over (order by md5(concat_ws('|', '42', '0', cast(conv_id * 100 + turn as varchar)))) - 1 as pos from conversations),
+b as (select *, pos // 8 as batch_id from w), m as (select *, max(len(l)) over (partition by batch_id) as width from b),
+h as (select batch_id, pos, width,
+  array_to_string(list_transform(l, lambda x: printf('%02X%02X%02X00', x % 256, x // 256 % 256, x // 65536)), '') || repeat('0', 8 * (width - len(l))) as i,
+  rpad(repeat('FF', len(l) // 8) || case when len(l) % 8 > 0 then printf('%02X', (1 << (len(l) % 8)) - 1) else '' end, cast(2 * ((width + 7) // 8) as integer), '0') as k from m)
+select batch_id, count(*) as n_rows, cast(max(width) as bigint) as width, md5(unhex(string_agg(i, '' order by pos))) as ids_md5, md5(unhex(string_agg(k, '' order by pos))) as mask_md5
+from h group by batch_id"""
+
 QUERIES = {
     "corpus_lines": (corpus_lines, CORPUS_LINES),
     "pretoken_counts": (pretoken_counts, PRETOKEN_COUNTS),
@@ -278,5 +298,6 @@ QUERIES = {
     "sft_labels": (sft_labels, SFT_LABELS),
     "dpo_arrays": (dpo_arrays, DPO_ARRAYS),
     "left_pad": (left_pad, LEFT_PAD),
+    "dense_batches": (dense_batches, DENSE_BATCHES),
     "ragged_pad": (ragged_pad, RAGGED_PAD),
 }
