@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from turnloom import constants as K
 from turnloom.functions.arrays import repeat_penalty, total_int
+from turnloom.functions.hooks import score_rows
 from turnloom.functions.jsontext import read_calls
 from turnloom.functions.text import after_first, after_last, before_first, count_of, let, lone_numbers, py_strip
 from turnloom.operators.chat import call_bodies
@@ -138,6 +139,9 @@ def agent_rewards(trajectories: DataFrame, allowed: Column | None = None, rules:
     return df.withColumn("reward", reward).drop("_answers", "_calls", "_allowed")
 
 
-def with_model_scores(df: DataFrame, score_fn=None) -> DataFrame:
-    """Hook for a user's scorer; by default the logged ``rm_score`` column stays."""
-    return score_fn(df) if score_fn else df
+def with_model_scores(df: DataFrame, scorer=None, messages: Column | None = None, response: Column | None = None) -> DataFrame:
+    """``rm_score`` of a user's scorer (see ``hooks.score_rows``); by default the logged column stays."""
+    if scorer is None:
+        return df
+    none = F.array().cast("array<struct<role: string, content: string>>")
+    return score_rows(df, scorer, none if messages is None else messages, F.col("response") if response is None else response)

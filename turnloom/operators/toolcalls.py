@@ -138,6 +138,29 @@ def call_report(checked: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def case_report(checked: DataFrame, offered: DataFrame, case: str = "sample_id") -> DataFrame:
+    """One row per case: its calls by outcome, calls of tools it was not offered, and whether all of them passed.
+
+    Calls are counted per case and name before anything is joined, so a case
+    with very many calls meets its offers as one row per name.
+    """
+    names = call_report(checked, [case, "name"])
+    mark = offered.select(case, "name").distinct().withColumn("_offered", F.lit(True))
+    held = names.join(mark, [case, "name"], "left").withColumn("_offered", F.coalesce("_offered", F.lit(False)))
+    named = F.col("name").isNotNull()
+
+    def total(n: Column, where: Column | None = None) -> Column:
+        return F.sum(n if where is None else F.when(where, n).otherwise(0))
+
+    calls = F.col("calls")
+    return held.groupBy(case).agg(
+        total(calls).alias("calls"), total(calls, ~named).alias("malformed"), total(F.col("unknown"), named).alias("unknown"),
+        total(F.col("failed"), named).alias("failed"), total(F.col("executed")).alias("executed"),
+        total(calls, named & ~F.col("_offered")).alias("not_offered"), F.count_if(F.col("executed") > 0).alias("tools_used"),
+        F.bool_and((F.col("executed") == calls) & F.col("_offered")).alias("passed"),
+    )
+
+
 def merge_call_deltas(deltas: DataFrame, run_deltas: int = 1024) -> DataFrame:
     """Streamed pieces of tool calls, joined in order: one row per (response, index).
 

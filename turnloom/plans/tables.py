@@ -51,7 +51,7 @@ RESPONSES_SQL = """responses as (
   from conversations where role = 'assistant')"""
 
 
-def _text_parts() -> dict[str, Column]:
+def text_parts() -> dict[str, Column]:
     """The whole text in three pieces; the middle one is empty for even ids."""
     text, even = F.col("text"), F.pmod("doc_id", F.lit(2)) == 0
     rest = F.when(even, F.lit(81)).otherwise(F.lit(121))
@@ -83,7 +83,7 @@ def mixed_rows(spark, sf_dir) -> DataFrame:
     plain = F.array(loose(role=F.lit("user"), content=F.concat(head, extra)), loose(role=F.lit("assistant"), content=tail))
     return (
         spread(documents(spark, sf_dir))
-        .select("doc_id", "source", "lang", *[c.alias(n) for n, c in _text_parts().items()])
+        .select("doc_id", "source", "lang", *[c.alias(n) for n, c in text_parts().items()])
         .select(
             "doc_id", "source", "lang",
             F.when(kind == 1, tagged).when(kind == 3, plain).alias("conversations"),
@@ -118,7 +118,7 @@ def dialog_rows(spark, sf_dir) -> DataFrame:
     listed = F.concat(F.lit('[{"name": "'), F.col("source"), F.lit('"}]'))
     return (
         spread(documents(spark, sf_dir))
-        .select("doc_id", "source", "lang", *[c.alias(n) for n, c in _text_parts().items()])
+        .select("doc_id", "source", "lang", *[c.alias(n) for n, c in text_parts().items()])
         .select(
             "doc_id",
             F.when(kind == 0, with_system).when(kind == 1, tagged).alias("conversations"),

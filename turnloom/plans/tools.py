@@ -23,7 +23,7 @@ def _calls(spark, sf_dir):
     return toolcalls.explode_calls(t.call_texts(spark, sf_dir), F.col("response")).drop("response")
 
 
-def _checked(spark, sf_dir):
+def checked_calls(spark, sf_dir):
     return toolcalls.check_calls(_calls(spark, sf_dir), toolcalls.registry(spark))
 
 
@@ -55,13 +55,13 @@ select event_id, 'call_' || n as id, name, case when is_text then args else repl
 
 def tool_validity(spark, sf_dir):
     """Per call: name in the registry, and all required arguments given."""
-    return _checked(spark, sf_dir).select("event_id", "pos", "known", "valid")
+    return checked_calls(spark, sf_dir).select("event_id", "pos", "known", "valid")
 
 
 TOOL_VALIDITY = f"with {t.CALLS_SQL} select event_id, pos, is_object and coalesce(known, false) as known, is_object and coalesce(known, false) and coalesce(valid, false) as valid from checked"
 
 
-def _allowed(spark, sf_dir):
+def allowed_tools(spark, sf_dir):
     """The tools each user was offered: those behind their larger events."""
     name = (
         F.when(F.col("event_type") == "view", "unit_converter").when(F.col("event_type") == "purchase", "get_current_weather")
@@ -76,7 +76,7 @@ ALLOWED_SQL = """allowed as (select distinct user_id as sample_id, case event_ty
 
 def offered_validity(spark, sf_dir):
     """A call counts only if its tool was offered to that sample."""
-    checked = toolcalls.check_calls(_calls(spark, sf_dir), toolcalls.registry(spark), _allowed(spark, sf_dir))
+    checked = toolcalls.check_calls(_calls(spark, sf_dir), toolcalls.registry(spark), allowed_tools(spark, sf_dir))
     return checked.groupBy("name").agg(F.count("*").alias("calls"), F.count_if("valid").alias("valid"))
 
 
@@ -87,14 +87,14 @@ from (select *, case when is_object then name end as nm from checked) c left joi
 
 def offered_calls(spark, sf_dir):
     """Calls whose name is among the sample's own tools (set membership)."""
-    return toolcalls.allowed_calls(_calls(spark, sf_dir), _allowed(spark, sf_dir)).select("event_id", "pos", "sample_id", "name")
+    return toolcalls.allowed_calls(_calls(spark, sf_dir), allowed_tools(spark, sf_dir)).select("event_id", "pos", "sample_id", "name")
 
 
 OFFERED_CALLS = f"with {t.CALLS_SQL}, {ALLOWED_SQL} select event_id, pos, c.sample_id, c.name from checked c join allowed a on a.sample_id = c.sample_id and a.name = c.name where c.is_object"
 
 
 def tool_report(spark, sf_dir):
-    return toolcalls.call_report(_checked(spark, sf_dir).where(F.col("name").isNotNull()), ["name"])
+    return toolcalls.call_report(checked_calls(spark, sf_dir).where(F.col("name").isNotNull()), ["name"])
 
 
 TOOL_REPORT = f"""with {t.CALLS_SQL} select name, count(*) as calls, count(*) filter (where not known) as unknown, count(*) filter (where known and not valid) as failed,
@@ -111,7 +111,7 @@ UNKNOWN_TOOLS = f"with {t.CALLS_SQL} select event_id, pos, name from checked whe
 
 def select_tools(spark, sf_dir):
     """Definition of the tool behind each known call."""
-    known = _checked(spark, sf_dir).where("known").select("event_id", "pos", "name")
+    known = checked_calls(spark, sf_dir).where("known").select("event_id", "pos", "name")
     return toolcalls.select_tools(known, toolcalls.registry(spark)).select("event_id", "pos", "name", F.get_json_object("tool", "$.function.parameters.required").alias("required"))
 
 
@@ -123,7 +123,7 @@ def case_calls(spark, sf_dir):
     """Per sample: calls and how many use a tool it was offered.  Calls are counted per name before the join."""
     named = _calls(spark, sf_dir).where(F.col("name").isNotNull()).groupBy("sample_id", "name").agg(F.count("*").alias("n"))
     offered = toolcalls.looked_up(
-        named, _allowed(spark, sf_dir).distinct().withColumn("offered", F.lit(True)), ["sample_id", "name"], {"offered": F.lit(False)}
+        named, allowed_tools(spark, sf_dir).distinct().withColumn("offered", F.lit(True)), ["sample_id", "name"], {"offered": F.lit(False)}
     )
     return offered.groupBy("sample_id").agg(F.sum("n").alias("calls"), F.sum(F.when(F.col("offered"), F.col("n")).otherwise(0)).alias("in_case"))
 

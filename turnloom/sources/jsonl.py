@@ -127,6 +127,20 @@ def source_catalogue(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(K.SOURCES, "source string, stage string, licence string")
 
 
+def catalogue_report(spark: SparkSession, counts: DataFrame) -> DataFrame:
+    """Sources with the output of each stage they feed and the stage's rows; ``counts`` is (stage, n_rows).
+
+    A stage of the catalogue names all outputs that are it or begin with it and
+    an underscore, where no output has just its name.
+    """
+    outputs = spark.createDataFrame([(name, out) for name, _needs, out in K.STAGES], "name string, output string")
+    exact = {name for name, _needs, _out in K.STAGES}
+    fits = F.col("name") == F.col("stage")
+    wider = ~F.col("stage").isin(*exact) & F.col("name").startswith(F.concat("stage", F.lit("_")))
+    fed = source_catalogue(spark).join(outputs, fits | wider).join(counts, "stage", "left")
+    return fed.select("source", "stage", "licence", "output", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
 def peek(df: DataFrame, chars: int = 300) -> tuple[str, str | None]:
     """Schema and the start of one row as JSON.  Starts a one-row job."""
     row = df.select(F.substring(F.to_json(F.struct("*")), 1, chars).alias("sample")).first()
