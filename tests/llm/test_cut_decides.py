@@ -25,3 +25,14 @@ def test_text_outside_the_article_is_kept():
 
 def test_hidden_text_stays_out():
     assert html.main_text(PAGE.replace('<div class="ad">', "<div hidden>")) == html.main_text(PAGE)
+
+
+def test_sample_counts_a_repeated_page_once(spark):
+    """However often a page is repeated and wherever its copies lie, the classifier is the same."""
+    pages = [(i, PAGE.replace("harbour", "pier").replace("</article>", f"<p>{LONG} {'word ' * i}</p></article>")) for i in range(12)]
+    frame = spark.createDataFrame(pages, "page_id long, html string")
+    weights = html.fit(frame)
+    copies = spark.createDataFrame(pages + pages[:1] * 300 + [(None, None)], "page_id long, html string").repartition(4)
+    assert html.fit(copies) == weights != html.DEFAULT
+    assert html.fit(frame, sample=3) == html.fit(copies, sample=3) != weights
+    assert html.fit(frame.limit(0)) == html.DEFAULT

@@ -10,8 +10,9 @@ each other to the same label, whatever their markup says.  The minimum cut is th
 cheapest labelling.  Only text that is not shown (scripts, styles, ``hidden``) is
 boilerplate for certain.
 
-The classifier is trained here, on at most ``SAMPLE_PAGES`` pages (those with
-the smallest hashes), with the labels that telling markup gives.  Everything
+The classifier is trained here, on at most ``SAMPLE_PAGES`` distinct pages (those
+with the smallest hashes), with the labels that telling markup gives.  Hashes
+alone are sorted to find them; a page that is repeated counts once.  Everything
 else is per page and covers whole pages.
 
 * A null or empty html, and a page without content, give an empty text.
@@ -22,6 +23,7 @@ else is per page and covers whole pages.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -231,14 +233,25 @@ def fit(pages: DataFrame, sample: int = SAMPLE_PAGES, rounds: int = 30) -> tuple
     """Weights of the classifier, from blocks whose markup tells what they are."""
 
     def labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()  # of at most ``sample`` hashes
         for batch in batches:
-            rows = [(*features(b), float(b.state > 0)) for html in batch["html"] for b in blocks_of(html)[1] if b.state]
-            yield pd.DataFrame(rows, columns=names)
+            rows: list[tuple] = []
+            for page, html in zip(batch["page"], batch["html"]):
+                if page in seen:
+                    continue
+                seen.add(page)
+                found = Counter((*features(b), float(b.state > 0)) for b in blocks_of(html)[1] if b.state)
+                rows += [(page, *row, n) for row, n in found.items()]
+            yield pd.DataFrame(rows, columns=["page", *names, "n"])
 
     names = [f"f{i}" for i in range(len(DEFAULT))] + ["y"]
-    some = pages.select("html").where("html IS NOT NULL").orderBy(F.xxhash64("html"), F.length("html")).limit(sample)
-    sums = some.mapInPandas(labelled, ", ".join(f"{n} double" for n in names))
-    data = sums.groupBy(*names).count().orderBy(*names).toPandas().to_numpy(float)
+    hashed = pages.where("html IS NOT NULL").select(F.xxhash64("html").alias("page"), "html")
+    last = hashed.select("page").distinct().orderBy("page").limit(sample).agg(F.max("page")).first()[0]
+    if last is None:
+        return DEFAULT
+    rows = hashed.where(F.col("page") <= last).mapInPandas(labelled, "page long, " + ", ".join(f"{n} double" for n in names) + ", n long")
+    once = rows.groupBy("page", *names).agg(F.max("n").alias("n"))  # copies of a page are in several tasks
+    data = once.groupBy(*names).agg(F.sum("n").alias("n")).orderBy(*names).toPandas().to_numpy(float)
     x, y, n = data[:, :-2], data[:, -2], data[:, -1]
     if not len(data) or not 0 < y.sum() < len(y):
         return DEFAULT
