@@ -34,7 +34,8 @@ def publish(fs: pafs.FileSystem, folder: str, name: str, attempt: int, body: Ite
     """Writes a file under an attempt's name and then gives it its own: bytes written.
 
     A task that runs again, or twice at once, writes the same bytes, so whichever
-    attempt is last does no harm, and readers never see half a file.
+    attempt is last does no harm, and readers never see half a file.  Where a file
+    system does not move onto a name that is taken, the file that is there stays.
     """
     fs.create_dir(folder, recursive=True)
     draft = f"{folder}/_{name}.{attempt}"
@@ -43,5 +44,11 @@ def publish(fs: pafs.FileSystem, folder: str, name: str, attempt: int, body: Ite
         for block in body:
             out.write(block)
             size += len(block)
-    fs.move(draft, f"{folder}/{name}")
+    target = f"{folder}/{name}"
+    try:
+        fs.move(draft, target)
+    except OSError:
+        if fs.get_file_info(target).type != pafs.FileType.File:
+            raise
+        fs.delete_file(draft)
     return size

@@ -9,7 +9,9 @@ gives one nested row per capture.
 
 Payloads are equal when their SHA-1 is; the digests are grouped, not the
 payloads.  The join of pages with the first of each digest leaves hot digests to
-adaptive skew splitting; payloads of revisits are not written.
+adaptive skew splitting; payloads of revisits are not written.  A task writes its
+rows in order of digest, page_id and url, so an attempt that repeats it writes
+the same bytes.
 
 * A null html is an empty payload, a null url an empty target.
 * Rows that share the smallest page_id of a payload are all responses.
@@ -122,7 +124,9 @@ def write(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_BYTES, fil
         if held:
             yield flush()
 
-    files = joined.select("page_id", "url", "html", "first", F.col("_first").isNotNull().alias("shared")).mapInPandas(written, "file string, n_records long")
+    # A task that runs again must write the same files, in whatever order its rows arrive.
+    placed = joined.sortWithinPartitions("_digest", "page_id", "url", F.octet_length("html"))
+    files = placed.select("page_id", "url", "html", "first", F.col("_first").isNotNull().alias("shared")).mapInPandas(written, "file string, n_records long")
     return cut_lineage(files, "warc-files")[0]
 
 
