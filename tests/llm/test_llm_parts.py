@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm import plain
-from turnloom.llm import covertree, dac, html, jaccard, mixing, packing, quality, scoring, tokenizing, urls, warc, words
+from turnloom.llm import covertree, dac, html, jaccard, mixing, packing, quality, tokenizing, urls, warc, words
 from turnloom.llm.graph import components
 from turnloom.llm.mincut import min_cut
 
@@ -250,48 +250,6 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.round_trip(pages.limit(0)).collect() == []
 
 
-def test_scores_are_the_model(spark, odd, none):
-    docs = [(1, "abab"), (2, "abba ab"), (3, "zz"), (4, None), (5, ""), (5, "Ab")]
-    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (2, 0, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
-    got = scoring.score(spark.createDataFrame(docs, "doc_id long, text string"), labels).collect()
-
-    def chances(texts, scale=1.0):
-        tri, two, one = Counter(), Counter(), Counter()
-        for t in texts:
-            s = "\0\0" + t.lower() + "\0"
-            tri.update(s[i : i + 3] for i in range(len(s) - 2))
-        for g, n in tri.items():
-            two[g[1:]] += n * scale
-            one[g[2]] += n * scale
-        k, first, context = scoring.STRENGTH, Counter(), Counter()
-        for g, n in two.items():
-            first[g[0]] += n
-        for g, n in tri.items():
-            context[g[:2]] += n * scale
-
-        def chance(g):
-            p1 = (one[g[2]] + 1) / (sum(one.values()) + 256)
-            p2 = (two[g[1:]] + k * p1) / (first[g[1]] + k)
-            return np.log((tri[g] * scale + k * p2) / (context[g[:2]] + k))
-
-        return chance
-
-    texts = [t for _, t in docs if t]
-    target, back = chances(["abab"]), chances(texts, 5 / sum(len(t) + 1 for t in texts))
-    for (d, t), r in zip(sorted(docs, key=str), sorted(got, key=lambda r: (r.doc_id, r.n_tokens))):
-        if not t:
-            assert r.score is None
-    for r in got:
-        if r.n_tokens:
-            t = next(t for d, t in docs if d == r.doc_id and t and len(t) + 1 == r.n_tokens)
-            s = "\0\0" + t.lower() + "\0"
-            grams = [s[i : i + 3] for i in range(len(s) - 2)]
-            assert r.ce_target == pytest.approx(-sum(map(target, grams)) / len(grams))
-            assert r.score == pytest.approx(r.ce_target + sum(map(back, grams)) / len(grams))
-    assert len(got) == len(docs) and scoring.score(odd, labels.limit(0)).count() == len(ODD_DOCS)
-    assert scoring.score(none, labels).collect() == []
-
-
 def test_quality_counts(spark, odd):
     got = quality.report(odd).collect()
     for r in got:

@@ -87,20 +87,6 @@ def test_near_vectors(spark):
     assert run(spark, "op8_cover_tree") == plain.near(rows("embeddings", "vec_id, embedding, label"))
 
 
-def test_scores_rank_held_out_labels(spark):
-    """Trained without a fifth of the labels, scores tell good from bad in that fifth."""
-    from turnloom.llm import scoring
-    from turnloom.llm.common import table
-
-    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
-    held = "pmod(doc_id, 5) = 0"
-    got = scoring.score(docs, labels.where(f"NOT {held}")).join(labels.where(held), "doc_id").where("score IS NOT NULL")
-    pairs = [(r.score, r.quality) for r in got.select("score", "quality").collect()]
-    good, bad = [s for s, q in pairs if q == 1], [s for s, q in pairs if q == 0]
-    auc = sum((g < b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
-    assert auc > 0.8
-
-
 def test_pipeline_stages(spark):
     """Each stage against brute force on what its predecessor kept."""
     names = ["doc_id", "text", "lang", "source", "n_chars"]
