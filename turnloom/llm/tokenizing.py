@@ -20,7 +20,7 @@ from turnloom.llm.words import Words, gather, text_runs, words_of
 
 TOKENIZER = "word_bpe_49k.json"
 KNOWN_WORDS = 2_000_000
-BATCH_CHARS = 1_500_000
+BATCH_CHARS = 250_000
 # Letters that normalising leaves alone but for their case, and the marks that often follow a word.
 _CORE = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _ENDS = (b".", b",")
