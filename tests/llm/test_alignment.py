@@ -101,6 +101,15 @@ def test_odd_rows(spark, monkeypatch, size, unit, wide):
     assert got(alignment.align(docs)) == plain(ODD)
 
 
+def test_one_space_at_the_end(spark, monkeypatch):
+    """Short texts and texts of several ranges that end with a single space."""
+    monkeypatch.setattr(alignment, "RANGE", 1_000)
+    docs = [(1, "a "), (2, "a b "), (3, "a\u00a0 "), (4, "a\n "), (5, "x" * 5000 + " "), (6, "one two " * 600), (7, " "), (8, "a \u2581 ")]
+    want = plain(docs)
+    assert sum(r[1] > 0 for r in want) == 7
+    assert got(alignment.align(spark.createDataFrame(docs, "doc_id long, text string").repartition(2))) == want
+
+
 def test_nothing(spark):
     assert alignment.align(spark.createDataFrame([], "doc_id int, text string")).count() == 0
 

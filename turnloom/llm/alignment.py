@@ -17,7 +17,8 @@ in a tree.
    runs that hold the pair.
 
 Both tokenizers are asked for units: a text is cut before each space that
-follows no white space.  No pattern of A and no piece of B goes over such a place
+follows no white space, unless the text ends with it: B, which adds a space, has
+no text for a unit that is one space.  No pattern of A and no piece of B goes over such a place
 (the pieces are looked through; if one does, a text is one unit), so tokens of
 units are those of the text, and each unit is encoded about once per worker.  A
 range takes the units it touches and keeps the tokens that end in it.  A unit of
@@ -66,7 +67,7 @@ RUN_PAIRS = 1_500_000
 WIDE_GROUP = 65_536
 _ID_BITS = 20
 _ID_MASK = (1 << _ID_BITS) - 1
-_unit_starts = re.compile(r"(?<=\S)(?= )")
+_unit_starts = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
 
 
 # --- tokens of both tokenizers ---
