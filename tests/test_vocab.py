@@ -174,3 +174,27 @@ def test_merging_like_the_slow_way():
             assert codec._word_ids(word) == [codec.ids[p] for p in parts]
     text = "<|im_start|>aab c<|im_end|> bca"
     assert [codec.encode(text, k) for k in range(1, 9)] == [codec.encode(text)[:k] for k in range(1, 9)]
+
+
+def test_pairs_and_segments_of_batches(spark):
+    """Pairs are summed batch by batch, not shuffled from a row for each place; words are cut where a pair is not tracked."""
+    from collections import Counter
+
+    from turnloom.operators.vocab import _first_pairs, _segments
+
+    rows = [("abab a", 3), ("aaa", 1 << 60), ("ab", 5), ("bc", 2), ("abab a", 1), ("c퟿ab", 7)]
+    words = spark.createDataFrame(rows, "w string, n bigint").coalesce(1)
+    pairs, runs, tracked = Counter(), Counter(), {"ab", "ba", "aa"}
+    for w, n in rows:
+        for i in range(len(w) - 1):
+            pairs[w[i : i + 2]] += n
+        start = 0
+        for i in range(1, len(w) + 1):
+            if i == len(w) or w[i - 1 : i + 1] not in tracked:
+                if i - start > 1:
+                    runs[w[start:i]] += n
+                start = i
+    assert {r["pair"]: r["n"] for r in _first_pairs(words).collect()} == pairs
+    assert {r["w"]: r["n"] for r in _segments(words, tracked).collect()} == runs
+    assert _first_pairs(words.limit(0)).collect() == [] == _segments(words.limit(0), tracked).collect()
+    assert "Generate" not in _first_pairs(words)._jdf.queryExecution().toString()

@@ -7,7 +7,9 @@ import json
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,25 +86,46 @@ def _windows(word: Column) -> Column:
     return F.regexp_extract_all(word, F.lit("(?s)(?=(..))"), F.lit(1))
 
 
+def _units(words: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of some words with a zero between words, each code's word, and which codes have a neighbour behind them in their word."""
+    codes = np.frombuffer("\0".join(words).encode("utf-16-le"), "<u2")
+    return codes, np.cumsum(codes == 0), (codes[:-1] != 0) & (codes[1:] != 0)
+
+
+def _pair_keys(codes: np.ndarray) -> np.ndarray:
+    return codes[:-1].astype(np.uint32) << 16 | codes[1:]
+
+
 def _first_pairs(words: DataFrame) -> DataFrame:
-    """(pair, n): adjacent tokens over all words."""
-    pairs = words.select(F.explode(_windows(F.col("w"))).alias("pair"), "n")
-    return pairs.groupBy("pair").agg(F.sum("n").cast("bigint").alias("n"))
+    """(pair, n): adjacent tokens over all words, summed batch by batch before they are shuffled."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            codes, word, inside = _units(frame["w"])
+            keys, which = np.unique(_pair_keys(codes)[inside], return_inverse=True)
+            n = np.zeros(len(keys), np.int64)
+            np.add.at(n, which, frame["n"].to_numpy(np.int64)[word[:-1][inside]])
+            both = np.stack([keys >> 16, keys & 0xFFFF], 1).astype("<u2").tobytes().decode("utf-16-le")
+            yield pd.DataFrame({"pair": [both[i : i + 2] for i in range(0, len(both), 2)], "n": n}).astype({"pair": "str"})
+
+    return words.select("w", "n").mapInPandas(count, "pair string, n bigint").groupBy("pair").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def _segments(words: DataFrame, tracked: set[str]) -> DataFrame:
     """(w, n): the longest runs of tokens whose adjacent pairs are all tracked, each distinct one once."""
+    known = np.sort([ord(p[0]) << 16 | ord(p[1]) for p in tracked]).astype(np.uint32)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            codes, word, inside = _units(frame["w"])
+            at = np.flatnonzero(inside & ~np.isin(_pair_keys(codes), known)) + 1
+            codes, word = np.insert(codes, at, 0), np.insert(word, at, word[at])
+            ends = np.flatnonzero(codes == 0)
+            long = np.diff(ends, prepend=-1, append=len(codes)) > 2
+            n = frame["n"].to_numpy(np.int64)[np.append(word[:1], word[ends])]
             held: dict[str, int] = {}
-            for word, n in zip(frame["w"], frame["n"]):
-                start = 0
-                for i in range(1, len(word) + 1):
-                    if i == len(word) or word[i - 1 : i + 1] not in tracked:
-                        if i - start > 1:
-                            held[word[start:i]] = held.get(word[start:i], 0) + n
-                        start = i
+            for part, k in zip(compress(codes.tobytes().decode("utf-16-le").split("\0"), long), n[long].tolist()):
+                held[part] = held.get(part, 0) + k
             yield pd.DataFrame({"w": list(held), "n": list(held.values())}).astype({"w": "str", "n": "int64"})
 
     return words.select("w", "n").mapInPandas(cut, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
@@ -220,7 +243,7 @@ def learn_vocab(words: DataFrame, vocab_size: int = 8000, ranked: int = 4096, mo
             table = (found.limit(most_segments + 1) if width > 1 else found).toPandas()
             if len(table) <= most_segments or width == 1:
                 break
-            width = width // 2
+            width = width // (4 if width > 64 else 2)
         rest = (-best[width]["n"], best[width]["pair"]) if len(best) > width else (0, "")
         replay, done = _Replay(table["w"].tolist(), table["n"].tolist()), []
         rising = False
