@@ -83,6 +83,48 @@ def test_late_repeats_and_waiting_pieces(spark, tmp_path):
     assert run([(0, "a", False), (3, "d", True)]) == ended
 
 
+class Kept(dict):
+    """State of one response in plain Python; counts what is written."""
+
+    written = 0
+
+    def updateValue(self, key, value):
+        self.written += 1
+        self[key] = value
+
+    def iterator(self):
+        return iter(self.items())
+
+    def removeKey(self, key):
+        del self[key]
+
+    def update(self, value):
+        self["value"] = value
+
+    def get(self):
+        return super().get("value")
+
+    def exists(self):
+        return "value" in self
+
+
+def test_waiting_pieces_are_written_as_one():
+    """Pieces of a batch that come early are one write a part, not one each, and are gone once said."""
+    import pandas as pd
+
+    rows = [(k, f"w{k} ", k == 2999, False) for k in range(3000)]
+    own = assemble.Responses(None, None)
+    own.head, own.waiting, own.ended = Kept(), Kept(), Kept()
+    said = []
+    for batch in (rows[5::6], rows[3::6] + rows[5::6], rows[1::6], rows[0:1000:6], rows[::2]):
+        frame = pd.DataFrame(batch, columns=["seq", "chunk", "done", "open_thinking"]).sample(frac=1, random_state=1)
+        for out in own.handleInputRows((1,), iter([frame[:100], frame[100:]]), None):
+            said += out.itertuples(index=False, name=None)
+    assert "".join(t for _, _, kind, t in said if kind == "content") == "".join(r[1] for r in rows)
+    assert [kind for _, _, kind, _ in said].count("finish") == 1 and own.ended.exists() and not own.waiting
+    assert own.waiting.written <= 4
+
+
 def test_stream_in_small_batches_out_of_order(spark, tmp_path):
     rows = pieces(1)
     random.Random(9).shuffle(rows)

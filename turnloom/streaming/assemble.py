@@ -28,7 +28,7 @@ DELTA = T.StructType(
         T.StructField("kind", T.StringType()), T.StructField("delta", T.StringType()),
     ]
 )
-HEAD = "next int, thinking boolean, tail string, skip boolean, watch string, n_waiting int"
+HEAD = "next int, thinking boolean, tail string, skip boolean, watch string, n_entries int"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -120,7 +120,7 @@ class CallWatch:
 
 
 class Assembler:
-    """The undecided rest of one response: HEAD without the number of pieces that wait."""
+    """The undecided rest of one response: HEAD without the number of entries that wait."""
 
     def __init__(self, saved: tuple | None = None, thinking: bool = False):
         self.next, self.thinking, self.tail, self.skip, watch = saved or (0, thinking, "", False, None)
@@ -181,8 +181,9 @@ class Assembler:
 class Responses(StatefulProcessor):
     """Open responses as state: a head, pieces that wait as entries of a map, and a mark of those that ended.
 
-    A piece that waits is written once and taken out once.  The mark keeps late
-    repeats of a response from opening it again.
+    Pieces that wait are written once, packed into entries of up to a part, and an
+    entry is taken out once all of it was said.  The mark keeps late repeats of a
+    response from opening it again.
     """
 
     def __init__(self, idle_ms: int | None, forget_ms: int | None):
@@ -191,7 +192,7 @@ class Responses(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.head = handle.getValueState("head", HEAD)
-        self.waiting = handle.getMapState("waiting", "seq int", "text string, done boolean")
+        self.waiting = handle.getMapState("waiting", "entry int", "last int, pieces string")
         self.ended = handle.getValueState("ended", "over boolean", self.forget_ms)
 
     def _frame(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
@@ -208,16 +209,29 @@ class Responses(StatefulProcessor):
         if now is not None:
             self.handle.registerTimer(now + self.idle_ms)
 
+    def _keep(self, early: dict[int, tuple[str, bool]], entry: int) -> int:
+        """Writes pieces that wait as entries from this number on; returns how many."""
+        seqs = sorted(early)
+        packs = [seqs[i : i + PART_CHUNKS] for i in range(0, len(seqs), PART_CHUNKS)]
+        for i, pack in enumerate(packs):
+            self.waiting.updateValue((entry + i,), (pack[-1], json.dumps([(seq, *early[seq]) for seq in pack], ensure_ascii=False)))
+        return len(packs)
+
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: TimerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("seq")
-        if self.ended.exists():
+        frames = list(rows)
+        saved = self.head.get()
+        if saved is None and self.ended.exists():
             return
-        saved = self.head.get() if self.head.exists() else None
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames)
+        if not batch["seq"].is_monotonic_increasing:
+            batch = batch.sort_values("seq")
         response = Assembler(tuple(saved)[:5] if saved else None, thinking=bool(batch["open_thinking"].any()))
-        before: dict[int, tuple[str, bool]] = {}
-        if saved and saved[5]:
-            before = {k[0]: tuple(v) for k, v in self.waiting.iterator()}
-            response.early = dict(before)
+        entries = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if saved and saved[5] else {}
+        for entry in sorted(entries):
+            for seq, text, done in json.loads(entries[entry][1]):
+                if seq >= response.next:
+                    response.early[seq] = (text, done)
+        before = set(response.early)
         out = list(response.add(zip(batch["seq"].tolist(), batch["chunk"], batch["done"])))
         if out:
             yield self._frame(key, out)
@@ -227,16 +241,17 @@ class Responses(StatefulProcessor):
             else:
                 self.ended.update((True,))
         else:
-            for seq in before.keys() - response.early.keys():
-                self.waiting.removeKey((seq,))
-            for seq in response.early.keys() - before.keys():
-                self.waiting.updateValue((seq,), response.early[seq])
-            self.head.update((*response.save(), len(response.early)))
+            said = [entry for entry, (last, _) in entries.items() if last < response.next]
+            for entry in said:
+                self.waiting.removeKey((entry,))
+            new = {int(seq): piece for seq, piece in response.early.items() if seq not in before}
+            added = self._keep(new, max(entries, default=-1) + 1)
+            self.head.update((*response.save(), len(entries) - len(said) + added))
         if self.idle_ms is not None:
             self._wait(None if response.over else timers.getCurrentProcessingTimeInMs())
 
     def handleExpiredTimer(self, key: tuple, timers: TimerValues, expired: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        saved = self.head.get() if self.head.exists() else None
+        saved = self.head.get()
         if saved:
             response = Assembler(tuple(saved)[:5])
             self._close()
