@@ -61,3 +61,16 @@ def test_query_of_compression(spark, learned, monkeypatch):
             by.setdefault(r["lang"], []).append(len(r["text"]) / len(codec.encode(r["text"])))
     got = {r["lang"]: (r["n_rows"], r["chars_per_token"]) for r in vocabulary.bpe_compression(spark, SF).collect()}
     assert got == {lang: (len(x), pytest.approx(sum(x) / len(x), abs=2e-6)) for lang, x in by.items()}
+
+
+def test_limit_ships_what_it_needs(spark):
+    """The first ids of long texts, from a prefix of them that is cut before Python."""
+    from pyspark.sql import functions as F
+
+    texts = [*ODD, "<|im_start|>" * 50, "<|buffer9|>" * 9 + "안" * 500, " \n" * 300 + "x", "<think>" * 4 + "</thi" * 90]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    codec = bpe.Codec(bpe.base_vocab(), [])
+    for limit in (1, 5, 40):
+        out = df.select("i", bpe.encoder(limit=limit)(F.col("t")).alias("ids"))
+        assert {r["i"]: r["ids"] for r in out.collect()} == {i: None if t is None else codec.encode(t, limit) for i, t in enumerate(texts)}
+        assert "encode_ids(left(" in out._jdf.queryExecution().analyzed().toString()

@@ -118,7 +118,8 @@ class Codec:
 def encoder(vocab: list[str] | None = None, merges: list[tuple[str, str]] | None = None, limit: int | None = None):
     """A Column function text -> ids, the first ``limit`` of them where one is given.
 
-    Vocabulary size bounds what is shipped.
+    Vocabulary size bounds what is shipped.  Without merges the first ids depend
+    on so many of the longest tokens at most, and only this much text is shipped.
     """
     tokens, pairs = vocab or base_vocab(), merges or []
     holder: dict[str, Codec] = {}
@@ -128,7 +129,9 @@ def encoder(vocab: list[str] | None = None, merges: list[tuple[str, str]] | None
         codec = holder.setdefault("codec", Codec(tokens, pairs))
         return text.map(lambda t: np.asarray(codec.encode(t, limit), dtype="int32"), na_action="ignore")
 
-    return encode_ids
+    if limit is None or pairs:
+        return encode_ids
+    return lambda text: encode_ids(F.left(text, F.lit(limit * max(map(len, tokens)))))
 
 
 def decoder(vocab: list[str] | None = None, merges: list[tuple[str, str]] | None = None):
