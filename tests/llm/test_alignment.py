@@ -110,6 +110,41 @@ def test_one_space_at_the_end(spark, monkeypatch):
     assert got(alignment.align(spark.createDataFrame(docs, "doc_id long, text string").repartition(2))) == want
 
 
+class Counted:
+    """A tokenizer that counts its calls, without the form that also finds the places of tokens."""
+
+    def __init__(self, a):
+        self.a, self.calls = a, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.calls += 1
+        return self.a.encode_batch_fast(texts, **options)
+
+
+def test_units_are_learned_in_bulk():
+    """New units take a call for many, without the places of tokens; their tokens are those of each alone, also where a unit is not spelled."""
+    kit = alignment.Tokenizers(alignment.BYTE_TOKENIZER, alignment.PIECE_TOKENIZER)
+    kit.a = counted = Counted(kit.a)
+    words = [f" word{i}" for i in range(1_200)] + [" na\u00efve", " \u1100\u1161", " a\u2581b", " x\n", " "]
+    numbers = kit.numbers(words)
+    assert counted.calls < 600 and sorted(numbers.tolist()) == list(range(len(words)))
+    assert kit.numbers(words[::-1]).tolist() == numbers[::-1].tolist()
+    for side, library in enumerate(libraries()):
+        for u, n in zip(words, numbers):
+            alone = library.encode(u[1:]) if side else library.encode(u, add_special_tokens=False).ids
+            assert kit.ids(np.array([n]), side).tolist() == alone
+    for u, n in zip(words, numbers):
+        left, right = (b"".join(spelled(k, i) for i in kit.ids(np.array([n]), k).tolist()) for k in (0, 1))
+        assert kit.good[n] == (left == right == u.encode())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(" a\n\u00a0\u2581\u2003\x1f.b"), max_size=20))
+def test_units_are_cut_at_the_same_places(text):
+    kit = alignment.tokenizers()
+    assert kit.units(text) == alignment._unit_starts.split(" " + text)
+
+
 def test_nothing(spark):
     assert alignment.align(spark.createDataFrame([], "doc_id int, text string")).count() == 0
 

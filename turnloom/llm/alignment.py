@@ -68,6 +68,7 @@ WIDE_GROUP = 65_536
 _ID_BITS = 20
 _ID_MASK = (1 << _ID_BITS) - 1
 _unit_starts = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
+_space_after_space = re.compile(r"\s ")
 
 
 # --- tokens of both tokenizers ---
@@ -118,28 +119,53 @@ class Tokenizers:
 
     def units(self, text: str) -> list[str]:
         """The units of a text with its leading space."""
-        return _unit_starts.split(" " + text) if self.splits else [" " + text]
+        text = " " + text
+        if not self.splits:
+            return [text]
+        if text[-1] == " " or _space_after_space.search(text):
+            return _unit_starts.split(text)
+        return [" " + word for word in text[1:].split(" ")]  # every space begins a unit
 
     def _tokens(self, text: str) -> tuple[list[int], list[int], bool]:
-        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+        # A batch of one: the fast form leaves out the places of tokens and is there for batches only.
+        a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
         raw = text.encode()
         return a, b, b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
 
-    def _learned(self, units: list[str], run: int = 512) -> Iterator[tuple[list[int], list[int], bool]]:
-        """Tokens of each unit; many at once where their concatenation is a text with these units."""
+    def _learn(self, units: list[str], run: int = 512) -> None:
+        """Encodes new units; many at once where their concatenation is a text with these units."""
         plain = [u for u in units if not u[-1].isspace() and "▁" not in u]
-        found = {}
+        rest = [u for u in units if u[-1].isspace() or "▁" in u]
+        order, good = [], []
+        pool, length = ([], []), ([], [])
+
+        def add(own: list[str], ok: bool, ids: tuple[list[int], list[int]], sizes: tuple) -> None:
+            order.extend(own)
+            good.append(np.full(len(own), ok))
+            for k in (0, 1):
+                pool[k].append(np.array(ids[k], np.int32))
+                length[k].append(sizes[k])
+
         for i in range(0, len(plain), run):
             own = plain[i : i + run]
-            a, b, good = self._tokens("".join(own))
-            ends = np.cumsum([len(u.encode()) for u in own])
-            a_cut, b_cut = (np.searchsorted(np.cumsum(size[ids]), ends) + 1 for ids, size in ((a, self.a_size), (b, self.b_size))) if good else (None, None)
-            if not good:
+            a, b, ok = self._tokens("".join(own))
+            if not ok:
+                rest += own
                 continue
-            for u, a0, a1, b0, b1 in zip(own, [0, *a_cut[:-1].tolist()], a_cut.tolist(), [0, *b_cut[:-1].tolist()], b_cut.tolist()):
-                found[u] = a[a0:a1], b[b0:b1], True
-        for u in units:
-            yield found[u] if u in found else self._tokens(u)
+            ends = np.cumsum(np.fromiter((len(u.encode()) for u in own), np.int64, len(own)))
+            cuts = (np.searchsorted(np.cumsum(size[ids]), ends) + 1 for ids, size in ((a, self.a_size), (b, self.b_size)))
+            add(own, True, (a, b), tuple(np.diff(cut, prepend=0) for cut in cuts))
+        for u in rest:
+            a, b, ok = self._tokens(u)
+            add([u], ok, (a, b), (np.array([len(a)]), np.array([len(b)])))
+        first = len(self.number)
+        self.number.update(zip(order, range(first, first + len(order))))
+        self.good = np.concatenate([self.good, *good])
+        for k in (0, 1):
+            sizes = np.concatenate(length[k])
+            self.at[k] = np.concatenate([self.at[k], len(self.pool[k]) + np.cumsum(sizes) - sizes])
+            self.length[k] = np.concatenate([self.length[k], sizes])
+            self.pool[k] = np.concatenate([self.pool[k], *pool[k]])
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """The number of each unit; new ones are encoded."""
@@ -148,15 +174,7 @@ class Tokenizers:
             self._forget()
             new = list(set(units))
         if new:
-            tokens = list(self._learned(new))
-            for k in (0, 1):
-                length = np.fromiter((len(t[k]) for t in tokens), np.int64, len(tokens))
-                self.at[k] = np.concatenate([self.at[k], len(self.pool[k]) + np.cumsum(length) - length])
-                self.length[k] = np.concatenate([self.length[k], length])
-                self.pool[k] = np.concatenate([self.pool[k], np.fromiter(chain.from_iterable(t[k] for t in tokens), np.int32, int(length.sum()))])
-            self.good = np.concatenate([self.good, [t[2] for t in tokens]])
-            first = len(self.number)
-            self.number.update((u, first + i) for i, u in enumerate(new))
+            self._learn(new)
         return np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
 
     def ids(self, numbers: np.ndarray, side: int) -> np.ndarray:
