@@ -197,6 +197,33 @@ def test_late_call_is_one_row(spark):
     assert [tuple(r) for r in toolcalls.merge_call_deltas(df).collect()] == [(1, 0, "id", "n", "012345")]
 
 
+def test_call_deltas_go_as_lists(spark):
+    """Neighbouring pieces are one row before any shuffle; a field that none of them has is null."""
+    rows = [(1 + k // 50, 0, 0, k % 50, None, None, str(k)) for k in range(100)]
+    df = spark.createDataFrame(rows, "response_id int, call_index int, run long, seq int, id string, name string, arguments string").coalesce(1)
+    packs = toolcalls._packed_deltas(df, ["response_id", "call_index", "run"], ["id", "name", "arguments"]).collect()
+    assert [(r["response_id"], r["first"], r["last"], r["straight"], len(r["seq"]), r["id"]) for r in packs] == [(1, 0, 49, True, 50, None), (2, 0, 49, True, 50, None)]
+
+
+def test_call_deltas_of_any_order(spark):
+    """Repeated, null and shuffled sequence numbers, null and repeated keys, empty and null pieces: as sorted by (seq, id, name, arguments)."""
+    draw = random.Random(3)
+    rows = [
+        (draw.choice([None, 1, 2, 3]), draw.choice([0, 1, None]), draw.choice([None, *range(30)]), *[draw.choice([None, "", "x", "yy", "\u00e9"]) for _ in range(3)])
+        for _ in range(600)
+    ]
+    rows += [(4, 0, k, None, None, str(k)) for k in range(40)] + [(5, 0, k, None, None, str(k)) for k in [*range(20), *range(10, 40)]]
+    rows += [(6, 0, k, None, None, str(k)) for k in [*range(20, 40), *range(20)]]
+    want = {}
+    for r in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[3] or "", r[4] or "", r[5] or "")):
+        own = want.setdefault(r[:2], ["", "", ""])
+        own[:] = [x + (y or "") for x, y in zip(own, r[3:])]
+    df = spark.createDataFrame(rows, "response_id int, call_index int, seq int, id string, name string, arguments string")
+    for run in (7, 1024):
+        got = toolcalls.merge_call_deltas(df.repartition(3) if run == 7 else df.coalesce(1), run).collect()
+        assert len(got) == len(want) and {tuple(r)[:2]: list(r)[2:] for r in got} == want
+
+
 def test_capped_pull_over_runs_and_repeats(spark, tmp_path):
     """The first rows in file and line order, over triggers and restarts; a batch that runs again changes nothing."""
     src, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))

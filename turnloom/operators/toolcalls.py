@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnloom import constants as K
 from turnloom.functions.jsontext import read_call, read_calls
@@ -161,20 +166,72 @@ def case_report(checked: DataFrame, offered: DataFrame, case: str = "sample_id")
     )
 
 
+def _packed_deltas(deltas: DataFrame, by: list[str], fields: list[str]) -> DataFrame:
+    """Neighbouring rows with the same ``by`` as one row of lists; a list that is all null is null.
+
+    Sorts nothing and moves no row, so it packs what already lies together; the
+    rest stays in lists of one.  A list whose seq rises from ``first`` to ``last``
+    is ``straight``.
+    """
+    types = {f.name: f.dataType for f in deltas.schema}
+    lists = ["seq", *fields]
+    ends = [T.StructField("first", types["seq"]), T.StructField("last", types["seq"]), T.StructField("straight", T.BooleanType())]
+    schema = T.StructType([*[T.StructField(c, types[c]) for c in by], *ends, *[T.StructField(c, T.ArrayType(types[c])) for c in lists]])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, seq = batch.num_rows, batch.column("seq")
+            if not n:
+                continue
+            begins, falls = np.zeros(n, bool), np.zeros(n, bool)
+            begins[0] = True
+            for c in by:
+                begins[1:] |= np.diff(pc.dictionary_encode(batch.column(c), null_encoding="encode").indices.to_numpy()) != 0
+            falls[1:] = ~pc.fill_null(pc.greater(seq[1:], seq[:-1]), False).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(begins)
+            offsets = pa.array(np.append(starts, n).astype(np.int32))
+            columns = [batch.column(c).take(pa.array(starts)) for c in by]
+            odd = (falls & ~begins) | seq.is_null().to_numpy(zero_copy_only=False)
+            columns += [seq.take(pa.array(starts)), seq.take(pa.array(np.append(starts[1:], n) - 1)), pa.array(~np.logical_or.reduceat(odd, starts))]
+            columns.append(pa.ListArray.from_arrays(offsets, seq))
+            for c in fields:
+                nothing = np.logical_and.reduceat(batch.column(c).is_null().to_numpy(zero_copy_only=False), starts)
+                columns.append(pa.ListArray.from_arrays(offsets, batch.column(c), mask=pa.array(nothing)))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+    return deltas.select(*by, *lists).mapInArrow(pack, schema)
+
+
 def merge_call_deltas(deltas: DataFrame, run_deltas: int = 1024) -> DataFrame:
     """Streamed pieces of tool calls, joined in order: one row per (response, index).
 
     Rows: response_id, seq, call_index, id, name, arguments (pieces, may be null).
     Pieces are joined in runs of neighbouring sequence numbers first, so that a
     call with very many pieces is sorted and joined in many tasks; its runs, a
-    thousandth of the rows, are joined after that.
+    thousandth of the rows, are joined after that.  Pieces go to their run as
+    lists, without a struct and empty fields for each.  Where lists follow one
+    another they are joined as they are; only others are sorted piece by piece.
     """
     key, fields = ["response_id", "call_index"], ["id", "name", "arguments"]
+    run = F.floor(F.col("seq") / F.lit(run_deltas)).cast("bigint").alias("run")
+    filled = deltas.select(*key, run, "seq", *[F.nullif(F.col(f), F.lit("")).alias(f) for f in fields])
+    packs = F.col("packs")
 
-    def join_in_order(rows: DataFrame, by: list[str], place: str) -> DataFrame:
-        ordered = F.array_sort(F.collect_list(F.struct(place, *[F.coalesce(f, F.lit("")).alias(f) for f in fields])))
-        texts = [F.array_join(F.col("o")[f], "").alias(f) for f in fields]
-        return rows.groupBy(*by).agg(ordered.alias("o")).select(*by, *texts)
+    def follows(pack: Column, i: Column) -> Column:
+        return pack["straight"] & ((i == 0) | (pack["first"] > F.get(packs, i - 1)["last"]))
 
-    run = F.floor(F.col("seq") / F.lit(run_deltas)).cast("bigint")
-    return join_in_order(join_in_order(deltas.withColumn("run", run), [*key, "run"], "seq"), key, "run")
+    def pieces(pack: Column) -> Column:
+        return F.transform(pack["seq"], lambda seq, i: F.struct(seq.alias("seq"), *[F.coalesce(F.get(pack[f], i), F.lit("")).alias(f) for f in fields]))
+
+    def straight(field: str) -> Column:
+        return F.flatten(F.transform(packs, lambda p: F.coalesce(p[field], F.array().cast("array<string>"))))
+
+    gathered = F.array_sort(F.collect_list(F.struct("first", "last", "straight", "seq", *fields))).alias("packs")
+    held = _packed_deltas(filled, [*key, "run"], fields).groupBy(*key, "run").agg(gathered)
+    mixed = F.when(~F.forall(F.transform(packs, follows), lambda x: x), F.array_sort(F.flatten(F.transform(packs, pieces))))
+    o = F.col("o")
+    runs = held.select(*key, "run", "packs", mixed.alias("o")).select(
+        *key, "run", *[F.array_join(F.when(o.isNull(), straight(f)).otherwise(o[f]), "").alias(f) for f in fields]
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("run", *fields)))
+    return runs.groupBy(*key).agg(ordered.alias("o")).select(*key, *[F.array_join(o[f], "").alias(f) for f in fields])
