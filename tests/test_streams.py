@@ -125,6 +125,22 @@ def test_waiting_pieces_are_written_as_one():
     assert own.waiting.written <= 4
 
 
+def test_first_of_repeated_pieces_counts():
+    """Of pieces with the same number in one batch the first that came is taken, also where the batch is out of order."""
+    import pandas as pd
+
+    rows = [(k, f"{k}{c} ", k == 199, False) for k in range(200) for c in "abc"]
+    random.Random(5).shuffle(rows)
+    first = {}
+    for k, text, *_ in rows:
+        first.setdefault(k, text)
+    own = assemble.Responses(None, None)
+    own.head, own.waiting, own.ended = Kept(), Kept(), Kept()
+    out = pd.concat(own.handleInputRows((None,), iter([pd.DataFrame(rows, columns=["seq", "chunk", "done", "open_thinking"])]), None))
+    assert list(out.columns) == assemble.DELTA.fieldNames() and out["response_id"].isna().all()
+    assert out["delta"].tolist() == ["".join(first[k] for k in range(200)), "stop"]
+
+
 def test_stream_in_small_batches_out_of_order(spark, tmp_path):
     rows = pieces(1)
     random.Random(9).shuffle(rows)

@@ -196,7 +196,8 @@ class Responses(StatefulProcessor):
         self.ended = handle.getValueState("ended", "over boolean", self.forget_ms)
 
     def _frame(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], *r) for r in rows], columns=DELTA.fieldNames())
+        # By column: pandas takes a list of rows apart cell by cell, which cost half of a short response.
+        return pd.DataFrame(dict(zip(DELTA.fieldNames(), ([key[0]] * len(rows), *map(list, zip(*rows))))))
 
     def _close(self) -> None:
         self.head.clear()
@@ -223,16 +224,16 @@ class Responses(StatefulProcessor):
         if saved is None and self.ended.exists():
             return
         batch = frames[0] if len(frames) == 1 else pd.concat(frames)
-        if not batch["seq"].is_monotonic_increasing:
-            batch = batch.sort_values("seq")
-        response = Assembler(tuple(saved)[:5] if saved else None, thinking=bool(batch["open_thinking"].any()))
+        # Not sorted: the assembler takes pieces by number, and of repeated ones the first that came.
+        seqs, chunks, dones, opens = (batch[c].tolist() for c in ("seq", "chunk", "done", "open_thinking"))
+        response = Assembler(tuple(saved)[:5] if saved else None, thinking=True in opens)
         entries = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if saved and saved[5] else {}
         for entry in sorted(entries):
             for seq, text, done in json.loads(entries[entry][1]):
                 if seq >= response.next:
                     response.early[seq] = (text, done)
         before = set(response.early)
-        out = list(response.add(zip(batch["seq"].tolist(), batch["chunk"], batch["done"])))
+        out = list(response.add(zip(seqs, chunks, dones)))
         if out:
             yield self._frame(key, out)
         if response.over:
