@@ -11,8 +11,10 @@ it, and else replaced by the pairs of their children.  Single members are
 compared by cosine in double precision.
 
 Blocks that can't hold a pair are dropped by the same bound before any vectors
-are joined.  Pivots come from a bounded sample and change only how well blocks
-are bounded, never which pairs are found.
+are read.  Each block is one file in the shared folder, so only the numbers of
+two blocks are shuffled a pair: tasks take pairs of the same few blocks and read
+these from their files.  Pivots come from a bounded sample and change only how
+well blocks are bounded, never which pairs are found.
 
 * Vectors that are null, empty, zero, or hold null or non-finite components, and
   those without a label, link with nothing.  Lengths must agree to be compared.
@@ -22,15 +24,20 @@ are bounded, never which pairs are found.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnloom.llm.common import file_system, publish
 from turnloom.llm.graph import components
-from turnloom.session import cut_lineage
+from turnloom.session import cut_lineage, drop_scratch, scratch_path
 
 COSINE = 0.93
 GROUP = 2048
@@ -38,8 +45,11 @@ BLOCK = 1024
 PIVOTS = 4096
 SAMPLE_PER_PIVOT = 16
 LEVELS = 7
+TILE = 32  # blocks of either side that a run of pairs meets, at most
+HELD_BYTES = 128 << 20  # of blocks that a task keeps while it walks pairs
+MAX_TASKS = 10_000
 _EDGE = 1e-9  # what rounding may move a bound
-_TREE = "level array<int>, start array<int>, center array<int>, radius array<double>"
+_TREE = ["level", "start", "center", "radius"]
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -192,26 +202,73 @@ def _pivots(classes: DataFrame) -> dict[tuple[int, int], np.ndarray]:
     return {k: np.array(v) for k, v in pivots.items()}
 
 
-def _blocks(classes: DataFrame) -> DataFrame:
-    """Blocks of at most BLOCK classes with their trees, centers and radii."""
-    shared = classes.sparkSession.sparkContext.broadcast(_pivots(classes))
+def _block_bytes(vectors: np.ndarray, cls: np.ndarray, m: np.ndarray, tree: pd.DataFrame) -> bytes:
+    """A block as one Arrow file: vectors as they were given, classes and their rows, nodes of the tree."""
+    columns = {"vectors": vectors.ravel(), "cls": cls, "m": m, "level": tree["level"].astype("int32"), "start": tree["start"].astype("int32"),
+               "center": tree["center"].astype("int32"), "radius": tree["radius"]}
+    arrays = [pa.array(np.asarray(c)) for c in columns.values()]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in arrays]
+    batch = pa.record_batch(lists, names=list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_file(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+class _Shelf:
+    """Blocks of a folder, read when they are asked for; the last ones used are held, up to so many bytes of vectors."""
+
+    def __init__(self, fs: pafs.FileSystem, folder: str, most: int = HELD_BYTES):
+        self.fs, self.folder, self.most = fs, folder, most
+        self.held: OrderedDict[int, tuple] = OrderedDict()
+        self.size = 0
+
+    def get(self, block: int) -> tuple[Tree, np.ndarray, np.ndarray, np.ndarray]:
+        if block in self.held:
+            self.held.move_to_end(block)
+            return self.held[block]
+        with self.fs.open_input_file(f"{self.folder}/{block}.arrow") as source:
+            batch = pa.ipc.open_file(source).get_batch(0)
+        part = {c: batch.column(c).flatten().to_numpy() for c in batch.schema.names}
+        vectors = _unit(part["vectors"].reshape(len(part["cls"]), -1))
+        found = Tree(*(part[c] for c in _TREE), len(vectors)), vectors, part["cls"], part["m"]
+        self.held[block] = found
+        self.size += vectors.nbytes
+        while self.size > self.most and len(self.held) > 2:
+            self.size -= self.held.popitem(last=False)[1][1].nbytes
+        return found
+
+
+def _blocks(classes: DataFrame) -> tuple[DataFrame, str]:
+    """(label, dim, block, middle, reach) of blocks of at most BLOCK classes, and the folder of their files.
+
+    Vectors are shuffled once, as they were given; the cell of each is found twice
+    instead of written: first to count the cells.
+    """
+    spark = classes.sparkSession
+    shared = spark.sparkContext.broadcast(_pivots(classes))
+    vector = classes.schema["vector"].dataType.simpleString()
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def route(batches: Iterator[pd.DataFrame], whole: bool) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, part in batch.groupby(["label", "dim"]):
-                v = _unit(part["vector"].tolist())
                 pivots = shared.value.get((int(key[0]), int(key[1])))
-                cell = np.zeros(len(v), np.int32) if pivots is None else distances(v, pivots).argmin(1)
-                yield pd.DataFrame({"label": part["label"], "dim": part["dim"], "cell": cell, "cls": part["cls"], "m": part["m"], "vector": list(v)})
+                cell = np.zeros(len(part), np.int32) if pivots is None else distances(_unit(part["vector"].tolist()), pivots).argmin(1).astype(np.int32)
+                yield part.assign(cell=cell) if whole else part[["label", "dim"]].assign(cell=cell)
 
-    schema = "label long, dim int, cell int, cls long, m long, vector array<double>"
-    routed, _ = cut_lineage(classes.select("label", "dim", "cls", "m", "vector").mapInPandas(route, schema), "routed")
-    parts = routed.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    dealt = routed.join(parts, ["label", "dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")))
+    given = classes.select("label", "dim", "cls", "m", "vector")
+    cells = given.mapInPandas(lambda batches: route(batches, False), "label long, dim int, cell int")
+    parts = cells.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / GROUP).alias("parts")).where("parts > 1")
+    routed = given.mapInPandas(lambda batches: route(batches, True), f"label long, dim int, cls long, m long, vector {vector}, cell int")
+    # Only cells of more than GROUP classes are in the table of parts.
+    dealt = routed.join(F.broadcast(parts), ["label", "dim", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("cls"), F.coalesce("parts", F.lit(1))))
+    root = scratch_path(spark, "blocks")
 
     def plant(group: pd.DataFrame) -> pd.DataFrame:
+        fs, folder = file_system(root)
         group = group.sort_values("cls")
-        v = np.array(group["vector"].tolist())
+        given = np.array(group["vector"].tolist())
+        v = _unit(given)
         _, order, _ = Tree.build(v)
         out = []
         for a in range(0, len(v), BLOCK):
@@ -219,48 +276,62 @@ def _blocks(classes: DataFrame) -> DataFrame:
             _, inner, table = Tree.build(v[own])
             own = own[inner]
             center = v[own].mean(0)
+            block = int(group["cls"].iloc[own[0]])
+            body = _block_bytes(given[own], group["cls"].to_numpy()[own], group["m"].to_numpy()[own], table)
+            publish(fs, folder, f"{block}.arrow", TaskContext.get().taskAttemptId(), iter([body]))
             out.append({
-                "label": group["label"].iloc[0], "dim": group["dim"].iloc[0], "block": int(group["cls"].iloc[own[0]]),
+                "label": group["label"].iloc[0], "dim": group["dim"].iloc[0], "block": block,
                 "middle": center, "reach": float(distances(v[own], center[None]).max()),
-                "cls": group["cls"].to_numpy()[own], "m": group["m"].to_numpy()[own], "vectors": v[own].astype("<f8").tobytes(),
-                **{c: table[c].to_numpy() for c in table.columns},
             })
         return pd.DataFrame(out)
 
-    fields = f"label long, dim int, block long, middle array<double>, reach double, cls array<long>, m array<long>, vectors binary, {_TREE}"
-    return cut_lineage(dealt.groupBy("label", "dim", "cell", "part").applyInPandas(plant, fields), "blocks")[0]
+    fields = "label long, dim int, block long, middle array<double>, reach double"
+    planted = dealt.select("label", "dim", "cell", "part", "cls", "m", "vector").groupBy("label", "dim", "cell", "part").applyInPandas(plant, fields)
+    return cut_lineage(planted, "block-bounds")[0], root
 
 
-def _near(blocks: DataFrame, cosine: float) -> DataFrame:
-    """(cls, links, root) per class and pair of blocks in which it links; a class links with itself."""
-    meta = blocks.select("label", "dim", "block", "middle", "reach")
+def _pairs(blocks: DataFrame, cosine: float) -> DataFrame:
+    """(block, other) of blocks that the bounds leave, dealt out so that a run of pairs meets few blocks.
+
+    Tiles are the pairs of two groups of blocks of a label; they get smaller where
+    there would be too few to keep all cores at work.
+    """
+    spark = blocks.sparkSession
+    per_label = blocks.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    most = per_label.agg(F.sum(F.col("n") * (F.col("n") + 1) / 2)).first()[0] or 0
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    side = max(1, min(TILE, int((most / (8 * width)) ** 0.5)))
+    tasks = max(width, min(MAX_TASKS, int(most / (8 * side * side))))
+    tiles = per_label.select("label", "dim", F.ceil(F.col("n") / side).alias("tiles"))
+    meta = blocks.join(tiles, ["label", "dim"]).withColumn("tile", F.pmod(F.xxhash64("block"), F.col("tiles")))
     gap = F.sqrt(F.aggregate(F.zip_with("a.middle", "b.middle", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
     can = gap <= F.col("a.reach") + F.col("b.reach") + F.lit(float(np.sqrt(2 - 2 * cosine)) + _EDGE)
     same_label = (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim"))
     pairs = meta.alias("a").join(meta.alias("b"), same_label & (F.col("a.block") <= F.col("b.block")) & can)
-    pairs = pairs.select(F.col("a.block").alias("block"), F.col("b.block").alias("other"))
-    names = ["cls", "m", "vectors", "level", "start", "center", "radius"]
-    right = blocks.select(F.col("block").alias("other"), F.struct(*names).alias("b"))
-    rows = pairs.join(blocks.select("block", F.struct(*names).alias("a")), "block").join(right, "other")
+    at = [F.col("a.label").alias("label"), F.col("a.dim").alias("dim"), F.col("a.tile").alias("left"), F.col("b.tile").alias("right")]
+    placed = pairs.select(*at, F.col("a.block").alias("block"), F.col("b.block").alias("other"))
+    tile = ["label", "dim", "left", "right"]
+    # With a number of tasks, as pairs are few bytes and much work.
+    return placed.repartition(tasks, *tile).sortWithinPartitions(*tile, "block", "other").select("block", "other")
+
 
-    def tree(row: dict) -> tuple[Tree, np.ndarray, np.ndarray, np.ndarray]:
-        cls = np.asarray(row["cls"])
-        v = np.frombuffer(row["vectors"], "<f8").reshape(len(cls), -1)
-        return Tree(*(np.asarray(row[c]) for c in names[3:]), len(cls)), v, cls, np.asarray(row["m"])
+def _near(blocks: DataFrame, folder: str, cosine: float) -> DataFrame:
+    """(cls, links, root) per class and pair of blocks in which it links; a class links with itself."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shelf = _Shelf(*file_system(folder))
         for batch in batches:
-            for block, other, a, b in zip(batch["block"], batch["other"], batch["a"], batch["b"]):
-                (ta, va, ca, ma), (tb, vb, cb, mb) = tree(a), tree(b)
+            for block, other in zip(batch["block"].tolist(), batch["other"].tolist()):
+                (ta, va, ca, ma), (tb, vb, cb, mb) = shelf.get(block), shelf.get(other)
                 links = dual(ta, va, tb, vb, cosine)
                 same = block == other
-                root = joined(links, same)
+                member = joined(links, same)
                 count = links @ mb if same else np.concatenate([links @ mb, links.T @ ma])
                 who = ca if same else np.concatenate([ca, cb])
-                some = root >= 0
-                yield pd.DataFrame({"cls": who[some], "links": count[some], "root": who[root[some]]})
+                some = member >= 0
+                yield pd.DataFrame({"cls": who[some], "links": count[some], "root": who[member[some]]})
 
-    return rows.repartition("block", "other").mapInPandas(walk, "cls long, links long, root long")
+    return _pairs(blocks, cosine).mapInPandas(walk, "cls long, links long, root long")
 
 
 def link(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -272,7 +343,9 @@ def link(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         "dim": F.size("embedding"), "k1": F.xxhash64(F.lit(1), "embedding"), "k2": F.xxhash64(F.lit(2), "embedding"),
     })
     classes = _classes(keyed)
-    near, _ = cut_lineage(_near(_blocks(classes), cosine), "near-vectors")
+    blocks, folder = _blocks(classes)
+    near, _ = cut_lineage(_near(blocks, folder, cosine), "near-vectors")
+    drop_scratch(vectors.sparkSession, folder)
     counts = near.groupBy("cls").agg((F.sum("links") - 1).alias("n_links"))
     roots = components(near.where("cls <> root").select(F.col("cls").alias("u"), F.col("root").alias("v")))
     rooted = classes.select("cls", "label", "dim", "k1", "k2", "low").join(roots, F.col("cls") == F.col("node"), "left")
