@@ -74,3 +74,21 @@ def test_limit_ships_what_it_needs(spark):
         out = df.select("i", bpe.encoder(limit=limit)(F.col("t")).alias("ids"))
         assert {r["i"]: r["ids"] for r in out.collect()} == {i: None if t is None else codec.encode(t, limit) for i, t in enumerate(texts)}
         assert "encode_ids(left(" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_texts_are_not_moved_to_encode_them(spark, learned):
+    """No word is shuffled; reserved tokens, few kept words and null texts give the codec's ids, and rows that share keys become one."""
+    codec = bpe.Codec(learned.tokens, learned.merges)
+    docs = [(i, t) for i, t in enumerate([*ODD, "<|buffer3|><think> a<|im_end|>", "a" * 3000, " the the" * 40])]
+    df = spark.createDataFrame(docs, "i int, t string").repartition(2)
+    coded = wordcoding.encode_texts(df, ["i"], "t", learned)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan and plan.count("Exchange") == df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    assert {r["i"]: r["ids"] for r in coded.collect()} == {i: codec.encode(t or "") for i, t in docs}
+    few = wordcoding._Coder(learned, 2)
+    assert [few.ids(w).tolist() for w in ["the", " a", "b", "the", "<think>"]] == [codec.encode(w) for w in ["the", " a", "b", "the", "<think>"]] and len(few.known) <= 2
+    twice = spark.createDataFrame([(1, "a the"), (1, "b"), (None, "c"), (None, None)], "i int, t string")
+    got = {r["i"]: r["ids"] for r in wordcoding.encode_texts(twice, ["i"], "t", learned).collect()}
+    assert got == {1: codec.encode("a") + codec.encode("b") + codec.encode(" the"), None: codec.encode("c")}
+    counts = {r["i"]: r["n_tokens"] for r in wordcoding.token_counts(twice, ["i"], "t", learned).collect()}
+    assert counts == {i: len(ids) for i, ids in got.items()}

@@ -222,7 +222,8 @@ def learn_vocab(words: DataFrame, vocab_size: int = 8000, ranked: int = 4096, mo
     is not tracked.  It also ends after a merge that yields a token which already
     exists, as that token's pairs may lie over cuts and inside segments.
 
-    Where too many segments are found, fewer pairs are tracked.  Starts jobs.
+    Where too many segments are found, fewer pairs are tracked; a table of many
+    words begins with few, as a scan that finds too many is lost.  Starts jobs.
     """
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size must be at most {MAX_VOCAB}")
@@ -231,7 +232,7 @@ def learn_vocab(words: DataFrame, vocab_size: int = 8000, ranked: int = 4096, mo
     ids = {t: i for i, t in enumerate(tokens)}
     merges: list[tuple[str, str]] = []
     now, path = cut_lineage(_coded(words).where(F.length("w") > 1), "words")
-    width = ranked
+    width = ranked if now.count() <= 4 * most_segments else max(1, ranked // 64)
     while len(tokens) < vocab_size:
         best = _first_pairs(now).orderBy(F.desc("n"), "pair").limit(ranked + 1).collect()
         if not best:
