@@ -86,3 +86,29 @@ def test_a_library_loads_the_tokenizer_file(spark):
         ids = loaded.encode(text, add_special_tokens=False).ids
         assert ids == list(codec.encode(text))
         assert loaded.decode(ids, skip_special_tokens=False) == text
+
+
+def test_steps_go_as_lists(spark):
+    """Neighbouring steps of a chunk are one row before any shuffle; repeated, null and shuffled steps, null numbers and small tables give what rows gave."""
+    rng = random.Random(7)
+    plain = [("a", k, float(k % 5), 0.5) for k in range(70)] + [(None, k, 1.0, 0.0) for k in range(9)]
+    packs = diagnostics._packed_steps(spark.createDataFrame(plain, "id string, pos int, value double, reward double").coalesce(1), "id", 8).collect()
+    assert [(r["id"], r["_chunk"], r["at"]) for r in packs[:2]] == [("a", 0, list(range(9))), ("a", 1, list(range(9)))] and len(packs) == 11
+    rows = [(i, k, rng.choice([None, 0.5, 2.0, -1.0]), rng.choice([0.0, 1.0, None])) for i in range(6) for k in range(40)]
+    tail, want = {}, {}
+    for i, k, v, r in reversed(rows):
+        ahead = 0.0 if k == 39 else next(x[2] for x in rows if x[:2] == (i, k + 1))
+        x = None if None in (ahead, v, r) else r + ahead - v
+        tail[i] = x if tail.get(i) is None else 0.95 * tail[i] + (x or 0.0)
+        want[i, k] = tail[i], v
+    rng.shuffle(rows)
+    frame = spark.createDataFrame([*rows, (3, None, 1.0, 1.0)], "id long, pos int, value double, reward double").repartition(3)
+    got = diagnostics.long_advantages(frame, "id", width=64).collect()
+    assert len(got) == len(rows) and all(type(r["pos"]) is int for r in got)
+    for r in got:
+        adv, v = want[r["id"], r["pos"]]
+        assert r["advantage"] == (None if adv is None else pytest.approx(adv, abs=1e-9))
+        assert r["return"] == (None if None in (adv, v) else pytest.approx(adv + v, abs=1e-9))
+    twice = diagnostics.long_advantages(spark.createDataFrame(plain[:3] * 2, "id string, pos int, value double, reward double"), "id", width=2)
+    # Both first steps of the second chunk come after each of the first chunk's steps.
+    assert sorted(r["pos"] for r in twice.collect()) == [0] * 4 + [1] * 4 + [2] * 2

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,23 +146,152 @@ def discounted_tails(rows: DataFrame, key: str, c: float, longest: int, width: i
     return joined.drop("_chunk", "_at", "_after")
 
 
+# Cells of the matrix of chunks and their steps that is summed at once.
+_CELLS = 1 << 22
+
+
+def _lists(starts: np.ndarray, n: int, *columns: pa.Array) -> list[pa.ListArray]:
+    offsets = pa.array(np.append(starts, n).astype(np.int32))
+    return [pa.ListArray.from_arrays(offsets, c) for c in columns]
+
+
+def _floats(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers, 0 where there is none, and where there is one."""
+    return column.fill_null(0.0).to_numpy(zero_copy_only=False), column.is_valid().to_numpy(zero_copy_only=False)
+
+
+def _packed_steps(steps: DataFrame, key: str, width: int) -> DataFrame:
+    """(key, _chunk, at, value, reward): neighbouring steps of a chunk as one row of lists.
+
+    A step that begins a chunk also comes as the place ``width`` of the chunk
+    before, for its value; where rows are in order that chunk's list ends on it.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pos = batch.column(1).to_numpy()
+            chunk, at = np.floor_divide(pos, width), np.mod(pos, width)
+            border = np.flatnonzero((at == 0) & (pos > 0))
+            rows = np.insert(np.arange(len(pos)), border, border)
+            copied = np.insert(np.zeros(len(pos), bool), border, True)
+            chunk, at = chunk[rows] - copied, np.where(copied, width, at[rows])
+            keys = batch.column(0).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)[rows]
+            starts = np.flatnonzero(np.append(True, (np.diff(keys) != 0) | (np.diff(chunk) != 0))[: len(rows)])
+            taken = pa.array(rows)
+            lists = _lists(starts, len(rows), pa.array(at.astype(np.int32)), batch.column(2).take(taken), batch.column(3).take(taken))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(taken.take(pa.array(starts))), pa.array(chunk[starts]), *lists], names=[key, "_chunk", "at", "value", "reward"])
+
+    given = steps.where("pos IS NOT NULL").select(key, F.col("pos").cast("bigint").alias("pos"), F.col("value").cast("double"), F.col("reward").cast("double"))
+    fields = [given.schema[key], T.StructField("_chunk", T.LongType()), T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("value", DOUBLES), T.StructField("reward", DOUBLES)]
+    return given.mapInArrow(pack, T.StructType(fields))
+
+
+def _whole_chunks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by key and chunk, in tables of bounded size cut so that no chunk lies in two, and the number of each row's chunk."""
+    rest, rows = None, max(1, _CELLS // (4 * width))
+    for batch in (b.slice(a, rows) for b in batches for a in range(0, b.num_rows, rows)):
+        table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
+        keys = table.column(0).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        number = np.cumsum(np.append(0, (np.diff(keys) != 0) | (np.diff(table.column(1).to_numpy()) != 0)))
+        end = int(np.searchsorted(number, number[-1]))
+        if end:
+            yield table.slice(0, end), number[:end]
+        rest = table.slice(end)
+    if rest is not None:
+        yield rest, np.zeros(rest.num_rows, np.int64)
+
+
+def _chunk_tails(table: pa.Table, number: np.ndarray, gamma: float, c: float, width: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Each step's row, place, value, tail inside its chunk, and whether it has one."""
+    lists = [table.column(x).combine_chunks() for x in ("at", "value", "reward")]
+    row = np.repeat(np.arange(table.num_rows), lists[0].value_lengths().to_numpy())
+    at, value, reward = (x.flatten() for x in lists)
+    group, at = number[row], at.to_numpy()
+    order = np.lexsort((at, group))
+    group, at, row, value = group[order], at[order], row[order], value.take(pa.array(order))
+    (v, has_v), (r, has_r) = _floats(value), _floats(reward.take(pa.array(order)))
+    follows = np.append(group[1:] == group[:-1], False)[: len(group)]
+    after, has_after = np.where(follows, np.append(v[1:], 0.0)[: len(v)], 0.0), ~follows | np.append(has_v[1:], True)[: len(v)]
+    step = at < width
+    group, at, row, value = group[step], at[step], row[step], value.filter(pa.array(step))
+    x, has = (r + gamma * after - v)[step], (has_r & has_after & has_v)[step]
+    if c < 1e-30:
+        return row, at, value, x, has
+    x = np.where(has, x, 0.0)
+    tail, some = np.empty_like(x), np.empty_like(has)
+    starts = np.flatnonzero(np.append(True, np.diff(group) != 0)[: len(group)])
+    sizes = np.diff(np.append(starts, len(group)))
+    scale = c ** at.astype(float)
+    first = 0
+    while first < len(starts):
+        # As many chunks as fit a matrix of their longest; one at least.
+        last = first + max(1, int(np.searchsorted(np.arange(1, len(starts) - first + 1) * np.maximum.accumulate(sizes[first:]), _CELLS, "right")))
+        a, z, most = starts[first], starts[last - 1] + sizes[last - 1], int(sizes[first:last].max())
+        which = np.repeat(np.arange(last - first), sizes[first:last])
+        place = np.arange(a, z) - starts[first:last][which]
+        summed, seen = np.zeros((last - first, most)), np.zeros((last - first, most), bool)
+        summed[which, place], seen[which, place] = x[a:z] * scale[a:z], has[a:z]
+        tail[a:z] = np.cumsum(summed[:, ::-1], axis=1)[:, ::-1][which, place] / scale[a:z]
+        some[a:z] = np.logical_or.accumulate(seen[:, ::-1], axis=1)[:, ::-1][which, place]
+        first = last
+    return row, at, value, tail, some
+
+
 def long_advantages(steps: DataFrame, key: str, gamma: float = 1.0, lam: float = 0.95, width: int = 1024) -> DataFrame:
     """(key, pos, advantage, return) of steps (key, pos, value, reward), one row each.
 
-    For trajectories that no row should hold whole.  The value after a chunk's
-    last step comes from a copy of the next chunk's first row.  Keys are not null;
-    an empty table gives an empty result.  Starts a job for the longest trajectory.
+    For trajectories that no row should hold whole.  Neighbouring steps of a chunk
+    leave the map tasks as lists, which are shuffled once, by (key, chunk); the
+    value after a chunk's last step comes from a copy of the next chunk's first
+    step.  Chunks are summed by themselves, their heads go on as rows to
+    ``discounted_tails``, and what lies after a chunk is joined to its lists.
+    Keys are not null; an empty table gives an empty result.  Starts a job for
+    the longest trajectory.
     """
-    longest = steps.agg(F.max("pos")).first()[0]
-    width = _chunk_width(gamma * lam, width)
-    placed = _chunked(steps.select(key, "pos", "value", "reward"), width)
-    own, border = F.struct("_chunk", "_at"), F.struct((F.col("_chunk") - 1).alias("_chunk"), F.lit(width).cast(placed.schema["_at"].dataType).alias("_at"))
-    places = F.when((F.col("_at") == 0) & (F.col("pos") > 0), F.array(own, border)).otherwise(F.array(own))
-    copied = placed.withColumn("_p", F.explode(places)).withColumns({"_chunk": F.col("_p._chunk"), "_at": F.col("_p._at")}).drop("_p")
-    following = F.lead("value", 1, 0.0).over(Window.partitionBy(key, "_chunk").orderBy("_at"))
-    errors = copied.withColumn("x", F.col("reward") + F.lit(gamma) * following - F.col("value")).where(F.col("_at") < width)
-    tails = discounted_tails(errors, key, gamma * lam, longest or 0, width)
-    return tails.select(key, "pos", F.col("tail").alias("advantage"), (F.col("tail") + F.col("value")).alias("return"))
+    longest = steps.agg(F.max("pos")).first()[0] or 0
+    c = gamma * lam
+    width = _chunk_width(c, width)
+    # Dealt by name, not by need: the planner then never splits a chunk's rows.
+    dealt = _packed_steps(steps, key, width).repartition(key, "_chunk")
+    kind, pos_kind = dealt.schema[key], steps.schema["pos"].dataType
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, number in _whole_chunks(batches, width):
+            row, at, _value, tail, some = _chunk_tails(table, number, gamma, c, width)
+            first = at == 0
+            own = table.take(pa.array(row[first]))
+            yield pa.RecordBatch.from_arrays([own.column(0).combine_chunks(), own.column(1).combine_chunks(), pa.array(tail[first], mask=~some[first])], names=[key, "pos", "x"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, number in _whole_chunks(batches, width):
+            row, at, value, tail, some = _chunk_tails(table, number, gamma, c, width)
+            lists = table.column("after").combine_chunks()
+            n = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            begin, held = np.cumsum(n) - n, np.append(lists.flatten().to_numpy(zero_copy_only=False), 0.0)
+            # A head that came more than once gives each of the steps before it as often.
+            again = np.repeat(np.arange(len(row)), np.maximum(n[row], 1))
+            nth = np.arange(len(again)) - np.repeat(np.cumsum(np.maximum(n[row], 1)) - np.maximum(n[row], 1), np.maximum(n[row], 1))
+            row, at, value, tail, some = row[again], at[again], value.take(pa.array(again)), tail[again], some[again]
+            carry = held[np.where(n[row] > 0, begin[row] + nth, len(held) - 1)]
+            if c >= 1e-30:
+                tail = tail + c ** (width - at).astype(float) * carry
+            advantage = pa.array(tail, mask=~some)
+            v, has_v = _floats(value)
+            at_row = pa.array(row)
+            pos = table.column(1).to_numpy()[row] * width + at
+            yield pa.RecordBatch.from_arrays([table.column(0).combine_chunks().take(at_row), pa.array(pos.astype(np.int64)), advantage, pa.array(tail + v, mask=~(some & has_v))], names=[key, "pos", "advantage", "return"])
+
+    if c < 1e-30 or longest < width:
+        joined = dealt.withColumn("after", F.lit(None).cast(DOUBLES))
+    else:
+        numbers = T.StructType([kind, T.StructField("pos", T.LongType()), T.StructField("x", T.DoubleType())])
+        first = dealt.sortWithinPartitions(key, "_chunk").mapInArrow(heads, numbers)
+        after = discounted_tails(first, key, c**width, longest // width, width)
+        after = after.groupBy(key, (F.col("pos") - 1).alias("_chunk")).agg(F.collect_list(F.coalesce("tail", F.lit(0.0))).alias("after"))
+        joined = dealt.join(after.hint("merge"), [key, "_chunk"], "left")
+    numbers = T.StructType([kind, T.StructField("pos", T.LongType()), T.StructField("advantage", T.DoubleType()), T.StructField("return", T.DoubleType())])
+    done = joined.select(key, "_chunk", "at", "value", "reward", "after").sortWithinPartitions(key, "_chunk").mapInArrow(finish, numbers)
+    return done.withColumn("pos", F.col("pos").cast(pos_kind))
 
 
 def returns(advantages: Column, values: Column) -> Column:
