@@ -265,3 +265,40 @@ def test_capped_pull_over_runs_and_repeats(spark, tmp_path):
     kept.write.json(str(tmp_path / "copy"))
     again(spark.read.schema(schema).json(str(tmp_path / "copy")).select("*", ingest._file_block().alias("_at")), 0)
     assert sorted(r[0] for r in spark.read.parquet(f"{out}/batch_id=*").collect()) == first
+
+
+def test_responses_are_taken_by_bucket(spark, tmp_path, monkeypatch):
+    """Many responses a call, in batches out of order: repeats after the end, null and large ids, few writes."""
+    import pandas as pd
+
+    class Rows(list):
+        put = lambda self, rows: (self.clear(), self.extend(rows))
+        get = lambda self: iter(list(self))
+        appendList = list.extend
+
+    class Marks(Kept):
+        containsKey = Kept.__contains__
+
+    own = assemble.Buckets()
+    own.heads, own.waiting, own.ended = Rows(), Rows(), Marks()
+    ids = [(0, False), (0, True), ((1 << 60) + 1, False), *((i, False) for i in range(5, 40))]
+    rows = [(*who, k, f"{who[0]}.{k} ", k == 59, False) for who in ids for k in range(60)]
+    random.Random(2).shuffle(rows)
+    said = []
+    for batch in (rows[: len(rows) // 2], rows[len(rows) // 3 :], rows[:500]):
+        table = pd.DataFrame(batch, columns=["id", "nil", "seq", "chunk", "done", "open_thinking"])
+        for out in own.handleInputRows((3,), iter([table[:100], table[100:]]), None):
+            said += [tuple(None if pd.isna(x) else x for x in r) for r in out.itertuples(index=False)]
+    for id_, nil in ids:
+        mine = [r for r in said if r[0] == (None if nil else id_)]
+        assert "".join(r[3] for r in mine if r[2] == "content") == "".join(f"{id_}.{k} " for k in range(60))
+        assert [r[2] for r in mine].count("finish") == 1
+    assert not own.heads and not own.waiting and len(own.ended) == len(ids) == own.ended.written
+    monkeypatch.setattr(assemble, "BUCKETS", 2)
+    texts = {None: "abc", 1: "de", (1 << 60) + 1: "fghi"}
+    feed = [(i, k, 1704067200, c, k == len(t) - 1, False) for i, t in texts.items() for k, c in enumerate(t)]
+    for k in range(3):
+        frame(spark, feed[::-1][k::3]).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+    chunks = spark.readStream.schema(frame(spark, feed).schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed"))
+    got = {r["response_id"]: r["content"] for r in assemble.delta_parts(assemble.run_assembly(chunks, str(tmp_path / "out"), str(tmp_path / "check"))).collect()}
+    assert got == texts

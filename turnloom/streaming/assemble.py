@@ -29,6 +29,8 @@ DELTA = T.StructType(
     ]
 )
 HEAD = "next int, thinking boolean, tail string, skip boolean, watch string, n_entries int"
+# Groups that responses are dealt to; a checkpoint holds for this number.
+BUCKETS = 256
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -220,12 +222,21 @@ class Responses(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: TimerValues) -> Iterator[pd.DataFrame]:
         frames = list(rows)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames)
+        out = self.take(*(batch[c].tolist() for c in ("seq", "chunk", "done", "open_thinking")))
+        if out is None:
+            return
+        if out:
+            yield self._frame(key, out)
+        if self.idle_ms is not None:
+            self._wait(None if self.ended.exists() else timers.getCurrentProcessingTimeInMs())
+
+    def take(self, seqs: list, chunks: list, dones: list, opens: list) -> list[tuple] | None:
+        """What these pieces decide; None for a response that has ended before."""
         saved = self.head.get()
         if saved is None and self.ended.exists():
-            return
-        batch = frames[0] if len(frames) == 1 else pd.concat(frames)
+            return None
         # Not sorted: the assembler takes pieces by number, and of repeated ones the first that came.
-        seqs, chunks, dones, opens = (batch[c].tolist() for c in ("seq", "chunk", "done", "open_thinking"))
         response = Assembler(tuple(saved)[:5] if saved else None, thinking=True in opens)
         entries = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if saved and saved[5] else {}
         for entry in sorted(entries):
@@ -234,8 +245,6 @@ class Responses(StatefulProcessor):
                     response.early[seq] = (text, done)
         before = set(response.early)
         out = list(response.add(zip(seqs, chunks, dones)))
-        if out:
-            yield self._frame(key, out)
         if response.over:
             if saved:
                 self._close()
@@ -248,8 +257,7 @@ class Responses(StatefulProcessor):
             new = {int(seq): piece for seq, piece in response.early.items() if seq not in before}
             added = self._keep(new, max(entries, default=-1) + 1)
             self.head.update((*response.save(), len(entries) - len(said) + added))
-        if self.idle_ms is not None:
-            self._wait(None if response.over else timers.getCurrentProcessingTimeInMs())
+        return out
 
     def handleExpiredTimer(self, key: tuple, timers: TimerValues, expired: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         saved = self.head.get()
@@ -262,6 +270,103 @@ class Responses(StatefulProcessor):
         pass
 
 
+class _Value:
+    """A value of one response, held by its bucket while a batch is taken."""
+
+    def __init__(self, value: tuple | None = None):
+        self.value = value
+
+    def get(self) -> tuple | None:
+        return self.value
+
+    def exists(self) -> bool:
+        return self.value is not None
+
+    def update(self, value: tuple) -> None:
+        self.value = value
+
+    def clear(self) -> None:
+        self.value = None
+
+
+class _Entries(dict):
+    """Pieces of one response that wait, held by its bucket while a batch is taken; notes what is new."""
+
+    def __init__(self, known: dict):
+        super().__init__(known)
+        self.new: dict = {}
+
+    def iterator(self) -> Iterator[tuple]:
+        return iter(self.items())
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        self[key] = self.new[key] = value
+
+    def removeKey(self, key: tuple) -> None:
+        del self[key]
+
+
+class Buckets(StatefulProcessor):
+    """The responses of a bucket, so that calls and state are read and written a bucket, not a response.
+
+    A list of the heads of those that are open, written anew by each batch; a list of
+    pieces that wait, to which a batch adds, and which is written anew once half of
+    it was said; and a mark for each response that has ended.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.heads = handle.getListState("heads", f"id bigint, nil boolean, {HEAD}")
+        self.waiting = handle.getListState("pieces", "id bigint, nil boolean, entry int, last int, pieces string")
+        self.ended = handle.getMapState("over", "id bigint, nil boolean", "over boolean")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: TimerValues) -> Iterator[pd.DataFrame]:
+        pieces: dict[tuple, tuple[list, ...]] = {}
+        for frame in rows:
+            for id_, nil, *piece in zip(*(frame[c].tolist() for c in ("id", "nil", "seq", "chunk", "done", "open_thinking"))):
+                own = pieces.setdefault((id_, nil), ([], [], [], []))
+                for held, value in zip(own, piece):
+                    held.append(value)
+        heads = {tuple(head[:2]): tuple(head[2:]) for head in self.heads.get()}
+        stored = [tuple(entry) for entry in self.waiting.get()] if any(head[-1] for head in heads.values()) else []
+        before = bool(heads)
+        waits: dict[tuple, dict] = {}
+        for id_, nil, entry, *value in stored:
+            waits.setdefault((id_, nil), {})[entry,] = tuple(value)
+        new, said = [], []
+        for who, own in pieces.items():
+            one = Responses(None, None)
+            one.head, one.ended = _Value(heads.get(who)), _Value()
+            # Entries that were said stay in the list for a while.
+            one.waiting = _Entries({k: v for k, v in waits.get(who, {}).items() if who in heads and v[0] >= heads[who][0]})
+            if who not in heads and self.ended.containsKey(who):
+                continue
+            said += [(*who, *row) for row in one.take(*own)]
+            if one.ended.exists():
+                heads.pop(who, None)
+                self.ended.updateValue(who, (True,))
+            else:
+                heads[who] = one.head.get()
+                new += [(*who, *k, *v) for k, v in one.waiting.new.items()]
+        if heads:
+            self.heads.put([(*who, *head) for who, head in heads.items()])
+        elif before:
+            self.heads.clear()
+        live = [e for e in stored if e[:2] in heads and e[3] >= heads[e[:2]][0]]
+        if stored and not live and not new:
+            self.waiting.clear()
+        elif 2 * len(live) < len(stored):
+            self.waiting.put(live + new)
+        elif new:
+            self.waiting.appendList(new)
+        if said:
+            id_, nil, *others = map(list, zip(*said))
+            ids = pd.array([None if n else i for i, n in zip(id_, nil)], "Int64")
+            yield pd.DataFrame(dict(zip(DELTA.fieldNames(), (ids, *others))))
+
+    def close(self) -> None:
+        pass
+
+
 def stream_deltas(chunks: DataFrame, idle_ms: int | None = None, forget_ms: int | None = None) -> DataFrame:
     """Streamed pieces (response_id, seq, chunk, done, open_thinking) -> delta rows.
 
@@ -274,14 +379,16 @@ def stream_deltas(chunks: DataFrame, idle_ms: int | None = None, forget_ms: int
     not set it shorter than a backlog may take.  The mark of a response that has
     ended goes after ``forget_ms``; pieces that come later are taken for a new
     one.  Both need a query that runs on, as time makes new batches without end;
-    without them a query may stop once all input is read, and marks stay.
+    without them a query may stop once all input is read, and marks stay, and
+    state is kept by buckets of responses.
     """
-    timed = idle_ms is not None or forget_ms is not None
-    return (
-        chunks.select("response_id", "seq", "chunk", "done", _opens(chunks).alias("open_thinking"))
-        .groupBy("response_id")
-        .transformWithStateInPandas(Responses(idle_ms, forget_ms), DELTA, "append", "processingTime" if timed else "none")
-    )
+    rows = chunks.select("response_id", "seq", "chunk", "done", _opens(chunks).alias("open_thinking"))
+    if idle_ms is not None or forget_ms is not None:
+        return rows.groupBy("response_id").transformWithStateInPandas(Responses(idle_ms, forget_ms), DELTA, "append", "processingTime")
+    bucket, id_ = F.pmod(F.xxhash64("response_id"), F.lit(BUCKETS)).cast("int"), F.col("response_id").cast("bigint")
+    # A null id has its own mark: as a number among others it would make floats of them.
+    rows = rows.select(bucket.alias("bucket"), F.coalesce(id_, F.lit(0)).alias("id"), id_.isNull().alias("nil"), "seq", "chunk", "done", "open_thinking")
+    return rows.groupBy("bucket").transformWithStateInPandas(Buckets(), DELTA, "append", "none")
 
 
 def _opens(chunks: DataFrame) -> Column:
