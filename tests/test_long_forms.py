@@ -111,4 +111,7 @@ def test_steps_go_as_lists(spark):
         assert r["return"] == (None if None in (adv, v) else pytest.approx(adv + v, abs=1e-9))
     twice = diagnostics.long_advantages(spark.createDataFrame(plain[:3] * 2, "id string, pos int, value double, reward double"), "id", width=2)
     # Both first steps of the second chunk come after each of the first chunk's steps.
-    assert sorted(r["pos"] for r in twice.collect()) == [0] * 4 + [1] * 4 + [2] * 2
+    got = twice.collect()
+    assert sorted(r["pos"] for r in got) == [0] * 4 + [1] * 4 + [2] * 2
+    # Values 0, 1, 2 and rewards of 0.5: of the last step's rows the first sees the second's value, and is summed first.
+    assert sorted(r["advantage"] for r in got if r["pos"] == 2) == [pytest.approx(-1.0), pytest.approx(0.5)]

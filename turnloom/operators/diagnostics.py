@@ -217,7 +217,9 @@ def _chunk_tails(table: pa.Table, number: np.ndarray, gamma: float, c: float, wi
     x, has = (r + gamma * after - v)[step], (has_r & has_after & has_v)[step]
     if c < 1e-30:
         return row, at, value, x, has
-    x = np.where(has, x, 0.0)
+    # From the last step on; repeated steps in the order they have.
+    back = np.lexsort((-at, group))
+    group, at, row, value, x, has = group[back], at[back], row[back], value.take(pa.array(back)), np.where(has, x, 0.0)[back], has[back]
     tail, some = np.empty_like(x), np.empty_like(has)
     starts = np.flatnonzero(np.append(True, np.diff(group) != 0)[: len(group)])
     sizes = np.diff(np.append(starts, len(group)))
@@ -231,8 +233,8 @@ def _chunk_tails(table: pa.Table, number: np.ndarray, gamma: float, c: float, wi
         place = np.arange(a, z) - starts[first:last][which]
         summed, seen = np.zeros((last - first, most)), np.zeros((last - first, most), bool)
         summed[which, place], seen[which, place] = x[a:z] * scale[a:z], has[a:z]
-        tail[a:z] = np.cumsum(summed[:, ::-1], axis=1)[:, ::-1][which, place] / scale[a:z]
-        some[a:z] = np.logical_or.accumulate(seen[:, ::-1], axis=1)[:, ::-1][which, place]
+        tail[a:z] = np.cumsum(summed, axis=1)[which, place] / scale[a:z]
+        some[a:z] = np.logical_or.accumulate(seen, axis=1)[which, place]
         first = last
     return row, at, value, tail, some
 
